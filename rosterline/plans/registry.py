@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterline import oracle as O
+from rosterline.operators import enrich as E
 from rosterline.operators.derive import with_daily_metrics
+from rosterline.plans import reports as R
 from rosterline.plans import views as V
 from rosterline.sources import testmap as M
 
@@ -161,3 +163,216 @@ def _corr_sql(x: str, y: str) -> str:
 ))
 def _correlations(i: Inputs) -> DataFrame:
     return V.correlations(i.analytics(), DIGITS)
+
+
+# ---------------------------------------------------------------------------
+# Daily metrics and enrichment
+# ---------------------------------------------------------------------------
+
+
+@register("direct_hours", O.with_ctes(
+    "SELECT provnum, workdate, total_direct_hours, contract_direct_hours FROM daily", ["daily"]))
+def _direct_hours(i: Inputs) -> DataFrame:
+    return i.daily().select("provnum", "workdate", "total_direct_hours", "contract_direct_hours")
+
+
+@register("daily_hprd", O.with_ctes(
+    "SELECT provnum, workdate, rn_hprd, lpn_hprd, cna_hprd, total_direct_hprd, "
+    "contract_dependency_pct FROM daily", ["daily"]))
+def _daily_hprd(i: Inputs) -> DataFrame:
+    return i.daily().select(
+        "provnum", "workdate", "rn_hprd", "lpn_hprd", "cna_hprd", "total_direct_hprd",
+        "contract_dependency_pct",
+    )
+
+
+@register("enrich_left", O.with_ctes("SELECT * FROM facility_metrics", ["facility_metrics"]))
+def _enrich_left(i: Inputs) -> DataFrame:
+    return E.enrich_daily(i.daily(), i.provider())
+
+
+_IDS = """
+    s_ids AS (SELECT DISTINCT trim(provnum) AS sid FROM staffing WHERE trim(provnum) IS NOT NULL),
+    p_ids AS (SELECT DISTINCT trim(provider_id) AS pid FROM provider
+              WHERE trim(provider_id) IS NOT NULL)"""
+
+
+def _with_ids(body: str) -> str:
+    base = O.with_ctes("SELECT 1", ["staffing", "provider"])
+    return base[: -len("\nSELECT 1")] + "," + _IDS + "\n" + body
+
+
+@register("join_coverage", _with_ids("""
+    SELECT COUNT(*) AS total_facilities,
+           COUNT(pid) AS matched_facilities,
+           COUNT(*) - COUNT(pid) AS unmatched_facilities,
+           CASE WHEN COUNT(*) > 0
+                THEN CAST(COUNT(pid) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0E0
+                ELSE 0.0E0 END AS coverage_pct
+    FROM s_ids LEFT JOIN p_ids ON sid = pid"""))
+def _join_coverage(i: Inputs) -> DataFrame:
+    return E.join_coverage(i.staffing(), i.provider())
+
+
+@register("unmatched_ids", _with_ids(
+    "SELECT sid AS provnum FROM s_ids WHERE sid NOT IN (SELECT pid FROM p_ids)"))
+def _unmatched_ids(i: Inputs) -> DataFrame:
+    return E.unmatched_ids(i.staffing(), i.provider())
+
+
+# ---------------------------------------------------------------------------
+# Reports (J6, F8-F14, K1-K11, P19-P21)
+# ---------------------------------------------------------------------------
+
+# Report parameters (what a dashboard user would pick).
+REPORT_STATE = "NATION_9"
+TREND_PROVNUM = "10"
+OWNERSHIP_CHOICE = ["For profit", "Non profit"]
+MIN_RATING = 3
+TOP_N_STATES = 10
+
+
+def _overview(i: Inputs) -> DataFrame:
+    return R.state_overview(
+        V.state_summary(i.daily(), i.provider()), V.state_facility_ratings(i.facilities())
+    )
+
+
+def _state_slice(i: Inputs) -> DataFrame:
+    return R.state_facilities(i.analytics(), REPORT_STATE)
+
+
+@register("state_overview", O.with_ctes("SELECT * FROM state_overview", ["state_overview"]))
+def _state_overview(i: Inputs) -> DataFrame:
+    return _overview(i)
+
+
+@register("state_row", O.with_ctes(
+    f"SELECT * FROM state_overview WHERE state = '{REPORT_STATE}'", ["state_overview"]))
+def _state_row(i: Inputs) -> DataFrame:
+    return R.state_row(_overview(i), REPORT_STATE)
+
+
+@register("state_ranking", O.with_ctes(f"""
+    SELECT state, total_direct_hprd FROM state_overview
+    WHERE total_direct_hprd IS NOT NULL
+    ORDER BY total_direct_hprd DESC, state LIMIT {TOP_N_STATES}""", ["state_overview"]))
+def _state_ranking(i: Inputs) -> DataFrame:
+    return R.state_ranking(_overview(i), "total_direct_hprd", TOP_N_STATES)
+
+
+@register("state_options", O.with_ctes(
+    "SELECT DISTINCT state FROM state_overview WHERE state IS NOT NULL", ["state_overview"]))
+def _state_options(i: Inputs) -> DataFrame:
+    return R.distinct_options(_overview(i), "state")
+
+
+_MIX_SQL = " UNION ALL ".join(
+    f"SELECT state, '{lab}' AS staff_type, COALESCE({c}, 0.0E0) AS hprd FROM state_overview"
+    for lab, c in V.S.STAFFING_MIX
+)
+_RATINGS_SQL = " UNION ALL ".join(
+    f"SELECT state, '{lab}' AS rating, COALESCE({c}, 0.0E0) AS score FROM state_overview"
+    for lab, c in V.S.RATING_LABELS
+)
+
+
+@register("staffing_mix", O.with_ctes(_MIX_SQL, ["state_overview"]))
+def _staffing_mix(i: Inputs) -> DataFrame:
+    return R.staffing_mix(_overview(i))
+
+
+@register("ratings_long", O.with_ctes(_RATINGS_SQL, ["state_overview"]))
+def _ratings_long(i: Inputs) -> DataFrame:
+    return R.ratings_long(_overview(i))
+
+
+@register("state_facilities", O.with_ctes(
+    f"SELECT * FROM facility_analytics WHERE state = '{REPORT_STATE}'", ["facility_analytics"]))
+def _state_facilities(i: Inputs) -> DataFrame:
+    return _state_slice(i)
+
+
+@register("ownership_options", O.with_ctes(f"""
+    SELECT DISTINCT ownership_type FROM facility_analytics
+    WHERE state = '{REPORT_STATE}' AND ownership_type IS NOT NULL""", ["facility_analytics"]))
+def _ownership_options(i: Inputs) -> DataFrame:
+    return R.distinct_options(_state_slice(i), "ownership_type")
+
+
+def _ranked_sql(direction: str) -> str:
+    return O.with_ctes(f"""
+    SELECT provnum, provider_name, total_direct_hprd, rehospitalization_rate
+    FROM facility_analytics
+    WHERE state = '{REPORT_STATE}' AND total_direct_hprd IS NOT NULL
+    ORDER BY total_direct_hprd {direction}, provnum LIMIT 10""", ["facility_analytics"])
+
+
+@register("top_facilities", _ranked_sql("DESC"))
+def _top_facilities(i: Inputs) -> DataFrame:
+    return R.top_facilities(_state_slice(i))
+
+
+@register("bottom_facilities", _ranked_sql("ASC"))
+def _bottom_facilities(i: Inputs) -> DataFrame:
+    return R.bottom_facilities(_state_slice(i))
+
+
+_OWN_SQL = ", ".join(f"'{o}'" for o in OWNERSHIP_CHOICE)
+_FILTER_SQL = f"""
+    FROM facility_analytics
+    WHERE state = '{REPORT_STATE}' AND ownership_type IN ({_OWN_SQL})
+      AND (overall_rating IS NULL OR overall_rating >= {MIN_RATING})"""
+
+
+def _explorer(i: Inputs) -> DataFrame:
+    return R.explorer_filter(_state_slice(i), OWNERSHIP_CHOICE, MIN_RATING)
+
+
+@register("explorer_filter", O.with_ctes(
+    "SELECT "
+    + ", ".join(
+        f"round_even({c}, 2) AS {c}" if c in R.EXPLORER_ROUNDED else c
+        for c in R.EXPLORER_TABLE_COLUMNS
+    )
+    + _FILTER_SQL,
+    ["facility_analytics"],
+))
+def _explorer_filter(i: Inputs) -> DataFrame:
+    return R.explorer_table(_explorer(i))
+
+
+@register("explorer_count", O.with_ctes(
+    "SELECT COUNT(*) AS matching_facilities" + _FILTER_SQL, ["facility_analytics"]))
+def _explorer_count(i: Inputs) -> DataFrame:
+    return R.match_count(_explorer(i))
+
+
+@register("facility_labels", O.with_ctes("""
+    SELECT provnum,
+           COALESCE(provider_name, 'Unknown Facility') || ' — ' || provnum AS display_name,
+           COALESCE(provider_name, provnum) AS facility_title
+    FROM facility_analytics""", ["facility_analytics"]))
+def _facility_labels(i: Inputs) -> DataFrame:
+    return R.facility_labels(i.analytics())
+
+
+@register("daily_trend", O.with_ctes(f"""
+    SELECT workdate, mdscensus, rn_hprd, lpn_hprd, cna_hprd, total_direct_hprd,
+           contract_dependency_pct
+    FROM facility_metrics
+    WHERE state = '{REPORT_STATE}' AND provnum = '{TREND_PROVNUM}'""", ["facility_metrics"]))
+def _daily_trend(i: Inputs) -> DataFrame:
+    return R.daily_trend(i.daily(), REPORT_STATE, TREND_PROVNUM)
+
+
+@register("correlations_long", O.with_ctes(
+    " UNION ALL ".join(
+        f"SELECT '{label}' AS relationship, {_corr_sql(x, y)} AS correlation "
+        "FROM facility_analytics"
+        for _, x, y, label in V.S.CORRELATIONS
+    ),
+    ["facility_analytics"],
+))
+def _correlations_long(i: Inputs) -> DataFrame:
+    return R.correlations_long(V.correlations(i.analytics(), DIGITS))
