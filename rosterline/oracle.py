@@ -127,6 +127,13 @@ CTES: dict[str, tuple[list[str], str]] = {
                DATE '{M.PROCESSING_DATE}' AS processing_date
         FROM lineitem
         GROUP BY l_suppkey, l_linenumber"""),
+    "feed": ([], f"""
+        SELECT CAST(l_suppkey AS VARCHAR) AS provnum, CAST(l_shipdate AS DATE) AS workdate,
+               CAST(l_linenumber AS DOUBLE) AS mdscensus,
+               CASE WHEN l_returnflag = 'R' THEN l_quantity END AS hrs_rn,
+               CASE WHEN l_returnflag = 'N' THEN l_quantity END AS hrs_lpn,
+               CASE WHEN l_returnflag = 'A' THEN l_quantity END AS hrs_cna
+        FROM lineitem"""),
     "facility_summary": (["facility_metrics"], """
         SELECT provnum,
                MAX(provider_name) AS provider_name,
@@ -204,8 +211,8 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def with_ctes(body: str, needs: list[str]) -> str:
-    """Prefix ``body`` with the CTEs it needs (dependencies first)."""
+def with_ctes(body: str, needs: list[str], extra: list[tuple[str, str]] | None = None) -> str:
+    """Prefix ``body`` with the CTEs it needs (dependencies first), then ``extra``."""
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -217,10 +224,28 @@ def with_ctes(body: str, needs: list[str]) -> str:
 
     for n in needs:
         visit(n)
-    defs = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    parts = [(n, CTES[n][1]) for n in order] + list(extra or [])
+    defs = ",\n".join(f"{n} AS ({sql}\n)" for n, sql in parts)
     return f"WITH {defs}\n{body}"
 
 
 def r6(expr: str) -> str:
     """Round to 6 digits (order-sensitive float aggregates)."""
     return f"round({expr}, 6)"
+
+
+def count_if(cond: str) -> str:
+    return f"COUNT(CASE WHEN {cond} THEN 1 END)"
+
+
+def describe_sql(source: str, columns: list[str]) -> str:
+    """count, mean, std, min, quartiles, max per column (rounded), UNION ALL."""
+    parts = []
+    for c in columns:
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {r6(f'AVG({c})')} AS mean, "
+            f"{r6(f'stddev_samp({c})')} AS std, {r6(f'MIN({c})')} AS min, "
+            f"{r6(f'quantile_cont({c}, 0.25)')} AS q25, {r6(f'quantile_cont({c}, 0.5)')} AS q50, "
+            f"{r6(f'quantile_cont({c}, 0.75)')} AS q75, {r6(f'MAX({c})')} AS max FROM {source}"
+        )
+    return "\nUNION ALL\n".join(parts)

@@ -13,9 +13,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rosterline import oracle as O
+from rosterline.operators import clean as C
 from rosterline.operators import enrich as E
+from rosterline.operators import profile as P
 from rosterline.operators.derive import with_daily_metrics
 from rosterline.plans import reports as R
 from rosterline.plans import views as V
@@ -376,3 +379,285 @@ def _daily_trend(i: Inputs) -> DataFrame:
 ))
 def _correlations_long(i: Inputs) -> DataFrame:
     return R.correlations_long(V.correlations(i.analytics(), DIGITS))
+
+
+# ---------------------------------------------------------------------------
+# Cleaning (P1-P6, F1-F3) and deterministic dedup
+# ---------------------------------------------------------------------------
+
+@register("staffing_clean", O.with_ctes(
+    "SELECT "
+    + ", ".join(
+        [c for c in [n for _, n in V.S.STAFFING_DIMENSIONS] + ["workdate", "mdscensus"]]
+        + [
+            f"CASE WHEN day(workdate) = {M.BAD_HOURS_DAY} THEN NULL ELSE {c} END AS {c}"
+            if c == "hrs_rn" else c
+            for c in V.S.HOUR_COLUMNS
+        ]
+    )
+    + f"""
+    FROM staffing
+    WHERE day(workdate) NOT IN ({M.BLANK_ID_DAY}, {M.BAD_DATE_DAY}, {M.NULL_CENSUS_DAY},
+                                {M.NEGATIVE_CENSUS_DAY}, {M.EMPTY_ROW_DAY})""",
+    ["staffing"],
+))
+def _staffing_clean(i: Inputs) -> DataFrame:
+    return C.clean_staffing(M.staffing_raw_text(i.spark, i.sf_dir))
+
+
+_DEDUP_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+
+
+@register("provider_dedup", f"""
+    SELECT provider_id, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity,
+           l_extendedprice, l_returnflag
+    FROM (SELECT CAST(l_suppkey AS VARCHAR) AS provider_id, CAST(l_shipdate AS DATE) AS l_shipdate,
+                 l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag,
+                 ROW_NUMBER() OVER (PARTITION BY l_suppkey
+                                    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey,
+                                             l_quantity) AS rn
+          FROM lineitem)
+    WHERE rn = 1""")
+def _provider_dedup(i: Inputs) -> DataFrame:
+    li = M.table(i.spark, i.sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("provider_id"),
+        F.to_date("l_shipdate").alias("l_shipdate"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag",
+    )
+    return C.first_per_key(li, ["provider_id"], _DEDUP_ORDER)
+
+
+# ---------------------------------------------------------------------------
+# Validation summaries and profile
+# ---------------------------------------------------------------------------
+
+PERIOD_START, PERIOD_END = "1996-04-01", "1996-06-30"
+
+
+@register("dataset_summary", O.with_ctes("""
+    SELECT COUNT(*) AS rows, COUNT(DISTINCT provnum) AS facilities,
+           COUNT(DISTINCT workdate) AS dates, MIN(workdate) AS min_date, MAX(workdate) AS max_date
+    FROM staffing""", ["staffing"]))
+def _dataset_summary(i: Inputs) -> DataFrame:
+    return P.dataset_summary(i.staffing())
+
+
+@register("state_distribution", O.with_ctes("""
+    SELECT state, COUNT(*) AS rows, COUNT(DISTINCT provnum) AS facilities
+    FROM staffing GROUP BY state""", ["staffing"]))
+def _state_distribution(i: Inputs) -> DataFrame:
+    return P.state_distribution(i.staffing())
+
+
+@register("quarter_distribution", O.with_ctes("""
+    SELECT year(workdate) AS year, quarter(workdate) AS quarter, COUNT(*) AS rows
+    FROM staffing GROUP BY 1, 2""", ["staffing"]))
+def _quarter_distribution(i: Inputs) -> DataFrame:
+    return P.quarter_distribution(i.staffing())
+
+
+@register("negative_hours", O.with_ctes(
+    "SELECT "
+    + O.count_if(" OR ".join(f"{c} < 0" for c in V.S.HOUR_COLUMNS)) + " AS rows_with_negative_hours, "
+    + ", ".join(f"{O.count_if(f'{c} < 0')} AS negative_{c}" for c in V.S.HOUR_COLUMNS)
+    + " FROM staffing",
+    ["staffing"],
+))
+def _negative_hours(i: Inputs) -> DataFrame:
+    return P.negative_hours(i.staffing())
+
+
+@register("measure_distribution", O.with_ctes("""
+    SELECT measure_code, measure_description, resident_type, COUNT(*) AS rows,
+           COUNT(adjusted_score) AS available_adjusted_scores
+    FROM claims GROUP BY 1, 2, 3""", ["claims"]))
+def _measure_distribution(i: Inputs) -> DataFrame:
+    return P.measure_distribution(i.claims())
+
+
+@register("claims_cardinality", O.with_ctes("""
+    SELECT COUNT(*) AS rows, COUNT(DISTINCT provider_id) AS facilities,
+           COUNT(DISTINCT measure_code) AS measures
+    FROM claims""", ["claims"]))
+def _claims_cardinality(i: Inputs) -> DataFrame:
+    return P.claims_cardinality(i.claims())
+
+
+@register("duplicate_claim_keys", O.with_ctes("""
+    SELECT provider_id, measure_code, COUNT(*) AS count
+    FROM claims GROUP BY 1, 2 HAVING COUNT(*) > 1""", ["claims"]))
+def _duplicate_claim_keys(i: Inputs) -> DataFrame:
+    return P.duplicate_claim_keys(i.claims())
+
+
+@register("duplicate_keys", O.with_ctes("""
+    SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_key_rows,
+           COUNT(CASE WHEN n > 1 THEN 1 END) AS duplicated_keys
+    FROM (SELECT provnum, workdate, COUNT(*) AS n FROM feed GROUP BY 1, 2)""", ["feed"]))
+def _duplicate_keys(i: Inputs) -> DataFrame:
+    return P.duplicate_keys(M.staffing_feed(i.spark, i.sf_dir), ["provnum", "workdate"])
+
+
+@register("duplicate_rows", O.with_ctes("""
+    SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows
+    FROM (SELECT provnum, workdate, mdscensus, hrs_rn, hrs_lpn, hrs_cna, COUNT(*) AS n
+          FROM feed GROUP BY ALL)""", ["feed"]))
+def _duplicate_rows(i: Inputs) -> DataFrame:
+    return P.duplicate_rows(M.staffing_feed(i.spark, i.sf_dir))
+
+
+def _null_sql() -> str:
+    cols = [n for _, n in V.S.STAFFING_DIMENSIONS] + ["workdate", "mdscensus"] + V.S.HOUR_COLUMNS
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count, "
+        f"round_even(CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0E0, 2)"
+        " AS null_percentage FROM staffing"
+        for c in cols
+    )
+
+
+@register("null_profile", O.with_ctes(_null_sql(), ["staffing"]))
+def _null_profile(i: Inputs) -> DataFrame:
+    return P.null_profile(i.staffing())
+
+
+@register("cardinality", O.with_ctes("""
+    SELECT COUNT(DISTINCT provnum) AS facilities, COUNT(DISTINCT state) AS states,
+           COUNT(DISTINCT county_name) AS counties, COUNT(DISTINCT workdate) AS dates
+    FROM staffing""", ["staffing"]))
+def _cardinality(i: Inputs) -> DataFrame:
+    return P.cardinality(i.staffing())
+
+
+@register("date_validation", O.with_ctes(f"""
+    SELECT {O.count_if("workdate IS NULL")} AS invalid_dates,
+           MIN(workdate) AS min_date, MAX(workdate) AS max_date,
+           {O.count_if(f"workdate < DATE '{PERIOD_START}' OR workdate > DATE '{PERIOD_END}'")}
+             AS outside_period
+    FROM staffing""", ["staffing"]))
+def _date_validation(i: Inputs) -> DataFrame:
+    return P.date_validation(i.staffing(), PERIOD_START, PERIOD_END)
+
+
+@register("describe_census", O.with_ctes(
+    f"SELECT d.*, c.* FROM ({O.describe_sql('staffing', ['mdscensus'])}) d, "
+    f"(SELECT {O.count_if('mdscensus < 0')} AS negative_census, "
+    f"{O.count_if('mdscensus = 0')} AS zero_census FROM staffing) c",
+    ["staffing"],
+))
+def _describe_census(i: Inputs) -> DataFrame:
+    return P.describe_census(i.staffing(), DIGITS)
+
+
+_HOURS3 = ["hrs_rn", "hrs_lpn", "hrs_cna"]
+
+
+@register("describe_hours", O.with_ctes(
+    f"SELECT d.*, n.negative FROM ({O.describe_sql('staffing', _HOURS3)}) d JOIN ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {O.count_if(f'{c} < 0')} AS negative FROM staffing"
+        for c in _HOURS3
+    )
+    + ") n USING (column_name)",
+    ["staffing"],
+))
+def _describe_hours(i: Inputs) -> DataFrame:
+    return P.describe_hours(i.staffing(), DIGITS)
+
+
+def _recon_sql() -> str:
+    parts = []
+    for label, role in V.S.RECONCILED_ROLES:
+        t, e, c = (V.S.hrs(role, s) for s in ("", "_emp", "_ctr"))
+        cond = (
+            f"abs(COALESCE({t}, 0.0E0) - (COALESCE({e}, 0.0E0) + COALESCE({c}, 0.0E0)))"
+            f" > {V.S.RECONCILE_TOLERANCE}E0"
+        )
+        parts.append(f"SELECT '{label}' AS role, {O.count_if(cond)} AS mismatches FROM staffing")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("reconciliation", O.with_ctes(_recon_sql(), ["staffing"]))
+def _reconciliation(i: Inputs) -> DataFrame:
+    return P.reconciliation(i.staffing())
+
+
+def _iqr_sql() -> str:
+    vals = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM staffing "
+        f"WHERE {c} IS NOT NULL"
+        for c in P.IQR_COLUMNS
+    )
+    return O.with_ctes(
+        f"""
+        SELECT column_name, {O.r6("q1")} AS q1, {O.r6("q3")} AS q3,
+               {O.r6("q1 - 1.5E0 * (q3 - q1)")} AS lower_bound,
+               {O.r6("q3 + 1.5E0 * (q3 - q1)")} AS upper_bound,
+               {O.count_if("value < q1 - 1.5E0 * (q3 - q1) OR value > q3 + 1.5E0 * (q3 - q1)")}
+                 AS outliers
+        FROM v JOIN f USING (column_name)
+        GROUP BY column_name, q1, q3""",
+        ["staffing"],
+        [("v", vals), ("f", "SELECT column_name, quantile_cont(value, 0.25) AS q1, "
+                           "quantile_cont(value, 0.75) AS q3 FROM v GROUP BY 1")],
+    )
+
+
+@register("iqr_outliers", _iqr_sql())
+def _iqr_outliers(i: Inputs) -> DataFrame:
+    return P.iqr_outliers(i.staffing(), digits=DIGITS)
+
+
+_PROFILE_TOTAL = "(hrs_rn + hrs_lpn + hrs_cna)"
+_PROFILE_HPRD = f"""
+    SELECT CASE WHEN mdscensus > 0 THEN hrs_rn / mdscensus END AS rn_hprd,
+           CASE WHEN mdscensus > 0 THEN hrs_lpn / mdscensus END AS lpn_hprd,
+           CASE WHEN mdscensus > 0 THEN hrs_cna / mdscensus END AS cna_hprd,
+           CASE WHEN mdscensus > 0 THEN {_PROFILE_TOTAL} / mdscensus END AS total_direct_hprd
+    FROM staffing"""
+
+
+@register("describe_hprd", O.with_ctes(
+    O.describe_sql("h", ["rn_hprd", "lpn_hprd", "cna_hprd", "total_direct_hprd"]),
+    ["staffing"], [("h", _PROFILE_HPRD)],
+))
+def _describe_hprd(i: Inputs) -> DataFrame:
+    return P.describe_hprd(i.staffing(), DIGITS)
+
+
+_PROFILE_PCT = f"""
+    SELECT CASE WHEN {_PROFILE_TOTAL} > 0
+                THEN (hrs_rn_ctr + hrs_lpn_ctr + hrs_cna_ctr) / {_PROFILE_TOTAL} * 100.0E0
+           END AS contract_dependency_pct
+    FROM staffing"""
+
+
+@register("contract_pct_profile", O.with_ctes(
+    f"SELECT d.*, b.* FROM ({O.describe_sql('p', ['contract_dependency_pct'])}) d, "
+    f"(SELECT {O.count_if('contract_dependency_pct < 0 OR contract_dependency_pct > 100')}"
+    " AS invalid_pct FROM p) b",
+    ["staffing"], [("p", _PROFILE_PCT)],
+))
+def _contract_pct_profile(i: Inputs) -> DataFrame:
+    return P.contract_pct_profile(i.staffing(), DIGITS)
+
+
+# Rows-only checks (no SQL oracle): file provenance, schema listing, sample.
+
+
+@register("rows_per_source_file")
+def _rows_per_source_file(i: Inputs) -> DataFrame:
+    li = M.table(i.spark, i.sf_dir, "lineitem").select(
+        F.col("_metadata.file_path").alias("source_file")
+    )
+    return P.rows_per_source_file(li)
+
+
+@register("schema_listing")
+def _schema_listing(i: Inputs) -> DataFrame:
+    return P.schema_listing(i.daily())
+
+
+@register("sample_rows")
+def _sample_rows(i: Inputs) -> DataFrame:
+    return P.sample_rows(i.staffing())

@@ -193,3 +193,66 @@ def quality_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(MEASURE_PERIOD).alias("measure_period"),
         F.lit(PROCESSING_DATE).cast("date").alias("processing_date"),
     )
+
+
+def staffing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-item grain staffing rows: several rows can share one facility-day,
+    the situation the duplicate-row and duplicate-key checks look for."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_suppkey").cast("string").alias("provnum"),
+        F.to_date("l_shipdate").alias("workdate"),
+        F.col("l_linenumber").cast("double").alias("mdscensus"),
+        *[
+            F.when(F.col("l_returnflag") == F.lit(flag), F.col("l_quantity")).alias(S.hrs(role))
+            for role, flag in FLAG_BY_ROLE.items()
+        ],
+    )
+
+
+# Defects planted in the raw-text rendition, keyed by day of month.
+PADDED_ID_DAY, BLANK_ID_DAY, BAD_DATE_DAY = 1, 2, 3
+NULL_CENSUS_DAY, NEGATIVE_CENSUS_DAY, BAD_HOURS_DAY, EMPTY_ROW_DAY = 4, 5, 6, 7
+
+
+def staffing_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staffing rows rendered the way the raw CSV carries them: every column
+    a string under its source header, dates as ``yyyyMMdd``.
+
+    Defects are planted by day of month: padded id (kept, trimmed), blank id,
+    unparseable date, missing census, negative census (all dropped), text in an
+    hour column (becomes NULL) and an all-empty row (dropped).
+    """
+    d = staffing_daily(spark, sf_dir)
+    dom = F.dayofmonth("workdate")
+
+    def keep(c: Column) -> Column:
+        return F.when(dom != EMPTY_ROW_DAY, c)
+
+    provnum = (
+        F.when(dom == PADDED_ID_DAY, F.concat(F.lit("  "), F.col("provnum"), F.lit(" ")))
+        .when(dom == BLANK_ID_DAY, F.lit("   "))
+        .otherwise(F.col("provnum"))
+    )
+    workdate = F.when(dom == BAD_DATE_DAY, F.lit("bad")).otherwise(
+        F.date_format("workdate", "yyyyMMdd")
+    )
+    census = (
+        F.when(dom == NULL_CENSUS_DAY, F.lit(None).cast("string"))
+        .when(dom == NEGATIVE_CENSUS_DAY, F.lit("-1"))
+        .otherwise(F.col("mdscensus").cast("string"))
+    )
+    hours = []
+    for header, name in S.hour_columns():
+        v = F.col(name).cast("string")
+        if name == S.hrs("RN"):
+            v = F.when(dom == BAD_HOURS_DAY, F.lit("x")).otherwise(v)
+        hours.append(keep(v).alias(header))
+    dims = [keep(F.col(n)).alias(h) for h, n in S.STAFFING_DIMENSIONS if n != "provnum"]
+    return d.select(
+        keep(provnum).alias("PROVNUM"),
+        *dims,
+        keep(workdate).alias(S.STAFFING_DATE[0]),
+        keep(census).alias(S.STAFFING_CENSUS[0]),
+        *hours,
+    )
