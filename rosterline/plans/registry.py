@@ -23,6 +23,7 @@ from rosterline.operators.derive import with_daily_metrics
 from rosterline.plans import reports as R
 from rosterline.plans import views as V
 from rosterline.sources import testmap as M
+from rosterline.streaming import manifest as MF
 
 DIGITS = 6
 
@@ -661,3 +662,88 @@ def _schema_listing(i: Inputs) -> DataFrame:
 @register("sample_rows")
 def _sample_rows(i: Inputs) -> DataFrame:
     return P.sample_rows(i.staffing())
+
+
+# ---------------------------------------------------------------------------
+# Incremental file manifest
+# ---------------------------------------------------------------------------
+
+_LISTING = f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS file_id,
+           'orders_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS name,
+           CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '{V.S.FOLDER_MIME}'
+                WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED'
+                  THEN '{V.S.NATIVE_DOC_PREFIX}spreadsheet'
+                ELSE 'text/csv' END AS mime_type,
+           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS modified_time,
+           o_orderpriority AS source,
+           (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') AS trashed
+    FROM orders"""
+_MANIFEST = f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS file_id,
+           CASE WHEN o_orderkey % 5 = 0 THEN '{M.OLD_TIME}'
+                ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS modified_time
+    FROM orders WHERE o_orderkey % 3 <> 0"""
+_CLASSIFIED = f"""
+    SELECT l.file_id, l.name, l.source, l.modified_time,
+           CASE WHEN m.file_id IS NULL THEN 'NEW'
+                WHEN m.modified_time IS DISTINCT FROM l.modified_time THEN 'MODIFIED'
+                ELSE 'SKIPPED' END AS status,
+           l.mime_type LIKE '{V.S.NATIVE_DOC_PREFIX}%' AS native
+    FROM listing l LEFT JOIN manifest m ON l.file_id = m.file_id
+    WHERE NOT l.trashed AND l.mime_type <> '{V.S.FOLDER_MIME}'"""
+_FINISHED = """
+    SELECT c.*,
+           CASE WHEN c.status = 'SKIPPED' OR c.native THEN 'SKIPPED'
+                WHEN o.o_orderkey % 97 <> 0 THEN c.status
+                ELSE 'FAILED' END AS final_status
+    FROM classified c LEFT JOIN orders o ON c.file_id = CAST(o.o_orderkey AS VARCHAR)"""
+_MANIFEST_CTES = [("listing", _LISTING), ("manifest", _MANIFEST), ("classified", _CLASSIFIED),
+                  ("finished", _FINISHED)]
+
+
+def _classified(i: Inputs) -> DataFrame:
+    listing = MF.in_folder(M.file_listing(i.spark, i.sf_dir), M.LANDING_FOLDER)
+    return MF.classify(listing, M.file_manifest(i.spark, i.sf_dir))
+
+
+def _finished(i: Inputs) -> DataFrame:
+    return MF.results(_classified(i), M.copy_outcomes(i.spark, i.sf_dir))
+
+
+@register("manifest_diff", O.with_ctes(
+    "SELECT file_id, name, source, status, status <> 'SKIPPED' AND NOT native AS copy "
+    "FROM classified", [], _MANIFEST_CTES[:3]))
+def _manifest_diff(i: Inputs) -> DataFrame:
+    return _classified(i).select("file_id", "name", "source", "status", "copy")
+
+
+@register("manifest_summary", O.with_ctes(f"""
+    SELECT COALESCE(source, 'TOTAL') AS source,
+           {O.count_if("final_status = 'NEW'")} AS new,
+           {O.count_if("final_status = 'MODIFIED'")} AS modified,
+           {O.count_if("final_status = 'SKIPPED'")} AS skipped,
+           {O.count_if("final_status = 'FAILED'")} AS failed
+    FROM finished GROUP BY ROLLUP (source)""", [], _MANIFEST_CTES))
+def _manifest_summary(i: Inputs) -> DataFrame:
+    return MF.summary(_finished(i))
+
+
+@register("manifest_next", O.with_ctes("""
+    SELECT m.file_id, m.name, m.modified_time, m.source, m.target_key
+    FROM full_manifest m
+    WHERE m.file_id NOT IN (SELECT file_id FROM finished
+                            WHERE final_status IN ('NEW', 'MODIFIED'))
+    UNION ALL
+    SELECT file_id, name, modified_time, source, source || '/' || name AS target_key
+    FROM finished WHERE final_status IN ('NEW', 'MODIFIED')""", [], _MANIFEST_CTES + [(
+    "full_manifest", f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS file_id,
+           'orders_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS name,
+           CASE WHEN o_orderkey % 5 = 0 THEN '{M.OLD_TIME}'
+                ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS modified_time,
+           o_orderpriority AS source,
+           o_orderpriority || '/orders_' || CAST(o_orderkey AS VARCHAR) || '.csv' AS target_key
+    FROM orders WHERE o_orderkey % 3 <> 0""")]))
+def _manifest_next(i: Inputs) -> DataFrame:
+    return MF.next_manifest(M.file_manifest(i.spark, i.sf_dir), _finished(i))

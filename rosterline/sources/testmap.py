@@ -256,3 +256,56 @@ def staffing_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         keep(census).alias(S.STAFFING_CENSUS[0]),
         *hours,
     )
+
+
+# Incremental-ingestion fixtures derived from ``orders``: one listed file per order.
+LANDING_FOLDER = "landing"
+OLD_TIME = "1900-01-01"
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows: folders, native documents and trashed entries are planted
+    among the pending orders (status 'P')."""
+    o = table(spark, sf_dir, "orders")
+    pending = F.col("o_orderstatus") == "P"
+    prio = F.col("o_orderpriority")
+    mime = (
+        F.when(pending & (prio == "5-LOW"), F.lit(S.FOLDER_MIME))
+        .when(pending & (prio == "4-NOT SPECIFIED"), F.lit(S.NATIVE_DOC_PREFIX + "spreadsheet"))
+        .otherwise(F.lit("text/csv"))
+    )
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("file_id"),
+        F.concat(F.lit("orders_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("name"),
+        mime.alias("mime_type"),
+        F.to_date("o_orderdate").cast("string").alias("modified_time"),
+        prio.alias("source"),
+        F.lit(LANDING_FOLDER).alias("parent"),
+        (pending & (prio == "1-URGENT")).alias("trashed"),
+    )
+
+
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State from an earlier run: two thirds of the orders, a fifth of them
+    recorded with an old modification time."""
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 != 0)
+    k = F.col("o_orderkey")
+    name = F.concat(F.lit("orders_"), k.cast("string"), F.lit(".csv"))
+    return o.select(
+        k.cast("string").alias("file_id"),
+        name.alias("name"),
+        F.when(k % 5 == 0, F.lit(OLD_TIME))
+        .otherwise(F.to_date("o_orderdate").cast("string"))
+        .alias("modified_time"),
+        F.col("o_orderpriority").alias("source"),
+        F.concat_ws("/", F.col("o_orderpriority"), name).alias("target_key"),
+    )
+
+
+def copy_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copy results: every 97th order fails."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("file_id"),
+        (F.col("o_orderkey") % 97 != 0).alias("ok"),
+    )
