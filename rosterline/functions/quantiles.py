@@ -72,7 +72,8 @@ def exact_quantiles(
         F.coalesce(F.sum("_range_total").over(w_off), F.lit(0)).alias("_offset"),
         F.sum("_range_total").over(w_all).alias("n"),
     )
-    cum = local.join(offsets, ["_range", "column_name"]).select(
+    # ``offsets`` has at most ranges x columns rows: a fixed bound, so broadcast.
+    cum = local.join(F.broadcast(offsets), ["_range", "column_name"]).select(
         "column_name",
         "value",
         "n",

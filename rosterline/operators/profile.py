@@ -231,7 +231,8 @@ def describe_census(staffing: DataFrame, digits: int | None = None) -> DataFrame
 def _attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a single-row aggregate to every row of ``df``."""
     k = "_one"
-    return df.withColumn(k, F.lit(1)).join(one_row.withColumn(k, F.lit(1)), k).drop(k)
+    # A global aggregate has exactly one row: broadcasting it is bounded.
+    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
 
 
 def describe_hours(staffing: DataFrame, digits: int | None = None) -> DataFrame:
@@ -288,7 +289,8 @@ def iqr_outliers(staffing: DataFrame, columns: list[str] = IQR_COLUMNS,
         (F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
         (F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
     )
-    j = values.join(fences, values["column_name"] == fences["_qc"], "inner")
+    # One fence row per profiled column: a fixed bound, so broadcast.
+    j = values.join(F.broadcast(fences), values["column_name"] == fences["_qc"], "inner")
     counted = j.groupBy("column_name", "q1", "q3", "lower_bound", "upper_bound").agg(
         F.count_if((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
         .alias("outliers")

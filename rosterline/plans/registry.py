@@ -9,6 +9,8 @@ compared unrounded.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,30 +24,72 @@ from rosterline.operators import profile as P
 from rosterline.operators.derive import with_daily_metrics
 from rosterline.plans import reports as R
 from rosterline.plans import views as V
+from rosterline.session import scratch_path
 from rosterline.sources import testmap as M
+from rosterline.sources.sinks import write_partitioned, write_table
 from rosterline.streaming import manifest as MF
 
 DIGITS = 6
 
 
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
+    """The curated input ``name`` derived from ``sf_dir``, written once per
+    application as a Parquet table under the shared checkpoint folder.
+
+    Like the source pipeline's curated tables, the derived staffing, provider
+    and claims datasets are materialised once and every report reads them;
+    the write also cuts the lineage back to the raw tables.  The scan is
+    defined once per application (file listing and footers are read once).
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    df = _WRITTEN.get(key)
+    if df is None:
+        tag = re.sub(r"[^A-Za-z0-9_.-]", "_", os.path.abspath(sf_dir).strip("/"))
+        path = scratch_path(spark, f"inputs/{key[0]}/{tag}/{name}")
+        built = build()
+        if partition_by:
+            write_partitioned(built, path, partition_by)
+        else:
+            write_table(built, path)
+        df = spark.read.parquet(path)
+        _WRITTEN[key] = df
+    return df
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Materialise the curated inputs (done lazily by the first query otherwise)."""
+    i = Inputs(spark, sf_dir)
+    i.staffing(), i.provider(), i.claims()
+
+
 @dataclass
 class Inputs:
-    """Lazily built curated inputs for one (session, data folder)."""
+    """Curated inputs for one (session, data folder)."""
 
     spark: SparkSession
     sf_dir: str
 
     def staffing(self) -> DataFrame:
-        return M.staffing_daily(self.spark, self.sf_dir)
+        return _written_table(
+            self.spark, self.sf_dir, "staffing",
+            lambda: M.staffing_daily(self.spark, self.sf_dir), partition_by="state",
+        )
 
     def daily(self) -> DataFrame:
         return with_daily_metrics(self.staffing())
 
     def provider(self) -> DataFrame:
-        return M.provider_info(self.spark, self.sf_dir)
+        return _written_table(
+            self.spark, self.sf_dir, "provider", lambda: M.provider_info(self.spark, self.sf_dir)
+        )
 
     def claims(self) -> DataFrame:
-        return M.quality_claims(self.spark, self.sf_dir)
+        return _written_table(
+            self.spark, self.sf_dir, "claims", lambda: M.quality_claims(self.spark, self.sf_dir)
+        )
 
     def facilities(self) -> DataFrame:
         return V.facility_summary(self.daily(), self.provider())

@@ -29,6 +29,7 @@ from rosterline.functions.metrics import (
     ratio_of_totals,
     safe_corr,
 )
+from rosterline.functions.joins import broadcast_if_small
 from rosterline.operators.enrich import provider_attributes
 
 _SUMS = [
@@ -73,7 +74,7 @@ def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
         F.max("workdate").alias("last_date"),
         F.count_distinct("workdate").alias("reporting_days"),
     )
-    attrs = provider_attributes(provider)
+    attrs = broadcast_if_small(provider_attributes(provider))
     j = per_facility.join(attrs, F.trim(per_facility["provnum"]) == attrs["_pid"], "left")
     return j.select(
         "provnum",
@@ -104,8 +105,8 @@ def state_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     per_fac = daily.groupBy("state", "provnum").agg(
         F.count(F.lit(1)).alias("_days"), *_sum_aggs()
     )
-    attrs = provider_attributes(provider).select(
-        "_pid", *[f"provider_{r}" for r in S.RATINGS]
+    attrs = broadcast_if_small(
+        provider_attributes(provider).select("_pid", *[f"provider_{r}" for r in S.RATINGS])
     )
     j = per_fac.join(attrs, F.trim(per_fac["provnum"]) == attrs["_pid"], "left")
     weighted = []
@@ -169,6 +170,7 @@ ANALYTICS_COLUMNS = [
 
 def facility_analytics(facilities: DataFrame, quality: DataFrame) -> DataFrame:
     """Facility summary left-joined to the pivoted quality measures (22 columns)."""
+    quality = broadcast_if_small(quality)
     j = facilities.join(quality, facilities["provnum"] == quality["provider_id"], "left")
     return j.select(*ANALYTICS_COLUMNS)
 

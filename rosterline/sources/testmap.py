@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline import schemas as S
+from rosterline.functions.joins import broadcast_if_small
 
 # Fixed values for the synthetic mapping.
 FLAG_BY_ROLE = {"RN": "R", "LPN": "N", "CNA": "A"}  # return flag carrying each direct role
@@ -114,7 +115,7 @@ def staffing_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("mdscensus"),
         *_hour_aggregates(),
     )
-    dims = supplier_dimensions(spark, sf_dir)
+    dims = broadcast_if_small(supplier_dimensions(spark, sf_dir))
     joined = daily.join(dims, daily.l_suppkey == dims.s_suppkey, "inner")
     cy_qtr = F.concat(
         F.year("workdate").cast("string"), F.lit("Q"), F.quarter("workdate").cast("string")
