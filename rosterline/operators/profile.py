@@ -189,9 +189,19 @@ def date_validation(staffing: DataFrame, period_start: str, period_end: str) ->
     )
 
 
-def describe(df: DataFrame, columns: list[str], digits: int | None = None) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max -- one row per column."""
-    moments = df.select(
+def describe(
+    df: DataFrame,
+    columns: list[str],
+    digits: int | None = None,
+    extra: dict | None = None,
+) -> DataFrame:
+    """count, mean, sample std, min, exact quartiles, max -- one row per column.
+
+    ``extra`` maps an output name to ``fn(value_column) -> aggregate``; those
+    aggregates run in the same per-column aggregate as the moments.
+    """
+    extra = extra or {}
+    values = df.select(
         F.explode(
             F.array(
                 *[
@@ -200,12 +210,15 @@ def describe(df: DataFrame, columns: list[str], digits: int | None = None) -> Da
                 ]
             )
         ).alias("_kv")
-    ).groupBy(F.col("_kv.column_name").alias("column_name")).agg(
-        F.count("_kv.value").alias("count"),
-        F.avg("_kv.value").alias("mean"),
-        F.stddev_samp("_kv.value").alias("std"),
-        F.min("_kv.value").alias("min"),
-        F.max("_kv.value").alias("max"),
+    ).select("_kv.column_name", "_kv.value")
+    v = F.col("value")
+    moments = values.groupBy("column_name").agg(
+        F.count(v).alias("count"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+        *[fn(v).alias(name) for name, fn in extra.items()],
     )
     q = exact_quantiles(long_values(df, columns), QUARTILES).select(
         F.col("column_name").alias("_qc"),
@@ -215,37 +228,24 @@ def describe(df: DataFrame, columns: list[str], digits: int | None = None) -> Da
     )
     j = moments.join(q, moments["column_name"] == q["_qc"], "left")
     stats = [maybe_round(F.col(c), digits).alias(c) for c in DESCRIBE_COLUMNS if c != "count"]
-    return j.select("column_name", "count", *stats)
+    return j.select("column_name", "count", *stats, *extra.keys())
 
 
 def describe_census(staffing: DataFrame, digits: int | None = None) -> DataFrame:
     """Census description plus negative and zero census counts."""
-    d = describe(staffing, ["mdscensus"], digits)
-    counts = staffing.agg(
-        F.count_if(F.col("mdscensus") < 0).alias("negative_census"),
-        F.count_if(F.col("mdscensus") == 0).alias("zero_census"),
+    return describe(
+        staffing, ["mdscensus"], digits,
+        extra={
+            "negative_census": lambda v: F.count_if(v < 0),
+            "zero_census": lambda v: F.count_if(v == 0),
+        },
     )
-    return _attach_one_row(d, counts)
-
-
-def _attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a single-row aggregate to every row of ``df``."""
-    k = "_one"
-    # A global aggregate has exactly one row: broadcasting it is bounded.
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
 
 
 def describe_hours(staffing: DataFrame, digits: int | None = None) -> DataFrame:
-    """RN / LPN / CNA hours described, with negative counts per column."""
+    """RN / LPN / CNA hours described, with the negative count per column."""
     cols = [S.hrs(r) for r in S.DIRECT_ROLES]
-    d = describe(staffing, cols, digits)
-    neg = staffing.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in cols])
-    neg_long = neg.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("negative")) for c in cols])
-        ).alias("_kv")
-    ).select("_kv._c", "_kv.negative")
-    return d.join(neg_long, d["column_name"] == neg_long["_c"], "left").drop("_c")
+    return describe(staffing, cols, digits, extra={"negative": lambda v: F.count_if(v < 0)})
 
 
 def reconciliation(staffing: DataFrame, tolerance: float = S.RECONCILE_TOLERANCE) -> DataFrame:
@@ -324,12 +324,10 @@ def contract_pct_profile(staffing: DataFrame, digits: int | None = None) -> Data
     total = sum_of([S.hrs(r) for r in S.DIRECT_ROLES], coalesce_nulls=False)
     ctr = sum_of([S.hrs(r, "_ctr") for r in S.DIRECT_ROLES], coalesce_nulls=False)
     pct = staffing.select(guarded_pct(ctr, total).alias("contract_dependency_pct"))
-    d = describe(pct, ["contract_dependency_pct"], digits)
-    bad = pct.agg(
-        F.count_if((F.col("contract_dependency_pct") < 0) | (F.col("contract_dependency_pct") > 100))
-        .alias("invalid_pct")
+    return describe(
+        pct, ["contract_dependency_pct"], digits,
+        extra={"invalid_pct": lambda v: F.count_if((v < 0) | (v > 100))},
     )
-    return _attach_one_row(d, bad)
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:

@@ -67,13 +67,22 @@ def _ratios_from_sums() -> list:
 def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     """One row per facility: attributes, resident days, ratio-of-sums HPRD,
     contract %, first / last date and distinct reporting days."""
-    per_facility = daily.groupBy("provnum").agg(
-        F.max("state").alias("state"),
+    numeric = daily.groupBy("provnum").agg(
         *_sum_aggs(),
         F.min("workdate").alias("first_date"),
         F.max("workdate").alias("last_date"),
         F.count_distinct("workdate").alias("reporting_days"),
     )
+    # MAX over a string needs a sort-based aggregate; run it on the (facility,
+    # state) pairs -- about one row per facility after a hash aggregate with a
+    # map-side step -- instead of on the daily rows.  The upper MAX reads the
+    # pair's day count so that Catalyst keeps the two aggregates apart (it
+    # merges a duplicate-insensitive MAX straight onto the daily rows otherwise).
+    states = (
+        daily.groupBy("provnum", "state").agg(F.count(F.lit(1)).alias("_days"))
+        .groupBy("provnum").agg(F.max(F.when(F.col("_days") > 0, F.col("state"))).alias("state"))
+    )
+    per_facility = numeric.join(states, "provnum")
     attrs = broadcast_if_small(provider_attributes(provider))
     j = per_facility.join(attrs, F.trim(per_facility["provnum"]) == attrs["_pid"], "left")
     return j.select(
