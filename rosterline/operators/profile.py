@@ -75,6 +75,15 @@ def negative_hours(staffing: DataFrame) -> DataFrame:
     )
 
 
+def state_conflicts(staffing: DataFrame) -> DataFrame:
+    """Facilities reported under more than one state (the facility view keeps
+    the greatest state name for them)."""
+    per = staffing.where(F.col("state").isNotNull()).groupBy("provnum").agg(
+        F.count_distinct("state").alias("_states")
+    )
+    return per.agg(F.count_if(F.col("_states") > 1).alias("facilities_in_several_states"))
+
+
 # ---------------------------------------------------------------------------
 # Claims checks
 # ---------------------------------------------------------------------------

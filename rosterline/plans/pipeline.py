@@ -59,6 +59,7 @@ def run_staffing(spark: SparkSession, raw_path: str | list[str], out_path: str)
         "valid",
         F.count(F.lit(1)).alias("valid_rows"),
         F.count_if(P.negative_hour_condition(daily)).alias("negative_hour_rows"),
+        F.count_if(F.col("state").isNull() | (F.trim("state") == "")).alias("default_partition_rows"),
     )
     out = daily.withColumn("etl_processed_at", F.current_timestamp())
     sinks.write_partitioned(out, out_path, "state")
@@ -132,6 +133,8 @@ def validation_summaries(spark: SparkSession, staffing_path: str) -> dict[str, l
         "states": [r.asDict() for r in P.state_distribution(t).collect()],
         "quarters": [r.asDict() for r in P.quarter_distribution(t).collect()],
         "files": [r.asDict() for r in P.rows_per_source_file(t).collect()],
+        "duplicate_days": [r.asDict() for r in P.duplicate_keys(t, ["provnum", "workdate"]).collect()],
+        "state_conflicts": [r.asDict() for r in P.state_conflicts(t).collect()],
     }
 
 

@@ -791,3 +791,39 @@ def _manifest_summary(i: Inputs) -> DataFrame:
     FROM orders WHERE o_orderkey % 3 <> 0""")]))
 def _manifest_next(i: Inputs) -> DataFrame:
     return MF.next_manifest(M.file_manifest(i.spark, i.sf_dir), _finished(i))
+
+
+@register("state_conflicts", O.with_ctes("""
+    SELECT COUNT(CASE WHEN n > 1 THEN 1 END) AS facilities_in_several_states
+    FROM (SELECT provnum, COUNT(DISTINCT state) AS n FROM staffing
+          WHERE state IS NOT NULL GROUP BY provnum)""", ["staffing"]))
+def _state_conflicts(i: Inputs) -> DataFrame:
+    return P.state_conflicts(i.staffing())
+
+
+_BANDS_SQL = f"""
+    SELECT CASE WHEN total_direct_hprd < 3.0E0 THEN '< 3.0 HPRD'
+                WHEN total_direct_hprd < 4.0E0 THEN '3.0 - 3.99 HPRD'
+                WHEN total_direct_hprd < 5.0E0 THEN '4.0 - 4.99 HPRD'
+                ELSE '5.0+ HPRD' END AS staffing_group,
+           {O.r6("AVG(rehospitalization_rate)")} AS avg_rehospitalization_rate,
+           {O.r6("AVG(short_stay_ed_rate)")} AS avg_short_stay_ed_rate,
+           {O.r6("AVG(overall_rating)")} AS avg_overall_rating,
+           {O.r6("AVG(staffing_rating)")} AS avg_staffing_rating
+    FROM facility_analytics
+    WHERE rehospitalization_rate IS NOT NULL
+    GROUP BY 1"""
+
+
+@register("band_outcomes", O.with_ctes(
+    "SELECT staffing_group, avg_rehospitalization_rate, avg_short_stay_ed_rate FROM b",
+    ["facility_analytics"], [("b", _BANDS_SQL)]))
+def _band_outcomes(i: Inputs) -> DataFrame:
+    return R.band_outcomes(V.staffing_bands(i.analytics(), DIGITS))
+
+
+@register("band_ratings", O.with_ctes(
+    "SELECT staffing_group, avg_overall_rating, avg_staffing_rating FROM b",
+    ["facility_analytics"], [("b", _BANDS_SQL)]))
+def _band_ratings(i: Inputs) -> DataFrame:
+    return R.band_ratings(V.staffing_bands(i.analytics(), DIGITS))

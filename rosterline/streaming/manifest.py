@@ -168,6 +168,40 @@ def check_no_failures(summary_df: DataFrame) -> dict:
     return row
 
 
+def run_ingestion(
+    spark: SparkSession,
+    listing: DataFrame,
+    manifest_base: str,
+    sources: list[str],
+    copy,
+    folder: str | None = None,
+) -> DataFrame:
+    """Ingest each source in turn and checkpoint the manifest after each one.
+
+    ``copy(files)`` receives the files to copy (``copy`` is true) and returns
+    ``(file_id, ok)`` outcomes -- for a lake this is the job that reads the
+    NEW / MODIFIED paths.  After every source the updated manifest is written
+    as a new version and read back, so a crash loses at most one source's work
+    and the next source starts from stored state (lineage is cut there).
+    Raises ``IngestionError`` at the end when any file failed.
+    """
+    manifest = read_manifest(spark, manifest_base)
+    finished = []
+    for src in sources:
+        files = in_folder(listing.where(F.col("source") == F.lit(src)), folder)
+        classified = classify(files, manifest)
+        fin = results(classified, copy(classified.where("copy")))
+        write_manifest(next_manifest(manifest, fin), manifest_base)
+        manifest = read_manifest(spark, manifest_base)
+        finished.append(fin)
+    out = finished[0]
+    for f in finished[1:]:
+        out = out.unionByName(f)
+    summ = summary(out)
+    check_no_failures(summ)
+    return summ
+
+
 # ---------------------------------------------------------------------------
 # Versioned manifest storage: never overwrite the version being read.
 # ---------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Incremental manifest: classification, upsert, summary, versioned state."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterline import schemas as S
 from rosterline.streaming import manifest as MF
@@ -77,3 +78,26 @@ def test_key_collisions(spark):
          ("2", "same.csv", "text/csv", "t", "pbj", "f", False)], LISTING_SCHEMA)
     c = MF.classify(listing, MF.empty_manifest(spark))
     assert [r.target_key for r in MF.key_collisions(c).collect()] == ["pbj/same.csv"]
+
+
+def test_run_ingestion_checkpoints_per_source(spark, tmp_dir):
+    base = f"{tmp_dir}/state"
+    listing = _listing(spark)
+
+    def copy_all(files):
+        return files.select("file_id", (files.file_id != "failed_before").alias("ok"))
+
+    with pytest.raises(MF.IngestionError):
+        MF.run_ingestion(spark, listing, base, ["pbj", "support"], copy_all, folder="f")
+    # one manifest version per source; failed and native files are not recorded
+    stored = spark.read.parquet(base)
+    assert sorted(r[0] for r in stored.select("manifest_version").distinct().collect()) == ["0", "1"]
+    ids = {r.file_id for r in MF.read_manifest(spark, base).collect()}
+    assert ids == {"new", "newer", "older", "same"}
+
+    def copy_ok(files):
+        return files.select("file_id", F.lit(True).alias("ok"))
+
+    summ = MF.run_ingestion(spark, listing, base, ["pbj", "support"], copy_ok, folder="f")
+    total = {r.source: (r.new, r.modified, r.skipped, r.failed) for r in summ.collect()}["TOTAL"]
+    assert total == (1, 0, 5, 0)  # pbj all SKIPPED now; support: native skipped, retry NEW

@@ -78,3 +78,34 @@ def test_materialised_summary_prunes(spark, run):
     assert "PartitionFilters: [isnotnull(state" in q._jdf.queryExecution().executedPlan().toString()
     full = spark.table("vw_facility_analytics").where(F.col("state") == r.state)
     assert q.count() == full.count()
+
+
+def test_external_tables_and_report_sink(spark, run, tmp_path):
+    from rosterline.operators import profile as P
+    from rosterline.sources import sinks
+
+    paths, _ = run
+    sinks.register_external_table(spark, "ext_facility_metrics", paths.curated("facility_metrics"), "state")
+    sinks.register_external_table(spark, "ext_quality_claims", paths.curated("quality_claims"))
+    assert spark.table("ext_facility_metrics").count() == spark.table("facility_metrics").count()
+    assert spark.table("ext_quality_claims").count() > 0
+    st = spark.table("facility_metrics").select("state").first().state
+    q = spark.table("ext_facility_metrics").where(F.col("state") == st)
+    assert "PartitionFilters: [isnotnull(state" in q._jdf.queryExecution().executedPlan().toString()
+    out = str(tmp_path / "profile")
+    sinks.write_report_csv(P.null_profile(spark.table("facility_metrics")), out)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == len(spark.table("facility_metrics").columns)
+
+
+def test_parameters_are_bound_not_spliced(spark, run):
+    assert sql_views.trend_query(spark, "X' OR '1'='1", "1").count() == 0
+    assert sql_views.facility_query(spark, "nowhere' OR state IS NOT NULL --").count() == 0
+
+
+def test_job_report_counters(run):
+    _, rep = run
+    st = rep.counts["staffing"]
+    assert st["default_partition_rows"] == 0
+    assert rep.summaries["duplicate_days"][0]["duplicate_key_rows"] == 0
+    assert rep.summaries["state_conflicts"][0]["facilities_in_several_states"] == 0
