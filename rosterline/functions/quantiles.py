@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 64
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -40,14 +39,18 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    values: DataFrame, probs: list[float], ranges: int = DEFAULT_RANGES
+    values: DataFrame, probs: list[float], ranges: int | None = None
 ) -> DataFrame:
     """Quantiles of long-form ``(column_name, value)`` rows.
 
     Returns one row per column with ``q_<k>`` columns (k = index in ``probs``)
     and ``n`` (non-NULL count).  NaN values are treated as the largest values,
-    as Spark orders them.
+    as Spark orders them.  ``ranges`` defaults to the session's shuffle
+    partition count, so the per-range window grows with the cluster's sizing,
+    not with the data.
     """
+    if ranges is None:
+        ranges = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hist = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
     ranged = hist.repartitionByRange(ranges, "column_name", "value").withColumn(
         "_range", F.spark_partition_id()

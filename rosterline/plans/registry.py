@@ -54,7 +54,9 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
             write_partitioned(built, path, partition_by)
         else:
             write_table(built, path)
-        df = spark.read.parquet(path)
+        # Read back with the written schema: partition values (state) stay
+        # strings whatever the session's partition type inference says.
+        df = spark.read.schema(built.schema).parquet(path)
         _WRITTEN[key] = df
     return df
 
@@ -447,7 +449,7 @@ def _correlations_long(i: Inputs) -> DataFrame:
     ["staffing"],
 ))
 def _staffing_clean(i: Inputs) -> DataFrame:
-    return C.clean_staffing(M.staffing_raw_text(i.spark, i.sf_dir))
+    return C.clean_staffing(M.staffing_raw_text(i.staffing()))
 
 
 _DEDUP_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]

@@ -216,15 +216,15 @@ PADDED_ID_DAY, BLANK_ID_DAY, BAD_DATE_DAY = 1, 2, 3
 NULL_CENSUS_DAY, NEGATIVE_CENSUS_DAY, BAD_HOURS_DAY, EMPTY_ROW_DAY = 4, 5, 6, 7
 
 
-def staffing_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staffing rows rendered the way the raw CSV carries them: every column
+def staffing_raw_text(staffing: DataFrame) -> DataFrame:
+    """``staffing_daily`` rows rendered the way the raw CSV carries them: every column
     a string under its source header, dates as ``yyyyMMdd``.
 
     Defects are planted by day of month: padded id (kept, trimmed), blank id,
     unparseable date, missing census, negative census (all dropped), text in an
     hour column (becomes NULL) and an all-empty row (dropped).
     """
-    d = staffing_daily(spark, sf_dir)
+    d = staffing
     dom = F.dayofmonth("workdate")
 
     def keep(c: Column) -> Column:

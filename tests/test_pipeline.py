@@ -21,7 +21,7 @@ def _as_raw(df, layout):
 def run(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("lake"))
     raw = os.path.join(base, "raw")
-    M.staffing_raw_text(spark, SF_SMALL).repartition(3).write.option("header", True).csv(
+    M.staffing_raw_text(M.staffing_daily(spark, SF_SMALL)).repartition(3).write.option("header", True).csv(
         f"{raw}/pbj")
     _as_raw(M.provider_info(spark, SF_SMALL), S.PROVIDER_COLUMNS).coalesce(1).write.option(
         "header", True).csv(f"{raw}/provider")
