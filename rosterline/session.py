@@ -50,15 +50,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) do we pick a scratch folder.
+    as is.  Only when neither the setting nor the context's checkpoint folder
+    exists (local runs, tests) is a scratch folder chosen; it is registered
+    through ``setCheckpointDir`` because the setting itself cannot change once
+    the context is running.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="rosterline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rosterline-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
