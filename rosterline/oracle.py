@@ -39,7 +39,6 @@ def _coalesced(cols: list[str]) -> str:
 
 _TOTAL = _coalesced(["hrs_rn", "hrs_lpn", "hrs_cna"])
 _CONTRACT = _coalesced(["hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"])
-_HOURS = ", ".join(S.HOUR_COLUMNS)
 
 _MEASURE_TEXT = " ".join(f"WHEN {c} THEN '{t}'" for c, t in M.MEASURE_TEXT.items())
 

@@ -126,6 +126,11 @@ TREND_QUERY = """
     ORDER BY workdate"""
 
 
+def state_query(spark: SparkSession):
+    """State summary with facility-weighted ratings, ordered by state."""
+    return spark.sql(STATE_QUERY)
+
+
 def facility_query(spark: SparkSession, state: str):
     """State slice of the analytics view; the value is bound, never spliced."""
     return spark.sql(FACILITY_QUERY, args={"state": state})

@@ -41,9 +41,6 @@ _SUMS = [
     ("contract_direct_hours", "_sum_contract"),
 ]
 
-STAFFING_RATIOS = ["rn_hprd", "lpn_hprd", "cna_hprd", "total_direct_hprd", "contract_dependency_pct"]
-
-
 def _sum_aggs() -> list:
     return [F.sum(c).alias(a) for c, a in _SUMS]
 

@@ -195,16 +195,6 @@ STAFFING_SOURCE_HEADERS = (
     + [h for h, _ in hour_columns()]
 )
 
-DERIVED_DAILY_COLUMNS = [
-    "total_direct_hours",
-    "contract_direct_hours",
-    "rn_hprd",
-    "lpn_hprd",
-    "cna_hprd",
-    "total_direct_hprd",
-    "contract_dependency_pct",
-]
-
 STAFFING_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for _, name in STAFFING_DIMENSIONS]
     + [

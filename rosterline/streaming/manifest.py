@@ -30,9 +30,6 @@ from rosterline import schemas as S
 NEW, MODIFIED, SKIPPED, FAILED = "NEW", "MODIFIED", "SKIPPED", "FAILED"
 TOTAL_LABEL = "TOTAL"
 
-LISTING_COLUMNS = ["file_id", "name", "mime_type", "modified_time", "source", "parent", "trashed"]
-
-
 class IngestionError(RuntimeError):
     """At least one file failed to copy; the run must be reported as failed."""
 

@@ -109,3 +109,19 @@ def test_job_report_counters(run):
     assert st["default_partition_rows"] == 0
     assert rep.summaries["duplicate_days"][0]["duplicate_key_rows"] == 0
     assert rep.summaries["state_conflicts"][0]["facilities_in_several_states"] == 0
+
+
+def test_state_query_matches_dataframe_overview(spark, run):
+    from rosterline.plans import reports as R
+    from rosterline.plans import views as V
+
+    paths, _ = run
+    daily = spark.read.parquet(paths.curated("staffing_metrics")).drop("etl_processed_at")
+    provider = spark.read.parquet(paths.curated("provider_info")).drop("etl_processed_at")
+    ov = R.state_overview(V.state_summary(daily, provider),
+                          V.state_facility_ratings(V.facility_summary(daily, provider)))
+    a = sql_views.state_query(spark).toPandas()
+    b = ov.toPandas()
+    ra = _rows(a.astype(object).where(a.notna(), None))
+    rb = _rows(b.astype(object).where(b.notna(), None))
+    assert len(ra) == len(rb) and all(all(_close(u, v) for u, v in zip(x, y)) for x, y in zip(ra, rb))
