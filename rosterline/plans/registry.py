@@ -62,9 +62,10 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Materialise the curated inputs (done lazily by the first query otherwise)."""
+    """Materialise the curated inputs and the published facility analytics
+    table (done lazily by the first query that needs them otherwise)."""
     i = Inputs(spark, sf_dir)
-    i.staffing(), i.provider(), i.claims()
+    i.staffing(), i.provider(), i.claims(), i.published_analytics()
 
 
 @dataclass
@@ -99,6 +100,13 @@ class Inputs:
     def analytics(self) -> DataFrame:
         return V.facility_analytics(self.facilities(), V.quality_pivot(self.claims()))
 
+    def published_analytics(self) -> DataFrame:
+        """The facility analytics table as the pipeline publishes it: written
+        once, partitioned by state, so a state slice reads one directory."""
+        return _written_table(
+            self.spark, self.sf_dir, "facility_analytics", self.analytics, partition_by="state"
+        )
+
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -179,7 +187,7 @@ def _facility_analytics(i: Inputs) -> DataFrame:
            {O.r6("AVG(long_stay_ed_visits_per_1000)")} AS avg_long_stay_ed_per_1000
     FROM facility_analytics""", ["facility_analytics"]))
 def _national_quality(i: Inputs) -> DataFrame:
-    return V.national_quality(i.analytics(), DIGITS)
+    return V.national_quality(i.published_analytics(), DIGITS)
 
 
 @register("staffing_bands", O.with_ctes(f"""
@@ -197,7 +205,7 @@ def _national_quality(i: Inputs) -> DataFrame:
     WHERE rehospitalization_rate IS NOT NULL
     GROUP BY 1""", ["facility_analytics"]))
 def _staffing_bands(i: Inputs) -> DataFrame:
-    return V.staffing_bands(i.analytics(), DIGITS)
+    return V.staffing_bands(i.published_analytics(), DIGITS)
 
 
 def _corr_sql(x: str, y: str) -> str:
@@ -212,7 +220,7 @@ def _corr_sql(x: str, y: str) -> str:
     ["facility_analytics"],
 ))
 def _correlations(i: Inputs) -> DataFrame:
-    return V.correlations(i.analytics(), DIGITS)
+    return V.correlations(i.published_analytics(), DIGITS)
 
 
 # ---------------------------------------------------------------------------
@@ -284,12 +292,13 @@ TOP_N_STATES = 10
 
 def _overview(i: Inputs) -> DataFrame:
     return R.state_overview(
-        V.state_summary(i.daily(), i.provider()), V.state_facility_ratings(i.facilities())
+        V.state_summary(i.daily(), i.provider()),
+        V.state_facility_ratings(i.published_analytics()),
     )
 
 
 def _state_slice(i: Inputs) -> DataFrame:
-    return R.state_facilities(i.analytics(), REPORT_STATE)
+    return R.state_facilities(i.published_analytics(), REPORT_STATE)
 
 
 @register("state_overview", O.with_ctes("SELECT * FROM state_overview", ["state_overview"]))
@@ -404,7 +413,7 @@ def _explorer_count(i: Inputs) -> DataFrame:
            COALESCE(provider_name, provnum) AS facility_title
     FROM facility_analytics""", ["facility_analytics"]))
 def _facility_labels(i: Inputs) -> DataFrame:
-    return R.facility_labels(i.analytics())
+    return R.facility_labels(i.published_analytics())
 
 
 @register("daily_trend", O.with_ctes(f"""
@@ -425,7 +434,7 @@ def _daily_trend(i: Inputs) -> DataFrame:
     ["facility_analytics"],
 ))
 def _correlations_long(i: Inputs) -> DataFrame:
-    return R.correlations_long(V.correlations(i.analytics(), DIGITS))
+    return R.correlations_long(V.correlations(i.published_analytics(), DIGITS))
 
 
 # ---------------------------------------------------------------------------
@@ -821,11 +830,11 @@ _BANDS_SQL = f"""
     "SELECT staffing_group, avg_rehospitalization_rate, avg_short_stay_ed_rate FROM b",
     ["facility_analytics"], [("b", _BANDS_SQL)]))
 def _band_outcomes(i: Inputs) -> DataFrame:
-    return R.band_outcomes(V.staffing_bands(i.analytics(), DIGITS))
+    return R.band_outcomes(V.staffing_bands(i.published_analytics(), DIGITS))
 
 
 @register("band_ratings", O.with_ctes(
     "SELECT staffing_group, avg_overall_rating, avg_staffing_rating FROM b",
     ["facility_analytics"], [("b", _BANDS_SQL)]))
 def _band_ratings(i: Inputs) -> DataFrame:
-    return R.band_ratings(V.staffing_bands(i.analytics(), DIGITS))
+    return R.band_ratings(V.staffing_bands(i.published_analytics(), DIGITS))
