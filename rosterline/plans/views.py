@@ -79,7 +79,10 @@ def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
         daily.groupBy("provnum", "state").agg(F.count(F.lit(1)).alias("_days"))
         .groupBy("provnum").agg(F.max(F.when(F.col("_days") > 0, F.col("state"))).alias("state"))
     )
-    per_facility = numeric.join(states, "provnum")
+    # NULL-safe: a NULL facility id is a group of its own, as in GROUP BY.
+    per_facility = numeric.join(
+        states.withColumnRenamed("provnum", "_sp"), numeric["provnum"].eqNullSafe(F.col("_sp"))
+    ).drop("_sp")
     attrs = broadcast_if_small(provider_attributes(provider))
     j = per_facility.join(attrs, F.trim(per_facility["provnum"]) == attrs["_pid"], "left")
     return j.select(

@@ -140,3 +140,13 @@ def test_labels_and_ranking(spark):
     assert [r.state for r in R.state_ranking(ov, top_n=5).collect()] == ["C", "A"]
     with pytest.raises(ValueError):
         R.state_ranking(ov, "bogus")
+
+
+def test_null_facility_id_is_its_own_group(spark):
+    s = staffing_rows(spark, [
+        {"provnum": None, "state": "TX", "workdate": D1, "mdscensus": 2.0, "hrs_rn": 4.0},
+        {"provnum": "1", "state": "TX", "workdate": D1, "mdscensus": 1.0, "hrs_rn": 1.0},
+    ])
+    p = provider_rows(spark, [{"provider_id": "1"}])
+    got = {r.provnum: r.rn_hprd for r in V.facility_summary(with_daily_metrics(s), p).collect()}
+    assert got == {None: 2.0, "1": 1.0}
