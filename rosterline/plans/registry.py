@@ -506,7 +506,8 @@ def _state_distribution(i: Inputs) -> DataFrame:
 
 
 @register("quarter_distribution", O.with_ctes("""
-    SELECT year(workdate) AS year, quarter(workdate) AS quarter, COUNT(*) AS rows
+    SELECT CAST(year(workdate) AS INTEGER) AS year, CAST(quarter(workdate) AS INTEGER) AS quarter,
+           COUNT(*) AS rows
     FROM staffing GROUP BY 1, 2""", ["staffing"]))
 def _quarter_distribution(i: Inputs) -> DataFrame:
     return P.quarter_distribution(i.staffing())

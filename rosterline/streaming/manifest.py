@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline import schemas as S
+from rosterline.session import ensure_checkpoint_dir
 
 NEW, MODIFIED, SKIPPED, FAILED = "NEW", "MODIFIED", "SKIPPED", "FAILED"
 TOTAL_LABEL = "TOTAL"
@@ -39,12 +40,24 @@ def empty_manifest(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], S.MANIFEST_SCHEMA)
 
 
+def snapshot(df: DataFrame) -> DataFrame:
+    """Freeze ``df`` with a reliable checkpoint in the shared checkpoint folder.
+
+    A listing is re-read whenever a lazy plan re-executes -- the file reader
+    takes file status at scan time -- so one run must classify, copy and record
+    against one snapshot of it.  Copy outcomes are frozen the same way so that
+    the copy step runs exactly once.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def listing_from_folder(spark: SparkSession, path: str, source: str, glob: str = "*") -> DataFrame:
-    """Listing of a lake folder (path = file id, no contents read)."""
+    """Snapshot listing of a lake folder (path = file id, no contents read)."""
     from rosterline.sources.files import list_files
 
     files = list_files(spark, path, glob)
-    return files.select(
+    return snapshot(files.select(
         F.col("path").alias("file_id"),
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.lit("text/csv").alias("mime_type"),
@@ -52,7 +65,7 @@ def listing_from_folder(spark: SparkSession, path: str, source: str, glob: str =
         F.lit(source).alias("source"),
         F.lit(path).alias("parent"),
         F.lit(False).alias("trashed"),
-    )
+    ))
 
 
 def in_folder(listing: DataFrame, folder: str | None = None) -> DataFrame:
@@ -182,12 +195,13 @@ def run_ingestion(
     and the next source starts from stored state (lineage is cut there).
     Raises ``IngestionError`` at the end when any file failed.
     """
+    listing = snapshot(listing)
     manifest = read_manifest(spark, manifest_base)
     finished = []
     for src in sources:
         files = in_folder(listing.where(F.col("source") == F.lit(src)), folder)
         classified = classify(files, manifest)
-        fin = results(classified, copy(classified.where("copy")))
+        fin = snapshot(results(classified, copy(classified.where("copy"))))
         write_manifest(next_manifest(manifest, fin), manifest_base)
         manifest = read_manifest(spark, manifest_base)
         finished.append(fin)

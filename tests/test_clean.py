@@ -147,3 +147,13 @@ def test_drop_empty_rows_ignores_provenance(spark):
                                "a string, b string, source_file string")
     assert C.drop_empty_rows(df, ignore=["source_file"]).count() == 1
     assert F is not None
+
+
+def test_files_with_different_layouts_union_by_name(spark, tmp_dir):
+    a = write_csv(os.path.join(tmp_dir, "l", "a.csv"), ["PROVNUM", "STATE", "WorkDate", "MDScensus"],
+                  [["1", "TX", "20240401", "2"]])
+    b = write_csv(os.path.join(tmp_dir, "l", "b.csv"), ["WorkDate", "PROVNUM", "MDScensus", "Hrs_RN"],
+                  [["20240402", "2", "3", "6"]])
+    got = {r.provnum: r for r in C.clean_staffing(files.read_csv_each(spark, [a, b])).collect()}
+    assert got["1"].state == "TX" and got["1"].hrs_rn is None
+    assert got["2"].state is None and got["2"].hrs_rn == 6.0 and got["2"].mdscensus == 3.0
