@@ -138,8 +138,23 @@ def validation_summaries(spark: SparkSession, staffing_path: str) -> dict[str, l
     }
 
 
-def run_all(spark: SparkSession, paths: Paths) -> RunReport:
+def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Total size of the raw input files (listing metadata only)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    total = 0
+    for p in paths:
+        total += files.list_files(spark, p).agg(F.sum("length")).first()[0] or 0
+    return int(total)
+
+
+def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
+    """All jobs in order.  With ``tune`` the session's split and shuffle sizes
+    are set from the staffing input's size first (``session.scale_conf``)."""
     rep = RunReport()
+    if tune:
+        from rosterline.session import apply_scale_conf
+
+        rep.counts["conf"] = apply_scale_conf(spark, input_bytes(spark, paths.raw_staffing))
     staffing_out = paths.curated("staffing_metrics")
     provider_out = paths.curated("provider_info")
     claims_out = paths.curated("quality_claims")

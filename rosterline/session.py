@@ -70,3 +70,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a job that reads ``input_bytes`` on a large cluster.
+
+    Scan splits and shuffle partitions are sized so that one task handles
+    about ``target_partition_bytes``; AQE then coalesces small post-shuffle
+    partitions and splits skewed ones.  Shuffle partitions are bounded below by
+    a few hundred so small inputs still spread over the cluster.
+    """
+    shuffle_partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Size this session's scans and shuffles for ``input_bytes`` of input."""
+    conf = scale_conf(input_bytes)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

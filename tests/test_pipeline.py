@@ -28,11 +28,20 @@ def run(spark, tmp_path_factory):
     _as_raw(M.quality_claims(spark, SF_SMALL), S.CLAIMS_COLUMNS).coalesce(1).write.option(
         "header", True).csv(f"{raw}/claims")
     paths = PL.Paths(f"{raw}/pbj", f"{raw}/provider", f"{raw}/claims", f"{base}/curated", "r1")
-    return paths, PL.run_all(spark, paths)
+    from rosterline.session import scale_conf
+
+    saved = {k: spark.conf.get(k) for k in scale_conf(1)}
+    try:
+        report = PL.run_all(spark, paths, tune=True)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    return paths, report
 
 
 def test_counts_and_guards(spark, run):
     paths, rep = run
+    assert int(rep.counts["conf"]["spark.sql.shuffle.partitions"]) == 200
     st = rep.counts["staffing"]
     assert st["raw_rows"] > st["valid_rows"] > 0
     assert rep.counts["enrichment"]["enriched_rows"] == st["valid_rows"]

@@ -150,3 +150,11 @@ def test_null_facility_id_is_its_own_group(spark):
     p = provider_rows(spark, [{"provider_id": "1"}])
     got = {r.provnum: r.rn_hprd for r in V.facility_summary(with_daily_metrics(s), p).collect()}
     assert got == {None: 2.0, "1": 1.0}
+
+
+def test_scale_conf_sizes_partitions():
+    from rosterline.session import scale_conf
+
+    c = scale_conf(100 * 1024**4)  # 100 TiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
