@@ -3,36 +3,63 @@
 Without cost-based statistics Spark estimates a join's output as the product
 of its inputs, so a small dimension built from a join (supplier x nation)
 can look larger than a big fact aggregate and the wrong side gets broadcast.
-``broadcast_if_small`` decides from a bounded row count instead: the check
-reads at most ``max_rows + 1`` rows, and a side above the bound is left to
-a shuffled (sort-merge) join with AQE skew handling.
+``broadcast_if_small`` decides from a bounded row count instead: the row
+budget is the session's ``spark.sql.autoBroadcastJoinThreshold`` divided by an
+estimated row width, the check reads at most budget + 1 rows, and a side
+above the budget is left to a shuffled (sort-merge) join with AQE skew
+handling.  A threshold of -1 disables broadcasting, as it does for Spark.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Upper bound on rows for a broadcast build side (one row per facility / provider).
+# Hard upper bound on rows for a broadcast build side, whatever the byte budget.
 MAX_BROADCAST_ROWS = 2_000_000
 
+# Estimated bytes per value by type (variable-length values at a typical size).
+_WIDTH = {
+    T.StringType: 32, T.BinaryType: 32, T.DoubleType: 8, T.LongType: 8, T.TimestampType: 8,
+    T.TimestampNTZType: 8, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4, T.BooleanType: 1,
+    T.ShortType: 2, T.ByteType: 1,
+}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row (8 bytes of row overhead plus each field)."""
+    return 8 + sum(_WIDTH.get(type(f.dataType), 16) for f in schema.fields)
+
+
+def broadcast_row_budget(df: DataFrame) -> int:
+    """Rows of ``df`` that fit the session's broadcast threshold (0 = never)."""
+    threshold = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") or -1)
+    if threshold <= 0:
+        return 0
+    return min(MAX_BROADCAST_ROWS, threshold // row_width(df.schema))
+
 
 _VERDICTS: dict[tuple[str, int, int], bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (default: the byte budget
+    from ``broadcast_row_budget``); reads at most max_rows + 1 rows.
 
     The verdict is remembered per application and plan (``semanticHash``), so
     reports that join the same published dimension do not re-run the check;
     published tables are immutable within a run (each run writes a new path).
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    budget = broadcast_row_budget(df) if max_rows is None else max_rows
+    if budget <= 0:
+        return False
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), budget)
     if key not in _VERDICTS:
-        _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
+        _VERDICTS[key] = df.limit(budget + 1).count() <= budget
     return _VERDICTS[key]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint when it passes the size check, else unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df

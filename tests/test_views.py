@@ -158,3 +158,18 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024**4)  # 100 TiB
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_broadcast_budget_follows_threshold(spark):
+    from rosterline.functions import joins as J
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        assert J.fits_broadcast(small)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not J.fits_broadcast(small)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(J.row_width(small.schema) * 5))
+        assert J.broadcast_row_budget(small) == 5 and not J.fits_broadcast(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
