@@ -12,6 +12,8 @@ handling.  A threshold of -1 disables broadcasting, as it does for Spark.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +34,21 @@ def row_width(schema: T.StructType) -> int:
     return 8 + sum(_WIDTH.get(type(f.dataType), 16) for f in schema.fields)
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str | None) -> int:
+    """Spark byte-size setting ('10485760b', '32m', '-1') -> bytes."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text or "")
+    if not m:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
 def broadcast_row_budget(df: DataFrame) -> int:
     """Rows of ``df`` that fit the session's broadcast threshold (0 = never)."""
-    threshold = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") or -1)
+    threshold = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     if threshold <= 0:
         return 0
     return min(MAX_BROADCAST_ROWS, threshold // row_width(df.schema))

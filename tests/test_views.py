@@ -173,3 +173,10 @@ def test_broadcast_budget_follows_threshold(spark):
         assert J.broadcast_row_budget(small) == 5 and not J.fits_broadcast(small)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_parse_bytes():
+    from rosterline.functions.joins import parse_bytes
+
+    assert parse_bytes("10485760b") == 10485760 and parse_bytes("32m") == 32 << 20
+    assert parse_bytes("-1") == -1 and parse_bytes("1g") == 1 << 30
