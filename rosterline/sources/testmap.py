@@ -310,3 +310,20 @@ def copy_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("file_id"),
         (F.col("o_orderkey") % 97 != 0).alias("ok"),
     )
+
+
+def as_raw_text(df: DataFrame, layout: list[tuple[str, str, str]]) -> DataFrame:
+    """Curated columns rendered as strings under their source headers."""
+    return df.select(*[F.col(n).cast("string").alias(h) for h, n, _ in layout])
+
+
+def write_raw_inputs(spark: SparkSession, sf_dir: str, out: str, staffing: DataFrame | None = None) -> dict:
+    """Write the three raw CSV inputs of the batch pipeline under ``out``."""
+    st = staffing if staffing is not None else staffing_daily(spark, sf_dir)
+    paths = {"pbj": f"{out}/pbj", "provider": f"{out}/provider", "claims": f"{out}/claims"}
+    staffing_raw_text(st).write.mode("overwrite").option("header", True).csv(paths["pbj"])
+    as_raw_text(provider_info(spark, sf_dir), S.PROVIDER_COLUMNS).write.mode("overwrite").option(
+        "header", True).csv(paths["provider"])
+    as_raw_text(quality_claims(spark, sf_dir), S.CLAIMS_COLUMNS).write.mode("overwrite").option(
+        "header", True).csv(paths["claims"])
+    return paths

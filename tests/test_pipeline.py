@@ -6,28 +6,18 @@ import pytest
 from oracle_compare import _close, _rows
 from pyspark.sql import functions as F
 
-from rosterline import schemas as S
 from rosterline.plans import pipeline as PL
 from rosterline.plans import sql_views
 from rosterline.sources import testmap as M
 from conftest import SF_SMALL
 
 
-def _as_raw(df, layout):
-    return df.select(*[F.col(n).cast("string").alias(h) for h, n, _ in layout])
-
-
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("lake"))
-    raw = os.path.join(base, "raw")
-    M.staffing_raw_text(M.staffing_daily(spark, SF_SMALL)).repartition(3).write.option("header", True).csv(
-        f"{raw}/pbj")
-    _as_raw(M.provider_info(spark, SF_SMALL), S.PROVIDER_COLUMNS).coalesce(1).write.option(
-        "header", True).csv(f"{raw}/provider")
-    _as_raw(M.quality_claims(spark, SF_SMALL), S.CLAIMS_COLUMNS).coalesce(1).write.option(
-        "header", True).csv(f"{raw}/claims")
-    paths = PL.Paths(f"{raw}/pbj", f"{raw}/provider", f"{raw}/claims", f"{base}/curated", "r1")
+    raw = M.write_raw_inputs(spark, SF_SMALL, os.path.join(base, "raw"),
+                             M.staffing_daily(spark, SF_SMALL).repartition(3))
+    paths = PL.Paths(raw["pbj"], raw["provider"], raw["claims"], f"{base}/curated", "r1")
     from rosterline.session import scale_conf
 
     saved = {k: spark.conf.get(k) for k in scale_conf(1)}
@@ -134,3 +124,15 @@ def test_state_query_matches_dataframe_overview(spark, run):
     ra = _rows(a.astype(object).where(a.notna(), None))
     rb = _rows(b.astype(object).where(b.notna(), None))
     assert len(ra) == len(rb) and all(all(_close(u, v) for u, v in zip(x, y)) for x, y in zip(ra, rb))
+
+
+def test_null_and_blank_partition_values(spark, tmp_path):
+    from rosterline.sources import sinks
+
+    df = spark.createDataFrame([("1", "TX"), ("2", None), ("3", "")], "provnum string, state string")
+    assert sinks.null_partition_rows(df, "state").first()[0] == 2
+    out = str(tmp_path / "t")
+    sinks.write_partitioned(df, out, "state")
+    back = {r.provnum: r.state for r in spark.read.parquet(out).collect()}
+    assert back == {"1": "TX", "2": None, "3": None}
+    assert any(p.name == "state=__HIVE_DEFAULT_PARTITION__" for p in (tmp_path / "t").iterdir())
