@@ -10,6 +10,7 @@ that need distinct counts are one aggregate over the *written* Parquet
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,6 +32,8 @@ class Paths:
     raw_claims: str
     out_base: str
     run_id: str
+    # Quoted fields may contain newlines (one task per file); False splits files.
+    multiline: bool = True
 
     def curated(self, name: str) -> str:
         return sinks.run_path(f"{self.out_base}/{name}", self.run_id)
@@ -41,6 +44,13 @@ class RunReport:
     counts: dict = field(default_factory=dict)
     coverage: dict = field(default_factory=dict)
     summaries: dict = field(default_factory=dict)
+    seconds: dict = field(default_factory=dict)
+
+    def timed(self, step: str, fn, *args, **kwargs):
+        t0 = time.perf_counter()
+        out = fn(*args, **kwargs)
+        self.seconds[step] = round(time.perf_counter() - t0, 3)
+        return out
 
 
 def _observe(df: DataFrame, name: str, *exprs) -> tuple[DataFrame, Observation]:
@@ -48,9 +58,11 @@ def _observe(df: DataFrame, name: str, *exprs) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *exprs), obs
 
 
-def run_staffing(spark: SparkSession, raw_path: str | list[str], out_path: str) -> dict:
+def run_staffing(
+    spark: SparkSession, raw_path: str | list[str], out_path: str, multiline: bool = True
+) -> dict:
     """Raw daily staffing CSV -> staffing metrics table partitioned by state."""
-    raw = files.read_csv(spark, raw_path)
+    raw = files.read_csv(spark, raw_path, multiline=multiline)
     raw, o_raw = _observe(raw, "raw", F.count(F.lit(1)).alias("raw_rows"))
     cleaned = C.clean_staffing(raw)
     daily = with_daily_metrics(cleaned)
@@ -159,14 +171,16 @@ def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
     provider_out = paths.curated("provider_info")
     claims_out = paths.curated("quality_claims")
     metrics_out = paths.curated("facility_metrics")
-    rep.counts["staffing"] = run_staffing(spark, paths.raw_staffing, staffing_out)
-    rep.counts["provider"] = run_provider(spark, paths.raw_provider, provider_out)
-    rep.counts["claims"] = run_claims(spark, paths.raw_claims, claims_out)
-    enr = run_enrichment(spark, staffing_out, provider_out, metrics_out)
+    rep.counts["staffing"] = rep.timed(
+        "staffing", run_staffing, spark, paths.raw_staffing, staffing_out, paths.multiline
+    )
+    rep.counts["provider"] = rep.timed("provider", run_provider, spark, paths.raw_provider, provider_out)
+    rep.counts["claims"] = rep.timed("claims", run_claims, spark, paths.raw_claims, claims_out)
+    enr = rep.timed("enrichment", run_enrichment, spark, staffing_out, provider_out, metrics_out)
     rep.coverage = enr["coverage"]
     rep.counts["enrichment"] = {k: v for k, v in enr.items() if k != "coverage"}
-    publish(spark, metrics_out, claims_out, paths.curated("facility_analytics"))
-    rep.summaries = validation_summaries(spark, staffing_out)
+    rep.timed("publish", publish, spark, metrics_out, claims_out, paths.curated("facility_analytics"))
+    rep.summaries = rep.timed("summaries", validation_summaries, spark, staffing_out)
     return rep
 
 

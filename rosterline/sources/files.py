@@ -21,15 +21,26 @@ CSV_OPTIONS = {
     # Check every file's header against the first one: files whose column
     # order differs fail instead of silently swapping values.
     "enforceSchema": "false",
-    "mode": "FAILFAST",
+    # Malformed lines become NULL fields (dropped by the cleaning filters)
+    # instead of failing a large job.
+    "mode": "PERMISSIVE",
 }
 
 SOURCE_FILE = "source_file"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], with_source: bool = True) -> DataFrame:
-    """All-string CSV scan of a file, a directory or a list of files."""
-    df = spark.read.options(**CSV_OPTIONS).csv(path)
+def read_csv(
+    spark: SparkSession, path: str | list[str], with_source: bool = True, multiline: bool = True
+) -> DataFrame:
+    """All-string CSV scan of a file, a directory or a list of files.
+
+    ``multiline`` allows quoted fields with embedded newlines, but a multi-line
+    CSV file cannot be split: each file is parsed by one task.  For very large
+    raw files without embedded newlines pass ``multiline=False`` so that Spark
+    splits every file into ``spark.sql.files.maxPartitionBytes`` ranges.
+    """
+    opts = dict(CSV_OPTIONS, multiLine="true" if multiline else "false")
+    df = spark.read.options(**opts).csv(path)
     if with_source:
         df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     return df

@@ -157,3 +157,19 @@ def test_files_with_different_layouts_union_by_name(spark, tmp_dir):
     got = {r.provnum: r for r in C.clean_staffing(files.read_csv_each(spark, [a, b])).collect()}
     assert got["1"].state == "TX" and got["1"].hrs_rn is None
     assert got["2"].state is None and got["2"].hrs_rn == 6.0 and got["2"].mdscensus == 3.0
+
+
+def test_single_line_mode_reads_the_same_rows(spark, tmp_dir):
+    p = write_csv(os.path.join(tmp_dir, "sl", "a.csv"), HEADER, [_row(), _row(PROVNUM="2")])
+    a = sorted(r.provnum for r in C.clean_staffing(files.read_csv(spark, p)).collect())
+    b = sorted(r.provnum for r in C.clean_staffing(files.read_csv(spark, p, multiline=False)).collect())
+    assert a == b == ["100", "2"]
+
+
+def test_malformed_line_does_not_fail_the_job(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "bad", "a.csv")
+    os.makedirs(os.path.dirname(p))
+    with open(p, "w") as fh:
+        fh.write("PROVNUM,WorkDate,MDScensus\n1,20240401,3\n2,20240401\n3,20240401,4,extra\n")
+    got = sorted(r.provnum for r in _read_clean(spark, p).collect())
+    assert got == ["1", "3"]  # short line: NULL census -> dropped; long line: extra field ignored
