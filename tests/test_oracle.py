@@ -35,3 +35,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "provnum" in df.columns
+
+
+_DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_types_match_oracle(spark, con, name):
+    spark_types = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in QUERIES[name](spark, SF).schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({ORACLE[name]})").fetchall()}
+    assert spark_types == duck_types
