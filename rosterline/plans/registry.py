@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -33,6 +34,7 @@ DIGITS = 6
 
 
 _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_WRITE_LOCK = threading.RLock()
 
 
 def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
@@ -45,20 +47,22 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
     defined once per application (file listing and footers are read once).
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    df = _WRITTEN.get(key)
-    if df is None:
-        tag = re.sub(r"[^A-Za-z0-9_.-]", "_", os.path.abspath(sf_dir).strip("/"))
-        path = scratch_path(spark, f"inputs/{key[0]}/{tag}/{name}")
-        built = build()
-        if partition_by:
-            write_partitioned(built, path, partition_by)
-        else:
-            write_table(built, path)
-        # Read back with the written schema: partition values (state) stay
-        # strings whatever the session's partition type inference says.
-        df = spark.read.schema(built.schema).parquet(path)
-        _WRITTEN[key] = df
-    return df
+    # Re-entrant: building one table may materialise the tables it reads.
+    with _WRITE_LOCK:
+        df = _WRITTEN.get(key)
+        if df is None:
+            tag = re.sub(r"[^A-Za-z0-9_.-]", "_", key[1].strip("/"))
+            path = scratch_path(spark, f"inputs/{key[0]}/{tag}/{name}")
+            built = build()
+            if partition_by:
+                write_partitioned(built, path, partition_by)
+            else:
+                write_table(built, path)
+            # Read back with the written schema: partition values (state) stay
+            # strings whatever the session's partition type inference says.
+            df = spark.read.schema(built.schema).parquet(path)
+            _WRITTEN[key] = df
+        return df
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
