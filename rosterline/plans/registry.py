@@ -1,7 +1,10 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, and their SQL oracle.
 
-Each query reads the driver's tables in full through ``sources.testmap`` and
-runs the library operators on them.  Float aggregates whose value depends on
+Each query reads the driver's tables in full: ``sources.testmap`` derives the
+curated staffing, provider and claims datasets from them, which are written
+once per application under the checkpoint folder (as the batch jobs publish
+curated tables), and the library operators run on those.  Float aggregates
+whose value depends on
 summation order (averages, correlations, standard deviations, interpolated
 quantiles) are rounded to ``DIGITS`` on both sides; ratios of exact sums are
 compared unrounded.

@@ -90,3 +90,33 @@ def test_figures_probed_in_fixtures(spark):
     assert {r.role: r.mismatches for r in q["reconciliation"](spark, sf).collect()}["RN"] == 1427
     assert q["unmatched_ids"](spark, sf).count() == 2
     assert q["duplicate_keys"](spark, sf).first().duplicate_key_rows == 6693
+
+
+def test_hot_facility_and_hot_value(spark):
+    """One facility holds a third of the daily rows; one census value a third of a column."""
+    import datetime as dt
+
+    from helpers import provider_rows, staffing_rows
+
+    from rosterline.operators.derive import with_daily_metrics
+
+    rows = []
+    for i in range(300):
+        hot = i % 3 == 0
+        rows.append({"provnum": "hot" if hot else f"f{i % 7}", "state": "TX" if hot else "CA",
+                     "workdate": dt.date(2024, 4, 1) + dt.timedelta(days=i % 90),
+                     "mdscensus": 5.0 if hot else float(1 + i % 11), "hrs_rn": float(i % 13)})
+    daily = with_daily_metrics(staffing_rows(spark, rows))
+    prov = provider_rows(spark, [{"provider_id": p, "overall_rating": 3.0} for p in
+                                 ["hot"] + [f"f{k}" for k in range(7)]])
+    pdf = pd.DataFrame(rows)
+    g = pdf.groupby("provnum").agg(rn=("hrs_rn", "sum"), days=("mdscensus", "sum"),
+                                   dates=("workdate", "nunique"))
+    got = {r.provnum: r for r in V.facility_summary(daily, prov).collect()}
+    for p, r in g.iterrows():
+        assert got[p].rn_hprd == pytest.approx(r.rn / r.days) and got[p].reporting_days == r.dates
+    st = {r.state: r.total_facilities for r in V.state_summary(daily, prov).collect()}
+    assert st == {"TX": 1, "CA": 7}
+    q = exact_quantiles(long_values(daily, ["mdscensus"]), [0.25, 0.5, 0.75]).first()
+    exp = np.quantile(pdf["mdscensus"].to_numpy(), [0.25, 0.5, 0.75])
+    assert [q.q_0, q.q_1, q.q_2] == pytest.approx(list(exp))
