@@ -11,6 +11,7 @@ that need distinct counts are one aggregate over the *written* Parquet
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -171,11 +172,18 @@ def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
     provider_out = paths.curated("provider_info")
     claims_out = paths.curated("quality_claims")
     metrics_out = paths.curated("facility_metrics")
-    rep.counts["staffing"] = rep.timed(
-        "staffing", run_staffing, spark, paths.raw_staffing, staffing_out, paths.multiline
-    )
-    rep.counts["provider"] = rep.timed("provider", run_provider, spark, paths.raw_provider, provider_out)
-    rep.counts["claims"] = rep.timed("claims", run_claims, spark, paths.raw_claims, claims_out)
+    # The three curated jobs are independent branches: submit them together so
+    # Spark can schedule their tasks side by side.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        jobs = {
+            "staffing": pool.submit(rep.timed, "staffing", run_staffing, spark,
+                                    paths.raw_staffing, staffing_out, paths.multiline),
+            "provider": pool.submit(rep.timed, "provider", run_provider, spark,
+                                    paths.raw_provider, provider_out),
+            "claims": pool.submit(rep.timed, "claims", run_claims, spark, paths.raw_claims, claims_out),
+        }
+        for name, job in jobs.items():
+            rep.counts[name] = job.result()
     enr = rep.timed("enrichment", run_enrichment, spark, staffing_out, provider_out, metrics_out)
     rep.coverage = enr["coverage"]
     rep.counts["enrichment"] = {k: v for k, v in enr.items() if k != "coverage"}
