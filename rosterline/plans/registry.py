@@ -16,6 +16,7 @@ import os
 import re
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,13 @@ DIGITS = 6
 
 
 _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
-_WRITE_LOCK = threading.RLock()
+_KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
+_GUARD = threading.Lock()
+
+
+def _lock_for(key: tuple[str, str, str]) -> threading.RLock:
+    with _GUARD:
+        return _KEY_LOCKS.setdefault(key, threading.RLock())
 
 
 def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
@@ -50,8 +57,9 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
     defined once per application (file listing and footers are read once).
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    # Re-entrant: building one table may materialise the tables it reads.
-    with _WRITE_LOCK:
+    # One lock per table: independent tables materialise concurrently, and a
+    # table is never written twice.
+    with _lock_for(key):
         df = _WRITTEN.get(key)
         if df is None:
             tag = re.sub(r"[^A-Za-z0-9_.-]", "_", key[1].strip("/"))
@@ -72,7 +80,10 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     """Materialise the curated inputs and the published facility analytics
     table (done lazily by the first query that needs them otherwise)."""
     i = Inputs(spark, sf_dir)
-    i.staffing(), i.provider(), i.claims(), i.published_analytics()
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for job in [pool.submit(i.staffing), pool.submit(i.provider), pool.submit(i.claims)]:
+            job.result()
+    i.published_analytics()
 
 
 @dataclass
