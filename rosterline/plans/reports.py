@@ -107,7 +107,7 @@ def _ranked(facilities: DataFrame, ascending: bool, k: int) -> DataFrame:
     return (
         facilities.select("provnum", "provider_name", "total_direct_hprd", "rehospitalization_rate")
         .where(hprd.isNotNull())
-        .orderBy(hprd.asc() if ascending else hprd.desc(), F.col("provnum").asc())
+        .orderBy(hprd.asc() if ascending else hprd.desc(), F.col("provnum").asc_nulls_last())
         .limit(k)
     )
 
