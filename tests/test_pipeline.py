@@ -136,3 +136,16 @@ def test_null_and_blank_partition_values(spark, tmp_path):
     back = {r.provnum: r.state for r in spark.read.parquet(out).collect()}
     assert back == {"1": "TX", "2": None, "3": None}
     assert any(p.name == "state=__HIVE_DEFAULT_PARTITION__" for p in (tmp_path / "t").iterdir())
+
+
+def test_timestamps_and_trend_series(spark, run):
+    from rosterline.plans import reports as R
+
+    paths, _ = run
+    assert "etl_processed_at" in spark.read.parquet(paths.curated("staffing_metrics")).columns
+    assert "facility_metrics_processed_at" in spark.table("facility_metrics").columns
+    r = spark.table("facility_metrics").select("state", "provnum").first()
+    series = R.trend_series(sql_views.trend_query(spark, r.state, r.provnum))
+    assert set(series) == {"hprd", "contract", "census"}
+    assert series["census"].columns == ["workdate", "mdscensus"]
+    assert series["hprd"].count() == series["contract"].count() > 0
