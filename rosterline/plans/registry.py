@@ -488,8 +488,8 @@ _DEDUP_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quan
     FROM (SELECT CAST(l_suppkey AS VARCHAR) AS provider_id, CAST(l_shipdate AS DATE) AS l_shipdate,
                  l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag,
                  ROW_NUMBER() OVER (PARTITION BY l_suppkey
-                                    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey,
-                                             l_quantity) AS rn
+                                    ORDER BY CAST(l_shipdate AS DATE), l_orderkey, l_linenumber,
+                                             l_partkey, l_quantity) AS rn
           FROM lineitem)
     WHERE rn = 1""")
 def _provider_dedup(i: Inputs) -> DataFrame:
