@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterline.llm import multiset_hash, secrets
 from rosterline.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,16 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
 
 
+@register("op2_secret_scan", secrets.scan_sql())
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op4_multiset_fingerprint", multiset_hash.compare_edited_sql())
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.compare_edited(read_table(spark, sf_dir, "documents"))
+
+
 @register("op5_hilbert_sharding")
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rosterline.llm import sharding as S
