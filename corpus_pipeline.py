@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import packing
+from rosterline.llm.queries import pack_publicly
 
 
 def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_publicly(docs)
 
 
 STAGES = [("packing", _packing)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import multiset_hash, secrets
+from rosterline.llm import language, multiset_hash, packing, secrets, toxicity
 from rosterline.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
+def pack_publicly(docs: DataFrame) -> DataFrame:
+    """Packing by the public 50k byte-level vocabulary."""
+    import public_tokenizers as public
+
+    return packing.pack(docs, public.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
@@ -38,6 +45,12 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read_table(spark, sf_dir, "documents"))
 
 
+@register("op3_pu_toxicity")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
 @register("op4_multiset_fingerprint", multiset_hash.compare_edited_sql())
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.compare_edited(read_table(spark, sf_dir, "documents"))
@@ -65,8 +78,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_hierarchical_packing")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+    return pack_publicly(read_table(spark, sf_dir, "documents"))
 
-    from rosterline.llm.packing import pack
 
-    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+@register("op10_language_id")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return language.predict(docs, language.learn(docs))

@@ -87,6 +87,13 @@ class Words:
     doc: np.ndarray
     hash: np.ndarray
     n_docs: int
+    sums: np.ndarray
+
+    def beginning(self, n: int) -> np.ndarray:
+        """Hash of each word's first n bytes (of the whole word if it is shorter)."""
+        end = np.minimum(self.start + n, self.end)
+        part = (self.sums[end] - self.sums[self.start]) * _power_tables(len(self.raw))[1][self.start]
+        return mix(part + np.uint64(n))
 
     def first(self) -> np.ndarray:
         """Index of each text's first word, and the number of words at the end."""
@@ -98,7 +105,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     n, size = len(texts), len(raw)
     if not size:
         none = np.zeros(0, np.int64)
-        return Words(raw, none, none, none, np.zeros(0, np.uint64), n)
+        return Words(raw, none, none, none, np.zeros(0, np.uint64), n, np.zeros(1, np.uint64))
     if lower:
         raw = lower_ascii(raw)
     is_word = (raw != 32) & ((raw < 9) | (raw > 13))
@@ -112,7 +119,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     powers, inverses = _power_tables(size)
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:size], out=sums[1:])
-    return Words(raw, start, end, doc, mix((sums[end] - sums[start]) * inverses[start]), n)
+    return Words(raw, start, end, doc, mix((sums[end] - sums[start]) * inverses[start]), n, sums)
 
 
 def windows(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
