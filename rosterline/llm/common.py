@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rosterline.session import scratch_path
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; only Spark's reader touches the path."""
+    """One of the given tables; only Spark's reader touches the path.
+
+    Python workers are told where this package lies, for sessions that were
+    started elsewhere; a cluster gets the package with its job.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import language, multiset_hash, packing, secrets, toxicity
+from rosterline.llm import decontamination, language, multiset_hash, packing, secrets, toxicity
 from rosterline.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -76,11 +76,23 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op6_warc_source")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rosterline.llm import warc
+
+    return warc.archived(read_table(spark, sf_dir, "pages"))
+
+
 @register("op8_hierarchical_packing")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_publicly(read_table(spark, sf_dir, "documents"))
 
 
+@register("op9_benchmark_decontamination", decontamination.find_sql())
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @register("op10_language_id")
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
