@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rosterline.llm.textgrams import pieces_of
 
@@ -38,11 +40,12 @@ SCHEMA = (
 #: Tokens that wait for a window before the pool is packed.
 POOL_TOKENS = 2_000_000
 #: Distinct chunks of text whose ids a Python worker keeps.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 
 # A space between two non-space characters always begins a new pre-token, so
 # the chunks on both sides can be encoded alone.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = (",", ".")
 _IRREGULAR = re.compile(r"(?<!\S) | (?!\S)")
 
 
@@ -50,41 +53,70 @@ class ChunkEncoder:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     Texts are cut into chunks where the tokenizer's pre-tokens cannot span;
-    each distinct chunk is encoded once and kept in a bounded cache.
+    each distinct chunk is encoded once and kept in a bounded cache.  With
+    ``ranks`` (a path and a pattern: the same vocabulary as byte-pair ranks), new
+    chunks are encoded through it, which takes less time for short strings;
+    chunks with a special token's string always go to the tokenizer itself.
     """
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, ranks: tuple[str, str] | None):
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(tokenizer_path)
+        self._special = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        self._quick = _from_ranks(*ranks) if ranks else None
         self._head: dict[str, bytes] = {}
         self._rest: dict[str, bytes] = {}
 
+    def _ids(self, chunk: str) -> bytes:
+        if self._quick and not any(s in chunk for s in self._special):
+            return array("I", self._quick(chunk)).tobytes()
+        return array("I", self._tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+
     def _learn(self, cache: dict[str, bytes], wanted: set[str], prefix: str) -> None:
-        new = [w for w in wanted if w not in cache]
+        new = wanted.difference(cache)
         if len(cache) + len(new) > CACHE_CHUNKS:
             cache.clear()
-            new = list(wanted)
-        got = self._tok.encode_batch_fast([prefix + w for w in new], add_special_tokens=False)
-        for w, e in zip(new, got):
-            cache[w] = np.asarray(e.ids, "<u4").tobytes()
+            new = wanted
+        for w in new:
+            # A mark behind letters is a pre-token of its own.
+            if w[-1:] in _MARKS and w[:-1].isalpha():
+                stem = w[:-1]
+                if stem not in cache:
+                    cache[stem] = self._ids(prefix + stem)
+                if w[-1] not in self._head:
+                    self._head[w[-1]] = self._ids(w[-1])
+                cache[w] = cache[stem] + self._head[w[-1]]
+            elif w not in cache:
+                cache[w] = self._ids(prefix + w)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [_CUT.split(t) if _IRREGULAR.search(t) else t.split(" ") for t in texts]
+        self._learn(self._rest, set().union(*(c[1:] for c in cut)), " ")
         self._learn(self._head, {c[0] for c in cut}, "")
-        self._learn(self._rest, set().union(*(c[1:] for c in cut)) if cut else set(), " ")
         rest, head = self._rest.__getitem__, self._head
         return [head[c[0]] + b"".join(map(rest, c[1:])) for c in cut]
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+def _from_ranks(path: str, pattern: str):
+    import base64
+
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-def encoder(tokenizer_path: str) -> ChunkEncoder:
+_ENCODERS: dict[tuple, ChunkEncoder] = {}
+
+
+def encoder(tokenizer_path: str, ranks: tuple[str, str] | None = None) -> ChunkEncoder:
     """One encoder per Python worker and tokenizer file."""
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = ChunkEncoder(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
+    key = (tokenizer_path, ranks)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = ChunkEncoder(*key)
+    return _ENCODERS[key]
 
 
 class Packer:
@@ -195,6 +227,7 @@ class Packer:
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
+    ranks: tuple[str, str] | None = None,
     end_id: int = 1,
     tiers: tuple[int, ...] = (256, 512, 1024, 2048),
     step_windows: int = 16,
@@ -213,7 +246,7 @@ def pack(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, ranks)
         packer = Packer(tiers, TaskContext.get().partitionId(), step_windows)
 
         def rows() -> pa.RecordBatch:
@@ -230,6 +263,4 @@ def pack(
         packer.finish()
         yield rows()
 
-    from pyspark.sql import functions as F
-
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)

@@ -29,7 +29,8 @@ def pack_publicly(docs: DataFrame) -> DataFrame:
     """Packing by the public 50k byte-level vocabulary."""
     import public_tokenizers as public
 
-    return packing.pack(docs, public.path("byte_bpe_50k.json"))
+    ranks = (public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return packing.pack(docs, public.path("byte_bpe_50k.json"), ranks)
 
 
 def queries() -> dict[str, QueryFn]:
