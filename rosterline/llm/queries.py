@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import decontamination, language, multiset_hash, packing, secrets, toxicity
+from rosterline.llm import decontamination, language, multiset_hash, packing, secrets, substring_dedup, toxicity
 from rosterline.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,12 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
 
 
+@register("op1_substring_dedup")
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @register("op2_secret_scan", secrets.scan_sql())
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read_table(spark, sf_dir, "documents"))
