@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import decontamination, language, multiset_hash, packing, secrets, substring_dedup, toxicity
+from rosterline.llm import (
+    decontamination,
+    jaccard_join,
+    language,
+    multiset_hash,
+    packing,
+    secrets,
+    sharding,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from rosterline.llm.common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,14 +76,12 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_hilbert_sharding")
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rosterline.llm import sharding as S
-
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text).cast("long") + 1
-    out = S.hilbert_shards(
+    out = sharding.hilbert_shards(
         docs,
-        {"lang": S.category_cell("lang"), "source": S.category_cell("source"), "size": S.size_cell(size)},
+        {"lang": sharding.category_cell("lang"), "source": sharding.category_cell("source"), "size": sharding.size_cell(size)},
         8,
         {"doc_id": F.col("doc_id"), "size": size, "text_crc32": F.crc32(text.cast("binary"))},
         [F.xxhash64(text), F.col("doc_id")],
@@ -85,11 +94,15 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_warc_source")
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rosterline.llm import warc
-
     return warc.archived(read_table(spark, sf_dir, "pages"))
 
 
+@register("op7_jaccard_join")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.join_components(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+    return out.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 @register("op8_hierarchical_packing")
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_publicly(read_table(spark, sf_dir, "documents"))
