@@ -2,25 +2,29 @@
 
 ``percentile()`` merges a value -> count map for each group in a single task;
 for a global quantile over a continuous column that map holds every distinct
-value.  Here the work is spread out instead:
-
-1. histogram: ``groupBy(column, value).count()`` -- partial aggregation, so a
-   value repeated in a third of all rows collapses map-side;
-2. the histogram is range-partitioned on (column, value) and each range gets
-   running counts with a window over that range only;
-3. per-range totals (one row per range and column) give each range its start
-   offset -- a table whose size is bounded by partitions x columns;
-4. each target rank is looked up in the row whose cumulative interval holds it,
-   and the two neighbours of ``p * (n - 1)`` are interpolated.
-
-No step holds more than one range of distinct values in a task.
+value.  Here a bounded number of cut points narrows the search first:
+
+1. approximate percentiles give each column at most ``buckets`` cut points, which
+   are read to the driver once and become literals: the bucket of a value is a
+   function of the value alone, whatever plan evaluates it;
+2. rows are counted per (column, bucket), with a map-side combine; the counts
+   (at most columns x (buckets + 1) rows) tell which bucket holds each rank;
+3. only the values of those buckets are counted by value and sorted, one bucket
+   to a task, and the two neighbours of ``p * (n - 1)`` are interpolated.
+
+The number of buckets is a parameter; it does not follow the input or the
+session's settings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS = 256
+_ACCURACY = 10_000
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,74 +42,98 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return stacked.where(F.col("value").isNotNull())
 
 
-def exact_quantiles(
-    values: DataFrame, probs: list[float], ranges: int | None = None
-) -> DataFrame:
+def _bucket(cuts: dict[str, list[float]]) -> Column:
+    """Number of the column's cut points that are at most the value (NaN above all).
+
+    Two levels of about sqrt(cuts) literals each, so that a value is compared
+    with few of them.
+    """
+    out = None
+    for name, points in cuts.items():
+        width = max(1, math.isqrt(len(points)))
+        rows = [points[i : i + width] for i in range(0, len(points), width)]
+        value = F.col("value")
+
+        def reached(cells: Column) -> Column:
+            return F.size(F.filter(cells, lambda c: c <= F.col("value")))
+
+        if rows:
+            coarse = reached(F.array(*[F.lit(r[0]) for r in rows]))
+            fine = F.array(*[F.array(*[F.lit(x) for x in r]) for r in rows])
+            own = F.when(coarse == 0, F.lit(0)).otherwise(
+                (coarse - 1) * width + reached(F.element_at(fine, F.greatest(coarse, F.lit(1))))
+            )
+        else:
+            own = F.when(value.isNotNull(), F.lit(0))
+        cond = F.col("column_name") == name
+        out = F.when(cond, own) if out is None else out.when(cond, own)
+    return out
+
+
+def exact_quantiles(values: DataFrame, probs: list[float], buckets: int = BUCKETS) -> DataFrame:
     """Quantiles of long-form ``(column_name, value)`` rows.
 
     Returns one row per column with ``q_<k>`` columns (k = index in ``probs``)
     and ``n`` (non-NULL count).  NaN values are treated as the largest values,
-    as Spark orders them.  ``ranges`` defaults to the session's shuffle
-    partition count, so the per-range window grows with the cluster's sizing,
-    not with the data.
+    as Spark orders them.
     """
-    if ranges is None:
-        ranges = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hist = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    ranged = hist.repartitionByRange(ranges, "column_name", "value").withColumn(
-        "_range", F.spark_partition_id()
-    )
-    w_local = (
-        Window.partitionBy("_range", "column_name")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = ranged.withColumn("_local_end", F.sum("cnt").over(w_local))
+    spark = values.sparkSession
+    shares = [i / buckets for i in range(1, buckets)] or [0.5]
+    approx = values.groupBy("column_name").agg(F.percentile_approx("value", shares, _ACCURACY).alias("cuts")).collect()
+    cuts = {r["column_name"]: sorted({x for x in r["cuts"] if not math.isnan(x)}) for r in approx}
+    empty = "column_name string, n bigint, " + ", ".join(f"q_{k} double" for k in range(len(probs)))
+    if not cuts:
+        return spark.createDataFrame([], empty)
+    placed = values.withColumn("_bucket", _bucket(cuts))
+    counts = placed.groupBy("column_name", "_bucket").count().collect()
 
-    totals = ranged.groupBy("_range", "column_name").agg(F.sum("cnt").alias("_range_total"))
-    w_off = (
-        Window.partitionBy("column_name")
-        .orderBy("_range")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    w_all = Window.partitionBy("column_name")
-    offsets = totals.select(
-        "_range",
-        "column_name",
-        F.coalesce(F.sum("_range_total").over(w_off), F.lit(0)).alias("_offset"),
-        F.sum("_range_total").over(w_all).alias("n"),
-    )
-    # ``offsets`` has at most ranges x columns rows: a fixed bound, so broadcast.
-    cum = local.join(F.broadcast(offsets), ["_range", "column_name"]).select(
-        "column_name",
-        "value",
-        "n",
-        (F.col("_offset") + F.col("_local_end") - F.col("cnt")).alias("_start"),
-        (F.col("_offset") + F.col("_local_end")).alias("_end"),
-    )
+    # Driver: (column, bucket) -> rows before it; the bucket and place of every rank.
+    total: dict[str, int] = {}
+    wanted: list[tuple] = []
+    for name in cuts:
+        own = sorted((r["_bucket"], r["count"]) for r in counts if r["column_name"] == name)
+        n = sum(c for _, c in own)
+        total[name] = n
+        for k, p in enumerate(probs):
+            for side, rank in (("lo", math.floor(p * (n - 1))), ("hi", math.ceil(p * (n - 1)))):
+                before = 0
+                for bucket, c in own:
+                    if rank < before + c:
+                        wanted.append((name, bucket, k, side, rank - before))
+                        break
+                    before += c
+    target = spark.createDataFrame(wanted, "column_name string, _bucket int, k int, side string, place bigint")
 
-    # Target ranks (0-based) for every probability: floor and ceil of p * (n - 1).
-    targets = []
-    for k, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - F.lit(1))
-        targets.append(F.struct(F.lit(k).alias("k"), F.lit("lo").alias("side"), F.floor(pos).alias("rank")))
-        targets.append(F.struct(F.lit(k).alias("k"), F.lit("hi").alias("side"), F.ceil(pos).alias("rank")))
-    hits = (
-        cum.select("*", F.explode(F.array(*targets)).alias("_t"))
-        .where((F.col("_t.rank") >= F.col("_start")) & (F.col("_t.rank") < F.col("_end")))
-        .select("column_name", "n", "value", "_t.k", "_t.side")
+    hit = None
+    for name in cuts:
+        own = sorted({b for c, b, *_ in wanted if c == name})
+        cond = (F.col("column_name") == name) & F.col("_bucket").isin(own)
+        hit = cond if hit is None else hit | cond
+    inside = Window.partitionBy("column_name", "_bucket").orderBy("value")
+    ranked = (
+        placed.where(hit).groupBy("column_name", "_bucket", "value").agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_end", F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    # At most two rows per column and probability: a fixed bound, so broadcast.
+    found = ranked.join(F.broadcast(target), ["column_name", "_bucket"]).where(
+        (F.col("place") < F.col("_end")) & (F.col("place") >= F.col("_end") - F.col("_rows"))
     )
-    picked = hits.groupBy("column_name", "n").agg(
+    picked = found.groupBy("column_name").agg(
         *[
-            F.max(F.when((F.col("k") == k) & (F.col("side") == s), F.col("value"))).alias(f"_{s}{k}")
+            F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("value"))).alias(f"_{side}{k}")
             for k in range(len(probs))
-            for s in ("lo", "hi")
+            for side in ("lo", "hi")
         ]
     )
+    size = None
+    for name, n in total.items():
+        cond = F.col("column_name") == name
+        size = F.when(cond, F.lit(n)) if size is None else size.when(cond, F.lit(n))
+    picked = picked.withColumn("n", size.cast("bigint"))
     out = []
     for k, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - F.lit(1))
-        frac = pos - F.floor(pos)
+        part = pos - F.floor(pos)
         lo, hi = F.col(f"_lo{k}"), F.col(f"_hi{k}")
-        out.append(F.when(frac == 0, lo).otherwise(lo + frac * (hi - lo)).alias(f"q_{k}"))
+        out.append(F.when(part == 0, lo).otherwise(lo + part * (hi - lo)).alias(f"q_{k}"))
     return picked.select("column_name", "n", *out)

@@ -81,10 +81,11 @@ def _select_typed(raw: DataFrame, layout: list[tuple[str, str, str]]) -> DataFra
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """Keep one row per key: the first in ``order_by`` order (ascending, NULLs first).
 
-    Implemented as ``min(struct(order..., row))`` per key -- an ordinary
-    aggregate with a map-side partial step, so a key repeated in a large share
-    of the rows is reduced before the shuffle (a window would sort the whole
-    hot key in one task).  With a total order the survivor is deterministic.
+    Implemented as ``min(struct(order..., row))`` per key.  A struct with strings
+    makes this a sort-based aggregate: each task sorts its input once and passes
+    on one row per key, so a hot key is small after the shuffle, where a window
+    would sort all of it in one task.  Meant for dimension-sized tables.  With a
+    total order the survivor is deterministic.
     """
     payload = [c for c in df.columns if c not in keys]
     packed = F.struct(

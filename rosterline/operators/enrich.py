@@ -1,11 +1,11 @@
 """Enrichment of daily staffing rows with provider attributes, plus its guards.
 
-Join strategy: the provider side is one row per facility.  It is broadcast
-only after a bounded row-count check (``functions.joins.broadcast_if_small``);
-above the bound the join is a shuffled sort-merge join and AQE's skew-join
-handling splits a hot facility on the left side.  No unconditional
-``broadcast()`` hint is used, because the provider side grows with the number
-of facilities.
+Join strategy: the provider side is one row per facility and grows with their
+number, so no hint forces its broadcast.  A written provider table carries its
+file size, and Spark broadcasts it below ``autoBroadcastJoinThreshold``;
+aggregated sides are left to AQE, which decides from the shuffle's real size.
+Beyond the threshold the join is a sort-merge join whose hot facilities AQE
+splits.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rosterline import schemas as S
-from rosterline.functions.joins import broadcast_if_small
 
 
 class GuardError(RuntimeError):
@@ -41,7 +40,7 @@ def enrich_daily(staffing: DataFrame, provider: DataFrame) -> DataFrame:
     days keep NULL ``provider_*`` columns.
     """
     left = staffing.withColumn("_jid", join_key("provnum"))
-    right = broadcast_if_small(provider_attributes(provider))
+    right = provider_attributes(provider)
     return left.join(right, left["_jid"] == right["_pid"], "left").drop("_jid", "_pid")
 
 
@@ -56,7 +55,7 @@ def join_coverage(staffing: DataFrame, provider: DataFrame) -> DataFrame:
     aggregate -- instead of separate count / inner-join / anti-join actions.
     """
     s = _distinct_ids(staffing, "provnum", "_sid")
-    p = broadcast_if_small(_distinct_ids(provider, "provider_id", "_pid"))
+    p = _distinct_ids(provider, "provider_id", "_pid")
     j = s.join(p, s["_sid"] == p["_pid"], "left")
     total = F.count(F.lit(1))
     matched = F.count("_pid")
@@ -73,7 +72,7 @@ def join_coverage(staffing: DataFrame, provider: DataFrame) -> DataFrame:
 def unmatched_ids(staffing: DataFrame, provider: DataFrame) -> DataFrame:
     """Distinct staffing facility ids with no provider row (NULL ids removed first)."""
     s = _distinct_ids(staffing, "provnum", "provnum")
-    p = broadcast_if_small(_distinct_ids(provider, "provider_id", "_pid"))
+    p = _distinct_ids(provider, "provider_id", "_pid")
     return s.join(p, s["provnum"] == p["_pid"], "left_anti")
 
 

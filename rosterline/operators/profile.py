@@ -53,10 +53,10 @@ def state_distribution(staffing: DataFrame) -> DataFrame:
 
 
 def quarter_distribution(staffing: DataFrame) -> DataFrame:
-    """Rows per calendar year and quarter of the work date."""
+    """Rows and distinct facilities per calendar year and quarter of the work date."""
     return (
         staffing.groupBy(F.year("workdate").alias("year"), F.quarter("workdate").alias("quarter"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("provnum").alias("facilities"))
         .orderBy("year", "quarter")
     )
 
@@ -162,7 +162,7 @@ def cardinality(staffing: DataFrame) -> DataFrame:
     return staffing.agg(
         F.count_distinct("provnum").alias("facilities"),
         F.count_distinct("state").alias("states"),
-        F.count_distinct("county_name").alias("counties"),
+        F.count_distinct("county_fips").alias("counties"),  # names repeat across states
         F.count_distinct("workdate").alias("dates"),
     )
 

@@ -79,8 +79,8 @@ def run_staffing(
     return {**o_raw.get, **o_valid.get}
 
 
-def run_provider(spark: SparkSession, raw_path: str, out_path: str) -> dict:
-    raw = files.read_csv(spark, raw_path, with_source=False)
+def run_provider(spark: SparkSession, raw_path: str, out_path: str, multiline: bool = True) -> dict:
+    raw = files.read_csv(spark, raw_path, with_source=False, multiline=multiline)
     raw, o_raw = _observe(raw, "provider_raw", F.count(F.lit(1)).alias("provider_raw_rows"))
     cur = C.clean_provider(raw)
     cur, o_out = _observe(cur, "provider_out", F.count(F.lit(1)).alias("provider_rows"))
@@ -88,8 +88,8 @@ def run_provider(spark: SparkSession, raw_path: str, out_path: str) -> dict:
     return {**o_raw.get, **o_out.get}
 
 
-def run_claims(spark: SparkSession, raw_path: str, out_path: str) -> dict:
-    raw = files.read_csv(spark, raw_path, with_source=False)
+def run_claims(spark: SparkSession, raw_path: str, out_path: str, multiline: bool = True) -> dict:
+    raw = files.read_csv(spark, raw_path, with_source=False, multiline=multiline)
     raw, o_raw = _observe(raw, "claims_raw", F.count(F.lit(1)).alias("claims_raw_rows"))
     cur = C.clean_claims(raw)
     cur, o_out = _observe(cur, "claims_out", F.count(F.lit(1)).alias("claims_rows"))
@@ -179,8 +179,9 @@ def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
             "staffing": pool.submit(rep.timed, "staffing", run_staffing, spark,
                                     paths.raw_staffing, staffing_out, paths.multiline),
             "provider": pool.submit(rep.timed, "provider", run_provider, spark,
-                                    paths.raw_provider, provider_out),
-            "claims": pool.submit(rep.timed, "claims", run_claims, spark, paths.raw_claims, claims_out),
+                                    paths.raw_provider, provider_out, paths.multiline),
+            "claims": pool.submit(rep.timed, "claims", run_claims, spark, paths.raw_claims, claims_out,
+                                  paths.multiline),
         }
         for name, job in jobs.items():
             rep.counts[name] = job.result()

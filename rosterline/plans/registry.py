@@ -525,7 +525,7 @@ def _state_distribution(i: Inputs) -> DataFrame:
 
 @register("quarter_distribution", O.with_ctes("""
     SELECT CAST(year(workdate) AS INTEGER) AS year, CAST(quarter(workdate) AS INTEGER) AS quarter,
-           COUNT(*) AS rows
+           COUNT(*) AS rows, COUNT(DISTINCT provnum) AS facilities
     FROM staffing GROUP BY 1, 2""", ["staffing"]))
 def _quarter_distribution(i: Inputs) -> DataFrame:
     return P.quarter_distribution(i.staffing())
@@ -598,7 +598,7 @@ def _null_profile(i: Inputs) -> DataFrame:
 
 @register("cardinality", O.with_ctes("""
     SELECT COUNT(DISTINCT provnum) AS facilities, COUNT(DISTINCT state) AS states,
-           COUNT(DISTINCT county_name) AS counties, COUNT(DISTINCT workdate) AS dates
+           COUNT(DISTINCT county_fips) AS counties, COUNT(DISTINCT workdate) AS dates
     FROM staffing""", ["staffing"]))
 def _cardinality(i: Inputs) -> DataFrame:
     return P.cardinality(i.staffing())

@@ -12,8 +12,9 @@ Plan shape.  The published views are written over the enriched daily table
 per facility, every view here aggregates the daily rows *first* (partial
 aggregation before the shuffle) and joins provider attributes to the
 per-facility result, which is orders of magnitude smaller than the daily
-table.  The results are identical to aggregating the enriched daily rows; the
-DuckDB oracle computes them that way.
+table.  One difference to aggregating enriched rows remains open by design: a
+NULL facility id forms a group of ``facility_summary`` but is not counted as a
+facility anywhere.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from rosterline.functions.metrics import (
     ratio_of_totals,
     safe_corr,
 )
-from rosterline.functions.joins import broadcast_if_small
 from rosterline.operators.enrich import provider_attributes
 
 _SUMS = [
@@ -83,7 +83,7 @@ def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     per_facility = numeric.join(
         states.withColumnRenamed("provnum", "_sp"), numeric["provnum"].eqNullSafe(F.col("_sp"))
     ).drop("_sp")
-    attrs = broadcast_if_small(provider_attributes(provider))
+    attrs = provider_attributes(provider)
     j = per_facility.join(attrs, F.trim(per_facility["provnum"]) == attrs["_pid"], "left")
     return j.select(
         "provnum",
@@ -114,9 +114,7 @@ def state_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     per_fac = daily.groupBy("state", "provnum").agg(
         F.count(F.lit(1)).alias("_days"), *_sum_aggs()
     )
-    attrs = broadcast_if_small(
-        provider_attributes(provider).select("_pid", *[f"provider_{r}" for r in S.RATINGS])
-    )
+    attrs = provider_attributes(provider).select("_pid", *[f"provider_{r}" for r in S.RATINGS])
     j = per_fac.join(attrs, F.trim(per_fac["provnum"]) == attrs["_pid"], "left")
     weighted = []
     for r in S.RATINGS:
@@ -128,7 +126,7 @@ def state_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
             ).alias(f"avg_{r}")
         )
     rolled = j.groupBy("state").agg(
-        F.count(F.lit(1)).alias("total_facilities"),
+        F.count("provnum").alias("total_facilities"),  # a NULL id is no facility
         *_resum_aggs(),
         *weighted,
     )
@@ -179,7 +177,6 @@ ANALYTICS_COLUMNS = [
 
 def facility_analytics(facilities: DataFrame, quality: DataFrame) -> DataFrame:
     """Facility summary left-joined to the pivoted quality measures (22 columns)."""
-    quality = broadcast_if_small(quality)
     j = facilities.join(quality, facilities["provnum"] == quality["provider_id"], "left")
     return j.select(*ANALYTICS_COLUMNS)
 

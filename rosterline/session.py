@@ -51,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is.  Only when neither the setting nor the context's checkpoint folder
-    exists (local runs, tests) is a scratch folder chosen; it is registered
+    exists and the master is local (tests) is a scratch folder chosen; a cluster
+    without the setting is an error.  The folder is registered
     through ``setCheckpointDir`` because the setting itself cannot change once
     the context is running.
     """
@@ -62,6 +63,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share; "
+                "a machine-local folder would lose intermediate tables"
+            )
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="rosterline-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -72,15 +78,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+# Shuffle partitions at most: map tasks x partitions is the number of blocks the
+# driver tracks, and a partition that turns out too large is split by AQE.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def scale_conf(
+    input_bytes: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    shuffled_share: float = 0.1,
+    cores: int = 0,
+) -> dict[str, str]:
     """Settings for a job that reads ``input_bytes`` on a large cluster.
 
-    Scan splits and shuffle partitions are sized so that one task handles
-    about ``target_partition_bytes``; AQE then coalesces small post-shuffle
-    partitions and splits skewed ones.  Shuffle partitions are bounded below by
-    a few hundred so small inputs still spread over the cluster.
+    Scan splits hold about ``target_partition_bytes``.  What crosses a shuffle are
+    pruned columns and partial aggregates, ``shuffled_share`` of the input, so the
+    shuffle partitions follow that size and the number of ``cores`` (three tasks
+    a core at least), between a few hundred and MAX_SHUFFLE_PARTITIONS; AQE then
+    coalesces small partitions and splits skewed ones.
     """
-    shuffle_partitions = max(200, -(-input_bytes // target_partition_bytes))
+    by_size = -(-int(input_bytes * shuffled_share) // target_partition_bytes)
+    shuffle_partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, by_size, 3 * cores))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
@@ -92,7 +110,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024
 
 def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     """Size this session's scans and shuffles for ``input_bytes`` of input."""
-    conf = scale_conf(input_bytes)
+    conf = scale_conf(input_bytes, cores=spark.sparkContext.defaultParallelism)
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf

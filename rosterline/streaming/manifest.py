@@ -21,7 +21,6 @@ file rewritten under the same path, which is exactly the MODIFIED case.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +34,10 @@ class IngestionError(RuntimeError):
     """At least one file failed to copy; the run must be reported as failed."""
 
 
+class KeyCollisionError(IngestionError):
+    """Two files would be copied to one target key; nothing was copied."""
+
+
 def empty_manifest(spark: SparkSession) -> DataFrame:
     """First run: no state yet."""
     return spark.createDataFrame([], S.MANIFEST_SCHEMA)
@@ -63,7 +66,8 @@ def listing_from_folder(spark: SparkSession, path: str, source: str, glob: str =
         F.lit("text/csv").alias("mime_type"),
         F.col("modificationTime").cast("string").alias("modified_time"),
         F.lit(source).alias("source"),
-        F.lit(path).alias("parent"),
+        # the folder the file really lies in: the scan recurses
+        F.regexp_replace("path", "/[^/]*$", "").alias("parent"),
         F.lit(False).alias("trashed"),
     ))
 
@@ -125,6 +129,13 @@ def key_collisions(classified: DataFrame, prefix_col: str = "source") -> DataFra
     )
 
 
+def check_no_collisions(classified: DataFrame) -> None:
+    """Raise ``KeyCollisionError`` before anything is copied over another file."""
+    found = key_collisions(classified).orderBy("target_key").take(5)
+    if found:
+        raise KeyCollisionError(f"several files share a target key: {[r['target_key'] for r in found]}")
+
+
 def results(classified: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Final per-file status after the copy step.
 
@@ -195,12 +206,15 @@ def run_ingestion(
     and the next source starts from stored state (lineage is cut there).
     Raises ``IngestionError`` at the end when any file failed.
     """
+    if not sources:
+        raise ValueError("run_ingestion needs at least one source")
     listing = snapshot(listing)
     manifest = read_manifest(spark, manifest_base)
     finished = []
     for src in sources:
         files = in_folder(listing.where(F.col("source") == F.lit(src)), folder)
         classified = classify(files, manifest)
+        check_no_collisions(classified)
         fin = snapshot(results(classified, copy(classified.where("copy"))))
         write_manifest(next_manifest(manifest, fin), manifest_base)
         manifest = read_manifest(spark, manifest_base)
@@ -220,41 +234,52 @@ def run_ingestion(
 VERSION = "manifest_version"
 
 
-def _stored(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(base)
-    except AnalysisException:
-        return None
+#: Versions that stay on disk: the one being read and a few to go back to.
+KEPT_VERSIONS = 5
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Stored version numbers, from the folder listing alone (no data is read).
+
+    Only a folder that does not exist is a first run; any other error is raised.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{VERSION}="):
+            # A version without its commit marker is a write that failed.
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                found.append(int(name.partition("=")[2]))
+    return sorted(found)
+
+
+def _version_path(base: str, version: int) -> str:
+    return f"{base}/{VERSION}={version}"
 
 
 def read_manifest(spark: SparkSession, base: str) -> DataFrame:
-    """Latest manifest version (a partition of ``base``); empty on the first run."""
-    stored = _stored(spark, base)
-    if stored is None:
+    """Latest manifest version; empty on the first run.  Only its folder is read."""
+    versions = _versions(spark, base)
+    if not versions:
         return empty_manifest(spark)
-    v = F.col(VERSION).cast("int")
-    latest = stored.agg(F.max(v).alias("_latest"))
-    return stored.join(latest, v == latest["_latest"]).select(
-        *[f.name for f in S.MANIFEST_SCHEMA.fields]
-    )
+    return spark.read.schema(S.MANIFEST_SCHEMA).parquet(_version_path(base, versions[-1]))
 
 
 def write_manifest(manifest: DataFrame, base: str) -> int:
-    """Append the manifest as a new version partition and return its number.
+    """Write the manifest as a new version folder and return its number.
 
-    Appending a new partition never touches the version being read, so a
-    failed write leaves the previous state intact.
+    A new folder never touches the version being read, so a failed write leaves
+    the previous state intact.  Versions older than KEPT_VERSIONS are removed.
     """
     spark = manifest.sparkSession
-    stored = _stored(spark, base)
-    latest = (
-        stored.agg(F.max(F.col(VERSION).cast("int"))).first()[0] if stored is not None else None
-    )
-    version = 0 if latest is None else int(latest) + 1
-    (
-        manifest.withColumn(VERSION, F.lit(version))
-        .write.mode("append")
-        .partitionBy(VERSION)
-        .parquet(base)
-    )
+    versions = _versions(spark, base)
+    version = versions[-1] + 1 if versions else 0
+    manifest.write.mode("overwrite").parquet(_version_path(base, version))
+    for old in versions[: -KEPT_VERSIONS + 1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_version_path(base, old))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return version

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from helpers import staffing_rows
 
 from rosterline.functions.quantiles import exact_quantiles, long_values
@@ -37,6 +39,35 @@ def test_exact_quantiles_match_pandas(spark, ranges):
         assert q[c].n == pdf[c].notna().sum()
 
 
+def test_exact_quantiles_do_not_hang_on_the_planner(spark):
+    """400,000 distinct values: the same with exchange reuse and AQE on and off."""
+    df = spark.range(400_000, numPartitions=8).select(
+        F.sin(F.col("id")).alias("a"), (F.col("id") % 1000 * F.lit(1.5)).alias("b"))
+    values = long_values(df, ["a", "b"])
+    a = np.sin(np.arange(400_000))
+    b = np.arange(400_000) % 1000 * 1.5
+    keys = ["spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for reuse in ("true", "false"):
+            for aqe in ("true", "false"):
+                spark.conf.set(keys[0], reuse)
+                spark.conf.set(keys[1], aqe)
+                got = {r.column_name: (r.n, r.q_0, r.q_1, r.q_2)
+                       for r in exact_quantiles(values, [0.25, 0.5, 0.75]).collect()}
+                for name, x in (("a", a), ("b", b)):
+                    assert got[name][0] == len(x)
+                    assert got[name][1:] == pytest.approx(tuple(np.quantile(x, [0.25, 0.5, 0.75])), rel=1e-12)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_cardinality_counts_county_codes(spark):
+    rows = [{"provnum": str(i), "county_name": "Lake", "county_fips": f"0{i}001"} for i in range(3)]
+    assert P.cardinality(staffing_rows(spark, rows)).first().counties == 3
+
+
 def test_iqr_and_describe(spark):
     rows = [{"provnum": str(i), "workdate": D, "mdscensus": float(v), "hrs_rn": float(v)}
             for i, v in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 100])]
