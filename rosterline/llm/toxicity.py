@@ -70,19 +70,41 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(g, -30, 30).astype(float)))
 
 
-def _rates(texts: pa.Array) -> np.ndarray:
-    """Share of texts that have each bin."""
-    doc, b = text_features(texts)
-    return np.bincount(np.unique(doc * BINS + b) % BINS, minlength=BINS) / max(len(texts), 1)
+def _steps(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in runs of bounded size, so that the driver's memory is bounded too."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    return (part.column(0) for part in pieces_of(batch, "text", 1 << 20))
 
 
-def _unlike(texts: pa.Array, bits: int = 13, most: float = 0.5) -> np.ndarray:
+def _counts(texts: pa.Array) -> np.ndarray:
+    """Number of texts that have each bin."""
+    out = np.zeros(BINS, np.int32)
+    for some in _steps(texts):
+        doc, b = text_features(some)
+        np.add.at(out, np.unique(doc * BINS + b) % BINS, 1)
+    return out
+
+
+def _matrix(texts: pa.Array, column_of: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(texts), width), np.float32)
+    at = 0
+    for some in _steps(texts):
+        doc, b = text_features(some)
+        out[at : at + len(some)] = presence(doc, column_of[b], len(some), width)
+        at += len(some)
+    return out
+
+
+def _unlike(texts: pa.Array, bits: int = 12, most: float = 0.5) -> np.ndarray:
     """Rows that share at most ``most`` of their words with an earlier kept row.
 
     Copies of one example would make each of its words look toxic.
     """
-    w = words_of(texts, lower=True)
-    x = presence(w.doc, (w.hash >> np.uint64(64 - bits)).astype(np.int64), len(texts), 1 << bits)
+    x = []
+    for some in _steps(texts):
+        w = words_of(some, lower=True)
+        x.append(presence(w.doc, (w.hash >> np.uint64(64 - bits)).astype(np.int64), len(some), 1 << bits))
+    x = np.concatenate(x)
     size, kept = x.sum(1), []
     for i in range(len(texts)):
         n = len(kept)  # kept rows lie at the front of x and size
@@ -96,20 +118,18 @@ def _unlike(texts: pa.Array, bits: int = 13, most: float = 0.5) -> np.ndarray:
 def fit(toxic: pa.Array, unlabelled: pa.Array, prior: float, steps: int = 300) -> Model:
     """Minimise the non-negative PU risk of the logistic loss with Adam."""
     toxic = toxic.take(pa.array(_unlike(toxic)))
-    p, u = _rates(toxic), _rates(unlabelled)
+    in_toxic = _counts(toxic)
+    seen = np.flatnonzero(in_toxic >= 3)
+    p, u = in_toxic[seen] / len(toxic), _counts(unlabelled)[seen] / max(len(unlabelled), 1)
     clean = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9)
     # Log-likelihood ratio of the count in P against the (smoothed) clean rate.
     count, wanted = p * len(toxic), (clean + 2 / max(len(unlabelled), 1)) * len(toxic)
-    evidence = np.where(count > wanted, count * np.log(np.maximum(count, 1e-9) / wanted) - count + wanted, 0)
+    evidence = np.where(count > wanted, count * np.log(count / wanted) - count + wanted, 0)
     order = np.argsort(-evidence, kind="stable")[:MOST_FEATURES]
-    order = order[evidence[order] > LEAST_EVIDENCE]
+    order = seen[order[evidence[order] > LEAST_EVIDENCE]]
     column_of = np.full(BINS, -1, np.int16)
     column_of[order] = np.arange(len(order))
-    xs = []
-    for texts in (toxic, unlabelled):
-        doc, b = text_features(texts)
-        xs.append(presence(doc, column_of[b], len(texts), len(order)))
-    xp, xu = xs
+    xp, xu = (_matrix(texts, column_of, len(order)) for texts in (toxic, unlabelled))
     w, bias = np.zeros(len(order), np.float32), 0.0
     m, v = np.zeros(len(order) + 1), np.zeros(len(order) + 1)
     for t in range(1, steps + 1):
