@@ -33,16 +33,17 @@ def drop_empty_rows(df: DataFrame, ignore: list[str] | None = None) -> DataFrame
     return df.dropna(how="all", subset=subset)
 
 
-def clean_staffing(raw: DataFrame) -> DataFrame:
-    """Raw daily staffing text -> curated typed rows (``STAFFING_SCHEMA`` order).
+def present_staffing(raw: DataFrame) -> DataFrame:
+    """The staffing columns of the raw text, without all-empty rows."""
+    df = select_by_header(raw, S.STAFFING_SOURCE_HEADERS, keep=[SOURCE_FILE])
+    return drop_empty_rows(df, ignore=[SOURCE_FILE])
 
-    Drops: all-empty rows; blank or missing facility id; unparseable work date;
-    missing or negative census.  Keeps rows with negative hours (they are
-    counted by ``profile.negative_hours``) and zero-census days.
+
+def type_staffing(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Typed columns (``STAFFING_SCHEMA`` order); bad values become NULL, no row goes.
+
+    The provenance column and those in ``keep`` are carried along.
     """
-    headers = S.STAFFING_SOURCE_HEADERS
-    df = select_by_header(raw, headers, keep=[SOURCE_FILE])
-    df = drop_empty_rows(df, ignore=[SOURCE_FILE])
     out = [
         normalise_id(F.col("PROVNUM")).alias("provnum"),
         *[F.col(h).alias(n) for h, n in S.STAFFING_DIMENSIONS if n != "provnum"],
@@ -50,9 +51,26 @@ def clean_staffing(raw: DataFrame) -> DataFrame:
         _to_double(F.col(S.STAFFING_CENSUS[0])).alias("mdscensus"),
         *[_to_double(F.col(h)).alias(n) for h, n in S.hour_columns()],
     ]
-    if SOURCE_FILE in df.columns:
-        out.append(F.col(SOURCE_FILE))
-    typed = df.select(*out)
+    out += [F.col(c) for c in [SOURCE_FILE, *(keep or [])] if c in df.columns]
+    return df.select(*out)
+
+
+def staffing_defects() -> dict[str, Column]:
+    """Why a typed row is dropped; a row may have several reasons."""
+    return {
+        "blank_id": F.coalesce(F.length("provnum") == 0, F.lit(True)),
+        "bad_date": F.col("workdate").isNull(),
+        "missing_census": F.col("mdscensus").isNull(),
+        "negative_census": F.coalesce(F.col("mdscensus") < 0, F.lit(False)),
+    }
+
+
+def valid_staffing(typed: DataFrame) -> DataFrame:
+    """Rows without a defect.  Negative hours and zero-census days stay.
+
+    Stated as plain conjuncts: the optimizer's constraint propagation grows
+    quickly over a negated disjunction of expressions under this many aliases.
+    """
     return typed.where(
         F.col("provnum").isNotNull()
         & (F.length("provnum") > 0)
@@ -62,6 +80,15 @@ def clean_staffing(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_staffing(raw: DataFrame) -> DataFrame:
+    """Raw daily staffing text -> curated typed rows.
+
+    Drops: all-empty rows; blank or missing facility id; unparseable work date;
+    missing or negative census.
+    """
+    return valid_staffing(type_staffing(present_staffing(raw)))
+
+
 def _typed(c: Column, t: str) -> Column:
     if t == "double":
         return _to_double(c)

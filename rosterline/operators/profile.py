@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from rosterline import schemas as S
 from rosterline.functions.metrics import any_of, guarded_pct, guarded_ratio, maybe_round, sum_of
 from rosterline.functions.quantiles import exact_quantiles, long_values
+from rosterline.operators import clean as C
+from rosterline.sources.files import select_by_header
 
 QUARTILES = [0.25, 0.5, 0.75]
 DESCRIBE_COLUMNS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
@@ -61,6 +63,18 @@ def quarter_distribution(staffing: DataFrame) -> DataFrame:
     )
 
 
+def drop_reasons(raw: DataFrame) -> DataFrame:
+    """One row: raw staffing rows that are empty, and rows with each defect."""
+    text = select_by_header(raw, S.STAFFING_SOURCE_HEADERS)
+    has = any_of([F.col(c).isNotNull() for c in text.columns])
+    typed = C.type_staffing(text.withColumn("_has", has), keep=["_has"])
+    # An all-empty row has no other reason: it is counted once.
+    return typed.agg(
+        F.count_if(~F.col("_has")).alias("dropped_empty"),
+        *[F.count_if(F.col("_has") & c).alias(f"dropped_{n}") for n, c in C.staffing_defects().items()],
+    )
+
+
 def negative_hour_condition(df: DataFrame) -> F.Column:
     present = [c for c in S.HOUR_COLUMNS if c in df.columns]
     return any_of([F.col(c) < 0 for c in present])
@@ -123,13 +137,6 @@ def duplicate_claim_keys(claims: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def schema_listing(df: DataFrame) -> DataFrame:
-    """(column_name, data_type) of a DataFrame -- metadata only, no scan."""
-    return df.sparkSession.createDataFrame(
-        [(n, t) for n, t in df.dtypes], "column_name string, data_type string"
-    )
-
-
 def null_profile(df: DataFrame, digits: int = 2) -> DataFrame:
     """Null count and percentage per column, highest first (one aggregate)."""
     cols = df.columns

@@ -14,6 +14,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,14 +60,37 @@ def _observe(df: DataFrame, name: str, *exprs) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *exprs), obs
 
 
+def _counts(*observations: Observation, names: list[str]) -> dict:
+    """Observed counts; a plan that turned out empty reports none, which is 0."""
+    out = dict.fromkeys(names, 0)
+    for obs in observations:
+        try:
+            out |= {k: v or 0 for k, v in obs.get.items()}
+        except Py4JJavaError as e:
+            # The optimizer removed the whole plan, so nothing was observed.
+            if "AssertionError" not in str(e.java_exception):
+                raise
+    return out
+
+
 def run_staffing(
     spark: SparkSession, raw_path: str | list[str], out_path: str, multiline: bool = True
 ) -> dict:
-    """Raw daily staffing CSV -> staffing metrics table partitioned by state."""
+    """Raw daily staffing CSV -> staffing metrics table partitioned by state.
+
+    Reports the rows of every stage and the reasons for dropped rows, and writes
+    the rows per source file beside the table.  No valid row is an error.
+    """
     raw = files.read_csv(spark, raw_path, multiline=multiline)
     raw, o_raw = _observe(raw, "raw", F.count(F.lit(1)).alias("raw_rows"))
-    cleaned = C.clean_staffing(raw)
-    daily = with_daily_metrics(cleaned)
+    defects = C.staffing_defects()
+    typed, o_typed = _observe(
+        C.type_staffing(C.present_staffing(raw)),
+        "typed",
+        F.count(F.lit(1)).alias("present_rows"),
+        *[F.count_if(c).alias(f"dropped_{n}") for n, c in defects.items()],
+    )
+    daily = with_daily_metrics(C.valid_staffing(typed)).drop(files.SOURCE_FILE)
     daily, o_valid = _observe(
         daily,
         "valid",
@@ -76,7 +100,15 @@ def run_staffing(
     )
     out = daily.withColumn("etl_processed_at", F.current_timestamp())
     sinks.write_partitioned(out, out_path, "state")
-    return {**o_raw.get, **o_valid.get}
+    names = ["raw_rows", "present_rows", *[f"dropped_{n}" for n in defects], "valid_rows",
+             "negative_hour_rows", "default_partition_rows"]
+    got = _counts(o_raw, o_typed, o_valid, names=names)
+    got["dropped_empty"] = got["raw_rows"] - got["present_rows"]
+    if not got["valid_rows"]:
+        raise E.GuardError(f"no valid staffing row in {raw_path}: {got}")
+    again = files.read_csv(spark, raw_path, multiline=multiline)
+    sinks.write_table(P.rows_per_source_file(again), f"{out_path}_files")
+    return got
 
 
 def run_provider(spark: SparkSession, raw_path: str, out_path: str, multiline: bool = True) -> dict:
@@ -85,7 +117,7 @@ def run_provider(spark: SparkSession, raw_path: str, out_path: str, multiline: b
     cur = C.clean_provider(raw)
     cur, o_out = _observe(cur, "provider_out", F.count(F.lit(1)).alias("provider_rows"))
     sinks.write_table(cur.withColumn("etl_processed_at", F.current_timestamp()), out_path)
-    return {**o_raw.get, **o_out.get}
+    return _counts(o_raw, o_out, names=["provider_raw_rows", "provider_rows"])
 
 
 def run_claims(spark: SparkSession, raw_path: str, out_path: str, multiline: bool = True) -> dict:
@@ -94,7 +126,7 @@ def run_claims(spark: SparkSession, raw_path: str, out_path: str, multiline: boo
     cur = C.clean_claims(raw)
     cur, o_out = _observe(cur, "claims_out", F.count(F.lit(1)).alias("claims_rows"))
     sinks.write_table(cur.withColumn("etl_processed_at", F.current_timestamp()), out_path)
-    return {**o_raw.get, **o_out.get}
+    return _counts(o_raw, o_out, names=["claims_raw_rows", "claims_rows"])
 
 
 def run_enrichment(
@@ -110,8 +142,12 @@ def run_enrichment(
     writing (the run's directory is then never published) when the row count
     changed.
     """
-    staffing = spark.read.parquet(staffing_path).drop("etl_processed_at")
+    staffing = spark.read.parquet(staffing_path)
     provider = spark.read.parquet(provider_path).drop("etl_processed_at")
+    repeated = P.duplicate_keys(staffing, ["provnum", "workdate"]).first()
+    if repeated["duplicate_key_rows"]:
+        raise E.GuardError(f"{repeated['duplicate_key_rows']} rows repeat a facility and day; nothing is published")
+    E.unmatched_ids(staffing, provider).write.mode("overwrite").parquet(f"{out_path}_unmatched")
     coverage = E.check_coverage(E.join_coverage(staffing, provider), min_coverage)
     enriched = E.enrich_daily(staffing, provider).withColumn(
         "facility_metrics_processed_at", F.current_timestamp()
@@ -119,23 +155,21 @@ def run_enrichment(
     enriched, o_rows = _observe(enriched, "enriched", F.count(F.lit(1)).alias("rows"))
     sinks.write_partitioned(enriched, out_path, "state")
     expected = staffing.count()  # Parquet footers only
-    E.check_row_count(expected, o_rows.get["rows"])
-    return {"coverage": coverage, "enriched_rows": o_rows.get["rows"], "input_rows": expected}
+    written = _counts(o_rows, names=["rows"])["rows"]
+    E.check_row_count(expected, written)
+    return {"coverage": coverage, "enriched_rows": written, "input_rows": expected}
 
 
-def publish(spark: SparkSession, facility_metrics_path: str, claims_path: str,
-            facility_summary_path: str | None = None) -> list[str]:
-    """Register the two tables and the six views; optionally materialise the
-    facility summary partitioned by state so that state slices prune."""
+def publish(
+    spark: SparkSession, staffing_path: str, provider_path: str, claims_path: str, metrics_path: str, views_base: str
+) -> list[str]:
+    """Register the two tables with their fixed columns, then write and register the views."""
     from rosterline.plans import sql_views
 
-    sinks.register_temp_table(spark, "facility_metrics", facility_metrics_path)
-    sinks.register_temp_table(spark, "quality_claims", claims_path)
-    names = sql_views.create_views(spark)
-    if facility_summary_path:
-        sinks.write_partitioned(spark.table("vw_facility_analytics"), facility_summary_path, "state")
-        sinks.register_temp_table(spark, "facility_analytics", facility_summary_path)
-    return names
+    sinks.register_external_table(spark, "facility_metrics", metrics_path, S.FACILITY_METRICS_SCHEMA, "state")
+    sinks.register_external_table(spark, "quality_claims", claims_path, S.PUBLISHED_CLAIMS_SCHEMA)
+    daily, provider, claims = (spark.read.parquet(p).drop("etl_processed_at") for p in (staffing_path, provider_path, claims_path))
+    return sql_views.publish_views(spark, daily, provider, claims, views_base)
 
 
 def validation_summaries(spark: SparkSession, staffing_path: str) -> dict[str, list]:
@@ -145,8 +179,11 @@ def validation_summaries(spark: SparkSession, staffing_path: str) -> dict[str, l
         "dataset": [r.asDict() for r in P.dataset_summary(t).collect()],
         "states": [r.asDict() for r in P.state_distribution(t).collect()],
         "quarters": [r.asDict() for r in P.quarter_distribution(t).collect()],
-        "files": [r.asDict() for r in P.rows_per_source_file(t).collect()],
-        "duplicate_days": [r.asDict() for r in P.duplicate_keys(t, ["provnum", "workdate"]).collect()],
+        # One row per file, which grows with the input: the table is named, its
+        # number of files and their rows are counted.
+        "files": [spark.read.parquet(f"{staffing_path}_files").agg(
+            F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first().asDict()
+            | {"table": f"{staffing_path}_files"}],
         "state_conflicts": [r.asDict() for r in P.state_conflicts(t).collect()],
     }
 
@@ -188,7 +225,7 @@ def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
     enr = rep.timed("enrichment", run_enrichment, spark, staffing_out, provider_out, metrics_out)
     rep.coverage = enr["coverage"]
     rep.counts["enrichment"] = {k: v for k, v in enr.items() if k != "coverage"}
-    rep.timed("publish", publish, spark, metrics_out, claims_out, paths.curated("facility_analytics"))
+    rep.timed("publish", publish, spark, staffing_out, provider_out, claims_out, metrics_out, paths.curated("views"))
     rep.summaries = rep.timed("summaries", validation_summaries, spark, staffing_out)
     return rep
 

@@ -30,6 +30,7 @@ from rosterline.operators.derive import with_daily_metrics
 from rosterline.plans import reports as R
 from rosterline.plans import views as V
 from rosterline.session import scratch_path
+from rosterline.sources import files
 from rosterline.sources import testmap as M
 from rosterline.sources.sinks import write_partitioned, write_table
 from rosterline.streaming import manifest as MF
@@ -37,7 +38,7 @@ from rosterline.streaming import manifest as MF
 DIGITS = 6
 
 
-_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_WRITTEN: dict[tuple[str, str, str], DataFrame | dict] = {}
 _KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
 _GUARD = threading.Lock()
 
@@ -83,7 +84,7 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     with ThreadPoolExecutor(max_workers=3) as pool:
         for job in [pool.submit(i.staffing), pool.submit(i.provider), pool.submit(i.claims)]:
             job.result()
-    i.published_analytics()
+    i.published_overview()
 
 
 @dataclass
@@ -126,6 +127,32 @@ class Inputs:
         )
 
 
+    def published_overview(self) -> DataFrame:
+        """The state overview as published: one row a state, written once."""
+        return _written_table(
+            self.spark, self.sf_dir, "state_overview",
+            lambda: R.state_overview(
+                V.state_summary(self.daily(), self.provider()),
+                V.state_facility_ratings(self.published_analytics()),
+            ),
+        )
+
+    def typed(self) -> DataFrame:
+        """Raw staffing rows with planted defects, typed but not yet filtered."""
+        return C.type_staffing(C.present_staffing(M.staffing_raw_text(self.staffing())))
+
+    def raw_csv(self) -> dict:
+        """The raw CSV inputs with planted defects, written once per application."""
+        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), "raw_csv")
+        with _lock_for(key):
+            if key not in _WRITTEN:
+                tag = re.sub(r"[^A-Za-z0-9_.-]", "_", key[1].strip("/"))
+                path = scratch_path(self.spark, f"inputs/{key[0]}/{tag}/raw_csv")
+                _WRITTEN[key] = M.write_defective_csv(
+                    self.spark, self.staffing(), self.provider(), self.claims(), path)
+            return _WRITTEN[key]
+
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
@@ -172,16 +199,7 @@ def _state_facility_ratings(i: Inputs) -> DataFrame:
     return V.state_facility_ratings(i.facilities())
 
 
-@register("national_kpis", O.with_ctes("""
-    SELECT COUNT(DISTINCT provnum) AS total_facilities,
-           SUM(mdscensus) AS total_resident_days,
-           SUM(hrs_rn) / NULLIF(SUM(mdscensus), 0) AS rn_hprd,
-           SUM(hrs_lpn) / NULLIF(SUM(mdscensus), 0) AS lpn_hprd,
-           SUM(hrs_cna) / NULLIF(SUM(mdscensus), 0) AS cna_hprd,
-           SUM(total_direct_hours) / NULLIF(SUM(mdscensus), 0) AS total_direct_hprd,
-           100.0E0 * SUM(contract_direct_hours) / NULLIF(SUM(total_direct_hours), 0)
-             AS contract_dependency_pct
-    FROM facility_metrics""", ["facility_metrics"]))
+@register("national_kpis", O.with_ctes("SELECT * FROM national_kpis", ["national_kpis"]))
 def _national_kpis(i: Inputs) -> DataFrame:
     return V.national_kpis(i.daily())
 
@@ -198,30 +216,28 @@ def _facility_analytics(i: Inputs) -> DataFrame:
     return i.analytics()
 
 
-@register("national_quality", O.with_ctes(f"""
-    SELECT {O.r6("AVG(rehospitalization_rate)")} AS avg_rehospitalization_rate,
-           {O.r6("AVG(short_stay_ed_rate)")} AS avg_short_stay_ed_rate,
-           {O.r6("AVG(hospitalizations_per_1000)")} AS avg_hospitalizations_per_1000,
-           {O.r6("AVG(long_stay_ed_visits_per_1000)")} AS avg_long_stay_ed_per_1000
-    FROM facility_analytics""", ["facility_analytics"]))
+_NATIONAL_MEANS = dict(zip(
+    ("avg_rehospitalization_rate", "avg_short_stay_ed_rate", "avg_hospitalizations_per_1000", "avg_long_stay_ed_per_1000"),
+    (name for _, name in V.S.MEASURES),
+))
+
+
+@register("national_quality", O.with_ctes(
+    "SELECT " + ", ".join(f"{O.r6(f'AVG({c})')} AS {a}" for a, c in _NATIONAL_MEANS.items()) + " FROM facility_analytics",
+    ["facility_analytics"]))
 def _national_quality(i: Inputs) -> DataFrame:
     return V.national_quality(i.published_analytics(), DIGITS)
 
 
-@register("staffing_bands", O.with_ctes(f"""
-    SELECT CASE WHEN total_direct_hprd < 3.0E0 THEN '< 3.0 HPRD'
-                WHEN total_direct_hprd < 4.0E0 THEN '3.0 - 3.99 HPRD'
-                WHEN total_direct_hprd < 5.0E0 THEN '4.0 - 4.99 HPRD'
-                ELSE '5.0+ HPRD' END AS staffing_group,
-           COUNT(*) AS facilities,
-           {O.r6("AVG(total_direct_hprd)")} AS avg_total_hprd,
-           {O.r6("AVG(rehospitalization_rate)")} AS avg_rehospitalization_rate,
-           {O.r6("AVG(short_stay_ed_rate)")} AS avg_short_stay_ed_rate,
-           {O.r6("AVG(overall_rating)")} AS avg_overall_rating,
-           {O.r6("AVG(staffing_rating)")} AS avg_staffing_rating
-    FROM facility_analytics
-    WHERE rehospitalization_rate IS NOT NULL
-    GROUP BY 1""", ["facility_analytics"]))
+def _rounded(columns: list[str], digits: str) -> str:
+    return ", ".join(f"{digits.format(c)} AS {c}" for c in columns)
+
+
+_BAND_VALUES = _rounded(V.S.BAND_AVERAGES, "round({}, 6)")
+
+
+@register("staffing_bands", O.with_ctes(
+    f"SELECT staffing_group, facilities, {_BAND_VALUES} FROM band_averages", ["band_averages"]))
 def _staffing_bands(i: Inputs) -> DataFrame:
     return V.staffing_bands(i.published_analytics(), DIGITS)
 
@@ -309,10 +325,7 @@ TOP_N_STATES = 10
 
 
 def _overview(i: Inputs) -> DataFrame:
-    return R.state_overview(
-        V.state_summary(i.daily(), i.provider()),
-        V.state_facility_ratings(i.published_analytics()),
-    )
+    return i.published_overview()
 
 
 def _state_slice(i: Inputs) -> DataFrame:
@@ -330,12 +343,36 @@ def _state_row(i: Inputs) -> DataFrame:
     return R.state_row(_overview(i), REPORT_STATE)
 
 
-@register("state_ranking", O.with_ctes(f"""
-    SELECT state, total_direct_hprd FROM state_overview
-    WHERE total_direct_hprd IS NOT NULL
-    ORDER BY total_direct_hprd DESC, state LIMIT {TOP_N_STATES}""", ["state_overview"]))
-def _state_ranking(i: Inputs) -> DataFrame:
-    return R.state_ranking(_overview(i), "total_direct_hprd", TOP_N_STATES)
+def _ranking_sql(metric: str) -> str:
+    return O.with_ctes(f"""
+    SELECT state, {metric} FROM state_overview WHERE {metric} IS NOT NULL
+    ORDER BY {metric} DESC, state LIMIT {TOP_N_STATES}""", ["state_overview"])
+
+
+for _, _metric in V.S.RANKING_METRICS:
+    register("state_ranking" if _metric == "total_direct_hprd" else f"state_ranking_{_metric}", _ranking_sql(_metric))(
+        lambda i, metric=_metric: R.state_ranking(_overview(i), metric, TOP_N_STATES)
+    )
+
+
+_EVEN = "round_even({}, 2)"
+
+
+def _display_sql(source: str, columns: list[str], rounded: list[str]) -> str:
+    parts = [f"{_EVEN.format(c)} AS {c}" if c in rounded else c for c in columns]
+    return f"SELECT {', '.join(parts)} FROM {source}"
+
+
+@register("state_table", O.with_ctes(
+    f"SELECT * REPLACE ({_rounded(V.S.STATE_TABLE_ROUNDED, _EVEN)}) FROM state_overview", ["state_overview"]))
+def _state_table(i: Inputs) -> DataFrame:
+    return R.state_table(_overview(i))
+
+
+@register("band_table", O.with_ctes(
+    f"SELECT staffing_group, facilities, {_rounded(V.S.BAND_AVERAGES, _EVEN)} FROM band_averages", ["band_averages"]))
+def _band_table(i: Inputs) -> DataFrame:
+    return R.band_table(V.staffing_bands(i.published_analytics()))
 
 
 @register("state_options", O.with_ctes(
@@ -409,8 +446,8 @@ def _explorer(i: Inputs) -> DataFrame:
 @register("explorer_filter", O.with_ctes(
     "SELECT "
     + ", ".join(
-        f"round_even({c}, 2) AS {c}" if c in R.EXPLORER_ROUNDED else c
-        for c in R.EXPLORER_TABLE_COLUMNS
+        f"round_even({c}, 2) AS {c}" if c in V.S.EXPLORER_ROUNDED else c
+        for c in V.S.EXPLORER_TABLE_COLUMNS
     )
     + _FILTER_SQL,
     ["facility_analytics"],
@@ -443,6 +480,13 @@ def _daily_trend(i: Inputs) -> DataFrame:
     return R.daily_trend(i.daily(), REPORT_STATE, TREND_PROVNUM)
 
 
+@register("trend_table", O.with_ctes(
+    _display_sql("facility_metrics", V.S.TREND_COLUMNS, V.S.TREND_COLUMNS[1:])
+    + f" WHERE state = '{REPORT_STATE}' AND provnum = '{TREND_PROVNUM}'", ["facility_metrics"]))
+def _trend_table(i: Inputs) -> DataFrame:
+    return R.trend_table(R.daily_trend(i.daily(), REPORT_STATE, TREND_PROVNUM))
+
+
 @register("correlations_long", O.with_ctes(
     " UNION ALL ".join(
         f"SELECT '{label}' AS relationship, {_corr_sql(x, y)} AS correlation "
@@ -459,26 +503,41 @@ def _correlations_long(i: Inputs) -> DataFrame:
 # Cleaning (P1-P6, F1-F3) and deterministic dedup
 # ---------------------------------------------------------------------------
 
-@register("staffing_clean", O.with_ctes(
-    "SELECT "
-    + ", ".join(
-        [c for c in [n for _, n in V.S.STAFFING_DIMENSIONS] + ["workdate", "mdscensus"]]
-        + [
-            f"CASE WHEN day(workdate) = {M.BAD_HOURS_DAY} THEN NULL ELSE {c} END AS {c}"
-            if c == "hrs_rn" else c
-            for c in V.S.HOUR_COLUMNS
-        ]
-    )
-    + f"""
-    FROM staffing
-    WHERE day(workdate) NOT IN ({M.BLANK_ID_DAY}, {M.BAD_DATE_DAY}, {M.NULL_CENSUS_DAY},
-                                {M.NEGATIVE_CENSUS_DAY}, {M.EMPTY_ROW_DAY})""",
-    ["staffing"],
-))
+@register("staffing_clean", O.with_ctes("SELECT * FROM cleaned", ["cleaned"]))
 def _staffing_clean(i: Inputs) -> DataFrame:
     return C.clean_staffing(M.staffing_raw_text(i.staffing()))
 
 
+@register("staffing_from_csv", O.with_ctes("SELECT * FROM cleaned", ["cleaned"]))
+def _staffing_from_csv(i: Inputs) -> DataFrame:
+    raw = files.read_csv(i.spark, i.raw_csv()["pbj"])
+    return C.clean_staffing(raw).drop(files.SOURCE_FILE)
+
+
+@register("provider_clean", O.with_ctes("SELECT * FROM provider", ["provider"]))
+def _provider_clean(i: Inputs) -> DataFrame:
+    return C.clean_provider(files.read_csv(i.spark, i.raw_csv()["provider"], with_source=False))
+
+
+@register("claims_clean", O.with_ctes("SELECT * FROM claims", ["claims"]))
+def _claims_clean(i: Inputs) -> DataFrame:
+    return C.clean_claims(files.read_csv(i.spark, i.raw_csv()["claims"], with_source=False))
+
+
+_DROPS = {
+    "blank_id": "provnum = ''", "bad_date": "workdate IS NULL", "missing_census": "mdscensus IS NULL",
+    "negative_census": "mdscensus < 0",
+}
+
+
+@register("staffing_drops", O.with_ctes(
+    "SELECT (SELECT COUNT(*) FROM staffing) - COUNT(*) AS dropped_empty, "
+    + ", ".join(f"{O.count_if(c)} AS dropped_{n}" for n, c in _DROPS.items()) + " FROM typed", ["typed"]))
+def _staffing_drops(i: Inputs) -> DataFrame:
+    raw = files.read_csv(i.spark, i.raw_csv()["pbj"])
+    return P.drop_reasons(raw)
+
+
 _DEDUP_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
 
 
@@ -535,11 +594,11 @@ def _quarter_distribution(i: Inputs) -> DataFrame:
     "SELECT "
     + O.count_if(" OR ".join(f"{c} < 0" for c in V.S.HOUR_COLUMNS)) + " AS rows_with_negative_hours, "
     + ", ".join(f"{O.count_if(f'{c} < 0')} AS negative_{c}" for c in V.S.HOUR_COLUMNS)
-    + " FROM staffing",
-    ["staffing"],
+    + " FROM typed",
+    ["typed"],
 ))
 def _negative_hours(i: Inputs) -> DataFrame:
-    return P.negative_hours(i.staffing())
+    return P.negative_hours(i.typed())
 
 
 @register("measure_distribution", O.with_ctes("""
@@ -586,14 +645,14 @@ def _null_sql() -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count, "
         f"round_even(CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0E0, 2)"
-        " AS null_percentage FROM staffing"
+        " AS null_percentage FROM typed"
         for c in cols
     )
 
 
-@register("null_profile", O.with_ctes(_null_sql(), ["staffing"]))
+@register("null_profile", O.with_ctes(_null_sql(), ["typed"]))
 def _null_profile(i: Inputs) -> DataFrame:
-    return P.null_profile(i.staffing())
+    return P.null_profile(i.typed())
 
 
 @register("cardinality", O.with_ctes("""
@@ -609,35 +668,35 @@ def _cardinality(i: Inputs) -> DataFrame:
            MIN(workdate) AS min_date, MAX(workdate) AS max_date,
            {O.count_if(f"workdate < DATE '{PERIOD_START}' OR workdate > DATE '{PERIOD_END}'")}
              AS outside_period
-    FROM staffing""", ["staffing"]))
+    FROM typed""", ["typed"]))
 def _date_validation(i: Inputs) -> DataFrame:
-    return P.date_validation(i.staffing(), PERIOD_START, PERIOD_END)
+    return P.date_validation(i.typed(), PERIOD_START, PERIOD_END)
 
 
 @register("describe_census", O.with_ctes(
-    f"SELECT d.*, c.* FROM ({O.describe_sql('staffing', ['mdscensus'])}) d, "
+    f"SELECT d.*, c.* FROM ({O.describe_sql('typed', ['mdscensus'])}) d, "
     f"(SELECT {O.count_if('mdscensus < 0')} AS negative_census, "
-    f"{O.count_if('mdscensus = 0')} AS zero_census FROM staffing) c",
-    ["staffing"],
+    f"{O.count_if('mdscensus = 0')} AS zero_census FROM typed) c",
+    ["typed"],
 ))
 def _describe_census(i: Inputs) -> DataFrame:
-    return P.describe_census(i.staffing(), DIGITS)
+    return P.describe_census(i.typed(), DIGITS)
 
 
 _HOURS3 = ["hrs_rn", "hrs_lpn", "hrs_cna"]
 
 
 @register("describe_hours", O.with_ctes(
-    f"SELECT d.*, n.negative FROM ({O.describe_sql('staffing', _HOURS3)}) d JOIN ("
+    f"SELECT d.*, n.negative FROM ({O.describe_sql('typed', _HOURS3)}) d JOIN ("
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {O.count_if(f'{c} < 0')} AS negative FROM staffing"
+        f"SELECT '{c}' AS column_name, {O.count_if(f'{c} < 0')} AS negative FROM typed"
         for c in _HOURS3
     )
     + ") n USING (column_name)",
-    ["staffing"],
+    ["typed"],
 ))
 def _describe_hours(i: Inputs) -> DataFrame:
-    return P.describe_hours(i.staffing(), DIGITS)
+    return P.describe_hours(i.typed(), DIGITS)
 
 
 def _recon_sql() -> str:
@@ -704,33 +763,29 @@ _PROFILE_PCT = f"""
     SELECT CASE WHEN {_PROFILE_TOTAL} > 0
                 THEN (hrs_rn_ctr + hrs_lpn_ctr + hrs_cna_ctr) / {_PROFILE_TOTAL} * 100.0E0
            END AS contract_dependency_pct
-    FROM staffing"""
+    FROM typed"""
 
 
 @register("contract_pct_profile", O.with_ctes(
     f"SELECT d.*, b.* FROM ({O.describe_sql('p', ['contract_dependency_pct'])}) d, "
     f"(SELECT {O.count_if('contract_dependency_pct < 0 OR contract_dependency_pct > 100')}"
     " AS invalid_pct FROM p) b",
-    ["staffing"], [("p", _PROFILE_PCT)],
+    ["typed"], [("p", _PROFILE_PCT)],
 ))
 def _contract_pct_profile(i: Inputs) -> DataFrame:
-    return P.contract_pct_profile(i.staffing(), DIGITS)
-
+    return P.contract_pct_profile(i.typed(), DIGITS)
 
-# Rows-only checks (no SQL oracle): file provenance, schema listing, sample.
 
-
-@register("rows_per_source_file")
+@register("rows_per_source_file", O.with_ctes(
+    "SELECT 'q' || quarter(workdate) AS source_file, COUNT(*) AS rows FROM staffing GROUP BY ALL", ["staffing"]))
 def _rows_per_source_file(i: Inputs) -> DataFrame:
-    li = M.table(i.spark, i.sf_dir, "lineitem").select(
-        F.col("_metadata.file_path").alias("source_file")
-    )
-    return P.rows_per_source_file(li)
+    raw = files.read_csv(i.spark, i.raw_csv()["pbj"])
+    # Spark names the files at random, so they are told apart by their folder.
+    folder = F.regexp_extract(files.SOURCE_FILE, "/([^/]+)/[^/]+$", 1)
+    return P.rows_per_source_file(raw.withColumn(files.SOURCE_FILE, folder))
 
 
-@register("schema_listing")
-def _schema_listing(i: Inputs) -> DataFrame:
-    return P.schema_listing(i.daily())
+# Rows-only check (no SQL oracle): which rows a sample holds is open.
 
 
 @register("sample_rows")
@@ -831,29 +886,15 @@ def _state_conflicts(i: Inputs) -> DataFrame:
     return P.state_conflicts(i.staffing())
 
 
-_BANDS_SQL = f"""
-    SELECT CASE WHEN total_direct_hprd < 3.0E0 THEN '< 3.0 HPRD'
-                WHEN total_direct_hprd < 4.0E0 THEN '3.0 - 3.99 HPRD'
-                WHEN total_direct_hprd < 5.0E0 THEN '4.0 - 4.99 HPRD'
-                ELSE '5.0+ HPRD' END AS staffing_group,
-           {O.r6("AVG(rehospitalization_rate)")} AS avg_rehospitalization_rate,
-           {O.r6("AVG(short_stay_ed_rate)")} AS avg_short_stay_ed_rate,
-           {O.r6("AVG(overall_rating)")} AS avg_overall_rating,
-           {O.r6("AVG(staffing_rating)")} AS avg_staffing_rating
-    FROM facility_analytics
-    WHERE rehospitalization_rate IS NOT NULL
-    GROUP BY 1"""
-
-
 @register("band_outcomes", O.with_ctes(
-    "SELECT staffing_group, avg_rehospitalization_rate, avg_short_stay_ed_rate FROM b",
-    ["facility_analytics"], [("b", _BANDS_SQL)]))
+    f"SELECT staffing_group, {_rounded(V.S.BAND_AVERAGES[1:3], 'round({}, 6)')} FROM band_averages",
+    ["band_averages"]))
 def _band_outcomes(i: Inputs) -> DataFrame:
     return R.band_outcomes(V.staffing_bands(i.published_analytics(), DIGITS))
 
 
 @register("band_ratings", O.with_ctes(
-    "SELECT staffing_group, avg_overall_rating, avg_staffing_rating FROM b",
-    ["facility_analytics"], [("b", _BANDS_SQL)]))
+    f"SELECT staffing_group, {_rounded(V.S.BAND_AVERAGES[3:], 'round({}, 6)')} FROM band_averages",
+    ["band_averages"]))
 def _band_ratings(i: Inputs) -> DataFrame:
     return R.band_ratings(V.staffing_bands(i.published_analytics(), DIGITS))

@@ -143,27 +143,29 @@ def match_count(filtered: DataFrame) -> DataFrame:
     return filtered.agg(F.count(F.lit(1)).alias("matching_facilities"))
 
 
-EXPLORER_TABLE_COLUMNS = [
-    "provnum", "provider_name", "city", "ownership_type", "certified_beds",
-    "overall_rating", "staffing_rating", "rn_hprd", "lpn_hprd", "cna_hprd",
-    "total_direct_hprd", "contract_dependency_pct", "rehospitalization_rate",
-    "short_stay_ed_rate", "hospitalizations_per_1000", "long_stay_ed_visits_per_1000",
-]
-EXPLORER_ROUNDED = [
-    "rn_hprd", "lpn_hprd", "cna_hprd", "total_direct_hprd", "contract_dependency_pct",
-    "rehospitalization_rate", "short_stay_ed_rate", "hospitalizations_per_1000",
-    "long_stay_ed_visits_per_1000",
-]
+def _displayed(df: DataFrame, rounded: list[str]) -> DataFrame:
+    """``df`` with the named columns rounded for display."""
+    return df.select(*[display_round(c).alias(c) if c in rounded else F.col(c) for c in df.columns])
+
+
+def state_table(overview: DataFrame) -> DataFrame:
+    """The state comparison with its metrics rounded for display."""
+    return _displayed(overview, S.STATE_TABLE_ROUNDED)
+
+
+def trend_table(trend: DataFrame) -> DataFrame:
+    """The daily series with its metrics rounded for display."""
+    return _displayed(trend, S.TREND_COLUMNS[1:])
+
+
+def band_table(bands: DataFrame) -> DataFrame:
+    """The staffing bands with their averages rounded for display."""
+    return _displayed(bands, S.BAND_AVERAGES)
 
 
 def explorer_table(filtered: DataFrame) -> DataFrame:
     """The 16-column facility table with metric columns rounded for display."""
-    return filtered.select(
-        *[
-            display_round(c).alias(c) if c in EXPLORER_ROUNDED else F.col(c)
-            for c in EXPLORER_TABLE_COLUMNS
-        ]
-    )
+    return _displayed(filtered.select(*S.EXPLORER_TABLE_COLUMNS), S.EXPLORER_ROUNDED)
 
 
 def facility_labels(facilities: DataFrame) -> DataFrame:
@@ -177,12 +179,6 @@ def facility_labels(facilities: DataFrame) -> DataFrame:
     )
 
 
-TREND_COLUMNS = [
-    "workdate", "mdscensus", "rn_hprd", "lpn_hprd", "cna_hprd",
-    "total_direct_hprd", "contract_dependency_pct",
-]
-
-
 def daily_trend(facility_metrics: DataFrame, state: str, provnum: str) -> DataFrame:
     """One facility's daily series, ordered by day.
 
@@ -191,7 +187,7 @@ def daily_trend(facility_metrics: DataFrame, state: str, provnum: str) -> DataFr
     """
     return (
         facility_metrics.where((F.col("state") == F.lit(state)) & (F.col("provnum") == F.lit(provnum)))
-        .select(*TREND_COLUMNS)
+        .select(*S.TREND_COLUMNS)
         .orderBy("workdate")
     )
 

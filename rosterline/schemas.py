@@ -158,6 +158,32 @@ RATING_LABELS = [
     ("Staffing", "avg_staffing_rating"),
 ]
 
+# Display tables: columns in order, and those rounded for display.
+EXPLORER_TABLE_COLUMNS = [
+    "provnum", "provider_name", "city", "ownership_type", "certified_beds",
+    "overall_rating", "staffing_rating", "rn_hprd", "lpn_hprd", "cna_hprd",
+    "total_direct_hprd", "contract_dependency_pct", "rehospitalization_rate",
+    "short_stay_ed_rate", "hospitalizations_per_1000", "long_stay_ed_visits_per_1000",
+]
+EXPLORER_ROUNDED = [
+    "rn_hprd", "lpn_hprd", "cna_hprd", "total_direct_hprd", "contract_dependency_pct",
+    "rehospitalization_rate", "short_stay_ed_rate", "hospitalizations_per_1000",
+    "long_stay_ed_visits_per_1000",
+]
+TREND_COLUMNS = [
+    "workdate", "mdscensus", "rn_hprd", "lpn_hprd", "cna_hprd",
+    "total_direct_hprd", "contract_dependency_pct",
+]
+STATE_TABLE_ROUNDED = [
+    "total_resident_days", "rn_hprd", "lpn_hprd", "cna_hprd", "total_direct_hprd",
+    "contract_dependency_pct", "avg_overall_rating", "avg_health_inspection_rating",
+    "avg_qm_rating", "avg_staffing_rating",
+]
+BAND_AVERAGES = [
+    "avg_total_hprd", "avg_rehospitalization_rate", "avg_short_stay_ed_rate",
+    "avg_overall_rating", "avg_staffing_rating",
+]
+
 UNKNOWN_FACILITY = "Unknown Facility"
 LABEL_SEPARATOR = " — "
 
@@ -212,6 +238,23 @@ PROVIDER_SCHEMA = T.StructType(
 )
 CLAIMS_SCHEMA = T.StructType([T.StructField(name, _TYPES[t]) for _, name, t in CLAIMS_COLUMNS])
 
+_DERIVED = [
+    "total_direct_hours", "contract_direct_hours", "rn_hprd", "lpn_hprd", "cna_hprd",
+    "total_direct_hprd", "contract_dependency_pct",
+]
+_PROVIDER_TYPE = {name: _TYPES[t] for _, name, t in PROVIDER_COLUMNS}
+_STAMP = T.TimestampType()
+
+# Published tables: the enriched daily table (partitioned by state) and the claims.
+FACILITY_METRICS_SCHEMA = T.StructType(
+    [*STAFFING_SCHEMA.fields]
+    + [T.StructField(n, T.DoubleType()) for n in _DERIVED]
+    + [T.StructField("etl_processed_at", _STAMP)]
+    + [T.StructField(dst, _PROVIDER_TYPE[src]) for src, dst in PROVIDER_ENRICHMENT]
+    + [T.StructField("facility_metrics_processed_at", _STAMP)]
+)
+PUBLISHED_CLAIMS_SCHEMA = T.StructType([*CLAIMS_SCHEMA.fields, T.StructField("etl_processed_at", _STAMP)])
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("file_id", T.StringType()),

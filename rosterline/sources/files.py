@@ -64,7 +64,11 @@ def select_by_header(df: DataFrame, headers: list[str], keep: list[str] | None =
     cols = []
     for h in headers:
         src = by_lower.get(h.lower())
-        cols.append((F.col(f"`{src}`") if src else F.lit(None).cast("string")).alias(h))
+        if src == h:
+            # No alias: constraints over many aliased columns multiply in the optimizer.
+            cols.append(F.col(f"`{src}`"))
+        else:
+            cols.append((F.col(f"`{src}`") if src else F.lit(None).cast("string")).alias(h))
     for k in keep or []:
         if k in df.columns:
             cols.append(F.col(k))

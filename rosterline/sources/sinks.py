@@ -17,6 +17,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def run_path(base: str, run_id: str) -> str:
@@ -39,39 +40,33 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    """A small report (schema listing, null profile) as one CSV file with header."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    """A report as CSV with header: one file while it is small.
+
+    AQE joins the parts of a small result; a large report keeps several files.
+    """
+    df.hint("rebalance").write.mode("overwrite").option("header", "true").csv(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def register_temp_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Session-scoped table over a Parquet directory (partitions discovered)."""
-    df = spark.read.parquet(path)
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def register_external_table(
-    spark: SparkSession, name: str, path: str, partition_col: str | None = None
+    spark: SparkSession, name: str, path: str, schema: T.StructType, partition_col: str | None = None
 ) -> None:
-    """Catalog table over a Parquet location, with partitions registered.
+    """Catalog table over a Parquet location with the given columns.
 
-    ``CREATE TABLE ... USING PARQUET LOCATION`` infers the columns from the
-    files; ``MSCK REPAIR TABLE`` registers the partition directories, which a
-    bare DDL would not.
+    The columns are fixed, not read from the files, so a run with other columns
+    cannot change the table; in a persistent catalog every session sees it.
+    ``MSCK REPAIR TABLE`` registers the partition folders, which a bare DDL
+    would not.
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     part = f" PARTITIONED BY ({partition_col})" if partition_col else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING PARQUET{part} LOCATION '{path}'")
     if partition_col:
-        cols = spark.read.parquet(path).schema
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols)
-        spark.sql(f"CREATE TABLE {name} ({ddl}) USING PARQUET{part} LOCATION '{path}'")
         spark.sql(f"MSCK REPAIR TABLE {name}")
-    else:
-        spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{path}'")
 
 
 def null_partition_rows(df: DataFrame, partition_col: str) -> DataFrame:

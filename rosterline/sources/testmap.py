@@ -213,6 +213,8 @@ def staffing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Defects planted in the raw-text rendition, keyed by day of month.
 PADDED_ID_DAY, BLANK_ID_DAY, BAD_DATE_DAY = 1, 2, 3
 NULL_CENSUS_DAY, NEGATIVE_CENSUS_DAY, BAD_HOURS_DAY, EMPTY_ROW_DAY = 4, 5, 6, 7
+NEGATIVE_HOURS_DAY, OVER_CONTRACT_DAY = 8, 9
+OVER_CONTRACT_HOURS = 1000.0
 
 
 def staffing_raw_text(staffing: DataFrame) -> DataFrame:
@@ -221,7 +223,8 @@ def staffing_raw_text(staffing: DataFrame) -> DataFrame:
 
     Defects are planted by day of month: padded id (kept, trimmed), blank id,
     unparseable date, missing census, negative census (all dropped), text in an
-    hour column (becomes NULL) and an all-empty row (dropped).
+    hour column (becomes NULL), an all-empty row (dropped), negative RN hours and
+    RN contract hours above the total (both kept and counted).
     """
     d = staffing
     dom = F.dayofmonth("workdate")
@@ -246,7 +249,10 @@ def staffing_raw_text(staffing: DataFrame) -> DataFrame:
     for header, name in S.hour_columns():
         v = F.col(name).cast("string")
         if name == S.hrs("RN"):
-            v = F.when(dom == BAD_HOURS_DAY, F.lit("x")).otherwise(v)
+            v = F.when(dom == BAD_HOURS_DAY, F.lit("x")).when(
+                dom == NEGATIVE_HOURS_DAY, (-F.col(name)).cast("string")).otherwise(v)
+        if name == S.hrs("RN", "_ctr"):
+            v = F.when(dom == OVER_CONTRACT_DAY, F.lit(str(OVER_CONTRACT_HOURS))).otherwise(v)
         hours.append(keep(v).alias(header))
     dims = [keep(F.col(n)).alias(h) for h, n in S.STAFFING_DIMENSIONS if n != "provnum"]
     return d.select(
@@ -316,6 +322,43 @@ def as_raw_text(df: DataFrame, layout: list[tuple[str, str, str]]) -> DataFrame:
     return df.select(*[F.col(n).cast("string").alias(h) for h, n, _ in layout])
 
 
+def provider_raw_text(provider: DataFrame) -> DataFrame:
+    """Provider rows as the raw file carries them, with duplicate ids (padded, and
+    with a name that sorts last) and rows without an id."""
+    raw = as_raw_text(provider, S.PROVIDER_COLUMNS)
+    key, name = S.PROVIDER_COLUMNS[0][0], S.PROVIDER_COLUMNS[1][0]
+    again = raw.withColumn(key, F.concat(F.lit(" "), F.col(f"`{key}`"), F.lit(" "))).withColumn(name, F.lit("~ repeated"))
+    blank = raw.withColumn(key, F.lit(None).cast("string"))
+    return raw.unionByName(again).unionByName(blank)
+
+
+def claims_raw_text(claims: DataFrame) -> DataFrame:
+    """Claims rows as the raw file carries them: measure codes with a decimal, and
+    rows whose id is missing or whose measure code is text."""
+    raw = as_raw_text(claims, S.CLAIMS_COLUMNS)
+    key, measure = S.CLAIMS_COLUMNS[0][0], S.CLAIMS_COLUMNS[1][0]
+    pointed = raw.withColumn(measure, F.concat(F.col(f"`{measure}`"), F.lit(".0")))
+    no_id = raw.withColumn(key, F.lit(None).cast("string"))
+    no_code = raw.withColumn(measure, F.lit("n/a"))
+    return pointed.unionByName(no_id).unionByName(no_code)
+
+
+def quarter_folders(base: str) -> list[str]:
+    return [f"{base}/q{q}" for q in (1, 2, 3, 4)]
+
+
+def write_defective_csv(spark: SparkSession, staffing: DataFrame, provider: DataFrame, claims: DataFrame, out: str) -> dict:
+    """Whole raw CSV inputs with planted defects: staffing in a folder a quarter."""
+    def put(df: DataFrame, path: str) -> None:
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+    for q, path in enumerate(quarter_folders(f"{out}/pbj"), 1):
+        put(staffing_raw_text(staffing.where(F.quarter("workdate") == q)), path)
+    put(provider_raw_text(provider), f"{out}/provider")
+    put(claims_raw_text(claims), f"{out}/claims")
+    return {"pbj": quarter_folders(f"{out}/pbj"), "provider": f"{out}/provider", "claims": f"{out}/claims"}
+
+
 def write_raw_inputs(spark: SparkSession, sf_dir: str, out: str, staffing: DataFrame | None = None) -> dict:
     """Write the three raw CSV inputs of the batch pipeline under ``out``."""
     st = staffing if staffing is not None else staffing_daily(spark, sf_dir)

@@ -90,8 +90,7 @@ def test_run_ingestion_checkpoints_per_source(spark, tmp_dir):
     with pytest.raises(MF.IngestionError):
         MF.run_ingestion(spark, listing, base, ["pbj", "support"], copy_all, folder="f")
     # one manifest version per source; failed and native files are not recorded
-    stored = spark.read.parquet(base)
-    assert sorted(r[0] for r in stored.select("manifest_version").distinct().collect()) == ["0", "1"]
+    assert MF._versions(spark, base) == [0, 1]
     ids = {r.file_id for r in MF.read_manifest(spark, base).collect()}
     assert ids == {"new", "newer", "older", "same"}
 
@@ -123,3 +122,51 @@ def test_lake_folder_listing_detects_new_and_modified(spark, tmp_dir):
     second = MF.listing_from_folder(spark, folder, "pbj", "*.csv")
     got = {r.name: r.status for r in MF.classify(second, state).collect()}
     assert got == {"a.csv": "SKIPPED", "b.csv": "MODIFIED"}
+
+
+def test_nested_files_are_not_in_the_folder(spark, tmp_dir):
+    import os
+
+    folder = os.path.join(tmp_dir, "landing")
+    for sub in ("q1", "q2"):
+        os.makedirs(os.path.join(folder, sub))
+        with open(os.path.join(folder, sub, "data.csv"), "w") as fh:
+            fh.write("PROVNUM\n1\n")
+    with open(os.path.join(folder, "top.csv"), "w") as fh:
+        fh.write("PROVNUM\n1\n")
+    listing = MF.listing_from_folder(spark, folder, "pbj", "*.csv")
+    parents = {r.name: r.parent for r in listing.collect()}
+    top = parents["top.csv"]
+    assert top.endswith("/landing") and parents["data.csv"].rsplit("/", 1)[0] == top
+    assert [r.name for r in MF.in_folder(listing, top).collect()] == ["top.csv"]
+    # without the folder test both nested files take one key: nothing is copied
+    with pytest.raises(MF.KeyCollisionError, match="pbj/data.csv"):
+        MF.run_ingestion(spark, listing, f"{tmp_dir}/state", ["pbj"], lambda files: pytest.fail("copied"))
+
+
+def test_only_the_latest_version_is_read_and_few_are_kept(spark, tmp_dir):
+    base = f"{tmp_dir}/manifest"
+    for _ in range(MF.KEPT_VERSIONS + 2):
+        MF.write_manifest(_manifest(spark), base)
+    versions = MF._versions(spark, base)
+    assert len(versions) == MF.KEPT_VERSIONS and versions[-1] == MF.KEPT_VERSIONS + 1
+    files = MF.read_manifest(spark, base).inputFiles()
+    assert files and all(f"manifest_version={versions[-1]}/" in f for f in files)
+
+
+def test_broken_state_is_not_a_first_run(spark, tmp_dir):
+    import os
+
+    base = f"{tmp_dir}/manifest"
+    MF.write_manifest(_manifest(spark), base)
+    for f in os.listdir(f"{base}/manifest_version=0"):
+        if f.endswith(".parquet"):
+            with open(f"{base}/manifest_version=0/{f}", "w") as fh:
+                fh.write("not parquet")
+    with pytest.raises(Exception):
+        MF.read_manifest(spark, base).collect()
+
+
+def test_ingestion_needs_a_source(spark, tmp_dir):
+    with pytest.raises(ValueError):
+        MF.run_ingestion(spark, _listing(spark), f"{tmp_dir}/state", [], lambda f: f)

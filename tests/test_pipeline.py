@@ -38,7 +38,11 @@ def test_counts_and_guards(spark, run):
     assert rep.coverage["coverage_pct"] >= 95.0
     assert rep.summaries["dataset"][0]["rows"] == st["valid_rows"]
     assert sum(s["rows"] for s in rep.summaries["states"]) == st["valid_rows"]
-    assert len(rep.summaries["files"]) == 3
+    assert rep.summaries["files"][0]["files"] == 3 and rep.summaries["files"][0]["rows"] == st["raw_rows"]
+    assert st["present_rows"] + st["dropped_empty"] == st["raw_rows"]
+    dropped = [st[f"dropped_{n}"] for n in ("blank_id", "bad_date", "missing_census", "negative_census")]
+    assert all(dropped) and st["present_rows"] - sum(dropped) == st["valid_rows"]
+    assert st["negative_hour_rows"] > 0
 
 
 def test_sql_views_equal_dataframe_views(spark, run):
@@ -72,11 +76,51 @@ def test_trend_query_prunes_state_partition(spark, run):
 
 
 def test_materialised_summary_prunes(spark, run):
-    r = spark.table("facility_analytics").select("state").first()
-    q = spark.table("facility_analytics").where(F.col("state") == r.state)
+    r = spark.table("vw_facility_analytics").select("state").first()
+    q = sql_views.facility_query(spark, r.state)
     assert "PartitionFilters: [isnotnull(state" in q._jdf.queryExecution().executedPlan().toString()
-    full = spark.table("vw_facility_analytics").where(F.col("state") == r.state)
-    assert q.count() == full.count()
+    assert q.count() == spark.table("vw_facility_analytics").toPandas().state.eq(r.state).sum() > 0
+
+
+def test_published_plan_hashes_the_daily_rows(spark, run):
+    """What publish writes: no sort aggregate reads the daily rows."""
+    from rosterline.plans import views as V
+
+    paths, _ = run
+    daily = spark.read.parquet(paths.curated("staffing_metrics")).drop("etl_processed_at")
+    provider = spark.read.parquet(paths.curated("provider_info")).drop("etl_processed_at")
+    for df in (V.facility_summary(daily, provider), V.state_summary(daily, provider)):
+        df.collect()
+        for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+            assert "SortAggregate" not in line or ("state" in line and "sum(" not in line)
+
+
+def test_published_columns_are_fixed(spark, run):
+    from rosterline import schemas as S
+
+    assert set(spark.table("facility_metrics").columns) == set(S.FACILITY_METRICS_SCHEMA.names)
+    assert "source_file" not in spark.table("facility_metrics").columns
+    assert spark.table("facility_metrics").where("etl_processed_at IS NULL").count() == 0
+    assert set(spark.table("quality_claims").columns) == set(S.PUBLISHED_CLAIMS_SCHEMA.names)
+
+
+def test_no_valid_row_and_repeated_days_are_errors(spark, tmp_path):
+    from helpers import write_csv
+
+    from rosterline import schemas as S
+    from rosterline.operators.enrich import GuardError
+
+    head = S.STAFFING_SOURCE_HEADERS
+    for rows in ([], [[None] * len(head)]):
+        path = write_csv(str(tmp_path / f"raw{len(rows)}" / "a.csv"), head, rows)
+        with pytest.raises(GuardError, match="no valid staffing row"):
+            PL.run_staffing(spark, path, str(tmp_path / f"out{len(rows)}"))
+    good = dict.fromkeys(head, "1") | {"PROVNUM": "7", "STATE": "TX", "WorkDate": "20240401"}
+    path = write_csv(str(tmp_path / "twice" / "a.csv"), head, [[good[h] for h in head]] * 2)
+    PL.run_staffing(spark, path, str(tmp_path / "st"))
+    spark.createDataFrame([], S.PROVIDER_SCHEMA).write.parquet(str(tmp_path / "pr"))
+    with pytest.raises(GuardError, match="repeat a facility and day"):
+        PL.run_enrichment(spark, str(tmp_path / "st"), str(tmp_path / "pr"), str(tmp_path / "out"))
 
 
 def test_external_tables_and_report_sink(spark, run, tmp_path):
@@ -84,8 +128,12 @@ def test_external_tables_and_report_sink(spark, run, tmp_path):
     from rosterline.sources import sinks
 
     paths, _ = run
-    sinks.register_external_table(spark, "ext_facility_metrics", paths.curated("facility_metrics"), "state")
-    sinks.register_external_table(spark, "ext_quality_claims", paths.curated("quality_claims"))
+    from rosterline import schemas as S
+
+    sinks.register_external_table(
+        spark, "ext_facility_metrics", paths.curated("facility_metrics"), S.FACILITY_METRICS_SCHEMA, "state")
+    sinks.register_external_table(
+        spark, "ext_quality_claims", paths.curated("quality_claims"), S.PUBLISHED_CLAIMS_SCHEMA)
     assert spark.table("ext_facility_metrics").count() == spark.table("facility_metrics").count()
     assert spark.table("ext_quality_claims").count() > 0
     st = spark.table("facility_metrics").select("state").first().state
@@ -106,7 +154,6 @@ def test_job_report_counters(run):
     _, rep = run
     st = rep.counts["staffing"]
     assert st["default_partition_rows"] == 0
-    assert rep.summaries["duplicate_days"][0]["duplicate_key_rows"] == 0
     assert rep.summaries["state_conflicts"][0]["facilities_in_several_states"] == 0
 
 

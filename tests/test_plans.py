@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from rosterline.plans import registry
 
-QUERIES = E.queries()
+QUERIES = registry.queries()
 
 
 def _plan(spark, name):
@@ -53,6 +53,6 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "state_ranking")
 
 
-def test_dimension_join_is_broadcast_after_check(spark):
+def test_written_dimension_is_broadcast_by_its_size(spark):
     plan = _plan(spark, "enrich_left")
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
