@@ -76,17 +76,20 @@ def test_figures_probed_in_fixtures(spark):
     """FIXTURES.md section 4.5 lists values probed independently at sf0.01."""
     import __spark_entry__ as E
 
+    from rosterline.operators import profile as P
+
     q, sf = E.queries(), "/root/testdata/sf0.01"
+    curated = RG.Inputs(spark, sf).staffing()  # before defects are planted
     ds = q["dataset_summary"](spark, sf).first()
     assert (ds.rows, ds.facilities, ds.dates) == (53307, 100, 2499)
     assert q["state_options"](spark, sf).count() == 25
     nat = q["national_kpis"](spark, sf).first()
     assert nat.total_resident_days == 376149.75 and round(nat.total_direct_hprd, 4) == 4.0519
     assert round(nat.contract_dependency_pct, 2) == 50.02
-    assert q["describe_census"](spark, sf).first().zero_census == 6886
-    nulls = {r.column_name: r.null_count for r in q["null_profile"](spark, sf).collect()}
+    assert P.describe_census(curated).first().zero_census == 6886
+    nulls = {r.column_name: r.null_count for r in P.null_profile(curated).collect()}
     assert nulls["hrs_rn"] == 34062
-    assert q["negative_hours"](spark, sf).first()["negative_hrs_natrn"] == 163
+    assert P.negative_hours(curated).first()["negative_hrs_natrn"] == 163
     assert {r.role: r.mismatches for r in q["reconciliation"](spark, sf).collect()}["RN"] == 1427
     assert q["unmatched_ids"](spark, sf).count() == 2
     assert q["duplicate_keys"](spark, sf).first().duplicate_key_rows == 6693
