@@ -40,8 +40,11 @@ from rosterline.llm.common import written
 from rosterline.llm.textgrams import Words, pieces_of, text_bytes, windows, words_of
 
 WINDOW, GRAM = 35, 8
-#: Places of a minimiser beyond which its windows are counted one by one.
-HOT_PLACES = 2000
+#: Places of a minimiser beyond which its windows are counted one by one: what one
+#: bucket may hold in a task's memory (some 18 windows a place).
+HOT_PLACES = 25_000
+#: Rows of a bucket beyond which windows are compared by 128-bit hashes, not words.
+LONG_BUCKET = 2000
 _NAME = ["k1", "k2"]
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -75,6 +78,10 @@ def minimisers(words: Words, window: int = WINDOW, gram: int = GRAM) -> tuple[np
     return start, least[start], place, runs[place]
 
 
+def _hash(window: bytes) -> bytes:
+    return hashlib.blake2b(window, digest_size=16).digest()
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
@@ -126,7 +133,7 @@ def _travel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield int(own[a]), None, k1, k2, lo, b" ".join(text[lo : hi + WINDOW])
                 elif state[a] == 2:
                     for p in range(lo, hi + 1):
-                        name = hashlib.blake2b(b" ".join(text[p : p + WINDOW]), digest_size=16).digest()
+                        name = _hash(b" ".join(text[p : p + WINDOW]))
                         yield *(int(x) for x in np.frombuffer(name, np.int64)), k1, k2, p, None
 
     for batch in batches:
@@ -145,11 +152,16 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from zip(*(batch.column(c).to_pylist() for c in names))
 
     def repeated(rows) -> Iterator[tuple[int, int, int]]:
+        rows = list(rows)
+        short = len(rows) <= LONG_BUCKET
         found = []
         for _, k1, k2, start, packed in rows:
             words = packed.split(b" ")
-            found += [(b" ".join(words[i : i + WINDOW]), k1, k2, start + i) for i in range(len(words) - WINDOW + 1)]
-        found = sorted(set(found))  # the rows that stand for one text give the same place
+            for i in range(len(words) - WINDOW + 1):
+                window = b" ".join(words[i : i + WINDOW])
+                found.append((window if short else _hash(window), k1, k2, start + i))
+        found.sort()
+        found = [f for f, _ in groupby(found)]  # rows that stand for one text give the same place
         for i, (w, *place) in enumerate(found):
             if (i and found[i - 1][0] == w) or (i + 1 < len(found) and found[i + 1][0] == w):
                 yield place
