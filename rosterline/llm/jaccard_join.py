@@ -12,8 +12,10 @@ the join runs between classes, one set for all copies.
    Sets above COMBINED_SIZE, whose prefixes would give too many pairs, use k = 1;
    sets near the border are indexed both ways, so no link is lost.
 3. Candidates meet by key and pass filters that never reject a link: size,
-   position, and the distance of 128-bit parity maps.
-4. Verification compares the whole sets of the candidates.
+   position, and the distance of 128-bit parity maps.  Sets that share many keys
+   would meet at each; a key carries the token before it, and two sets with the
+   same one have met before, so a pair comes out about once.
+4. Verification compares the whole sets of the candidates, block by block.
 5. Links between classes give components; a component's id is its least doc_id.
 
 Tokens are 64-bit hashes of shingles.  Words are runs of bytes other than white
@@ -27,6 +29,7 @@ are; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +45,9 @@ from rosterline.llm.textgrams import mix, pieces_of, shingle_sets, words_of
 CELL_BITS, SKETCH_BLOCKS = 20, 64
 #: Largest set whose prefix is indexed by pairs of frequent tokens.
 COMBINED_SIZE = 400
+#: Bytes of sets in a block of pairs to verify.
+BLOCK_BYTES = 4 << 20
+LEAST_BLOCKS = 16
 
 
 # ---------------------------------------------------------------------------
@@ -94,31 +100,47 @@ def token_counts(texts: DataFrame, n: int) -> np.ndarray:
 # ---------------------------------------------------------------------------
 
 
-def _keys(tokens: np.ndarray, counts: np.ndarray, percent: int, frequent: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of one set (tokens in the common order) and position + 1 of each (0: a pair)."""
-    size = len(tokens)
-    least = -(-percent * size // 100)
-    keys, places = [], []
+def _prefix(size: int, percent: int) -> int:
+    """Tokens of the longer prefix (k = 2)."""
+    return min(size, size - -(-percent * size // 100) + 2)
+
+
+def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
+    """(key, place, tail, tail2) of one set's prefix, whose first ``rare`` tokens are rare.
+
+    ``place`` is the token's position + 1, or 0 for a pair of frequent tokens.
+    ``tail`` is the token before the key (for a pair, before its second token, and
+    ``tail2`` before its first); two sets with equal tails share an earlier key, so
+    the join skips them here.  Without such a token the tail is the set's own name;
+    ``tail2`` is 0 for a single token.
+    """
+    before = np.r_[np.int64(name), tokens[:-1]]
+    p = len(tokens)
+    keys, places, tails, tails2 = [tokens[:0]], [tokens[:0]], [tokens[:0]], [tokens[:0]]
     if size <= COMBINED_SIZE:
-        p = min(size, size - least + 2)
-        often = np.flatnonzero(counts[:p] > frequent)
-        rare = np.flatnonzero(counts[:p] <= frequent)
-        keys.append(tokens[rare])
-        places.append(rare + 1)
-        i, j = np.triu_indices(len(often), 1)
-        pairs = np.sort(np.stack([tokens[often[i]], tokens[often[j]]]), axis=0)
-        keys.append(mix(pairs[0] * np.uint64(3) + mix(pairs[1])))
+        keys.append(tokens[:rare])
+        places.append(np.arange(1, rare + 1))
+        tails.append(before[:rare])
+        tails2.append(np.zeros(rare, np.int64))
+        i, j = np.triu_indices(p - rare, 1)
+        i, j = i + rare, j + rare
+        both = np.sort(np.stack([tokens[i], tokens[j]]).view(np.uint64), axis=0)
+        keys.append(mix(both[0] * np.uint64(3) + mix(both[1])).view(np.int64))
         places.append(np.zeros(len(i), np.int64))
+        # Only a frequent token before a pair's token makes an earlier pair.
+        tails.append(np.where(j > i + 1, before[j], name))
+        tails2.append(np.where(i > rare, before[i], name))
     if 100 * size >= percent * COMBINED_SIZE:
-        p = size - least + 1
-        keys.append(tokens[:p])
-        places.append(np.arange(1, p + 1))
-    keys, places = np.concatenate(keys), np.concatenate(places)
-    keys, first = np.unique(keys, return_index=True)
-    return keys, places[first]
+        short = p - 1 if p < size or size - -(-percent * size // 100) + 2 == size else p
+        start = rare if size <= COMBINED_SIZE else 0  # the rare ones are there already
+        keys.append(tokens[start:short])
+        places.append(np.arange(start + 1, short + 1))
+        tails.append(before[start:short])
+        tails2.append(np.zeros(max(short - start, 0), np.int64))
+    return tuple(np.concatenate(x) for x in (keys, places, tails, tails2))
 
 
-_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, keys array<long>, places array<long>"
+_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>"
 
 
 def _describe(n: int, percent: int, counts, frequent: float):
@@ -145,18 +167,36 @@ def _describe(n: int, percent: int, counts, frequent: float):
         order = np.argsort((doc << 32) | count, kind="stable")  # ties by hash, as the sets are sorted
         tokens, count = tokens[order], count[order]
         cut = np.searchsorted(doc, np.arange(rows + 1))
-        keys, places, lengths = [], [], []
-        for a, b in zip(cut[:-1], cut[1:]):
-            k, p = _keys(tokens[a:b], count[a:b], percent, frequent) if b > a else (tokens[:0], np.zeros(0, np.int64))
-            keys.append(k)
-            places.append(p)
-            lengths.append(len(k))
-        ends = pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32))
-        lists = [
-            pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x).astype(np.uint64).view(np.int64))) for x in (keys, places)
-        ]
-        flat = [pa.array(x) for x in (size, *sums, np.ascontiguousarray(bits[:, 0]), np.ascontiguousarray(bits[:, 1]))]
-        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, *lists], names=names)
+        length = np.minimum(size, size - -(-percent * size // 100) + 2)
+        inside = np.arange(len(tokens)) - cut[doc] < length[doc]
+        rare = np.bincount(doc[inside & (count <= frequent)], minlength=rows)
+        ends = pa.array(np.r_[0, np.cumsum(length)].astype(np.int32))
+        prefix = pa.ListArray.from_arrays(ends, pa.array(tokens[inside].view(np.int64)))
+        flat = [pa.array(x) for x in (size, *sums, np.ascontiguousarray(bits[:, 0]), np.ascontiguousarray(bits[:, 1]), rare.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, prefix], names=names)
+
+    return run
+
+
+def _index(percent: int):
+    """Index rows of every class."""
+    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                size, name, rare = (part.column(c).to_numpy() for c in ("size", "k1", "rare"))
+                lists = part.column("tokens")
+                flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+                got = [
+                    _keys(flat[ends[i] : ends[i + 1]], int(rare[i]), int(size[i]), percent, int(name[i]))
+                    for i in range(part.num_rows)
+                ]
+                own = np.repeat(np.arange(part.num_rows), [len(x[0]) for x in got])
+                key, place, tail, tail2 = (np.concatenate(x) for x in zip(*got))
+                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), tail, tail2]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
 
     return run
 
@@ -176,16 +216,28 @@ def _whole_sets(n: int):
 
 
 def _verify(percent: int):
+    """Links of each block: its sets come first, then its pairs."""
+
+    def linked(a: np.ndarray, b: np.ndarray) -> bool:
+        if len(a) > len(b):
+            a, b = b, a
+        shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+        return 100 * shared >= percent * (len(a) + len(b) - shared)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sets = None, {}
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                shared = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-                ok.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield batch.select(["u1", "u2", "v1", "v2"]).filter(pa.array(ok, pa.bool_()))
+            out = []
+            for own, name, other, tokens in zip(*(batch.column(c).to_pylist() for c in ("block", "name", "other", "tokens"))):
+                if own != block:
+                    block, sets = own, {}
+                if tokens is not None:
+                    sets.setdefault(name, []).append((other, np.frombuffer(tokens, np.uint64)))
+                else:
+                    for u2, a in sets[name]:
+                        out += [(name, u2, other, v2) for v2, b in sets[other] if linked(a, b)]
+            cols = zip(*out) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["u1", "u2", "v1", "v2"])
 
     return run
 
@@ -213,16 +265,16 @@ def classes_of(sets: DataFrame) -> DataFrame:
     """One row per distinct non-empty set: its keys, least id, and the row that stands for it."""
     return sets.where("size > 0").groupBy("k1", "k2").agg(
         F.first("size").alias("size"), F.first("b0").alias("b0"), F.first("b1").alias("b1"),
-        F.first("keys").alias("keys"), F.first("places").alias("places"),
+        F.first("rare").alias("rare"), F.first("tokens").alias("tokens"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1")).alias("rep"),
     )
 
 
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     """Distinct (u, v), u < v, of class names (k1) that may link."""
-    rows = classes.select(
-        F.col("k1").alias("name"), "size", "b0", "b1", F.explode(F.arrays_zip("keys", "places")).alias("z")
-    ).select("name", F.col("z.keys").alias("key"), (F.col("size") * (1 << 32) + F.col("z.places")).alias("sp"), "b0", "b1")
+    rows = classes.select("k1", "size", "b0", "b1", "rare", "tokens").mapInArrow(
+        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long"
+    )
     a, b = rows.alias("a"), rows.alias("b")
     size_a, size_b = F.shiftright("a.sp", 32), F.shiftright("b.sp", 32)
     place_a, place_b = (F.col(f"{x}.sp").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab")
@@ -235,6 +287,8 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.name") < F.col("b.name"))
         & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
+        & (F.col("a.tail") != F.col("b.tail"))
+        & ((F.col("a.tail2") == 0) | (F.col("a.tail2") != F.col("b.tail2")))
         & ((place_a == 0) | (place_b == 0) | (left >= need))
         & (apart <= both - 2 * need),
     ).select(F.col("a.name").alias("u"), F.col("b.name").alias("v")).distinct()
@@ -250,10 +304,16 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long"), _text_name(text).alias("t1"), text.alias("text"))
     chosen = texts.join(wanted, (F.col("t1") == F.col("_t1")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    whole = written(chosen.select("k1", "k2", "text").mapInArrow(_whole_sets(n), "k1 long, k2 long, tokens binary"), "whole")
-    x = whole.select(F.col("k1").alias("u"), F.col("k1").alias("u1"), F.col("k2").alias("u2"), F.col("tokens").alias("x"))
-    y = whole.select(F.col("k1").alias("v"), F.col("k1").alias("v1"), F.col("k2").alias("v2"), F.col("tokens").alias("y"))
-    rows = pairs.join(x, "u").join(y, "v").select("u1", "u2", "v1", "v2", "x", "y")
+    whole = chosen.select("k1", "k2", "text").mapInArrow(_whole_sets(n), "k1 long, k2 long, tokens binary")
+    # A set is sent once to each block of pairs that needs it, not with each pair:
+    # blocks lie in a square, so a set goes to one row and one column at most.
+    tokens = classes.join(named, "k1", "left_semi").agg(F.sum("size")).first()[0] or 0
+    side = math.isqrt(LEAST_BLOCKS + 8 * tokens // BLOCK_BYTES)
+    block = (F.pmod(F.xxhash64("u"), F.lit(side)) * side + F.pmod(F.xxhash64("v"), F.lit(side))).alias("block")
+    needed = pairs.select(block, F.explode(F.array("u", "v")).alias("k1")).distinct()
+    sets = needed.join(whole, "k1").select("block", F.lit(0).alias("kind"), F.col("k1").alias("name"), F.col("k2").alias("other"), "tokens")
+    asked = pairs.select(block, F.lit(1).alias("kind"), F.col("u").alias("name"), F.col("v").alias("other"), F.lit(None).cast("binary").alias("tokens"))
+    rows = sets.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind")
     return written(rows.mapInArrow(_verify(percent), "u1 long, u2 long, v1 long, v2 long").distinct(), "links")
 
 
