@@ -12,7 +12,7 @@ the join runs between classes, one set for all copies.
    Sets above COMBINED_SIZE, whose prefixes would give too many pairs, use k = 1;
    sets near the border are indexed both ways, so no link is lost.
 3. Candidates meet by key and pass filters that never reject a link: size,
-   position, and the distance of 128-bit parity maps.  Sets that share many keys
+   position, and the distance of 128-bit parity maps, then of 1024-bit ones.  Sets that share many keys
    would meet at each; a key carries the token before it, and two sets with the
    same one have met before, so a pair comes out about once.
 4. Verification compares the whole sets of the candidates, block by block.
@@ -45,6 +45,8 @@ from rosterline.llm.textgrams import mix, pieces_of, shingle_sets, words_of
 CELL_BITS, SKETCH_BLOCKS = 20, 64
 #: Largest set whose prefix is indexed by pairs of frequent tokens.
 COMBINED_SIZE = 400
+#: Bits of the parity map that candidates are held against before their sets are read.
+MAP_BITS = 1024
 #: Bytes of sets in a block of pairs to verify.
 BLOCK_BYTES = 4 << 20
 LEAST_BLOCKS = 16
@@ -140,7 +142,7 @@ def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
     return tuple(np.concatenate(x) for x in (keys, places, tails, tails2))
 
 
-_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>"
+_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>, map binary"
 
 
 def _describe(n: int, percent: int, counts, frequent: float):
@@ -163,6 +165,10 @@ def _describe(n: int, percent: int, counts, frequent: float):
             sums.append(total.view(np.int64))
         odd = np.bincount(doc * 128 + ((tokens >> np.uint64(16)) & np.uint64(127)).astype(np.int64), minlength=rows * 128) & 1
         bits = np.packbits(odd.astype(bool)).view(np.int64).reshape(rows, 2)
+        where = doc * MAP_BITS + ((tokens >> np.uint64(30)) & np.uint64(MAP_BITS - 1)).astype(np.int64)
+        wide = np.packbits((np.bincount(where, minlength=rows * MAP_BITS) & 1).astype(bool)).tobytes()
+        step = MAP_BITS // 8
+        maps = pa.array([wide[i * step : (i + 1) * step] for i in range(rows)], pa.binary())
         count = counts.value[_cells(tokens)]
         order = np.argsort((doc << 32) | count, kind="stable")  # ties by hash, as the sets are sorted
         tokens, count = tokens[order], count[order]
@@ -173,7 +179,7 @@ def _describe(n: int, percent: int, counts, frequent: float):
         ends = pa.array(np.r_[0, np.cumsum(length)].astype(np.int32))
         prefix = pa.ListArray.from_arrays(ends, pa.array(tokens[inside].view(np.int64)))
         flat = [pa.array(x) for x in (size, *sums, np.ascontiguousarray(bits[:, 0]), np.ascontiguousarray(bits[:, 1]), rare.astype(np.int32))]
-        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, prefix], names=names)
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, prefix, maps], names=names)
 
     return run
 
@@ -215,6 +221,22 @@ def _whole_sets(n: int):
     return run
 
 
+def _likely(percent: int):
+    """Pairs whose parity maps differ in no more bits than their sets may."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            both = batch.column("both").to_numpy()
+            need = (both * percent + 99 + percent) // (100 + percent)
+            yield batch.select(["u", "v"]).filter(pa.array(apart <= both - 2 * need))
+
+    return run
+
+
 def _verify(percent: int):
     """Links of each block: its sets come first, then its pairs."""
 
@@ -266,6 +288,7 @@ def classes_of(sets: DataFrame) -> DataFrame:
     return sets.where("size > 0").groupBy("k1", "k2").agg(
         F.first("size").alias("size"), F.first("b0").alias("b0"), F.first("b1").alias("b1"),
         F.first("rare").alias("rare"), F.first("tokens").alias("tokens"),
+        F.first("map").alias("map"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1")).alias("rep"),
     )
 
@@ -296,7 +319,11 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """(u1, u2, v1, v2): the verified links between classes, written."""
-    pairs = written(candidate_pairs(classes, percent), "pairs")
+    met = candidate_pairs(classes, percent)
+    x = classes.select(F.col("k1").alias("u"), F.col("size").alias("_a"), F.col("map").alias("x"))
+    y = classes.select(F.col("k1").alias("v"), F.col("size").alias("_b"), F.col("map").alias("y"))
+    mapped = met.join(x, "u").join(y, "v").select("u", "v", (F.col("_a") + F.col("_b")).alias("both"), "x", "y")
+    pairs = written(mapped.mapInArrow(_likely(percent), "u long, v long").distinct(), "pairs")
     named = pairs.select(F.explode(F.array("u", "v")).alias("k1")).distinct()
     wanted = classes.join(named, "k1", "left_semi").select(
         "k1", "k2", F.col("rep.doc_id").alias("_id"), F.col("rep.t1").alias("_t1")
