@@ -39,8 +39,8 @@ SCHEMA = (
 )
 #: Tokens that wait for a window before the pool is packed.
 POOL_TOKENS = 2_000_000
-#: Distinct chunks of text whose ids a Python worker keeps.
-CACHE_CHUNKS = 600_000
+#: Distinct chunks of text whose ids a task keeps.
+CACHE_CHUNKS = 400_000
 
 # A space between two non-space characters always begins a new pre-token, so
 # the chunks on both sides can be encoded alone.
@@ -90,6 +90,11 @@ class ChunkEncoder:
             elif w not in cache:
                 cache[w] = self._ids(prefix + w)
 
+    def forget(self) -> None:
+        """Drop what was learned; a worker process outlives its tasks."""
+        self._head.clear()
+        self._rest.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [_CUT.split(t) if _IRREGULAR.search(t) else t.split(" ") for t in texts]
         self._learn(self._rest, set().union(*(c[1:] for c in cut)), " ")
@@ -260,6 +265,7 @@ def pack(
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode(texts)):
                     packer.add(doc_id, ids + end)
             yield rows()
+        enc.forget()
         packer.finish()
         yield rows()
 
