@@ -6,12 +6,14 @@ lane by lane modulo powers of two.  The sum does not depend on the order, and a
 piece is added or removed by adding or subtracting its vector:
 
 * four strong lanes of 60 bits (from SHA-256) decide equality,
-* 48 narrow lanes take small entries of the same hash modulo 2^15, and a counter
-  takes the number of pieces; centred, they are a linear sketch, so the squared
-  distance of two sums estimates how many pieces the texts don't share.
-
-Native: four narrow lanes travel in one 60-bit number and are added at once by
-masking the top bit of each lane; everything is column expressions.  The only
+* 48 narrow lanes take small entries of the same hash, and a counter takes the
+  number of pieces; centred, they are a linear sketch, so the squared distance of
+  two sums estimates how many pieces the texts don't share.  A lane is a whole
+  number that no text is long enough to wrap; the text form shows it modulo 2^15.
+
+Native: within a block of BLOCK_PIECES pieces, which cannot overflow 15 bits, four
+narrow lanes travel in one 60-bit number and are added at once; the blocks' lanes
+are added as numbers of their own; everything is column expressions.  The only
 shuffle deals the documents to ranges of ids, where a window pairs each with the
 next; ranges come from quantiles, and the first row of a range is copied to the
 range before it, so no task sees more than its range.
@@ -30,10 +32,10 @@ PIECE = "[^\\n.!?]+[.!?]*"
 CHUNKS, SHIFTS, FIELDS = 4, (0, 4, 8), (0, 15, 30, 45)
 _FULL = (1 << 60) - 1
 _NIBBLES = sum(15 << f for f in FIELDS)
-_LOW = sum(0x3FFF << f for f in FIELDS)
-_TOP = sum(0x4000 << f for f in FIELDS)
 LANES = CHUNKS * len(SHIFTS) * len(FIELDS)
 _WORDS = CHUNKS * (1 + len(SHIFTS)) + 1
+#: Pieces whose entries of 15 at most fit a lane of 15 bits.
+BLOCK_PIECES = 0x7FFF // 15
 #: Rows of a range of ids, and ranges at most.
 RANGE_ROWS, MOST_RANGES = 2048, 10_000
 
@@ -42,14 +44,8 @@ def _long(x: int) -> Column:
     return F.lit(x).cast("long")
 
 
-def _add_lanes(a: Column, b: Column) -> Column:
-    """Sum modulo 2^15 in each of four lanes: low bits add, top bits are carried by xor."""
-    low = a.bitwiseAND(_long(_LOW)) + b.bitwiseAND(_long(_LOW))
-    return low.bitwiseXOR(a.bitwiseXOR(b).bitwiseAND(_long(_TOP)))
-
-
 def fingerprint(text: Column) -> Column:
-    """array<long>: number of pieces, strong lanes, packed narrow lanes."""
+    """array<long>: number of pieces, strong lanes, narrow lanes."""
     hashes = F.transform(
         F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)),
         lambda piece: F.sha2(piece, 256),
@@ -60,44 +56,58 @@ def fingerprint(text: Column) -> Column:
     )
 
     def step(acc: Column, c: Column) -> Column:
-        out = [(acc[0] + 1).bitwiseAND(_long(_FULL))]
+        out = [acc[0] + 1]
         out += [(acc[1 + i] + c[i]).bitwiseAND(_long(_FULL)) for i in range(CHUNKS)]
         for i in range(CHUNKS):
             for j, s in enumerate(SHIFTS):
                 entry = F.shiftright(c[i], s).bitwiseAND(_long(_NIBBLES))
-                out.append(_add_lanes(acc[1 + CHUNKS + i * len(SHIFTS) + j], entry))
+                out.append(acc[1 + CHUNKS + i * len(SHIFTS) + j] + entry)
         return F.array(*out)
 
-    return F.aggregate(chunks, F.array(*[_long(0)] * _WORDS), step)
+    def blocks(pieces: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), F.lit(BLOCK_PIECES))
+        none = F.array(*[_long(0)] * _WORDS)
+        return F.transform(starts, lambda at: F.aggregate(F.slice(pieces, at, F.lit(BLOCK_PIECES)), none, step))
+
+    def add(acc: Column, b: Column) -> Column:
+        out = [acc[0] + b[0]]
+        out += [(acc[1 + i] + b[1 + i]).bitwiseAND(_long(_FULL)) for i in range(CHUNKS)]
+        for k in range(LANES):
+            word = b[1 + CHUNKS + k // len(FIELDS)]
+            lane = F.shiftright(word, FIELDS[k % len(FIELDS)]).bitwiseAND(_long(0x7FFF))
+            out.append(acc[1 + CHUNKS + k] + lane)
+        return F.array(*out)
+
+    # The array around the chunks binds them to a name, so that they are made once.
+    sums = F.transform(F.array(chunks), blocks)[0]
+    return F.aggregate(sums, F.array(*[_long(0)] * (1 + CHUNKS + LANES)), add)
 
 
 def as_text(f: Column) -> Column:
-    """The vector as upper-case hex, 15 digits a number."""
-    return F.array_join(F.transform(f, lambda x: F.lpad(F.hex(x), 15, "0")), "-")
+    """The vector as upper-case hex, 15 digits a number, four narrow lanes modulo 2^15 in one."""
+    out = [f[i] for i in range(1 + CHUNKS)]
+    for k in range(1 + CHUNKS, 1 + CHUNKS + LANES, len(FIELDS)):
+        lanes = [F.shiftleft(f[k + j].bitwiseAND(_long(0x7FFF)), s) for j, s in enumerate(FIELDS)]
+        out.append(lanes[0] + lanes[1] + lanes[2] + lanes[3])
+    return F.array_join(F.transform(F.array(*out), lambda x: F.lpad(F.hex(x), 15, "0")), "-")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal vectors, else 1 - |a-b|^2 / (|a|^2 + |b|^2), 0 at least."""
-    lanes = F.sequence(F.lit(0), F.lit(LANES - 1))
-
-    def lane(v: Column, i: Column) -> Column:
-        word = F.element_at(v, F.expr(f"int({2 + CHUNKS})") + F.floor(i / len(FIELDS)).cast("int"))
-        return F.call_function("shiftright", word, (i % len(FIELDS)) * 15).bitwiseAND(_long(0x7FFF))
-
-    def centred(x: Column) -> Column:
-        return F.pmod(x + _long(1 << 15), _long(1 << 16)) - _long(1 << 15)
+    lanes = F.sequence(F.lit(2 + CHUNKS), F.lit(1 + CHUNKS + LANES))
 
     def norm(value) -> Column:
-        return F.aggregate(lanes, _long(0), lambda acc, i: acc + value(i) * value(i))
+        # Doubles: squares of the longest texts' lanes exceed a long; below 2^53 they are exact.
+        return F.aggregate(lanes, F.lit(0.0), lambda acc, i: acc + value(i).cast("double") * value(i).cast("double"))
 
     def own(v: Column):
-        return lambda i: centred(lane(v, i) * 2 - v[0] * 15)
+        return lambda i: F.element_at(v, i) * 2 - v[0] * 15
 
     def between(i: Column) -> Column:
-        return centred((lane(a, i) - lane(b, i)) * 2 - (a[0] - b[0]) * 15)
+        return (F.element_at(a, i) - F.element_at(b, i)) * 2 - (a[0] - b[0]) * 15
 
-    both = (norm(own(a)) + norm(own(b))).cast("double")
-    graded = F.greatest(F.lit(0.0), F.lit(1.0) - norm(between).cast("double") / F.nullif(both, F.lit(0.0)))
+    both = norm(own(a)) + norm(own(b))
+    graded = F.greatest(F.lit(0.0), F.lit(1.0) - norm(between) / F.nullif(both, F.lit(0.0)))
     return F.when(a == b, 1.0).otherwise(F.coalesce(graded, F.lit(0.0)))
 
 
@@ -161,7 +171,8 @@ def compare_edited(docs: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The same in DuckDB SQL
+# The same in DuckDB SQL (its narrow lanes are those of the text form: its likeness
+# holds for texts of up to BLOCK_PIECES pieces)
 # ---------------------------------------------------------------------------
 
 

@@ -266,6 +266,20 @@ def test_edited_ranges_split(spark, odd, small, monkeypatch):
     assert one.near_next == 1.0
 
 
+def test_likeness_of_a_line_repeated_past_a_lane(spark):
+    """Against the exact multiset likeness: k copies of a line and half of them are 0.8 alike."""
+    line = "the same line again\n"
+    for k in (2_000, 10_000, 30_000):
+        got = {r.doc_id: r for r in MH.compare_edited(frame(spark, [(2, line * k, "en", "a"), (1, "", "en", "a")])).collect()}
+        assert got[2].near_edited == pytest.approx(1 - (k / 2) ** 2 / (k**2 + (k / 2) ** 2), abs=1e-12)
+        assert got[2].near_next == got[1].near_next == 0 and got[1].near_edited == 1
+    texts = [line * 10_000 + "".join(f"line {i}\n" for i in range(5)), line * 9_000 + "".join(f"line {i}\n" for i in range(3))]
+    a, b = (collections.Counter(t.splitlines()) for t in texts)
+    exact = 1 - sum((a[x] - b[x]) ** 2 for x in a | b) / sum(n * n for c in (a, b) for n in c.values())
+    v = spark.createDataFrame([tuple(texts)], "a string, b string").select(MH.fingerprint(F.col("a")).alias("a"), MH.fingerprint(F.col("b")).alias("b"))
+    assert v.select(MH.likeness(F.col("a"), F.col("b"))).first()[0] == pytest.approx(exact, abs=0.01)
+
+
 # ---------------------------------------------------------------- 5
 
 
