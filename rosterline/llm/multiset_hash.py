@@ -1,9 +1,10 @@
-"""Document fingerprints: homomorphic multiset hash of a text's paragraphs.
+"""Document fingerprints: homomorphic multiset hash of a text's sentences.
 
-A text is cut into paragraph pieces (runs up to a line break or the end of a
-sentence).  Each piece is hashed to a wide vector, and the vectors are summed
-lane by lane modulo powers of two.  The sum does not depend on the order, and a
-piece is added or removed by adding or subtracting its vector:
+A text is cut into sentence-sized pieces (runs up to a line break or the end of a
+sentence; marks that begin a line or the text are a piece of their own).  Each
+piece is hashed to a wide vector, and the vectors are summed lane by lane, the
+strong ones modulo 2^60.  The sum does not depend on the order, and a piece is
+added or removed by adding or subtracting its vector:
 
 * four strong lanes of 60 bits (from SHA-256) decide equality,
 * 48 narrow lanes take small entries of the same hash, and a counter takes the
@@ -28,7 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE = "[^\\n.!?]+[.!?]*"
+PIECE = "[^\\n.!?]+[.!?]*|[.!?]+"
+#: The SQL's pieces: the same for texts without a line that begins with a mark.
+SQL_PIECE = "[^\\n.!?]+[.!?]*"
 CHUNKS, SHIFTS, FIELDS = 4, (0, 4, 8), (0, 15, 30, 45)
 _FULL = (1 << 60) - 1
 _NIBBLES = sum(15 << f for f in FIELDS)
@@ -208,7 +211,7 @@ e AS (SELECT x.doc_id, x.t, x.rn, x.n, x.rn % x.n + 1 AS nxt,
         substr(x.t, 1, (length(x.t) - length(x.t) // 2)::BIGINT) || substr(y.t, 1, (length(x.t) // 2)::BIGINT) AS ed
       FROM o x JOIN o y ON y.rn = x.rn % x.n + 1),
 s AS (SELECT rn, 0 AS side, t AS v FROM e UNION ALL SELECT rn, 1, ed FROM e),
-p AS (SELECT rn, side, unnest(regexp_extract_all(v, '{PIECE}')) AS u FROM s),
+p AS (SELECT rn, side, unnest(regexp_extract_all(v, '{SQL_PIECE}')) AS u FROM s),
 c AS (SELECT rn, side, u, {", ".join(f"{chunk(i)} AS c{i}" for i in range(CHUNKS))} FROM p),
 g AS (SELECT s.rn, s.side, [{", ".join(words)}] AS w, [{", ".join(lanes)}] AS l
       FROM s LEFT JOIN c ON c.rn = s.rn AND c.side = s.side GROUP BY s.rn, s.side),

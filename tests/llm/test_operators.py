@@ -266,6 +266,12 @@ def test_edited_ranges_split(spark, odd, small, monkeypatch):
     assert one.near_next == 1.0
 
 
+def test_leading_marks_are_fingerprinted(spark):
+    texts = ["", "?!", "?", "...\n!", "alt", "!alt", "gitignore", ".gitignore", "a\nb", "a\n.b", "a.\nb"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", MH.as_text(MH.fingerprint(F.col("t"))).alias("f")).collect()
+    assert len({r.f for r in rows}) == len(texts)
+
+
 def test_likeness_of_a_line_repeated_past_a_lane(spark):
     """Against the exact multiset likeness: k copies of a line and half of them are 0.8 alike."""
     line = "the same line again\n"
