@@ -6,7 +6,11 @@ each size class the document is cut into segments a few times as long as the
 class's items, overlapping by one item: a copied item lies whole in a segment
 and fills a known share of it.  Segments and items get MinHash signatures of one
 hash pass (each bin keeps its least value), with PERMUTATIONS independent ones;
-any equal bin makes the item a candidate of the document.  Candidates are
+any equal bin makes the item a candidate of the document.  A few shingles can all
+lose their bins, so items of under EXACT_BELOW shingles are looked up by each of
+their shingles instead and none is missed; a larger one shares at least seven,
+each of which is its bin's least with a chance of over 3/4 in each pass, so it is
+missed with a probability of about 1e-9 at most.  Candidates are
 verified by exact containment: the share of the item's distinct five-word
 shingles that occur anywhere in the whole document.
 
@@ -34,6 +38,10 @@ from rosterline.llm.textgrams import Words, mix, pieces_of, shingle_sets, window
 WORDS_PER_SHINGLE, LEAST_CONTAINMENT = 5, 0.8
 #: Bytes of item text in a block, segment length in items, bins per segment shingle, signatures.
 BLOCK_BYTES, SEGMENT_ITEMS, BINS_PER_SHINGLE, PERMUTATIONS = 32 << 20, 4, 2, 2
+#: Smaller items are looked up by all their shingles.
+EXACT_BELOW = 8
+#: Bins per shingle up to which a dense array takes the bins' least values.
+DENSE_BINS = 16
 _FILTER_BITS = 22
 SCHEMA = "doc_id long, item_id long, shared_shingles long, item_shingles long, containment double"
 
@@ -53,13 +61,19 @@ class Items:
     ids: list
     sets: list[np.ndarray]
     classes: list[SizeClass]
+    small: SizeClass  # all shingles of the items under EXACT_BELOW
 
 
 def _signature(group: np.ndarray, value: np.ndarray, n_groups: int, bins: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """(group, least value) of every bin of every group that has one."""
     h = mix(value + np.uint64(salt * 0x9E3779B9 + 1))
-    least = np.full(n_groups * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
     at = group * bins + (h >> np.uint64(40)).astype(np.int64) % bins
+    if n_groups * bins > DENSE_BINS * len(at):  # few shingles for so many bins
+        order = np.lexsort((h, at))
+        at, h = at[order], h[order]
+        new = np.r_[True, at[1:] != at[:-1]] if len(at) else np.zeros(0, bool)
+        return at[new] // bins, h[new]
+    least = np.full(n_groups * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
     np.minimum.at(least, at, h)
     has = np.flatnonzero(least != np.uint64(0xFFFFFFFFFFFFFFFF))
     return has // bins, least[has]
@@ -69,13 +83,35 @@ def _bins(largest: int) -> int:
     return max(64, largest * SEGMENT_ITEMS * BINS_PER_SHINGLE)
 
 
+def _add(to: SizeClass, values: np.ndarray, items: np.ndarray) -> None:
+    order = np.argsort(values, kind="stable")
+    maybe = np.zeros(1 << _FILTER_BITS, bool)
+    maybe[(values & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
+    to.values.append(values[order])
+    to.items.append(items[order])
+    to.maybe.append(maybe)
+
+
+def _hits(c: SizeClass, salt: int, doc: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(doc, item) rows of the values that the class has."""
+    near = c.maybe[salt][(value & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)]
+    doc, value = doc[near], value[near]
+    lo, hi = np.searchsorted(c.values[salt], value, "left"), np.searchsorted(c.values[salt], value, "right")
+    times = hi - lo
+    where = np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())
+    return np.stack([np.repeat(doc, times), c.items[salt][where]], 1)
+
+
 def index_items(ids: list, texts: pa.Array, n: int) -> Items:
     doc, value = shingle_sets(words_of(texts, lower=True), n)
     cut = np.searchsorted(doc, np.arange(len(texts) + 1))
     sets = [value[a:b] for a, b in zip(cut[:-1], cut[1:])]
     size = np.diff(cut)
-    classes = []
-    for power in sorted({int(s).bit_length() for s in size if s}):
+    classes, small = [], SizeClass(EXACT_BELOW - 1, [], [], [])
+    owner = np.repeat(np.arange(len(texts)), size)
+    few = size[owner] < EXACT_BELOW
+    _add(small, value[few], owner[few])
+    for power in sorted({int(s).bit_length() for s in size if s >= EXACT_BELOW}):
         own = np.flatnonzero((size >= 1 << (power - 1)) & (size < 1 << power))
         largest = int(size[own].max())
         found = SizeClass(largest, [], [], [])
@@ -83,14 +119,9 @@ def index_items(ids: list, texts: pa.Array, n: int) -> Items:
         flat = np.concatenate([sets[i] for i in own])
         for salt in range(PERMUTATIONS):
             g, v = _signature(group, flat, len(own), _bins(largest), salt)
-            order = np.argsort(v, kind="stable")
-            maybe = np.zeros(1 << _FILTER_BITS, bool)
-            maybe[(v & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-            found.values.append(v[order])
-            found.items.append(own[g[order]])
-            found.maybe.append(maybe)
+            _add(found, v, own[g])
         classes.append(found)
-    return Items(ids, sets, classes)
+    return Items(ids, sets, classes, small)
 
 
 def _placed_shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,9 +139,9 @@ def _placed_shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def candidates(words: Words, items: Items, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (doc, item) that share a bin of a segment's signature."""
+    """Distinct (doc, item) that share a shingle (small items) or a bin of a segment's signature."""
     doc, place, value = _placed_shingles(words, n)
-    pairs = []
+    pairs = [_hits(items.small, 0, doc, value)]
     for c in items.classes:
         length, step = c.largest * SEGMENT_ITEMS, c.largest * (SEGMENT_ITEMS - 1)
         segment = place // step
@@ -124,13 +155,8 @@ def candidates(words: Words, items: Items, n: int) -> tuple[np.ndarray, np.ndarr
         owner = np.repeat(np.arange(words.n_docs), per_doc[1:])
         for salt in range(PERMUTATIONS):
             g, v = _signature(group, both, int(base[-1]), _bins(c.largest), salt)
-            near = c.maybe[salt][(v & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)]
-            g, v = g[near], v[near]
-            lo, hi = np.searchsorted(c.values[salt], v, "left"), np.searchsorted(c.values[salt], v, "right")
-            times = hi - lo
-            where = np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())
-            pairs.append(np.stack([np.repeat(owner[g], times), c.items[salt][where]], 1))
-    found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+            pairs.append(_hits(c, salt, owner[g], v))
+    found = np.unique(np.concatenate(pairs), axis=0)
     return found[:, 0], found[:, 1]
 
 

@@ -552,3 +552,28 @@ def test_items_in_blocks(spark, monkeypatch):
     whole = sorted(map(str, DC.find(docs, bench).collect()))
     monkeypatch.setattr(DC, "BLOCK_BYTES", 500)
     assert sorted(map(str, DC.find(docs, bench).collect())) == whole
+
+
+def test_small_items_are_all_found():
+    rng = np.random.default_rng(9)
+    items = [" ".join(f"v{x}" for x in rng.integers(0, 1 << 40, 5 + i % 3)) for i in range(40_000)]
+    docs = [" ".join(f"{t} u{x}" for t, x in zip(items[d::200], rng.integers(0, 1 << 40, 200))) for d in range(200)]
+    index = DC.index_items(list(range(len(items))), pa.array(items), 5)
+    found = {(i, j) for i, j, _, _ in DC.matches(pa.array(docs), index, 5, 0.8)}
+    assert found == {(j % 200, j) for j in range(len(items))}
+
+
+def test_signature_memory_follows_the_shingles():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    item = " ".join(f"v{x}" for x in rng.integers(0, 1 << 40, 2_000))
+    docs = [" ".join(f"u{x}" for x in rng.integers(0, 1 << 40, 12)) for _ in range(5_000)] + [item]
+    index = DC.index_items([7], pa.array([item]), 5)
+    tracemalloc.start()
+    try:
+        found = list(DC.matches(pa.array(docs), index, 5, 0.8))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == [(5_000, 0, 1_996, 1_996)] and peak < 100 << 20
