@@ -7,10 +7,12 @@ one of its documents and the gap behind it is filled from the shorter tiers,
 whole documents first, cutting the last one so that the window is exactly full.
 Windows have a power-of-two length and need no padding; what is left when a
 task ends forms at most one padded window.  Sequences are dealt to step groups
-of one tier that hold the same number of tokens each.
+of one tier that hold the same number of tokens each; the padded windows come
+behind the full ones of their tier, so that they fall into its last groups.
 
-The work is one pass over the scan's partitions: no shuffle, and the pool of
-waiting documents is bounded in tokens.  Sequence ids hold the partition number
+The work is one pass over the scan's partitions, without a shuffle of pieces, and
+the pool of waiting documents is bounded in tokens.  The pieces are written, and
+the sequences of each tier numbered across tasks from counts per task.  Sequence ids hold the partition number
 and a running number, so a task that is run again gives the same rows.
 
 Cases: a null or empty text is a document of the end id alone; repeated rows are
@@ -28,9 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterline.llm.common import written
 from rosterline.llm.textgrams import pieces_of
 
 SCHEMA = (
@@ -137,6 +140,7 @@ class Packer:
         self.pools: dict[int, deque] = {t: deque() for t in self.tiers}
         self.waiting = 0
         self.rows: list[tuple] = []
+        self.places: list[tuple[int, bool]] = []  # of each row's sequence: number in its tier, padded
 
     def add(self, doc_id, ids: bytes) -> None:
         total, start = len(ids) // 4, 0
@@ -222,10 +226,12 @@ class Packer:
         sequence, offset = self.base + self.sequences, 0
         self.sequences += 1
         step = self.base + (self.filled[tier] // self.step_tokens) * len(self.tiers) + self.tiers.index(tier)
+        place = (self.filled[tier] // tier, sum(len(p[2]) // 4 for p in pieces) < tier)
         self.filled[tier] += tier
         for doc_id, start, ids, total in pieces:
             n = len(ids) // 4
             self.rows.append((doc_id, start, n, zlib.crc32(ids), total, sequence, offset, tier, step))
+            self.places.append(place)
             offset += n
 
 
@@ -240,22 +246,25 @@ def pack(
     """Pieces of all documents (doc_id, text) and their place in sequences.
 
     ``tier`` is the length of the sequence's window, ``step_group`` the group of
-    sequences of one tier that together hold ``step_windows`` longest windows.
+    sequences of one tier that together hold ``step_windows`` longest windows; in
+    all, the last group of each tier is shorter, and padded windows are in the
+    last groups of the longest tier only.
     """
     if any(t & (t - 1) for t in tiers):
         raise ValueError("context sizes must be powers of two")
     end = np.asarray([end_id], "<u4").tobytes()
-    schema = pa.schema([
-        (n, pa.int32() if n == "tier" else pa.int64())
-        for n in (f.split()[0] for f in SCHEMA.split(", "))
-    ])
+    kinds = {"tier": pa.int32(), "_padded": pa.bool_()}
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    placed = f"{SCHEMA}, _place long, _padded boolean"
+    schema = pa.schema([(n, kinds.get(n, pa.int64())) for n in [*names, "_place", "_padded"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path, ranks)
         packer = Packer(tiers, TaskContext.get().partitionId(), step_windows)
 
         def rows() -> pa.RecordBatch:
-            got, packer.rows = packer.rows, []
+            got = [(*row, *place) for row, place in zip(packer.rows, packer.places)]
+            packer.rows, packer.places = [], []
             cols = list(zip(*got)) if got else [()] * len(schema)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
@@ -269,4 +278,21 @@ def pack(
         packer.finish()
         yield rows()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    pieces = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, placed)
+    # The counts and the places come from the same written rows.
+    pieces = written(pieces, "packing").withColumn("_part", F.shiftright("sequence_id", 32))
+    keys = ["tier", "_padded", "_part"]
+    counts = pieces.where("offset = 0").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_sequences"), F.min("_place").alias("_first")
+    )
+    # One row per task, tier and kind of window: bounded by the cluster's settings.
+    before = Window.partitionBy("tier").orderBy("_padded", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_first", F.coalesce(F.sum("_sequences").over(before), F.lit(0).cast("long")).alias("_offset"))
+    ordered = sorted(tiers)
+    index = F.array_position(F.array(*map(F.lit, ordered)), F.col("tier")) - 1
+    group = F.floor((F.col("_offset") + F.col("_place") - F.col("_first")) * F.col("tier") / F.lit(ordered[-1] * step_windows))
+    return (
+        pieces.join(F.broadcast(offsets), keys)
+        .withColumn("step_group", (group * len(ordered) + index).cast("long"))
+        .select(*names)
+    )

@@ -494,6 +494,27 @@ def test_packing(spark, odd, small):
     assert PK.pack(odd.limit(0), *public()).count() == 0
 
 
+def test_step_groups_are_balanced_across_tasks(spark, small):
+    rows = PK.pack(small.repartition(12), *public(), step_windows=2).collect()
+    padding = check_packing(rows, by_text(small))
+    used, where = collections.Counter(), {}
+    for r in rows:
+        used[r.sequence_id] += r.length
+        where[r.sequence_id] = (r.tier, r.step_group)
+    assert len({s >> 32 for s in used}) > 6 and padding < 0.2
+    tokens, tier_of, padded = collections.Counter(), {}, set()
+    for s, (tier, group) in where.items():
+        assert tier_of.setdefault(group, tier) == tier
+        tokens[group] += tier
+        if used[s] < tier:
+            padded.add(group)
+    for tier in set(tier_of.values()):
+        groups = sorted(g for g in tier_of if tier_of[g] == tier)
+        assert all(tokens[g] == 4096 for g in groups[:-1]) and tokens[groups[-1]] <= 4096
+        mine = [g for g in groups if g in padded]
+        assert mine == groups[len(groups) - len(mine) :]
+
+
 def test_tiers_fill_windows():
     packer = PK.Packer((256, 512, 1024, 2048), 3, 2)
     rng = np.random.default_rng(1)
