@@ -11,6 +11,10 @@ are ranked without a single-task window: a range partitioning on (index, text
 hash, id) splits hot cells and hot texts, each partition is sorted, and its rows
 get the partition's offset plus their place in it.
 
+``write_shards`` stores whole documents by shard in curve order.  Categories are hashed
+to cells, whose order is not that of the names, so the cells are stored as well, and
+``category_filter`` asks for both: then file statistics prune on every dimension.
+
 Cases: nulls in a dimension form a cell of their own; a null text has size 1 and
 the checksum of the empty text; repeated rows are separate rows; an empty table
 gives no rows.
@@ -18,6 +22,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,6 +89,12 @@ def category_cell(column: str, bits: int = BITS) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column), F.lit("\0")).cast("binary")), F.lit(1 << bits))
 
 
+def category_filter(column: str, value: str | None, bits: int = BITS) -> Column:
+    """Rows of written shards with ``value`` (null too), by the cell's statistics and the name."""
+    cell = zlib.crc32(("\0" if value is None else value).encode()) % (1 << bits)
+    return (F.col(f"{column}_cell") == cell) & (F.col(column).isNull() if value is None else F.col(column) == value)
+
+
 def size_cell(size: Column, bits: int = BITS) -> Column:
     """Half powers of two of a positive size."""
     return F.least(F.floor(F.log2(size.cast("double")) * 2 * (1 << bits) / 64), F.lit((1 << bits) - 1))
@@ -128,3 +140,22 @@ def hilbert_shards(
     return ranked.withColumn("shard", shard).select(
         *payload, "curve_index", "shard", (F.col("_rank") - first).alias("slot")
     )
+
+
+def write_shards(docs: DataFrame, path: str, shards: int) -> None:
+    """All ``docs`` with size, lang_cell and source_cell as Parquet at ``path``: a
+    folder a shard, its rows in the order of curve_index."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    size = F.octet_length(text).cast("long") + 1
+    added = ("size", "lang_cell", "source_cell", "curve_index", "shard", "slot")
+    payload = {n: F.col(n) for n in docs.columns if n not in added}
+    cells = {f"{n}_cell": category_cell(n).cast("int") for n in ("lang", "source")}
+    placed = hilbert_shards(
+        docs,
+        {"lang": category_cell("lang"), "source": category_cell("source"), "size": size_cell(size)},
+        shards,
+        payload | cells | {"size": size},
+        [F.xxhash64(text), F.col("doc_id")],
+    )
+    dealt = placed.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot")
+    dealt.write.partitionBy("shard").parquet(path)

@@ -319,6 +319,46 @@ def test_shards(spark, odd, small, tmp_path):
     assert Q.queries()["op5_hilbert_sharding"](spark, str(tmp_path / "e")).count() == 0
 
 
+def test_written_shards_prune_on_each_dimension(spark, odd, tmp_path):
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(5)
+    rows = [(i, "x" * int(2 ** rng.uniform(3, 13)), f"l{rng.integers(8)}", f"s{rng.integers(8)}") for i in range(4000)]
+    path = str(tmp_path / "shards")
+    SH.write_shards(frame(spark, rows), path, 64)
+    files = sorted(tmp_path.glob("shards/shard=*/*.parquet"))
+    assert len({f.parent for f in files}) == 64
+    got = [r for f in files for r in pq.ParquetFile(f).read(["doc_id", "text", "lang", "source"]).to_pylist()]
+    assert sorted((r["doc_id"], r["text"], r["lang"], r["source"]) for r in got) == sorted(rows)
+
+    def read(column, low, high):
+        """Row groups that a reader cannot skip for low <= column <= high, of all."""
+        kept = total = 0
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            at = meta.schema.to_arrow_schema().names.index(column)
+            for g in range(meta.num_row_groups):
+                st = meta.row_group(g).column(at).statistics
+                total, kept = total + 1, kept + (st.min <= high and st.max >= low)
+        return kept, total
+
+    for column, values in (("lang", [f"l{i}" for i in range(8)]), ("source", [f"s{i}" for i in range(8)])):
+        cells = [zlib.crc32(v.encode()) % 32 for v in values]
+        shares = [kept / total for kept, total in (read(f"{column}_cell", c, c) for c in cells)]
+        assert max(shares) < 1 and np.mean(shares) < 0.75, (column, shares)
+        hit = spark.read.parquet(path).where(SH.category_filter(column, values[3]))
+        exp = sorted(r[0] for r in rows if r[2 if column == "lang" else 3] == values[3])
+        assert sorted(r.doc_id for r in hit.collect()) == exp
+    kept, total = read("size", 4000, 10_000)
+    assert kept < 0.75 * total
+    curve = [pq.ParquetFile(f).read(["curve_index"]).column(0).to_pylist() for f in files]
+    assert all(c == sorted(c) for c in curve)
+    SH.write_shards(odd, str(tmp_path / "odd"), 4)
+    back = spark.read.parquet(str(tmp_path / "odd"))
+    assert sorted(map(str, by_text(back))) == sorted(map(str, by_text(odd)))
+    assert back.where(SH.category_filter("lang", None)).count() == odd.where("lang is null").count()
+
+
 # ---------------------------------------------------------------- 6
 
 
