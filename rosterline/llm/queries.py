@@ -11,13 +11,16 @@ from rosterline.llm import (
     decontamination,
     jaccard_join,
     language,
+    lexical,
     multiset_hash,
     packing,
+    pivot_dedup,
     secrets,
     sharding,
     substring_dedup,
     toxicity,
     warc,
+    whitening,
 )
 from rosterline.llm.common import read_table
 
@@ -117,3 +120,18 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return language.predict(docs, language.learn(docs))
+
+
+@register("op11_bit_sliced_whitening")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_lexical_search", lexical.search_sql())
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_pivot_dedup")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
