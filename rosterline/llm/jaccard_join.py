@@ -18,6 +18,14 @@ the join runs between classes, one set for all copies.
 4. Verification compares the whole sets of the candidates, block by block.
 5. Links between classes give components; a component's id is its least doc_id.
 
+Components need a spanning forest, not every link, and in a cluster of near copies
+the links grow with the square of its size.  So a round of hubs goes before step 3:
+classes that share one of HASHES min-hashes are held against the bucket's two hubs
+(its least and its greatest class) alone, the pairs verified, and what links is
+contracted.  The join then asks only for pairs whose ends still lie in different
+components.  A link inside a component changes nothing, so the result is the same;
+``count_links`` leaves the round out and counts the links of every class.
+
 Tokens are 64-bit hashes of shingles.  Words are runs of bytes other than white
 space, A-Z lower-cased.
 
@@ -47,6 +55,8 @@ CELL_BITS, SKETCH_BLOCKS = 20, 64
 COMBINED_SIZE = 400
 #: Bits of the parity map that candidates are held against before their sets are read.
 MAP_BITS = 1024
+#: Min-hashes of a set, by which it meets the hubs.
+HASHES = 4
 #: Bytes of sets in a block of pairs to verify.
 BLOCK_BYTES = 4 << 20
 LEAST_BLOCKS = 16
@@ -142,7 +152,7 @@ def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
     return tuple(np.concatenate(x) for x in (keys, places, tails, tails2))
 
 
-_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>, map binary"
+_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>, map binary, least array<long>"
 
 
 def _describe(n: int, percent: int, counts, frequent: float):
@@ -169,6 +179,12 @@ def _describe(n: int, percent: int, counts, frequent: float):
         wide = np.packbits((np.bincount(where, minlength=rows * MAP_BITS) & 1).astype(bool)).tobytes()
         step = MAP_BITS // 8
         maps = pa.array([wide[i * step : (i + 1) * step] for i in range(rows)], pa.binary())
+        least = np.full((rows, HASHES), -1, np.int64)
+        begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else doc
+        for h in range(HASHES):
+            if len(doc):
+                least[doc[begin], h] = np.minimum.reduceat(mix(tokens ^ mix(np.array([h + 11], np.uint64))), begin).view(np.int64)
+        low = pa.FixedSizeListArray.from_arrays(pa.array(least.ravel()), HASHES).cast(pa.list_(pa.int64()))
         count = counts.value[_cells(tokens)]
         order = np.argsort((doc << 32) | count, kind="stable")  # ties by hash, as the sets are sorted
         tokens, count = tokens[order], count[order]
@@ -179,14 +195,14 @@ def _describe(n: int, percent: int, counts, frequent: float):
         ends = pa.array(np.r_[0, np.cumsum(length)].astype(np.int32))
         prefix = pa.ListArray.from_arrays(ends, pa.array(tokens[inside].view(np.int64)))
         flat = [pa.array(x) for x in (size, *sums, np.ascontiguousarray(bits[:, 0]), np.ascontiguousarray(bits[:, 1]), rare.astype(np.int32))]
-        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, prefix, maps], names=names)
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, prefix, maps, low], names=names)
 
     return run
 
 
 def _index(percent: int):
     """Index rows of every class."""
-    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2")
+    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +217,7 @@ def _index(percent: int):
                 ]
                 own = np.repeat(np.arange(part.num_rows), [len(x[0]) for x in got])
                 key, place, tail, tail2 = (np.concatenate(x) for x in zip(*got))
-                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), tail, tail2]
+                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), tail, tail2, part.column("root").to_numpy()[own]]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
 
     return run
@@ -284,42 +300,65 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def classes_of(sets: DataFrame) -> DataFrame:
-    """One row per distinct non-empty set: its keys, least id, and the row that stands for it."""
+    """One row per distinct non-empty set: its node, keys, least id, and the row that stands for it."""
     return sets.where("size > 0").groupBy("k1", "k2").agg(
         F.first("size").alias("size"), F.first("b0").alias("b0"), F.first("b1").alias("b1"),
         F.first("rare").alias("rare"), F.first("tokens").alias("tokens"),
-        F.first("map").alias("map"),
+        F.first("map").alias("map"), F.first("least").alias("least"), F.min("doc_id").alias("least_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1")).alias("rep"),
-    )
+    ).withColumn("node", F.xxhash64("k1", "k2"))
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits in which the 128-bit parity maps of two rows differ."""
+    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("b0", "b1")), F.lit(0))
+
+
+def _needed(both: Column, percent: int) -> Column:
+    """Tokens that two linked sets of ``both`` tokens in all share at least."""
+    return F.floor((both * percent + (99 + percent)) / (100 + percent))
+
+
+def hub_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct (u, v), u < v: classes and the hubs of their min-hash buckets, if their sizes and maps allow a link."""
+    rows = classes.select(F.posexplode("least").alias("salt", "hash"), F.struct(F.col("k1").alias("name"), "size", "b0", "b1").alias("own"))
+    hubs = rows.groupBy("salt", "hash").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low.name < high.name")
+    met = rows.join(hubs, ["salt", "hash"])
+    pairs = met.select("own", "low").unionByName(met.where("own.name > low.name").select("own", F.col("high").alias("low")))
+    both = F.col("own.size") + F.col("low.size")
+    return pairs.where(
+        (F.col("own.name") != F.col("low.name"))
+        & (100 * F.least("own.size", "low.size") >= percent * F.greatest("own.size", "low.size"))
+        & (_apart("own", "low") <= both - 2 * _needed(both, percent))
+    ).select(F.least("own.name", "low.name").alias("u"), F.greatest("own.name", "low.name").alias("v")).distinct()
 
 
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct (u, v), u < v, of class names (k1) that may link."""
-    rows = classes.select("k1", "size", "b0", "b1", "rare", "tokens").mapInArrow(
-        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long"
+    """Distinct (u, v), u < v, of class names (k1) that may link and whose ``root`` differs."""
+    rows = classes.select("k1", "size", "b0", "b1", "rare", "tokens", "root").mapInArrow(
+        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long, root long"
     )
     a, b = rows.alias("a"), rows.alias("b")
     size_a, size_b = F.shiftright("a.sp", 32), F.shiftright("b.sp", 32)
     place_a, place_b = (F.col(f"{x}.sp").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab")
     both = size_a + size_b
-    need = F.floor((both * percent + (99 + percent)) / (100 + percent))
-    apart = F.bit_count(F.col("a.b0").bitwiseXOR(F.col("b.b0"))) + F.bit_count(F.col("a.b1").bitwiseXOR(F.col("b.b1")))
+    need = _needed(both, percent)
     left = F.least(size_a - place_a, size_b - place_b) + 1
     return a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.name") < F.col("b.name"))
+        & (F.col("a.root") != F.col("b.root"))
         & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
         & (F.col("a.tail") != F.col("b.tail"))
         & ((F.col("a.tail2") == 0) | (F.col("a.tail2") != F.col("b.tail2")))
         & ((place_a == 0) | (place_b == 0) | (left >= need))
-        & (apart <= both - 2 * need),
+        & (_apart("a", "b") <= both - 2 * need),
     ).select(F.col("a.name").alias("u"), F.col("b.name").alias("v")).distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(u1, u2, v1, v2): the verified links between classes, written."""
-    met = candidate_pairs(classes, percent)
+def links(docs: DataFrame, classes: DataFrame, met: DataFrame, n: int, percent: int) -> DataFrame:
+    """(u1, u2, v1, v2): the pairs (u, v) of ``met`` that link, verified and written."""
     x = classes.select(F.col("k1").alias("u"), F.col("size").alias("_a"), F.col("map").alias("x"))
     y = classes.select(F.col("k1").alias("v"), F.col("size").alias("_b"), F.col("map").alias("y"))
     mapped = met.join(x, "u").join(y, "v").select("u", "v", (F.col("_a") + F.col("_b")).alias("both"), "x", "y")
@@ -344,43 +383,59 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
     return written(rows.mapInArrow(_verify(percent), "u1 long, u2 long, v1 long, v2 long").distinct(), "links")
 
 
-def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, t1, n_shingles, component_id, n_links (linked classes) and root of every row."""
+def _ends(found: DataFrame) -> DataFrame:
+    return found.select(F.xxhash64("u1", "u2").alias("u"), F.xxhash64("v1", "v2").alias("v"))
+
+
+def _rooted(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    return classes.join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def join_components(docs: DataFrame, n: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
+    """doc_id, t1, n_shingles, component_id and root of every row, and n_links (linked classes) if asked for."""
     if not 50 < percent <= 100:
         raise ValueError("the share must be over 50 and at most 100 per cent")
     sets = describe(docs, n, percent)
-    classes = classes_of(sets)
-    found = links(docs, classes, n, percent)
-    node = F.xxhash64("k1", "k2")
-    ends = found.select(F.xxhash64("u1", "u2").alias("u"), F.xxhash64("v1", "v2").alias("v"))
-    both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    degree = both.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
-    roots = components(ends).join(degree, "node", "left")
-    of_class = (
-        sets.where("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("least")).withColumn("node", node)
-        .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    )
-    least = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of_class.join(least, "root").select("k1", "k2", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = written(classes_of(sets), "classes")
+    if count_links:
+        edges = _ends(links(docs, classes, candidate_pairs(classes.withColumn("root", F.col("node")), percent), n, percent))
+    else:
+        near = _ends(links(docs, classes, hub_pairs(classes, percent), n, percent))
+        rest = candidate_pairs(_rooted(classes, near), percent)
+        edges = near.unionByName(_ends(links(docs, classes, rest, n, percent)))
+    whole = _rooted(classes.select("k1", "k2", "node", "least_id"), edges)
+    least = whole.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = whole.join(least, "root")
+    if count_links:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        named = named.join(both.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n_links")), "node", "left")
     has = F.col("size") > 0
+    counted = [F.when(has, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links")] if count_links else []
+    own = named.select("k1", "k2", "root", "component_id", *(["n_links"] if count_links else []))
     return (
-        sets.select("doc_id", "t1", "size", "k1", "k2").join(named, ["k1", "k2"], "left")
+        sets.select("doc_id", "t1", "size", "k1", "k2").join(own, ["k1", "k2"], "left")
         .select(
             "doc_id", "t1", F.col("size").alias("n_shingles"),
             F.when(has, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-            F.when(has, F.col("n_links")).otherwise(F.lit(0).cast("long")).alias("n_links"),
-            F.when(has, F.col("root")).alias("root"),
+            F.when(has, F.col("root")).alias("root"), *counted,
         )
     )
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component (the least id); rows without words all stay."""
-    cols = docs.columns
-    grouped = join_components(docs, n, percent).where("root IS NOT NULL")
+    """``docs`` with one row of each component (the least id); rows without words all stay.
+
+    The row travels in one struct, so its columns may have any names.  Of rows with
+    the kept id and text that differ in other columns, the one of the least hash stays.
+    """
+    grouped = join_components(docs.select("doc_id", "text"), n, percent).where("root IS NOT NULL")
     best = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1")).alias("r"))
-    kept = best.select(F.col("r.doc_id").alias("_id"), F.col("r.t1").alias("_t1"))
-    named = docs.withColumn("_t", _text_name(F.coalesce(F.col("text"), F.lit(""))))
-    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    chosen = named.where(worded).join(kept, (F.col("_t") == F.col("_t1")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    return chosen.dropDuplicates(["_t", "_id"]).select(cols).unionByName(docs.where(~worded))
+    kept = best.select(F.col("r.doc_id").alias("kept_id"), F.col("r.t1").alias("kept_text"))
+    named = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+        _text_name(F.coalesce(F.col("text"), F.lit(""))).alias("name"),
+        F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("worded"),
+    )
+    chosen = named.where("worded").join(kept, (F.col("name") == F.col("kept_text")) & F.col("id").eqNullSafe(F.col("kept_id")))
+    one = chosen.groupBy("name", "id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*").unionByName(named.where("NOT worded").select("row.*"))

@@ -103,7 +103,7 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_jaccard_join")
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.join_components(read_table(spark, sf_dir, "documents"), n=3, percent=90)
-    return out.select("doc_id", "n_shingles", "component_id", "n_links")
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 @register("op8_hierarchical_packing")

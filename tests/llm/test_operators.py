@@ -437,9 +437,51 @@ def test_jaccard_join(spark, odd, small, monkeypatch, n, percent, combined):
     monkeypatch.setattr(JJ, "COMBINED_SIZE", combined)
     sources = [near_copies(spark)] + ([odd, small.limit(120)] if combined == 400 else [])
     for docs in sources:
-        got = JJ.join_components(docs, n, percent).collect()
+        got = JJ.join_components(docs, n, percent, count_links=True).collect()
         rows = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got), key=str)
         assert rows == brute_components(by_text(docs), n, percent)
+        if combined == 100:
+            continue
+        by_hubs = JJ.join_components(docs, n, percent).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in by_hubs), key=str) == sorted((r[:3] for r in rows), key=str)
+
+
+def test_candidates_of_a_cluster_grow_with_its_rows(spark, monkeypatch):
+    """Each near copy meets at most two hubs a min-hash; 400 copies would have 79,800 pairs."""
+    def run(size):
+        rng, words = np.random.default_rng(size), [f"b{i}" for i in range(200)]
+        rows = []
+        for i in range(size):
+            own = list(words)
+            for p in rng.choice(200, 2, replace=False):
+                own[p] = f"n{i}x{p}"
+            rows.append((i, " ".join(own), "en", "a"))
+        total = []
+        real = JJ.links
+
+        def counted(docs, classes, met, n, percent):
+            total.append(met.count())
+            return real(docs, classes, met, n, percent)
+
+        with monkeypatch.context() as m:
+            m.setattr(JJ, "links", counted)
+            got = JJ.join_components(frame(spark, rows), 5, 80).collect()
+        assert {r.component_id for r in got} == {0}
+        return sum(total)
+
+    for size in (100, 200, 400):
+        assert size - 1 <= run(size) <= 2 * JJ.HASHES * size
+
+
+def test_names_of_other_columns_are_free(spark):
+    """Every name that the operator uses inside may be a column of the documents."""
+    inside = ["_id", "_t", "_t1", "t1", "k1", "k2", "size", "root", "node", "row", "id", "name", "worded", "kept_id", "kept_text", "least", "rep"]
+    docs = near_copies(spark).select("doc_id", "text", *[F.lit(f"own {c}").alias(c) for c in inside])
+    kept = JJ.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert kept.select(*inside).distinct().collect()[0].asDict() == {c: f"own {c}" for c in inside}
+    differing = docs.withColumn("name", F.lit("another"))
+    assert JJ.keep_one(docs.unionByName(differing)).count() == kept.count()
 
 
 def test_frequent_tokens_are_indexed_by_pairs(spark, monkeypatch):
