@@ -20,9 +20,8 @@ the join runs between classes, one set for all copies.
 
 Components need a spanning forest, not every link, and in a cluster of near copies
 the links grow with the square of its size.  So a round of hubs goes before step 3:
-classes that share one of HASHES min-hashes are held against the bucket's two hubs
-(its least and its greatest class) alone, the pairs verified, and what links is
-contracted.  The join then asks only for pairs whose ends still lie in different
+classes that share one of HASHES min-hashes are held against a few hubs of that
+bucket alone, the pairs verified, and what links is contracted.  The join then asks only for pairs whose ends still lie in different
 components.  A link inside a component changes nothing, so the result is the same;
 ``count_links`` leaves the round out and counts the links of every class.
 
@@ -55,8 +54,8 @@ CELL_BITS, SKETCH_BLOCKS = 20, 64
 COMBINED_SIZE = 400
 #: Bits of the parity map that candidates are held against before their sets are read.
 MAP_BITS = 1024
-#: Min-hashes of a set, by which it meets the hubs.
-HASHES = 4
+#: Min-hashes of a set, by which it meets hubs, and random orders whose ends are a bucket's hubs.
+HASHES, ORDERS = 4, 2
 #: Bytes of sets in a block of pairs to verify.
 BLOCK_BYTES = 4 << 20
 LEAST_BLOCKS = 16
@@ -320,17 +319,23 @@ def _needed(both: Column, percent: int) -> Column:
 
 
 def hub_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct (u, v), u < v: classes and the hubs of their min-hash buckets, if their sizes and maps allow a link."""
+    """Distinct (u, v), u < v: classes and the hubs of their min-hash buckets, if their sizes and maps allow a link.
+
+    A bucket's hubs are the first and the last class in each of ORDERS random orders of
+    its own, so a cluster that shares several buckets meets many different hubs: a
+    class that links with a share q of its cluster is missed by all with (1 - q)^hubs.
+    """
     rows = classes.select(F.posexplode("least").alias("salt", "hash"), F.struct(F.col("k1").alias("name"), "size", "b0", "b1").alias("own"))
-    hubs = rows.groupBy("salt", "hash").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low.name < high.name")
-    met = rows.join(hubs, ["salt", "hash"])
-    pairs = met.select("own", "low").unionByName(met.where("own.name > low.name").select("own", F.col("high").alias("low")))
-    both = F.col("own.size") + F.col("low.size")
-    return pairs.where(
-        (F.col("own.name") != F.col("low.name"))
-        & (100 * F.least("own.size", "low.size") >= percent * F.greatest("own.size", "low.size"))
-        & (_apart("own", "low") <= both - 2 * _needed(both, percent))
-    ).select(F.least("own.name", "low.name").alias("u"), F.greatest("own.name", "low.name").alias("v")).distinct()
+    orders = [F.struct(F.xxhash64("own.name", "salt", F.lit(i)).alias("order"), F.col("own")) for i in range(ORDERS)]
+    ends = [end(o).getField("own") for o in orders for end in (F.min, F.max)]
+    hubs = rows.groupBy("salt", "hash").agg(F.array(*ends).alias("hubs"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    met = rows.join(hubs.drop("classes"), ["salt", "hash"]).select("own", F.explode(F.array_distinct("hubs")).alias("hub"))
+    both = F.col("own.size") + F.col("hub.size")
+    return met.where(
+        (F.col("own.name") != F.col("hub.name"))
+        & (100 * F.least("own.size", "hub.size") >= percent * F.greatest("own.size", "hub.size"))
+        & (_apart("own", "hub") <= both - 2 * _needed(both, percent))
+    ).select(F.least("own.name", "hub.name").alias("u"), F.greatest("own.name", "hub.name").alias("v")).distinct()
 
 
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
@@ -363,7 +368,7 @@ def links(docs: DataFrame, classes: DataFrame, met: DataFrame, n: int, percent:
     y = classes.select(F.col("k1").alias("v"), F.col("size").alias("_b"), F.col("map").alias("y"))
     mapped = met.join(x, "u").join(y, "v").select("u", "v", (F.col("_a") + F.col("_b")).alias("both"), "x", "y")
     pairs = written(mapped.mapInArrow(_likely(percent), "u long, v long").distinct(), "pairs")
-    named = pairs.select(F.explode(F.array("u", "v")).alias("k1")).distinct()
+    named = written(pairs.select(F.explode(F.array("u", "v")).alias("k1")).distinct(), "named")
     wanted = classes.join(named, "k1", "left_semi").select(
         "k1", "k2", F.col("rep.doc_id").alias("_id"), F.col("rep.t1").alias("_t1")
     )

@@ -8,10 +8,11 @@ is fitted on it.  The kernel is linear in the presence vector, so landmarks, map
 and regression fold into one BINS x languages matrix, and a batch of texts is
 scored by one matrix product.
 
-Learning takes at most MOST_TEXTS texts of each language, in the order of a hash
-of the id; the counts behind that sample are of all rows.  Scoring is one pass
-over all whole texts.  At most MOST_LANGUAGES languages, the most frequent ones,
-are learned.
+Learning takes at most MOST_TEXTS different texts of each language, and of all
+languages MOST_IN_ALL, in the order of a hash of id and text; of any number of
+languages each gives one text at least, so every language that occurs is learned.
+The n-grams of the sample are found in the tasks, and the driver gets BINS bits of a
+text, however long it is.  Scoring is one pass over all whole texts.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; rows with
 a null language or id are not learned from, and a null id counts as held out;
@@ -34,7 +35,7 @@ from rosterline.llm.toxicity import remainder
 
 BIN_BITS = 14
 ORDERS = (1, 2, 3, 4)
-MOST_TEXTS, MOST_LANDMARKS, MOST_LANGUAGES = 300, 60, 200
+MOST_TEXTS, MOST_LANDMARKS, MOST_IN_ALL = 300, 60, 60_000
 RIDGE, SHARPNESS = 1e-3, 8.0
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -65,43 +66,65 @@ class Model:
 
 
 def fit(texts: pa.Array, langs: list[str]) -> Model:
+    return fit_presence(np.packbits(gram_presence(texts).astype(bool), axis=1), langs)
+
+
+def fit_presence(bits: np.ndarray, langs: list[str]) -> Model:
+    """The model of packed presence rows."""
     languages = sorted(set(langs))
-    y = np.asarray([languages.index(x) for x in langs])
+    number = {x: i for i, x in enumerate(languages)}
+    y = np.asarray([number[x] for x in langs])
+    most = max(1, min(MOST_LANDMARKS, 200 * MOST_LANDMARKS // len(languages)))
     seen = dict.fromkeys(range(len(languages)), 0)
     marks = []
     for i, c in enumerate(y):  # the first texts of each language
-        if seen[c] < MOST_LANDMARKS:
+        if seen[c] < most:
             seen[c] += 1
             marks.append(i)
-    marked = _unit(gram_presence(texts.take(pa.array(marks))))
+
+    def rows(which) -> np.ndarray:
+        return _unit(np.unpackbits(bits[which], axis=1).astype(np.float32))
+
+    marked = rows(marks)
     values, vectors = np.linalg.eigh((marked @ marked.T).astype(float))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     gram, right = 0.0, 0.0
-    for at in range(0, len(texts), 256):
-        phi = (_unit(gram_presence(texts.slice(at, 256))) @ marked.T) @ root
+    for at in range(0, len(bits), 256):
+        phi = (rows(slice(at, at + 256)) @ marked.T) @ root
         target = np.where(y[at : at + 256, None] == np.arange(len(languages)), 1.0, -1.0)
         gram, right = gram + phi.T @ phi, right + phi.T @ target
-    weights = np.linalg.solve(gram + RIDGE * len(texts) * np.eye(gram.shape[0]), right)
+    weights = np.linalg.solve(gram + RIDGE * len(bits) * np.eye(gram.shape[0]), right)
     return Model(languages, (marked.T @ (root @ weights)).astype(np.float32))
 
 
+def _packed_presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pieces_of(batch, "text"):
+            for at in range(0, part.num_rows, 512):  # bounds the presence matrix
+                some = part.slice(at, 512)
+                bits = np.packbits(gram_presence(some.column("text")).astype(bool), axis=1)
+                grams = pa.array([b.tobytes() for b in bits], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in ("lang", "draw", "place")), grams], names=["lang", "draw", "place", "grams"])
+
+
 def learn(docs: DataFrame, folds: int = 4, held: int = 2) -> Model | None:
     """The model of the learning rows (remainder not ``held``); None without any."""
     ours = docs.where(
         (remainder(F.col("doc_id"), folds) != held) & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")
-    ).select("doc_id", "lang", "text")
-    counts = ours.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    drawn = ours.join(F.broadcast(counts), "lang").where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.least(F.lit(1.0), F.lit(2.0 * MOST_TEXTS) / F.col("count")) * (1 << 30)
-    )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    got = drawn.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= MOST_TEXTS).orderBy("_n", "lang").select("lang", "text").toArrow()
-    if not got.num_rows:
+    ).select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    thin = ours.select("lang", "draw").distinct()  # repeated rows count once
+    languages = thin.select("lang").distinct().count()
+    if not languages:
         return None
-    texts = got.column("text").combine_chunks()
-    texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-    return fit(texts, got.column("lang").to_pylist())
+    quota = max(1, min(MOST_TEXTS, MOST_IN_ALL // languages))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = thin.withColumn("place", first).where(F.col("place") <= quota)
+    # MOST_IN_ALL rows at most, or one a language: no larger than the model itself.
+    sample = ours.join(F.broadcast(drawn), ["lang", "draw"]).mapInArrow(_packed_presence, "lang string, draw long, place int, grams binary")
+    got = sample.dropDuplicates(["lang", "draw"]).orderBy("place", "lang").select("lang", "grams").toArrow()
+    bits = np.frombuffer(b"".join(got.column("grams").to_pylist()), np.uint8).reshape(got.num_rows, -1)
+    return fit_presence(bits, got.column("lang").to_pylist())
 
 
 def predict(docs: DataFrame, model: Model | None, folds: int = 4, held: int = 2) -> DataFrame:

@@ -57,7 +57,7 @@ def oracle_sql() -> dict[str, str]:
 
 @register("op1_substring_dedup")
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    out = substring_dedup.dedup(read_table(spark, sf_dir, "documents"), with_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 

@@ -11,8 +11,11 @@ and reported only when the complementary parts co-occur:
 * ``endpoint`` (a service address) next to both.
 
 Native: regular expressions give matches and the text between them, whose lengths
-give the positions; the interval join runs on the arrays of one row, because a
-scope never leaves its document.  There is no shuffle.
+give the positions.  The interval join runs on the arrays of one row, because a
+scope never leaves its document: the matches of a kind do not overlap, so they are
+in order by start and by end, and the first one that ends behind a point is found by
+halving.  There is no shuffle, and the time of a row grows with its spans, not with
+their pairs.
 
 Cases: a null text is empty; an empty text has no spans and the checksum of the
 empty string; repeated rows are scanned alike; an empty table gives no rows.
@@ -20,6 +23,9 @@ empty string; repeated rows are scanned alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +55,10 @@ KINDS: dict[str, tuple[str, int, int]] = {
     "endpoint": (f"({_SERVICES})://([^\\x20\\x09-\\x0D\"'<>]+)", 2, 4),
 }
 BASE = ("assign", "access", "hex")
+#: Items of a growing array that are copied when one is added.
+PIECE = 256
+#: Code points of the blocks that a text is cut into, in two steps.
+_LARGE, _BLOCK = 1 << 20, 1 << 13
 _SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -66,29 +76,47 @@ def _spans(text: Column, kind: str) -> Column:
         start = acc["at"] + F.length(part["before"])
         end = start + F.coalesce(F.length(part["match"]), F.lit(0))
         kept = F.coalesce(F.length(part["value"]) >= least, F.lit(False))
-        found = F.when(kept, F.array_append(acc["found"], F.struct(start.alias("start"), end.alias("end"))))
-        return F.struct(end.alias("at"), F.coalesce(found, acc["found"]).alias("found"))
+        return F.struct(end.alias("at"), *_grown(acc, kept, F.struct(start.alias("start"), end.alias("end")), none))
+
+    start = F.struct(F.lit(0).alias("at"), none.alias("some"), F.array().cast(f"array<{_SPAN}>").alias("done"))
+    found = F.aggregate(parts, start, step, lambda a: F.concat(F.flatten(a["done"]), a["some"]))
+    return F.when(text.rlike(pattern), found).otherwise(none)
+
+
+def _grown(acc: Column, kept: Column, item: Column, none: Column) -> list[Column]:
+    """``some`` and ``done`` of a fold with ``item`` added: an array is copied when it
+    grows, so full pieces of PIECE items are put aside."""
+    full = F.size(acc["some"]) >= PIECE
+    some = F.when(kept, F.array_append(F.when(full, none).otherwise(acc["some"]), item)).otherwise(acc["some"])
+    done = F.when(kept & full, F.array_append(acc["done"], acc["some"])).otherwise(acc["done"])
+    return [some.alias("some"), done.alias("done")]
+
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    return F.when(text.rlike(pattern), F.aggregate(parts, start, step)["found"]).otherwise(none)
+def _near(kinds, reach: int):
+    """Does a span of any of the kinds lie within ``reach`` code points of the span?"""
 
+    def of(kind: str, s: Column) -> Column:
+        parts = F.col(f"_{kind}")
 
-def _near(parts: Column, reach: int):
-    """Does any of ``parts`` lie within ``reach`` code points of the span?"""
-    return lambda s: F.exists(parts, lambda p: (p["start"] < s["end"] + reach) & (s["start"] < p["end"] + reach))
+        def halve(lo: Column, bit: Column) -> Column:
+            to = lo + F.call_function("shiftleft", F.lit(1), bit)
+            early = F.get(parts, to - 1)["end"] <= s["start"] - reach  # null beyond the array
+            return F.when(early, to).otherwise(lo)
+
+        bits = F.sequence(F.floor(F.log2(F.greatest(F.size(parts), F.lit(1)))).cast("int"), F.lit(0), F.lit(-1))
+        first = F.aggregate(bits, F.lit(0), halve)
+        return F.coalesce(F.get(parts, first)["start"] < s["end"] + reach, F.lit(False))
+
+    return lambda s: reduce(or_, [of(k, s) for k in kinds])
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """``docs`` plus one array column of spans per kind (weak kinds: linked ones)."""
+    """``docs`` plus one array column of spans per kind (weak kinds: linked ones), named after it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.withColumns({f"_{k}": _spans(text, k) for k in KINDS})
-    base = F.concat(*[F.col(f"_{k}") for k in BASE])
-    out = out.withColumns({
-        f"_{k}": F.filter(F.col(f"_{k}"), lambda s: ~_near(base, 0)(s)) for k in ("ident", "opaque", "endpoint")
-    })
-    owners = F.concat(F.col("_access"), F.col("_ident"))
-    secrets = F.concat(F.col("_assign"), F.col("_hex"), F.col("_opaque"))
-    by_owner, by_secret = _near(owners, scope), _near(secrets, scope)
+    free = _near(BASE, 0)
+    out = out.withColumns({f"_{k}": F.filter(F.col(f"_{k}"), lambda s: ~free(s)) for k in ("ident", "opaque", "endpoint")})
+    by_owner, by_secret = _near(("access", "ident"), scope), _near(("assign", "hex", "opaque"), scope)
     return out.withColumns({
         "_ident": F.filter("_ident", by_secret),
         "_opaque": F.filter("_opaque", by_owner),
@@ -122,27 +150,52 @@ def scan(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of its text replaced by MASK; n_chars follows.
 
-    A text without spans stays as it is, also a null one.
+    A text without spans stays as it is, also a null one.  The row travels in one
+    struct, so its columns may have any names.
     """
-    text = F.col("text")
     spans = F.array_sort(F.concat(*[F.col(f"_{k}") for k in KINDS]))
+    none = F.array().cast(_SPAN)
 
     def step(acc: Column, s: Column) -> Column:
         free = s["start"] >= acc["at"]
-        before = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(free, F.concat(acc["out"], before, F.lit(MASK))).otherwise(acc["out"]).alias("out"),
+        gap = F.struct(acc["at"].alias("start"), s["start"].alias("end"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), *_grown(acc, free, gap, none))
+
+    def ended(acc: Column) -> Column:
+        last = F.struct(acc["at"].alias("start"), F.col("length").alias("end"))
+        return F.concat(F.flatten(acc["done"]), acc["some"], F.array(last))
+
+    begin = F.struct(F.lit(0).alias("at"), none.alias("some"), F.array().cast(f"array<{_SPAN}>").alias("done"))
+    gaps = F.aggregate(F.col("all"), begin, step, ended)
+    # A part of a text is found by counting from its start, so the text is cut into
+    # blocks once, and parts are taken from the blocks.
+    large = F.transform(F.sequence(F.lit(0), F.floor(F.col("length") / _LARGE).cast("int")), lambda i: F.substring("text", i * _LARGE + 1, F.lit(_LARGE)))
+    cuts = F.sequence(F.lit(0), F.lit(_LARGE // _BLOCK - 1))
+    blocks = F.flatten(F.transform(F.col("large"), lambda t: F.transform(cuts, lambda j: F.substring(t, j * _BLOCK + 1, F.lit(_BLOCK)))))
+
+    def part(g: Column) -> Column:
+        start, last = g["start"], g["end"] - 1
+        i, j = F.floor(start / _BLOCK).cast("int"), F.floor(last / _BLOCK).cast("int")
+        one = F.substring(F.get("blocks", i), start % _BLOCK + 1, g["end"] - start)
+        many = F.concat(
+            F.substring(F.get("blocks", i), start % _BLOCK + 1, F.lit(_BLOCK)),
+            F.array_join(F.slice("blocks", i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+            F.substring(F.get("blocks", j), F.lit(1), last % _BLOCK + 1),
         )
-
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, begin, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    changed = F.size(spans) > 0
-    out = with_spans(docs).withColumn("text", F.when(changed, done).otherwise(text))
+        return F.when(last < start, F.lit("")).when(i == j, one).otherwise(many)
+
+    masked = F.array_join(F.transform(F.col("gaps"), part), MASK)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    found = with_spans(packed).select("row", "text", spans.alias("all")).withColumn("changed", F.size("all") > 0)
+    found = found.withColumn("length", F.length("text"))
+    for name, made in (("gaps", gaps), ("large", large), ("blocks", blocks)):
+        found = found.withColumn(name, F.when(F.col("changed"), made))
+    found = found.withColumn("text", F.when(F.col("changed"), masked).otherwise(F.col("text")))
+    out = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+        out["n_chars"] = F.when(F.col("changed"), F.length("text").cast(kind)).otherwise(out["n_chars"])
+    return found.select(*[out[c].alias(c) for c in docs.columns])
 
 
 # ---------------------------------------------------------------------------

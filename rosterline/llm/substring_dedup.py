@@ -28,6 +28,7 @@ windows repeated; a null id is kept; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -45,6 +46,8 @@ WINDOW, GRAM = 35, 8
 HOT_PLACES = 25_000
 #: Rows of a bucket beyond which windows are compared by 128-bit hashes, not words.
 LONG_BUCKET = 2000
+#: Bytes of text that one step handles: numpy takes some 50 times as many, in every worker.
+STEP_BYTES = 1 << 18
 _NAME = ["k1", "k2"]
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -93,7 +96,7 @@ def _slim(docs: DataFrame) -> DataFrame:
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(minimiser, k1, k2, places) of every text."""
     for batch in batches:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", STEP_BYTES):
             words = words_of(part.column("text"))
             *_, place, value = minimisers(words)
             doc = words.doc[place]
@@ -137,7 +140,7 @@ def _travel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         yield *(int(x) for x in np.frombuffer(name, np.int64)), k1, k2, p, None
 
     for batch in batches:
-        for part in pieces_of(batch, "text"):
+        for part in pieces_of(batch, "text", STEP_BYTES):
             got = list(rows(part))
             cols = zip(*got) if got else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -153,13 +156,14 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def repeated(rows) -> Iterator[tuple[int, int, int]]:
         rows = list(rows)
-        short = len(rows) <= LONG_BUCKET
+        if len(rows) > LONG_BUCKET:
+            yield from _repeated_hashes(rows)
+            return
         found = []
         for _, k1, k2, start, packed in rows:
             words = packed.split(b" ")
             for i in range(len(words) - WINDOW + 1):
-                window = b" ".join(words[i : i + WINDOW])
-                found.append((window if short else _hash(window), k1, k2, start + i))
+                found.append((b" ".join(words[i : i + WINDOW]), k1, k2, start + i))
         found.sort()
         found = [f for f, _ in groupby(found)]  # rows that stand for one text give the same place
         for i, (w, *place) in enumerate(found):
@@ -175,36 +179,58 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _places(out)
 
 
+def _repeated_hashes(rows: list) -> Iterator[tuple[int, int, int]]:
+    """The same for a long bucket: windows as five whole numbers each, in flat arrays."""
+    hashes, places = bytearray(), array("q")
+    for _, k1, k2, start, packed in rows:
+        words = packed.split(b" ")
+        for i in range(len(words) - WINDOW + 1):
+            hashes += _hash(b" ".join(words[i : i + WINDOW]))
+            places.extend((k1, k2, start + i))
+    place = np.frombuffer(places, np.int64).reshape(-1, 3)
+    found = np.hstack([np.frombuffer(hashes, np.int64).reshape(-1, 2), place])
+    del hashes, places, place
+    found = found[np.lexsort(found.T[::-1])]
+    found = found[np.r_[True, (found[1:] != found[:-1]).any(axis=1)]]
+    same = (found[1:, :2] == found[:-1, :2]).all(axis=1)
+    for row in found[np.r_[False, same] | np.r_[same, False], 2:]:
+        yield row.tolist()
+
+
 def _places(rows: list) -> pa.RecordBatch:
     cols = zip(*rows) if rows else [()] * 3
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["k1", "k2", "start"])
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and checksum of the words that stay, and those words."""
-    for batch in batches:
-        for part in pieces_of(batch, "text"):
-            raw, off = text_bytes(part.column("text"))
-            raw, rows = raw.tobytes(), []
-            for i, (doc_id, copies, starts) in enumerate(zip(*(part.column(c).to_pylist() for c in ("doc_id", "copies", "starts")))):
-                words = raw[off[i] : off[i + 1]].split()
-                gone = 0
-                if copies > 1 and len(words) >= WINDOW:
-                    gone, words_left = len(words), []
-                elif starts:
-                    cover = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(cover, np.asarray(starts), 1)
-                    np.add.at(cover, np.asarray(starts) + WINDOW, -1)
-                    covered = np.cumsum(cover)[:-1] > 0
-                    gone, words_left = int(covered.sum()), [w for w, c in zip(words, covered) if not c]
-                else:
-                    words_left = words
-                kept = b" ".join(words_left)
-                rows.append((doc_id, len(words), gone, hashlib.sha256(kept).hexdigest(), kept.decode()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
-            )
+def _apply(with_text: bool):
+    """Counts and checksum of the words that stay, and those words if asked for."""
+    kinds = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
+    if with_text:
+        kinds["kept_text"] = pa.string()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces_of(batch, "text", STEP_BYTES):
+                raw, off = text_bytes(part.column("text"))
+                raw, rows = raw.tobytes(), []
+                for i, (doc_id, copies, starts) in enumerate(zip(*(part.column(c).to_pylist() for c in ("doc_id", "copies", "starts")))):
+                    words = raw[off[i] : off[i + 1]].split()
+                    gone = 0
+                    if copies > 1 and len(words) >= WINDOW:
+                        gone, words_left = len(words), []
+                    elif starts:
+                        cover = np.zeros(len(words) + 1, np.int32)
+                        np.add.at(cover, np.asarray(starts), 1)
+                        np.add.at(cover, np.asarray(starts) + WINDOW, -1)
+                        covered = np.cumsum(cover)[:-1] > 0
+                        gone, words_left = int(covered.sum()), [w for w, c in zip(words, covered) if not c]
+                    else:
+                        words_left = words
+                    kept = b" ".join(words_left)
+                    rows.append((doc_id, len(words), gone, hashlib.sha256(kept).hexdigest(), *([kept.decode()] if with_text else [])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], names=list(kinds))
+
+    return run
 
 
 def repeated_places(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -235,13 +261,13 @@ def repeated_places(texts: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and kept_text of every row of ``docs`` (doc_id, text)."""
+def dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 of every row of ``docs`` (doc_id, text); kept_text if asked for."""
     texts = _slim(docs)
     names = texts.groupBy(_NAME).agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("stand_in"))
     starts = repeated_places(texts, names).groupBy(_NAME).agg(F.collect_list("start").alias("starts"))
     return (
         texts.join(names.join(starts, _NAME, "left").select(*_NAME, "copies", "starts"), _NAME)
         .select("doc_id", "text", "copies", "starts")
-        .mapInArrow(_apply, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        .mapInArrow(_apply(with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
     )

@@ -8,8 +8,9 @@ the step goes the other way (the non-negative risk estimator).
 
 A text's features are its distinct words and word beginnings, hashed to BINS.
 The prior is a count over all labelled learning rows; P and U are samples of at
-most MOST_TOXIC and MOST_UNLABELLED rows, taken in the order of a hash.  Training
-is numpy on the driver over those bounded samples; scoring is one pass over all
+most MOST_TOXIC and MOST_UNLABELLED ids, a text each, taken in the order of a hash.
+Their features are found in the tasks; training is numpy on the driver over those
+bounded samples; scoring is one pass over all
 whole texts on the executors.
 
 Cases: null and empty texts get the score of a text without features; rows
@@ -70,78 +71,110 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(g, -30, 30).astype(float)))
 
 
-def _steps(texts: pa.Array) -> Iterator[pa.Array]:
-    """``texts`` in runs of bounded size, so that the driver's memory is bounded too."""
-    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-    return (part.column(0) for part in pieces_of(batch, "text", 1 << 20))
-
-
-def _counts(texts: pa.Array) -> np.ndarray:
-    """Number of texts that have each bin."""
-    out = np.zeros(BINS, np.int32)
-    for some in _steps(texts):
-        doc, b = text_features(some)
-        np.add.at(out, np.unique(doc * BINS + b) % BINS, 1)
-    return out
-
-
-def _matrix(texts: pa.Array, column_of: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros((len(texts), width), np.float32)
-    at = 0
-    for some in _steps(texts):
-        doc, b = text_features(some)
-        out[at : at + len(some)] = presence(doc, column_of[b], len(some), width)
-        at += len(some)
-    return out
-
-
-def _unlike(texts: pa.Array, bits: int = 12, most: float = 0.5) -> np.ndarray:
+@dataclass
+class Sample:
+    """Texts as features: (text, bin) of every bin that a text has, and 0/1 rows of hashed words."""
+
+    size: int
+    doc: np.ndarray
+    bin: np.ndarray
+    words: np.ndarray
+
+    def counts(self) -> np.ndarray:
+        """Number of texts that have each bin."""
+        return np.bincount(self.bin, minlength=BINS)
+
+    def matrix(self, column_of: np.ndarray, width: int) -> np.ndarray:
+        return presence(self.doc, column_of[self.bin], self.size, width)
+
+    def take(self, rows: np.ndarray) -> Sample:
+        place = np.full(self.size, -1)
+        place[rows] = np.arange(len(rows))
+        kept = place[self.doc] >= 0
+        return Sample(len(rows), place[self.doc[kept]], self.bin[kept], self.words[rows])
+
+
+WORD_BITS = 12
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, bins, words): what a Sample needs of each text, bounded however long it is."""
+    for batch in batches:
+        for part in pieces_of(batch, "text"):
+            for at in range(0, part.num_rows, 1024):
+                some = part.slice(at, 1024)
+                doc, b = text_features(some.column("text"))
+                pair = np.unique(doc * BINS + b)
+                ends = np.searchsorted(pair, np.arange(some.num_rows + 1) * BINS).astype(np.int32)
+                bins = pa.ListArray.from_arrays(pa.array(ends), pa.array((pair % BINS).astype(np.int32)))
+                w = words_of(some.column("text"), lower=True)
+                rows = presence(w.doc, (w.hash >> np.uint64(64 - WORD_BITS)).astype(np.int64), some.num_rows, 1 << WORD_BITS)
+                words = pa.array([x.tobytes() for x in np.packbits(rows.astype(bool), axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), bins, words], names=["doc_id", "bins", "words"])
+
+
+def _sample(texts: DataFrame) -> Sample:
+    """The features of a bounded number of rows (doc_id, text), in the order of a hash of the id."""
+    rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features, "doc_id long, bins array<int>, words binary")
+    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks()
+    bins = got.column("bins").combine_chunks()
+    bins = bins.chunk(0) if isinstance(bins, pa.ChunkedArray) else bins
+    doc = np.repeat(np.arange(got.num_rows), bins.value_lengths().to_numpy(zero_copy_only=False))
+    packed = np.frombuffer(b"".join(got.column("words").to_pylist()), np.uint8).reshape(got.num_rows, (1 << WORD_BITS) // 8)
+    words = np.unpackbits(packed, axis=1).astype(np.float32)
+    return Sample(got.num_rows, doc, bins.flatten().to_numpy(zero_copy_only=False).astype(np.int64), words)
+
+
+def _unlike(texts: Sample, most: float = 0.5) -> np.ndarray:
     """Rows that share at most ``most`` of their words with an earlier kept row.
 
     Copies of one example would make each of its words look toxic.
     """
-    x = []
-    for some in _steps(texts):
-        w = words_of(some, lower=True)
-        x.append(presence(w.doc, (w.hash >> np.uint64(64 - bits)).astype(np.int64), len(some), 1 << bits))
-    x = np.concatenate(x)
+    x = texts.words.copy()
     size, kept = x.sum(1), []
-    for i in range(len(texts)):
+    for i in range(texts.size):
         n = len(kept)  # kept rows lie at the front of x and size
         both = x[:n] @ x[i]
         if not np.any(both > most * (size[:n] + size[i] - both)):
             x[n], size[n] = x[i], size[i]
             kept.append(i)
-    return np.asarray(kept)
+    return np.asarray(kept, int)
 
 
-def fit(toxic: pa.Array, unlabelled: pa.Array, prior: float, steps: int = 300) -> Model:
+def risk_slopes(gp: np.ndarray, gu: np.ndarray, prior: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """The clean risk E_U[l(-g)] - prior E_P[l(-g)] and the slopes of a training step by g.
+
+    They are those of prior E_P[l(g)] + clean risk; where the clean risk is below
+    zero, those of minus the clean risk alone.
+    """
+    neg_p, neg_u = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))  # slopes of l(-g)
+    risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    clean_p, clean_u = -prior * neg_p / len(gp), neg_u / len(gu)
+    if risk < 0:
+        return risk, -clean_p, -clean_u
+    return risk, clean_p - prior * (1 - neg_p) / len(gp), clean_u
+
+
+def fit(toxic: Sample, unlabelled: Sample, prior: float, steps: int = 300) -> Model:
     """Minimise the non-negative PU risk of the logistic loss with Adam."""
-    toxic = toxic.take(pa.array(_unlike(toxic)))
-    in_toxic = _counts(toxic)
+    toxic = toxic.take(_unlike(toxic))
+    in_toxic = toxic.counts()
     seen = np.flatnonzero(in_toxic >= 3)
-    p, u = in_toxic[seen] / len(toxic), _counts(unlabelled)[seen] / max(len(unlabelled), 1)
+    p, u = in_toxic[seen] / toxic.size, unlabelled.counts()[seen] / max(unlabelled.size, 1)
     clean = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9)
     # Log-likelihood ratio of the count in P against the (smoothed) clean rate.
-    count, wanted = p * len(toxic), (clean + 2 / max(len(unlabelled), 1)) * len(toxic)
+    count, wanted = p * toxic.size, (clean + 2 / max(unlabelled.size, 1)) * toxic.size
     evidence = np.where(count > wanted, count * np.log(count / wanted) - count + wanted, 0)
     order = np.argsort(-evidence, kind="stable")[:MOST_FEATURES]
     order = seen[order[evidence[order] > LEAST_EVIDENCE]]
     column_of = np.full(BINS, -1, np.int16)
     column_of[order] = np.arange(len(order))
-    xp, xu = (_matrix(texts, column_of, len(order)) for texts in (toxic, unlabelled))
+    xp, xu = (some.matrix(column_of, len(order)) for some in (toxic, unlabelled))
     w, bias = np.zeros(len(order), np.float32), 0.0
     m, v = np.zeros(len(order) + 1), np.zeros(len(order) + 1)
     for t in range(1, steps + 1):
-        gp, gu = xp @ w + np.float32(bias), xu @ w + np.float32(bias)
-        neg_p, neg_u = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))  # slopes of l(-g)
-        risk_clean = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        # Gradients of pi E_P[l(g)] and of the clean risk, by text.
-        pos = -prior * (1 - neg_p) / len(gp)
-        cp, cu = -prior * neg_p / len(gp), neg_u / len(gu)
-        if risk_clean < 0:
-            pos, cp, cu = 0 * pos, -cp, -cu
-        slope_p, slope_u = (pos + cp).astype(np.float32), cu.astype(np.float32)
+        _, slope_p, slope_u = risk_slopes(xp @ w + np.float32(bias), xu @ w + np.float32(bias), prior)
+        slope_p, slope_u = slope_p.astype(np.float32), slope_u.astype(np.float32)
         grad = np.r_[slope_p @ xp + slope_u @ xu + 1e-4 * w, slope_p.sum() + slope_u.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -170,19 +203,21 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model | None:
     draw = F.xxhash64("doc_id")
     picked = known.where("toxic = 1").orderBy(draw, "doc_id").limit(MOST_TOXIC).select("doc_id")
     slim = docs.where(ours).select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    toxic = slim.join(F.broadcast(picked), "doc_id", "left_semi").select("text").toArrow()
     total = slim.count()
-    if not toxic.num_rows or not total:
-        return None
     # A hash threshold draws twice the wanted rows; the order of the hash cuts them to the bound.
-    share = min(1.0, 2 * MOST_UNLABELLED / total)
+    share = min(1.0, 2 * MOST_UNLABELLED / max(total, 1))
     drawn = slim.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    few = drawn.select("doc_id").orderBy(draw, "doc_id").limit(MOST_UNLABELLED).distinct()
-    unlabelled = slim.join(F.broadcast(few), "doc_id", "left_semi").select("text").toArrow()
-    flat = [t.column("text").combine_chunks() for t in (toxic, unlabelled)]
-    flat = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in flat]
+    few = drawn.select("doc_id").distinct().orderBy(draw, "doc_id").limit(MOST_UNLABELLED)
+    # An id may stand in many rows: one of its texts is learned from.
+    texts = [
+        slim.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+        for ids in (picked, few)  # as many ids as the bounds at most
+    ]
+    toxic, unlabelled = map(_sample, texts)
+    if not toxic.size or not total:
+        return None
     prior = min(max(count["toxic"] / count["n"], 1e-3), 0.9)
-    return fit(flat[0], flat[1], prior)
+    return fit(toxic, unlabelled, prior)
 
 
 def score(docs: DataFrame, model: Model | None, folds: int = 5) -> DataFrame:

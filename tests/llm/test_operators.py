@@ -446,8 +446,121 @@ def test_jaccard_join(spark, odd, small, monkeypatch, n, percent, combined):
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in by_hubs), key=str) == sorted((r[:3] for r in rows), key=str)
 
 
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number of classes, and languages whose rows share one id."""
+    rng, rows = np.random.default_rng(4), []
+    stems = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)) for _ in range(230)]
+    for k, stem in enumerate(stems):
+        rows += [(1000 * k + j, " ".join(f"{stem}{x}" for x in rng.choice(list("aeiou"), 12)), f"l{k:03}", "s") for j in range(8)]
+    model = LG.learn(frame(spark, rows))
+    assert len(model.languages) == 230
+    got = LG.predict(frame(spark, rows), model).collect()
+    right = sum(r.lang_pred == f"l{r.doc_id // 1000:03}" for r in got if r.held_out)
+    assert right >= 0.9 * sum(r.held_out for r in got)
+    learned = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2)
+    for hot in [i for i in range(learned, learned + 12) if zlib.crc32(str(i).encode()) % 4 != 2]:
+        shared = [(hot, f"word{j} other{j} third", "xx", "s") for j in range(700)] + [(5000 + j, f"autre{j} chose", "yy", "s") for j in range(20)]
+        assert LG.learn(frame(spark, shared)).languages == ["xx", "yy"]
+        break
+
+
+def test_languages_share_the_bound_of_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(LG, "MOST_IN_ALL", 6)
+    rows = [(100 * k + j, f"l{k}word{j} text", f"l{k}", "s") for k in range(9) for j in range(9)]
+    seen = []
+    monkeypatch.setattr(LG, "fit_presence", lambda bits, langs: seen.append(sorted(langs)) or "model")
+    assert LG.learn(frame(spark, rows)) == "model" and seen == [[f"l{k}" for k in range(9)]]
+
+
+def test_risk_slopes_are_the_risks_derivatives():
+    """Against differences of the risk itself, on both sides of zero."""
+    rng = np.random.default_rng(0)
+
+    def loss(z):
+        return np.log1p(np.exp(-z)).mean()
+
+    signs = set()
+    for shift in (0.0, 4.0, -4.0):
+        gp, gu = rng.normal(size=7) - shift, rng.normal(size=9) - 1
+        prior = 0.6
+        risk, slope_p, slope_u = TX.risk_slopes(gp, gu, prior)
+        assert risk == pytest.approx(loss(-gu) - prior * loss(-gp))
+        signs.add(risk < 0)
+
+        def objective(p, u, below=risk < 0):
+            clean = loss(-u) - prior * loss(-p)
+            return -clean if below else prior * loss(p) + clean
+
+        for k in range(len(gp)):
+            e = np.eye(len(gp))[k] * 1e-6
+            assert slope_p[k] == pytest.approx((objective(gp + e, gu) - objective(gp - e, gu)) / 2e-6, abs=1e-6)
+        for k in range(len(gu)):
+            e = np.eye(len(gu))[k] * 1e-6
+            assert slope_u[k] == pytest.approx((objective(gp, gu + e) - objective(gp, gu - e)) / 2e-6, abs=1e-6)
+    assert signs == {True, False}
+
+
+def test_cut_has_the_least_risk_of_all_cuts():
+    rng = np.random.default_rng(1)
+    gp, gu, prior = rng.normal(1, 1, 30), rng.normal(0, 1, 50), 0.3
+
+    def risk(t):
+        return prior * (gp <= t).mean() + max((gu > t).mean() - prior * (gp > t).mean(), 0)
+
+    every = min(risk(t) for t in np.r_[gp.min() - 1, np.sort(np.r_[gp, gu]) + 1e-9, gu.max() + 1])
+    assert risk(TX._cut(gp, gu, prior)) == pytest.approx(every)
+
+
+def test_one_text_of_an_id_is_learned_from(spark, monkeypatch):
+    """A toxic id that holds most rows brings one text to the sample, not all."""
+    rows = [(7, f"bad words number {j}", "en", "s") for j in range(400)] + [(100 + j, f"clean text {j}", "en", "s") for j in range(50)]
+    labels = spark.createDataFrame([(7, 1, 1), (101, 1, 0)], "doc_id long, quality int, toxic int")
+    sizes = []
+    monkeypatch.setattr(TX, "fit", lambda toxic, unlabelled, prior: sizes.append((toxic.size, unlabelled.size)))
+    TX.learn(frame(spark, rows), labels)
+    assert sizes and sizes[0][0] == 1 and sizes[0][1] <= 51
+
+
+def test_time_of_a_row_follows_its_spans(spark):
+    """Twice the spans of one text take about twice the time, not four times."""
+    import time
+
+    def took(n):
+        text = "".join(f"user=u{i}name password=Abcdef{i:05}x https://h{i}.example/p " for i in range(n))
+        docs = frame(spark, [(1, text, "en", "s")])
+        best = 1e9
+        for _ in range(3):
+            began = time.perf_counter()
+            (row,) = SC.redact(docs).select("text").collect()
+            best = min(best, time.perf_counter() - began)
+            assert row.text.count(SC.MASK) == 3 * n
+        return best
+
+    took(500)
+    assert took(4000) < 3.2 * took(2000) + 0.5
+
+
+def test_scope_ends_exactly(spark):
+    """A part at the scope's border is linked, one code point further it is not."""
+    for gap, linked in ((SC.SCOPE - 1, True), (SC.SCOPE, False), (SC.SCOPE + 1, False)):
+        text = "user=bob1 " + "é" * (gap - 1) + " password=Abcdefgh1"
+        spans = SC.scan(frame(spark, [(1, text, "en", "s")])).first().spans
+        start = text.index("password")
+        distance = start - len("user=bob1")
+        assert ("ident" in spans) == linked == (distance < SC.SCOPE) or distance > SC.SCOPE
+
+
+def test_masking_leaves_other_columns(spark, odd):
+    inside = [f"_{k}" for k in SC.KINDS] + ["row", "changed", "at", "some", "done", "rest"]
+    docs = frame(spark, PARTS).select("doc_id", "text", "n_chars", *[F.lit(f"own {c}").alias(c) for c in inside])
+    out = SC.redact(docs)
+    assert out.columns == docs.columns
+    assert out.select(*inside).distinct().collect()[0].asDict() == {c: f"own {c}" for c in inside}
+    assert out.where("n_chars <> length(text)").count() == 0
+
+
 def test_candidates_of_a_cluster_grow_with_its_rows(spark, monkeypatch):
-    """Each near copy meets at most two hubs a min-hash; 400 copies would have 79,800 pairs."""
+    """Each near copy meets a fixed number of hubs; 400 copies would have 79,800 pairs."""
     def run(size):
         rng, words = np.random.default_rng(size), [f"b{i}" for i in range(200)]
         rows = []
@@ -470,7 +583,7 @@ def test_candidates_of_a_cluster_grow_with_its_rows(spark, monkeypatch):
         return sum(total)
 
     for size in (100, 200, 400):
-        assert size - 1 <= run(size) <= 2 * JJ.HASHES * size
+        assert size - 1 <= run(size) <= 2 * JJ.ORDERS * JJ.HASHES * size
 
 
 def test_names_of_other_columns_are_free(spark):
