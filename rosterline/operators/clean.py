@@ -65,13 +65,10 @@ def staffing_defects() -> dict[str, Column]:
     }
 
 
-def valid_staffing(typed: DataFrame) -> DataFrame:
-    """Rows without a defect.  Negative hours and zero-census days stay.
-
-    Stated as plain conjuncts: the optimizer's constraint propagation grows
-    quickly over a negated disjunction of expressions under this many aliases.
-    """
-    return typed.where(
+def valid_condition() -> Column:
+    """No defect.  Stated as plain conjuncts: the optimizer's constraint propagation
+    grows quickly over a negated disjunction of expressions under this many aliases."""
+    return (
         F.col("provnum").isNotNull()
         & (F.length("provnum") > 0)
         & F.col("workdate").isNotNull()
@@ -80,6 +77,11 @@ def valid_staffing(typed: DataFrame) -> DataFrame:
     )
 
 
+def valid_staffing(typed: DataFrame) -> DataFrame:
+    """Rows without a defect.  Negative hours and zero-census days stay."""
+    return typed.where(valid_condition())
+
+
 def clean_staffing(raw: DataFrame) -> DataFrame:
     """Raw daily staffing text -> curated typed rows.
 

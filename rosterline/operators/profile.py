@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from rosterline import schemas as S
 from rosterline.functions.metrics import any_of, guarded_pct, guarded_ratio, maybe_round, sum_of
-from rosterline.functions.quantiles import exact_quantiles, long_values
+from rosterline.functions.quantiles import quantiles, sketches
 from rosterline.operators import clean as C
+from rosterline.session import written_once
 from rosterline.sources.files import select_by_header
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -177,13 +178,22 @@ def cardinality(staffing: DataFrame) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Fully duplicated rows beyond the first copy of each.
 
-    ``groupBy(all columns)`` is partially aggregated map-side, so a group of
-    copies holding a large share of the rows collapses before the shuffle.
+    Only 128-bit fingerprints are shuffled, whatever the width of a row.  Rows are
+    compared column by column only where fingerprints are equal.
     """
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    named = df.withColumns({"_f1": _fingerprint(df, 0), "_f2": _fingerprint(df, 1)})
+    again = named.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_f1", "_f2")
+    suspects = named.join(written_once(again, "repeated-fingerprints"), ["_f1", "_f2"], "left_semi")
+    g = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _fingerprint(df: DataFrame, salt: int) -> F.Column:
+    """64 bits of all columns; where a value is NULL counts too."""
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in df.columns])
+    return F.xxhash64(F.lit(salt), nulls, *[F.col(c) for c in df.columns])
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose business key was already seen (all but the first per key)."""
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -205,6 +215,17 @@ def date_validation(staffing: DataFrame, period_start: str, period_end: str) ->
     )
 
 
+def describe_aggregates(columns: list[str], extra: dict | None = None) -> list[F.Column]:
+    """First-pass aggregates of ``describe``: moments, sketches and ``extra`` of every column."""
+    out = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        moments = {"count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+        out += [e.alias(f"_d{i}_{n}") for n, e in moments.items()]
+        out += [fn(v).alias(f"_d{i}_{n}") for n, fn in (extra or {}).items()]
+    return out + sketches([F.col(c) for c in columns], QUARTILES)
+
+
 def describe(
     df: DataFrame,
     columns: list[str],
@@ -213,38 +234,22 @@ def describe(
 ) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max -- one row per column.
 
-    ``extra`` maps an output name to ``fn(value_column) -> aggregate``; those
-    aggregates run in the same per-column aggregate as the moments.
+    ``extra`` maps an output name to ``fn(value_column) -> aggregate``.  Two passes:
+    one wide aggregate, then the quantiles' brackets (``functions.quantiles``); both
+    run when this is called, and the result is a few local rows.
     """
     extra = extra or {}
-    values = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("_kv")
-    ).select("_kv.column_name", "_kv.value")
-    v = F.col("value")
-    moments = values.groupBy("column_name").agg(
-        F.count(v).alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        *[fn(v).alias(name) for name, fn in extra.items()],
-    )
-    q = exact_quantiles(long_values(df, columns), QUARTILES).select(
-        F.col("column_name").alias("_qc"),
-        F.col("q_0").alias("q25"),
-        F.col("q_1").alias("q50"),
-        F.col("q_2").alias("q75"),
-    )
-    j = moments.join(q, moments["column_name"] == q["_qc"], "left")
+    first = df.agg(*describe_aggregates(columns, extra)).first()
+    found = quantiles(df, [F.col(c) for c in columns], QUARTILES, first)
+    moments = ["count", "mean", "std", "min"]
+    rows = [
+        (c, *[first[f"_d{i}_{m}"] for m in moments], *found[i], first[f"_d{i}_max"], *[first[f"_d{i}_{n}"] for n in extra])
+        for i, c in enumerate(columns)
+    ]
+    kinds = {"count": "bigint"} | {c: "double" for c in DESCRIBE_COLUMNS[1:]} | {n: "bigint" for n in extra}
+    local = df.sparkSession.createDataFrame(rows, "column_name string, " + ", ".join(f"`{n}` {k}" for n, k in kinds.items()))
     stats = [maybe_round(F.col(c), digits).alias(c) for c in DESCRIBE_COLUMNS if c != "count"]
-    return j.select("column_name", "count", *stats, *extra.keys())
+    return local.select("column_name", "count", *stats, *extra.keys())
 
 
 def describe_census(staffing: DataFrame, digits: int | None = None) -> DataFrame:
@@ -264,15 +269,20 @@ def describe_hours(staffing: DataFrame, digits: int | None = None) -> DataFrame:
     return describe(staffing, cols, digits, extra={"negative": lambda v: F.count_if(v < 0)})
 
 
-def reconciliation(staffing: DataFrame, tolerance: float = S.RECONCILE_TOLERANCE) -> DataFrame:
-    """Days where total hours differ from employee + contract hours by more than
-    ``tolerance`` (NULL counted as 0), per role."""
-    conds = []
+def reconciliation_conditions(tolerance: float = S.RECONCILE_TOLERANCE) -> dict[str, F.Column]:
+    """Per role: total hours differ from employee + contract hours by more than
+    ``tolerance`` (NULL counted as 0)."""
+    conds = {}
     for label, role in S.RECONCILED_ROLES:
         t, e, c = S.hrs(role), S.hrs(role, "_emp"), S.hrs(role, "_ctr")
-        diff = F.abs(sum_of([t]) - (sum_of([e]) + sum_of([c])))
-        conds.append((label, F.count_if(diff > F.lit(tolerance))))
-    wide = staffing.agg(*[expr.alias(f"_m{i}") for i, (_, expr) in enumerate(conds)])
+        conds[label] = F.abs(sum_of([t]) - (sum_of([e]) + sum_of([c]))) > F.lit(tolerance)
+    return conds
+
+
+def reconciliation(staffing: DataFrame, tolerance: float = S.RECONCILE_TOLERANCE) -> DataFrame:
+    """Days that do not reconcile, per role."""
+    conds = list(reconciliation_conditions(tolerance).items())
+    wide = staffing.agg(*[F.count_if(cond).alias(f"_m{i}") for i, (_, cond) in enumerate(conds)])
     return wide.select(
         F.explode(
             F.array(
@@ -292,26 +302,23 @@ def iqr_outliers(staffing: DataFrame, columns: list[str] = IQR_COLUMNS,
                  digits: int | None = None) -> DataFrame:
     """Tukey fences (Q1 - 1.5 IQR, Q3 + 1.5 IQR) and the count strictly outside.
 
-    The fences are a table of one row per column; it is joined back to the
-    long-form values on the column name (a handful of rows, planned as a
-    broadcast by size).
+    Two passes give the quartiles; the fences are literals of the third, which counts.
     """
-    values = long_values(staffing, columns)
-    q = exact_quantiles(values, [0.25, 0.75]).select(
-        F.col("column_name").alias("_qc"), F.col("q_0").alias("q1"), F.col("q_1").alias("q3")
-    )
-    fences = q.select(
-        "_qc", "q1", "q3",
-        (F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
-        (F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
+    values = [F.col(c).cast("double") for c in columns]
+    first = staffing.agg(*sketches(values, [0.25, 0.75])).first()
+    quartiles = quantiles(staffing, values, [0.25, 0.75], first)
+    rows, outside = [], []
+    for c, v, (q1, q3) in zip(columns, values, quartiles):
+        if q1 is not None:
+            low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+            rows.append((c, q1, q3, low, high))
+            outside.append(F.count_if((v < F.lit(low)) | (v > F.lit(high))).alias(c))
+    counted = staffing.agg(*outside).first() if outside else {}
+    local = staffing.sparkSession.createDataFrame(
+        [(*r, counted[r[0]]) for r in rows],
+        "column_name string, q1 double, q3 double, lower_bound double, upper_bound double, outliers bigint",
     )
-    # One fence row per profiled column: a fixed bound, so broadcast.
-    j = values.join(F.broadcast(fences), values["column_name"] == fences["_qc"], "inner")
-    counted = j.groupBy("column_name", "q1", "q3", "lower_bound", "upper_bound").agg(
-        F.count_if((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
-        .alias("outliers")
-    )
-    return counted.select(
+    return local.select(
         "column_name",
         *[maybe_round(F.col(c), digits).alias(c) for c in ["q1", "q3", "lower_bound", "upper_bound"]],
         "outliers",
@@ -346,6 +353,73 @@ def contract_pct_profile(staffing: DataFrame, digits: int | None = None) -> Data
     )
 
 
+def profile_reports(staffing: DataFrame, period_start: str, period_end: str) -> dict[str, DataFrame]:
+    """The data profile of typed staffing rows, report by report.
+
+    The checks are fused: one scan makes all counts, moments and sketches, a second
+    the quantiles of all described columns, a third counts beyond the fences they
+    give.  Distinct and repeated keys need shuffles of their own: of facility days
+    and of row fingerprints.  All reports but the last three are a few local rows.
+    """
+    spark = staffing.sparkSession
+    total = sum_of([S.hrs(r) for r in S.DIRECT_ROLES], coalesce_nulls=False)
+    contract = sum_of([S.hrs(r, "_ctr") for r in S.DIRECT_ROLES], coalesce_nulls=False)
+    derived = {f"{r.lower()}_hprd": guarded_ratio(S.hrs(r), "mdscensus") for r in S.DIRECT_ROLES}
+    derived |= {"total_direct_hprd": guarded_ratio(total, "mdscensus"), "contract_dependency_pct": guarded_pct(contract, total)}
+    wide = staffing.withColumns(derived)
+    columns = ["mdscensus", *[S.hrs(r) for r in S.DIRECT_ROLES], *derived]
+    day, hours = F.col("workdate"), [c for c in S.HOUR_COLUMNS if c in staffing.columns]
+    lo, hi = F.lit(period_start).cast("date"), F.lit(period_end).cast("date")
+    roles = reconciliation_conditions()
+    first = wide.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in staffing.columns],
+        F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count_if((day < lo) | (day > hi)).alias("outside_period"),
+        F.count_if(negative_hour_condition(staffing)).alias("rows_with_negative_hours"),
+        *[F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in hours],
+        *[F.count_if(c).alias(f"mismatch_{label}") for label, c in roles.items()],
+        *describe_aggregates(columns, {"negative": lambda v: F.count_if(v < 0), "zero": lambda v: F.count_if(v == 0), "over_100": lambda v: F.count_if(v > 100)}),
+    ).first()
+    found = quantiles(wide, [F.col(c) for c in columns], QUARTILES, first)
+    fences, outside = [], []
+    for c in IQR_COLUMNS:
+        q1, _, q3 = found[columns.index(c)]
+        if q1 is not None:
+            low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+            fences.append((c, q1, q3, low, high))
+            outside.append(F.count_if((F.col(c) < F.lit(low)) | (F.col(c) > F.lit(high))).alias(c))
+    beyond = staffing.agg(*outside).first() if outside else {}
+
+    def table(rows: list, schema: str) -> DataFrame:
+        return spark.createDataFrame(rows, schema)
+
+    n = first["rows"]
+    nulls = [(c, first[f"null_{c}"], round(100.0 * first[f"null_{c}"] / n, 2) if n else None) for c in staffing.columns]
+    described = [
+        (c, *[first[f"_d{i}_{m}"] for m in ("count", "mean", "std", "min")], *found[i], *[first[f"_d{i}_{m}"] for m in ("max", "negative", "zero", "over_100")])
+        for i, c in enumerate(columns)
+    ]
+    doubles = "mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+    return {
+        "null_profile": table(sorted(nulls, key=lambda r: (-(r[2] or 0.0), r[0])), "column_name string, null_count bigint, null_percentage double"),
+        "date_validation": table(
+            [(first["null_workdate"], first["min_date"], first["max_date"], first["outside_period"])],
+            "invalid_dates bigint, min_date date, max_date date, outside_period bigint",
+        ),
+        "negative_hours": table(
+            [("any", first["rows_with_negative_hours"]), *[(c, first[f"negative_{c}"]) for c in hours]], "column_name string, rows bigint"
+        ),
+        "reconciliation": table([(label, first[f"mismatch_{label}"]) for label in roles], "role string, mismatches bigint"),
+        "describe": table(described, f"column_name string, count bigint, {doubles}, negative bigint, zero bigint, over_100 bigint"),
+        "iqr_outliers": table(
+            [(*r, beyond[r[0]]) for r in fences], "column_name string, q1 double, q3 double, lower_bound double, upper_bound double, outliers bigint"
+        ),
+        "cardinality": cardinality(staffing),
+        "duplicate_keys": duplicate_keys(staffing, ["provnum", "workdate"]),
+        "duplicate_rows": duplicate_rows(staffing),
+    }
+
+
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """A few rows for eyeballing (``limit`` is the feature here)."""
     return df.limit(n)

@@ -1,16 +1,19 @@
 """The batch jobs: raw files -> curated tables -> enriched table -> views.
 
-Order: (staffing || provider || claims) -> enrichment -> views and summaries.
-
-Each job reads its input once.  Stage row counts and the negative-hours count
-are collected with ``observe`` during the write itself; validation summaries
-that need distinct counts are one aggregate over the *written* Parquet
-(columnar, pruned) rather than another pass over the CSV.
+Order: (staffing || provider || claims) -> facility partials -> enrichment -> views,
+summaries and profile.
+
+The raw staffing files are parsed once, into a typed Parquet table of all rows with
+their file and defects; counts, rows per file, malformed records, the curated table
+and the profile read its columns.  The curated daily rows are scanned once for the
+facility partials, from which the guards and all summaries follow, and once for the
+enrichment join.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -19,12 +22,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline import schemas as S
+from rosterline.functions.metrics import any_of
 from rosterline.operators import clean as C
 from rosterline.operators import enrich as E
 from rosterline.operators import profile as P
 from rosterline.operators.derive import with_daily_metrics
 from rosterline.plans import views as V
 from rosterline.sources import files, sinks
+from rosterline.sources.files import select_by_header
+
+PRESENT = "has_values"
+DAY_ORDER = ["provnum", "workdate"]
 
 
 @dataclass
@@ -34,11 +42,13 @@ class Paths:
     raw_claims: str
     out_base: str
     run_id: str
-    # Quoted fields may contain newlines (one task per file); False splits files.
+    # Quoted fields may contain newlines; False saves the pass that looks for them.
     multiline: bool = True
+    # Each attempt of a run has directories of its own.
+    attempt: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
 
     def curated(self, name: str) -> str:
-        return sinks.run_path(f"{self.out_base}/{name}", self.run_id)
+        return sinks.run_path(f"{self.out_base}/{name}", self.run_id, self.attempt)
 
 
 @dataclass
@@ -73,41 +83,48 @@ def _counts(*observations: Observation, names: list[str]) -> dict:
     return out
 
 
+def stage_staffing(spark: SparkSession, raw_path: str | list[str], typed_path: str, multiline: bool = True) -> DataFrame:
+    """The raw staffing files parsed once: every row typed, with its file, its text if
+    malformed, and whether it has any value."""
+    raw = files.read_csv(spark, raw_path, multiline=multiline, malformed=True)
+    text = select_by_header(raw, S.STAFFING_SOURCE_HEADERS, keep=[files.SOURCE_FILE, files.MALFORMED])
+    present = any_of([F.col(f"`{h}`").isNotNull() for h in S.STAFFING_SOURCE_HEADERS])
+    typed = C.type_staffing(text.withColumn(PRESENT, present), keep=[files.MALFORMED, PRESENT])
+    sinks.write_table(typed, typed_path)
+    return spark.read.parquet(typed_path)
+
+
 def run_staffing(
     spark: SparkSession, raw_path: str | list[str], out_path: str, multiline: bool = True
 ) -> dict:
     """Raw daily staffing CSV -> staffing metrics table partitioned by state.
 
-    Reports the rows of every stage and the reasons for dropped rows, and writes
-    the rows per source file beside the table.  No valid row is an error.
+    Reports the rows of every stage, the reasons for dropped rows and the malformed
+    records; writes beside the table its typed rows (``_typed``), the rows per source
+    file (``_files``) and the malformed records (``_malformed``).  No valid row is an
+    error.
     """
-    raw = files.read_csv(spark, raw_path, multiline=multiline)
-    raw, o_raw = _observe(raw, "raw", F.count(F.lit(1)).alias("raw_rows"))
-    defects = C.staffing_defects()
-    typed, o_typed = _observe(
-        C.type_staffing(C.present_staffing(raw)),
-        "typed",
-        F.count(F.lit(1)).alias("present_rows"),
-        *[F.count_if(c).alias(f"dropped_{n}") for n, c in defects.items()],
-    )
-    daily = with_daily_metrics(C.valid_staffing(typed)).drop(files.SOURCE_FILE)
-    daily, o_valid = _observe(
-        daily,
-        "valid",
-        F.count(F.lit(1)).alias("valid_rows"),
-        F.count_if(P.negative_hour_condition(daily)).alias("negative_hour_rows"),
-        F.count_if(F.col("state").isNull() | (F.trim("state") == "")).alias("default_partition_rows"),
-    )
-    out = daily.withColumn("etl_processed_at", F.current_timestamp())
-    sinks.write_partitioned(out, out_path, "state")
-    names = ["raw_rows", "present_rows", *[f"dropped_{n}" for n in defects], "valid_rows",
-             "negative_hour_rows", "default_partition_rows"]
-    got = _counts(o_raw, o_typed, o_valid, names=names)
+    typed = stage_staffing(spark, raw_path, f"{out_path}_typed", multiline)
+    present, valid = F.col(PRESENT), F.col(PRESENT) & C.valid_condition()
+    blank_state = F.col("state").isNull() | (F.trim("state") == "")
+    got = typed.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count(files.MALFORMED).alias("malformed_rows"),
+        F.count_if(present).alias("present_rows"),
+        *[F.count_if(present & c).alias(f"dropped_{n}") for n, c in C.staffing_defects().items()],
+        F.count_if(valid).alias("valid_rows"),
+        F.count_if(valid & P.negative_hour_condition(typed)).alias("negative_hour_rows"),
+        F.count_if(valid & blank_state).alias("default_partition_rows"),
+    ).first().asDict()
     got["dropped_empty"] = got["raw_rows"] - got["present_rows"]
+    sinks.write_table(P.rows_per_source_file(typed), f"{out_path}_files")
+    broken = typed.where(F.col(files.MALFORMED).isNotNull())
+    sinks.write_table(broken.select(files.SOURCE_FILE, files.MALFORMED), f"{out_path}_malformed")
     if not got["valid_rows"]:
         raise E.GuardError(f"no valid staffing row in {raw_path}: {got}")
-    again = files.read_csv(spark, raw_path, multiline=multiline)
-    sinks.write_table(P.rows_per_source_file(again), f"{out_path}_files")
+    rows = typed.where(PRESENT).drop(files.SOURCE_FILE, files.MALFORMED, PRESENT)
+    daily = with_daily_metrics(C.valid_staffing(rows)).withColumn("etl_processed_at", F.current_timestamp())
+    sinks.write_clustered(daily, out_path, "state", DAY_ORDER)
     return got
 
 
@@ -129,47 +146,82 @@ def run_claims(spark: SparkSession, raw_path: str, out_path: str, multiline: boo
     return _counts(o_raw, o_out, names=["claims_raw_rows", "claims_rows"])
 
 
+def repeated_days(partials: DataFrame) -> int:
+    """Rows of the daily table whose facility and day occurred before, from the facility partials."""
+    days = partials.groupBy("provnum", "_chunk").agg(F.sum("_days").alias("rows"), F.bit_count(F.bit_or("_bits")).alias("days"))
+    return days.agg(F.sum(F.col("rows") - F.col("days"))).first()[0] or 0
+
+
 def run_enrichment(
     spark: SparkSession,
     staffing_path: str,
     provider_path: str,
     out_path: str,
     min_coverage: float = S.MIN_JOIN_COVERAGE_PCT,
+    partials_path: str | None = None,
 ) -> dict:
-    """Guarded left join of staffing days to providers.
+    """Guarded left join of staffing days to providers, and the facility partials.
 
-    Fails before writing when coverage is below ``min_coverage``; fails after
-    writing (the run's directory is then never published) when the row count
-    changed.
+    Fails before writing when a facility and day repeat or coverage is below
+    ``min_coverage``; fails after writing (the attempt is then never published) when
+    the row count changed.
     """
     staffing = spark.read.parquet(staffing_path)
     provider = spark.read.parquet(provider_path).drop("etl_processed_at")
-    repeated = P.duplicate_keys(staffing, ["provnum", "workdate"]).first()
-    if repeated["duplicate_key_rows"]:
-        raise E.GuardError(f"{repeated['duplicate_key_rows']} rows repeat a facility and day; nothing is published")
-    E.unmatched_ids(staffing, provider).write.mode("overwrite").parquet(f"{out_path}_unmatched")
-    coverage = E.check_coverage(E.join_coverage(staffing, provider), min_coverage)
+    partials_path = partials_path or f"{out_path}_partials"
+    sinks.write_table(V.facility_partials(staffing), partials_path)
+    partials = spark.read.parquet(partials_path)
+    if repeated := repeated_days(partials):
+        raise E.GuardError(f"{repeated} rows repeat a facility and day; nothing is published")
+    sinks.write_table(E.unmatched_ids(partials, provider), f"{out_path}_unmatched")
+    coverage = E.check_coverage(E.join_coverage(partials, provider), min_coverage)
     enriched = E.enrich_daily(staffing, provider).withColumn(
         "facility_metrics_processed_at", F.current_timestamp()
     )
-    enriched, o_rows = _observe(enriched, "enriched", F.count(F.lit(1)).alias("rows"))
-    sinks.write_partitioned(enriched, out_path, "state")
-    expected = staffing.count()  # Parquet footers only
-    written = _counts(o_rows, names=["rows"])["rows"]
+    # A join that broadcasts the providers leaves the daily rows where the files had
+    # them: clustered.  One that shuffles by facility loses that.
+    shuffled = "SortMergeJoin" in enriched._jdf.queryExecution().executedPlan().toString()
+    sinks.write_clustered(enriched, out_path, "state", DAY_ORDER, laid_out=not shuffled)
+    expected, written = staffing.count(), spark.read.parquet(out_path).count()  # Parquet footers only
     E.check_row_count(expected, written)
     return {"coverage": coverage, "enriched_rows": written, "input_rows": expected}
 
 
+def merged_partials(spark: SparkSession, out_base: str, own: dict[str, str]) -> DataFrame:
+    """Facility partials of every complete run, ``own`` (run -> attempt) taking the place of theirs."""
+    runs = own
+    if spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_base}/commits").getFileSystem(
+        spark.sparkContext._jsc.hadoopConfiguration()
+    ).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_base}/commits")):
+        runs = sinks.committed(spark, out_base) | own
+    paths = [sinks.run_path(f"{out_base}/facility_partials", r, a) for r, a in sorted(runs.items())]
+    return spark.read.parquet(*paths)
+
+
 def publish(
-    spark: SparkSession, staffing_path: str, provider_path: str, claims_path: str, metrics_path: str, views_base: str
+    spark: SparkSession, partials: DataFrame, provider_path: str, claims_path: str, metrics_path: str, views_base: str
 ) -> list[str]:
-    """Register the two tables with their fixed columns, then write and register the views."""
+    """Write the views from the facility partials, then point every published name at its new version."""
     from rosterline.plans import sql_views
 
-    sinks.register_external_table(spark, "facility_metrics", metrics_path, S.FACILITY_METRICS_SCHEMA, "state")
-    sinks.register_external_table(spark, "quality_claims", claims_path, S.PUBLISHED_CLAIMS_SCHEMA)
-    daily, provider, claims = (spark.read.parquet(p).drop("etl_processed_at") for p in (staffing_path, provider_path, claims_path))
-    return sql_views.publish_views(spark, daily, provider, claims, views_base)
+    provider, claims = (spark.read.parquet(p).drop("etl_processed_at") for p in (provider_path, claims_path))
+    views = sql_views.write_views(spark, partials, provider, claims, views_base)
+    sinks.publish_version(spark, "facility_metrics", metrics_path, S.FACILITY_METRICS_SCHEMA, "state")
+    sinks.publish_version(spark, "quality_claims", claims_path, S.PUBLISHED_CLAIMS_SCHEMA)
+    for name, (path, schema, partition_col) in views.items():
+        sinks.publish_version(spark, name, path, schema, partition_col)
+    return list(views)
+
+
+PERIOD = ("2024-04-01", "2024-06-30")
+
+
+def write_profile(spark: SparkSession, typed_path: str, out_base: str, period: tuple[str, str] = PERIOD) -> list[str]:
+    """The data profile of the typed rows, a CSV report each."""
+    reports = P.profile_reports(spark.read.parquet(typed_path).where(PRESENT).drop(files.MALFORMED, files.SOURCE_FILE, PRESENT), *period)
+    for name, df in reports.items():
+        sinks.write_report_csv(df, f"{out_base}/{name}")
+    return list(reports)
 
 
 def validation_summaries(spark: SparkSession, staffing_path: str) -> dict[str, list]:
@@ -197,9 +249,14 @@ def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
     return int(total)
 
 
-def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
+def run_all(spark: SparkSession, paths: Paths, tune: bool = False, history: bool = False) -> RunReport:
     """All jobs in order.  With ``tune`` the session's split and shuffle sizes
-    are set from the staffing input's size first (``session.scale_conf``)."""
+    are set from the staffing input's size first (``session.scale_conf``).
+
+    With ``history`` the views cover every complete run under ``out_base``, one
+    reporting period each: only this run's daily rows are scanned, the others come
+    in by their facility partials.  A rerun of a period takes its earlier one's place.
+    """
     rep = RunReport()
     if tune:
         from rosterline.session import apply_scale_conf
@@ -222,11 +279,19 @@ def run_all(spark: SparkSession, paths: Paths, tune: bool = False) -> RunReport:
         }
         for name, job in jobs.items():
             rep.counts[name] = job.result()
-    enr = rep.timed("enrichment", run_enrichment, spark, staffing_out, provider_out, metrics_out)
+    partials_out = paths.curated("facility_partials")
+    enr = rep.timed("enrichment", run_enrichment, spark, staffing_out, provider_out, metrics_out,
+                    partials_path=partials_out)
     rep.coverage = enr["coverage"]
     rep.counts["enrichment"] = {k: v for k, v in enr.items() if k != "coverage"}
-    rep.timed("publish", publish, spark, staffing_out, provider_out, claims_out, metrics_out, paths.curated("views"))
+    partials = spark.read.parquet(partials_out)
+    if history:
+        partials = merged_partials(spark, paths.out_base, {paths.run_id: paths.attempt})
+    rep.timed("publish", publish, spark, partials, provider_out, claims_out, metrics_out, paths.curated("views"))
+    sinks.append_commit(spark, paths.out_base, paths.run_id, paths.attempt)
     rep.summaries = rep.timed("summaries", validation_summaries, spark, staffing_out)
+    rep.summaries["profile"] = rep.timed(
+        "profile", write_profile, spark, f"{staffing_out}_typed", paths.curated("profile"))
     return rep
 
 

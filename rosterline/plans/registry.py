@@ -32,7 +32,7 @@ from rosterline.plans import views as V
 from rosterline.session import scratch_path
 from rosterline.sources import files
 from rosterline.sources import testmap as M
-from rosterline.sources.sinks import write_partitioned, write_table
+from rosterline.sources.sinks import write_clustered, write_partitioned, write_table
 from rosterline.streaming import manifest as MF
 
 DIGITS = 6
@@ -48,7 +48,7 @@ def _lock_for(key: tuple[str, str, str]) -> threading.RLock:
         return _KEY_LOCKS.setdefault(key, threading.RLock())
 
 
-def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None) -> DataFrame:
+def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None, cluster=None) -> DataFrame:
     """The curated input ``name`` derived from ``sf_dir``, written once per
     application as a Parquet table under the shared checkpoint folder.
 
@@ -66,7 +66,9 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
             tag = re.sub(r"[^A-Za-z0-9_.-]", "_", key[1].strip("/"))
             path = scratch_path(spark, f"inputs/{key[0]}/{tag}/{name}")
             built = build()
-            if partition_by:
+            if cluster:
+                write_clustered(built, path, partition_by, cluster)
+            elif partition_by:
                 write_partitioned(built, path, partition_by)
             else:
                 write_table(built, path)
@@ -82,7 +84,7 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     table (done lazily by the first query that needs them otherwise)."""
     i = Inputs(spark, sf_dir)
     with ThreadPoolExecutor(max_workers=3) as pool:
-        for job in [pool.submit(i.staffing), pool.submit(i.provider), pool.submit(i.claims)]:
+        for job in [pool.submit(i.typed), pool.submit(i.provider), pool.submit(i.claims)]:
             job.result()
     i.published_overview()
 
@@ -97,7 +99,7 @@ class Inputs:
     def staffing(self) -> DataFrame:
         return _written_table(
             self.spark, self.sf_dir, "staffing",
-            lambda: M.staffing_daily(self.spark, self.sf_dir), partition_by="state",
+            lambda: M.staffing_daily(self.spark, self.sf_dir), partition_by="state", cluster=["provnum", "workdate"],
         )
 
     def daily(self) -> DataFrame:
@@ -138,8 +140,12 @@ class Inputs:
         )
 
     def typed(self) -> DataFrame:
-        """Raw staffing rows with planted defects, typed but not yet filtered."""
-        return C.type_staffing(C.present_staffing(M.staffing_raw_text(self.staffing())))
+        """Raw staffing rows with planted defects, typed but not yet filtered; written
+        once, as the staffing job does, so that a check reads its columns alone."""
+        return _written_table(
+            self.spark, self.sf_dir, "typed",
+            lambda: C.type_staffing(C.present_staffing(M.staffing_raw_text(self.staffing()))),
+        )
 
     def raw_csv(self) -> dict:
         """The raw CSV inputs with planted defects, written once per application."""

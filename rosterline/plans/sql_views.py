@@ -1,8 +1,8 @@
 """The published tables and the parameterised queries over them.
 
-``publish_views`` writes the frames of ``plans.views`` (aggregate first, then
-enrich) as tables under their published names and registers them in the catalog
-with fixed columns.  A report then reads a written table of one row per facility
+``write_views`` writes the frames of ``plans.views`` (aggregate first, then
+enrich) as tables; the pipeline then points their published names at them, with
+fixed columns.  A report then reads a written table of one row per facility
 or state, never the daily table.  The analytics table is partitioned by state, so
 a state slice reads one folder.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterline import schemas as S
 from rosterline.plans import reports as R
@@ -22,9 +23,15 @@ QUALITY, ANALYTICS, CORRELATIONS = "vw_facility_quality", "vw_facility_analytics
 OVERVIEW = "state_overview"
 
 
-def publish_views(spark: SparkSession, daily: DataFrame, provider: DataFrame, claims: DataFrame, base: str) -> list[str]:
-    """Write and register every view; later ones read the tables of earlier ones."""
-    done: list[str] = []
+def write_views(
+    spark: SparkSession, partials: DataFrame, provider: DataFrame, claims: DataFrame, base: str
+) -> dict[str, tuple[str, T.StructType, str | None]]:
+    """Write every view as a table; later ones read the files of earlier ones.
+
+    ``partials`` are ``views.facility_partials`` rows, so no daily row is read.
+    Returns path, columns and partition column by name.
+    """
+    done: dict[str, tuple[str, T.StructType, str | None]] = {}
 
     def put(name: str, df: DataFrame, partition_col: str | None = None) -> DataFrame:
         path = f"{base}/{name}"
@@ -32,12 +39,11 @@ def publish_views(spark: SparkSession, daily: DataFrame, provider: DataFrame, cl
             sinks.write_partitioned(df, path, partition_col)
         else:
             sinks.write_table(df, path)
-        sinks.register_external_table(spark, name, path, df.schema, partition_col)
-        done.append(name)
-        return spark.table(name)
+        done[name] = (path, df.schema, partition_col)
+        return spark.read.schema(df.schema).parquet(path)
 
-    facilities = put(FACILITIES, V.facility_summary(daily, provider))
-    states = put(STATES, V.state_summary(daily, provider))
+    facilities = put(FACILITIES, V.summarise_facilities(partials, provider))
+    states = put(STATES, V.summarise_states(partials, provider))
     ratings = put(STATE_RATINGS, V.state_facility_ratings(facilities))
     quality = put(QUALITY, V.quality_pivot(claims))
     analytics = put(ANALYTICS, V.facility_analytics(facilities, quality), "state")

@@ -61,28 +61,39 @@ def _ratios_from_sums() -> list:
     ]
 
 
-def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
-    """One row per facility: attributes, resident days, ratio-of-sums HPRD,
-    contract %, first / last date and distinct reporting days."""
-    numeric = daily.groupBy("provnum").agg(
-        *_sum_aggs(),
-        F.min("workdate").alias("first_date"),
-        F.max("workdate").alias("last_date"),
-        F.count_distinct("workdate").alias("reporting_days"),
+#: Days that one long holds as bits.
+_BIT_DAYS = 64
+
+
+def facility_partials(daily: DataFrame) -> DataFrame:
+    """Mergeable sums of the daily rows: one row per facility, state and 64 days.
+
+    The days are bits of a long, so a day is counted once however often and under
+    whichever state it is reported: OR merges the rows of one facility, and the ones
+    are the distinct days.  Everything is a fixed-width number, hence one hash
+    aggregate with a map-side step and one scan; sums of several periods merge by
+    the same aggregates (``summarise_facilities`` takes their union).
+    """
+    day = F.unix_date("workdate")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(_BIT_DAYS)))
+    return daily.groupBy("provnum", "state", F.floor(day / _BIT_DAYS).cast("int").alias("_chunk")).agg(
+        F.count(F.lit(1)).alias("_days"), *_sum_aggs(), F.bit_or(bit).alias("_bits"),
+        F.min("workdate").alias("first_date"), F.max("workdate").alias("last_date"),
     )
-    # MAX over a string needs a sort-based aggregate; run it on the (facility,
-    # state) pairs -- about one row per facility after a hash aggregate with a
-    # map-side step -- instead of on the daily rows.  The upper MAX reads the
-    # pair's day count so that Catalyst keeps the two aggregates apart (it
-    # merges a duplicate-insensitive MAX straight onto the daily rows otherwise).
-    states = (
-        daily.groupBy("provnum", "state").agg(F.count(F.lit(1)).alias("_days"))
-        .groupBy("provnum").agg(F.max(F.when(F.col("_days") > 0, F.col("state"))).alias("state"))
+
+
+def summarise_facilities(partials: DataFrame, provider: DataFrame) -> DataFrame:
+    """The facility summary from ``facility_partials`` rows of one or more periods."""
+    # The maximum of a string makes these two aggregates sort; they read the
+    # partial rows, not the daily ones.
+    by_chunk = partials.groupBy("provnum", "_chunk").agg(
+        *_resum_aggs(), F.bit_or("_bits").alias("_bits"), F.max("state").alias("state"),
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+    )
+    per_facility = by_chunk.groupBy("provnum").agg(
+        *_resum_aggs(), F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("long").alias("reporting_days"),
+        F.max("state").alias("state"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
     )
-    # NULL-safe: a NULL facility id is a group of its own, as in GROUP BY.
-    per_facility = numeric.join(
-        states.withColumnRenamed("provnum", "_sp"), numeric["provnum"].eqNullSafe(F.col("_sp"))
-    ).drop("_sp")
     attrs = provider_attributes(provider)
     j = per_facility.join(attrs, F.trim(per_facility["provnum"]) == attrs["_pid"], "left")
     return j.select(
@@ -102,6 +113,12 @@ def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     )
 
 
+def facility_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
+    """One row per facility: attributes, resident days, ratio-of-sums HPRD,
+    contract %, first / last date and distinct reporting days."""
+    return summarise_facilities(facility_partials(daily), provider)
+
+
 def state_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     """One row per state: distinct facilities, resident days, ratio-of-sums
     metrics, and provider ratings averaged over facility-days.
@@ -114,6 +131,16 @@ def state_summary(daily: DataFrame, provider: DataFrame) -> DataFrame:
     per_fac = daily.groupBy("state", "provnum").agg(
         F.count(F.lit(1)).alias("_days"), *_sum_aggs()
     )
+    return _states_of(per_fac, provider)
+
+
+def summarise_states(partials: DataFrame, provider: DataFrame) -> DataFrame:
+    """The state summary from ``facility_partials`` rows of one or more periods."""
+    per_fac = partials.groupBy("state", "provnum").agg(F.sum("_days").alias("_days"), *_resum_aggs())
+    return _states_of(per_fac, provider)
+
+
+def _states_of(per_fac: DataFrame, provider: DataFrame) -> DataFrame:
     attrs = provider_attributes(provider).select("_pid", *[f"provider_{r}" for r in S.RATINGS])
     j = per_fac.join(attrs, F.trim(per_fac["provnum"]) == attrs["_pid"], "left")
     weighted = []
@@ -153,6 +180,12 @@ def national_kpis(daily: DataFrame) -> DataFrame:
     return g.select("total_facilities", "total_resident_days", *_ratios_from_sums())
 
 
+def summarise_nation(partials: DataFrame) -> DataFrame:
+    """The national KPIs from ``facility_partials`` rows of one or more periods."""
+    g = partials.agg(F.count_distinct("provnum").alias("total_facilities"), *_resum_aggs())
+    return g.select("total_facilities", "total_resident_days", *_ratios_from_sums())
+
+
 def quality_pivot(claims: DataFrame) -> DataFrame:
     """One row per provider, one column per measure: MAX(adjusted score).
 

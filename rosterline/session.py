@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants.  ANSI mode stays on (the 4.x default); cleaning uses
 # try_* functions where bad input must become NULL instead of failing.
@@ -78,6 +79,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read again, with its size known to the planner."""
+    spark = df.sparkSession
+    path = scratch_path(spark, os.path.join("tables", f"{label}-{uuid.uuid4().hex}"))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # Shuffle partitions at most: map tasks x partitions is the number of blocks the
 # driver tracks, and a partition that turns out too large is split by AQE.
 MAX_SHUFFLE_PARTITIONS = 20_000

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rosterline.sources.records import MALFORMED, read_records
 
 CSV_OPTIONS = {
     "header": "true",
@@ -30,20 +33,27 @@ SOURCE_FILE = "source_file"
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], with_source: bool = True, multiline: bool = True
+    spark: SparkSession, path: str | list[str], with_source: bool = True, multiline: bool = True, malformed: bool = False
 ) -> DataFrame:
-    """All-string CSV scan of a file, a directory or a list of files.
+    """All-string CSV scan of a file, a directory or a list of files, each read by many tasks.
 
-    ``multiline`` allows quoted fields with embedded newlines, but a multi-line
-    CSV file cannot be split: each file is parsed by one task.  For very large
-    raw files without embedded newlines pass ``multiline=False`` so that Spark
-    splits every file into ``spark.sql.files.maxPartitionBytes`` ranges.
+    ``multiline`` allows quoted fields with embedded newlines (``sources.records``);
+    without it the files hold one record a line, which saves a pass that only counts.
+    ``malformed`` adds the text of records with another number of fields.
     """
-    opts = dict(CSV_OPTIONS, multiLine="true" if multiline else "false")
-    df = spark.read.options(**opts).csv(path)
-    if with_source:
-        df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-    return df
+    columns = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    if not columns:
+        return spark.read.options(**CSV_OPTIONS).csv(path)
+    if multiline:
+        df = read_records(spark, path, columns, malformed)
+        return df if with_source else df.drop(SOURCE_FILE)
+    fields = [T.StructField(c, T.StringType()) for c in columns]
+    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": "false"})
+    if malformed:
+        fields.append(T.StructField(MALFORMED, T.StringType()))
+        reader = reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", MALFORMED)
+    df = reader.csv(path)
+    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path")) if with_source else df
 
 
 def read_csv_each(spark: SparkSession, paths: list[str]) -> DataFrame:

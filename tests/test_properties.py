@@ -123,3 +123,67 @@ def test_hot_facility_and_hot_value(spark):
     q = exact_quantiles(long_values(daily, ["mdscensus"]), [0.25, 0.5, 0.75]).first()
     exp = np.quantile(pdf["mdscensus"].to_numpy(), [0.25, 0.5, 0.75])
     assert [q.q_0, q.q_1, q.q_2] == pytest.approx(list(exp))
+
+
+@pytest.mark.parametrize("most", [100_000, 40])
+@pytest.mark.parametrize("accuracy", [10_000, 4])
+def test_quantiles_by_rank_brackets(spark, most, accuracy):
+    """Continuous, constant, heavy-tailed, NULL and NaN columns; brackets that must be opened or narrowed."""
+    from rosterline.functions import quantiles as Q
+
+    rng = np.random.default_rng(7)
+    n = 4000
+    data = {
+        "normal": rng.normal(size=n), "same": np.full(n, 2.5), "steps": rng.integers(0, 3, n).astype(float),
+        "tail": np.exp(8 * rng.random(n)), "hot": np.where(rng.random(n) < 0.4, 1.0, rng.normal(size=n)),
+    }
+    pdf = pd.DataFrame(data)
+    df = spark.createDataFrame(pdf).withColumn("none", F.lit(None).cast("double"))
+    df = df.withColumn("nan", F.when(F.col("normal") > 0.2, float("nan")).otherwise(F.col("normal")))
+    names, probs = [*data, "none", "nan"], [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    columns = [F.col(c) for c in names]
+    first = df.agg(*Q.sketches(columns, probs, accuracy)).first()
+    got = dict(zip(names, Q.quantiles(df, columns, probs, first, accuracy, most)))
+    for c in data:
+        assert got[c] == pytest.approx(list(np.quantile(data[c], probs)), rel=1e-12, abs=1e-12), c
+    assert got["none"] == [None] * len(probs)
+    ordered = np.sort(np.where(data["normal"] > 0.2, np.nan, data["normal"]))  # NaN last
+    for k, p in enumerate(probs):
+        place = p * (n - 1)
+        lo, hi = ordered[int(np.floor(place))], ordered[int(np.ceil(place))]
+        want = lo if place == int(place) else lo + (place - np.floor(place)) * (hi - lo)
+        assert got["nan"][k] == pytest.approx(want, nan_ok=True)
+
+
+def test_describe_reads_its_table_twice(spark, monkeypatch):
+    from rosterline.functions import quantiles as Q
+    from rosterline.operators import profile as P
+
+    passes = []
+    real = Q._count_zones
+    monkeypatch.setattr(Q, "_count_zones", lambda *a: passes.append(1) or real(*a))
+    monkeypatch.setattr(Q, "_narrow", lambda *a: passes.append("narrowed"))
+    P.describe_hours(RG.Inputs(spark, SF_SMALL).typed())
+    assert passes == [1]  # beside the one aggregate
+
+
+def test_duplicate_rows_compare_rows_of_equal_fingerprints(spark, monkeypatch):
+    """All fingerprints collide: only equal rows count.  NULLs are told apart by place."""
+    from rosterline.operators import profile as P
+
+    rows = [(1, "a", None), (1, "a", None), (1, None, "a"), (2, "b", "c"), (2, "b", "c"), (2, "b", "c"), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "_n int, _f1 string, z string").withColumnRenamed("_f1", "y").withColumnRenamed("_n", "x")
+    assert P.duplicate_rows(df).first()[0] == 4
+    monkeypatch.setattr(P, "_fingerprint", lambda df, salt: F.lit(7).cast("long"))
+    assert P.duplicate_rows(df).first()[0] == 4
+    assert P.duplicate_rows(df.limit(0)).first()[0] == 0
+
+
+def test_duplicate_rows_shuffle_fingerprints_only(spark):
+    from rosterline.operators import profile as P
+
+    df = RG.Inputs(spark, SF_SMALL).staffing()
+    named = df.withColumns({"_f1": P._fingerprint(df, 0), "_f2": P._fingerprint(df, 1)}).groupBy("_f1", "_f2").count()
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchange and all("_f1" in line and "provname" not in line for line in exchange)
