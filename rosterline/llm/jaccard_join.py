@@ -39,6 +39,8 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -117,38 +119,39 @@ def _prefix(size: int, percent: int) -> int:
 
 
 def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
-    """(key, place, tail, tail2) of one set's prefix, whose first ``rare`` tokens are rare.
+    """(key, place, tail, tail2, tail3) of one set's prefix, whose first ``rare`` tokens are rare.
 
-    ``place`` is the token's position + 1, or 0 for a pair of frequent tokens.
-    ``tail`` is the token before the key (for a pair, before its second token, and
-    ``tail2`` before its first); two sets with equal tails share an earlier key, so
-    the join skips them here.  Without such a token the tail is the set's own name;
-    ``tail2`` is 0 for a single token.
+    ``place`` is the token's position + 1, or 0 for a pair of frequent tokens.  The
+    tails of a single token are the three tokens before it: two sets that share any of
+    them share an earlier key, so the join skips them here.  For a pair ``tail`` is the
+    token before its second token and ``tail2`` the one before its first; equal tails
+    make an earlier pair.  Without such a token a tail is the set's own name.
     """
-    before = np.r_[np.int64(name), tokens[:-1]]
+    padded = np.r_[np.full(3, name, np.int64), tokens]
+    before = padded[2:-1]
     p = len(tokens)
-    keys, places, tails, tails2 = [tokens[:0]], [tokens[:0]], [tokens[:0]], [tokens[:0]]
+    columns = [[tokens[:0]] for _ in range(5)]
+
+    def single(start: int, stop: int) -> None:
+        at = np.arange(start, stop)
+        for to, new in zip(columns, (tokens[at], at + 1, padded[at + 2], padded[at + 1], padded[at])):
+            to.append(new)
+
     if size <= COMBINED_SIZE:
-        keys.append(tokens[:rare])
-        places.append(np.arange(1, rare + 1))
-        tails.append(before[:rare])
-        tails2.append(np.zeros(rare, np.int64))
+        single(0, rare)
         i, j = np.triu_indices(p - rare, 1)
         i, j = i + rare, j + rare
         both = np.sort(np.stack([tokens[i], tokens[j]]).view(np.uint64), axis=0)
-        keys.append(mix(both[0] * np.uint64(3) + mix(both[1])).view(np.int64))
-        places.append(np.zeros(len(i), np.int64))
+        key = mix(both[0] * np.uint64(3) + mix(both[1])).view(np.int64)
         # Only a frequent token before a pair's token makes an earlier pair.
-        tails.append(np.where(j > i + 1, before[j], name))
-        tails2.append(np.where(i > rare, before[i], name))
+        tail, tail2 = np.where(j > i + 1, before[j], name), np.where(i > rare, before[i], name)
+        for to, new in zip(columns, (key, np.zeros(len(i), np.int64), tail, tail2, np.full(len(i), name, np.int64))):
+            to.append(new)
     if 100 * size >= percent * COMBINED_SIZE:
         short = p - 1 if p < size or size - -(-percent * size // 100) + 2 == size else p
         start = rare if size <= COMBINED_SIZE else 0  # the rare ones are there already
-        keys.append(tokens[start:short])
-        places.append(np.arange(start + 1, short + 1))
-        tails.append(before[start:short])
-        tails2.append(np.zeros(max(short - start, 0), np.int64))
-    return tuple(np.concatenate(x) for x in (keys, places, tails, tails2))
+        single(start, max(short, start))
+    return tuple(np.concatenate(x) for x in columns)
 
 
 _SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>, map binary, least array<long>"
@@ -201,7 +204,7 @@ def _describe(n: int, percent: int, counts, frequent: float):
 
 def _index(percent: int):
     """Index rows of every class."""
-    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2", "root")
+    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2", "tail3", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +218,8 @@ def _index(percent: int):
                     for i in range(part.num_rows)
                 ]
                 own = np.repeat(np.arange(part.num_rows), [len(x[0]) for x in got])
-                key, place, tail, tail2 = (np.concatenate(x) for x in zip(*got))
-                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), tail, tail2, part.column("root").to_numpy()[own]]
+                key, place, tail, tail2, tail3 = (np.concatenate(x) for x in zip(*got))
+                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), tail, tail2, tail3, part.column("root").to_numpy()[own]]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
 
     return run
@@ -338,10 +341,14 @@ def hub_pairs(classes: DataFrame, percent: int) -> DataFrame:
     ).select(F.least("own.name", "hub.name").alias("u"), F.greatest("own.name", "hub.name").alias("v")).distinct()
 
 
+def _same(x: str, y: str) -> Column:
+    return F.col(f"a.{x}") == F.col(f"b.{y}")
+
+
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     """Distinct (u, v), u < v, of class names (k1) that may link and whose ``root`` differs."""
     rows = classes.select("k1", "size", "b0", "b1", "rare", "tokens", "root").mapInArrow(
-        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long, root long"
+        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long, tail3 long, root long"
     )
     a, b = rows.alias("a"), rows.alias("b")
     size_a, size_b = F.shiftright("a.sp", 32), F.shiftright("b.sp", 32)
@@ -349,14 +356,15 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     both = size_a + size_b
     need = _needed(both, percent)
     left = F.least(size_a - place_a, size_b - place_b) + 1
+    tails = ("tail", "tail2", "tail3")
+    shared = [_same(x, y) for x in tails for y in tails]
     return a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.name") < F.col("b.name"))
         & (F.col("a.root") != F.col("b.root"))
         & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
-        & (F.col("a.tail") != F.col("b.tail"))
-        & ((F.col("a.tail2") == 0) | (F.col("a.tail2") != F.col("b.tail2")))
+        & F.when(place_a == 0, ~_same("tail", "tail") & ~_same("tail2", "tail2")).otherwise(~reduce(or_, shared))
         & ((place_a == 0) | (place_b == 0) | (left >= need))
         & (_apart("a", "b") <= both - 2 * need),
     ).select(F.col("a.name").alias("u"), F.col("b.name").alias("v")).distinct()

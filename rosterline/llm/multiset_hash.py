@@ -30,8 +30,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = "[^\\n.!?]+[.!?]*|[.!?]+"
-#: The SQL's pieces: the same for texts without a line that begins with a mark.
-SQL_PIECE = "[^\\n.!?]+[.!?]*"
 CHUNKS, SHIFTS, FIELDS = 4, (0, 4, 8), (0, 15, 30, 45)
 _FULL = (1 << 60) - 1
 _NIBBLES = sum(15 << f for f in FIELDS)
@@ -174,8 +172,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The same in DuckDB SQL (its narrow lanes are those of the text form: its likeness
-# holds for texts of up to BLOCK_PIECES pieces)
+# The same in DuckDB SQL
 # ---------------------------------------------------------------------------
 
 
@@ -188,21 +185,18 @@ def compare_edited_sql(table: str = "documents") -> str:
     lanes = []
     for i in range(CHUNKS):
         for s in SHIFTS:
-            own = [f"(coalesce(sum((c{i} >> {f + s}) & 15), 0) % 32768)::BIGINT" for f in FIELDS]
+            own = [f"coalesce(sum((c{i} >> {f + s}) & 15), 0)::BIGINT" for f in FIELDS]
             lanes += own
-            words.append(" + ".join(f"({x} << {f})" for x, f in zip(own, FIELDS)))
+            words.append(" + ".join(f"(({x} % 32768) << {f})" for x, f in zip(own, FIELDS)))
     hexed = " || '-' || ".join(f"lpad(to_hex(w[{i + 1}]), 15, '0')" for i in range(_WORDS))
 
     def norm(expr: str) -> str:
-        return f"list_sum(list_transform(range(1, {LANES + 1}), lambda i: ({expr}) * ({expr})))"
-
-    def centred(x: str) -> str:
-        return f"((({x}) + 32768) % 65536 + 65536) % 65536 - 32768"
+        return f"list_sum(list_transform(range(1, {LANES + 1}), lambda i: ({expr})::DOUBLE * ({expr})::DOUBLE))"
 
     def near(b: str) -> str:
-        both = f"({norm(centred('2 * a.l[i] - 15 * a.w[1]'))} + {norm(centred(f'2 * {b}.l[i] - 15 * {b}.w[1]'))})"
-        apart = norm(centred(f"2 * (a.l[i] - {b}.l[i]) - 15 * (a.w[1] - {b}.w[1])"))
-        return f"CASE WHEN a.w = {b}.w THEN 1.0::DOUBLE WHEN {both} = 0 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, 1.0::DOUBLE - {apart}::DOUBLE / {both}::DOUBLE) END"
+        both = f"({norm('2 * a.l[i] - 15 * a.w[1]')} + {norm(f'2 * {b}.l[i] - 15 * {b}.w[1]')})"
+        apart = norm(f"2 * (a.l[i] - {b}.l[i]) - 15 * (a.w[1] - {b}.w[1])")
+        return f"CASE WHEN a.w = {b}.w AND a.l = {b}.l THEN 1.0::DOUBLE WHEN {both} = 0 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, 1.0::DOUBLE - {apart}::DOUBLE / {both}::DOUBLE) END"
 
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM {table}),
@@ -211,7 +205,7 @@ e AS (SELECT x.doc_id, x.t, x.rn, x.n, x.rn % x.n + 1 AS nxt,
         substr(x.t, 1, (length(x.t) - length(x.t) // 2)::BIGINT) || substr(y.t, 1, (length(x.t) // 2)::BIGINT) AS ed
       FROM o x JOIN o y ON y.rn = x.rn % x.n + 1),
 s AS (SELECT rn, 0 AS side, t AS v FROM e UNION ALL SELECT rn, 1, ed FROM e),
-p AS (SELECT rn, side, unnest(regexp_extract_all(v, '{SQL_PIECE}')) AS u FROM s),
+p AS (SELECT rn, side, unnest(regexp_extract_all(v, '{PIECE}')) AS u FROM s),
 c AS (SELECT rn, side, u, {", ".join(f"{chunk(i)} AS c{i}" for i in range(CHUNKS))} FROM p),
 g AS (SELECT s.rn, s.side, [{", ".join(words)}] AS w, [{", ".join(lanes)}] AS l
       FROM s LEFT JOIN c ON c.rn = s.rn AND c.side = s.side GROUP BY s.rn, s.side),

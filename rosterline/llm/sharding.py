@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from rosterline.llm.common import written
 
 BITS = 5
+#: Rows of one file of written shards.
+ROWS_PER_FILE = 1_000_000
 
 
 def _orientation_table(dims: int) -> tuple[list[int], list[int]]:
@@ -96,7 +98,7 @@ def category_filter(column: str, value: str | None, bits: int = BITS) -> Column:
 
 
 def size_cell(size: Column, bits: int = BITS) -> Column:
-    """Half powers of two of a positive size."""
+    """Powers of two of a positive size."""
     return F.least(F.floor(F.log2(size.cast("double")) * 2 * (1 << bits) / 64), F.lit((1 << bits) - 1))
 
 
@@ -142,13 +144,22 @@ def hilbert_shards(
     )
 
 
-def write_shards(docs: DataFrame, path: str, shards: int) -> None:
-    """All ``docs`` with size, lang_cell and source_cell as Parquet at ``path``: a
-    folder a shard, its rows in the order of curve_index."""
+def write_shards(docs: DataFrame, path: str, shards: int, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """All ``docs`` with size, lang_cell, source_cell, curve_index and slot as Parquet at
+    ``path``: a folder a shard, in it files of runs of the curve, as many as its rows need.
+
+    An input column of one of these names is kept as ``<name>_of_input``.
+    """
+    added = ("size", "lang_cell", "source_cell", "curve_index", "shard", "slot")
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text).cast("long") + 1
-    added = ("size", "lang_cell", "source_cell", "curve_index", "shard", "slot")
-    payload = {n: F.col(n) for n in docs.columns if n not in added}
+    taken = {n.lower() for n in docs.columns}
+    payload = {}
+    for n in docs.columns:
+        kept = n
+        while kept.lower() in added or (kept != n and kept.lower() in taken):
+            kept += "_of_input"
+        payload[kept] = F.col(f"`{n}`")
     cells = {f"{n}_cell": category_cell(n).cast("int") for n in ("lang", "source")}
     placed = hilbert_shards(
         docs,
@@ -157,5 +168,8 @@ def write_shards(docs: DataFrame, path: str, shards: int) -> None:
         payload | cells | {"size": size},
         [F.xxhash64(text), F.col("doc_id")],
     )
-    dealt = placed.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot")
-    dealt.write.partitionBy("shard").parquet(path)
+    # Ranges of (shard, slot) follow the rows, so a shard takes as many tasks and
+    # files as it has rows, and a file holds one run of the curve.
+    tasks = max(shards, -(-docs.count() // rows_per_file))
+    dealt = placed.repartitionByRange(tasks, "shard", "slot").sortWithinPartitions("shard", "slot")
+    dealt.write.option("maxRecordsPerFile", 2 * rows_per_file).partitionBy("shard").parquet(path)

@@ -35,6 +35,8 @@ BINS = 1 << 22
 BEGINNINGS = (4, 5, 6)
 #: Evidence (log-likelihood ratio) that a feature needs; chance alone gives less over all BINS.
 LEAST_EVIDENCE = 15.0
+#: Toxic texts that have a feature at least.
+LEAST_TEXTS = 3
 MOST_TOXIC, MOST_UNLABELLED, MOST_FEATURES = 2000, 6000, 2048
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -55,7 +57,7 @@ def presence(doc: np.ndarray, column: np.ndarray, n_docs: int, width: int) -> np
     """0/1 matrix of which text has which column (columns below 0 are left out)."""
     out = np.zeros(n_docs * width, np.float32)
     has = column >= 0
-    out[doc[has] * width + column[has]] = 1
+    out[doc[has].astype(np.int64) * width + column[has]] = 1
     return out.reshape(n_docs, width)
 
 
@@ -73,7 +75,7 @@ class Model:
 
 @dataclass
 class Sample:
-    """Texts as features: (text, bin) of every bin that a text has, and 0/1 rows of hashed words."""
+    """Texts as features: (text, bin) of every bin that a text has, and packed bits of hashed words."""
 
     size: int
     doc: np.ndarray
@@ -88,7 +90,7 @@ class Sample:
         return presence(self.doc, column_of[self.bin], self.size, width)
 
     def take(self, rows: np.ndarray) -> Sample:
-        place = np.full(self.size, -1)
+        place = np.full(self.size, -1, np.int32)
         place[rows] = np.arange(len(rows))
         kept = place[self.doc] >= 0
         return Sample(len(rows), place[self.doc[kept]], self.bin[kept], self.words[rows])
@@ -97,32 +99,46 @@ class Sample:
 WORD_BITS = 12
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(only: np.ndarray | None):
     """(doc_id, bins, words): what a Sample needs of each text, bounded however long it is."""
-    for batch in batches:
-        for part in pieces_of(batch, "text"):
-            for at in range(0, part.num_rows, 1024):
-                some = part.slice(at, 1024)
-                doc, b = text_features(some.column("text"))
-                pair = np.unique(doc * BINS + b)
-                ends = np.searchsorted(pair, np.arange(some.num_rows + 1) * BINS).astype(np.int32)
-                bins = pa.ListArray.from_arrays(pa.array(ends), pa.array((pair % BINS).astype(np.int32)))
-                w = words_of(some.column("text"), lower=True)
-                rows = presence(w.doc, (w.hash >> np.uint64(64 - WORD_BITS)).astype(np.int64), some.num_rows, 1 << WORD_BITS)
-                words = pa.array([x.tobytes() for x in np.packbits(rows.astype(bool), axis=1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), bins, words], names=["doc_id", "bins", "words"])
-
-
-def _sample(texts: DataFrame) -> Sample:
-    """The features of a bounded number of rows (doc_id, text), in the order of a hash of the id."""
-    rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features, "doc_id long, bins array<int>, words binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces_of(batch, "text"):
+                for at in range(0, part.num_rows, 1024):
+                    yield some(part.slice(at, 1024))
+
+    def some(part: pa.RecordBatch) -> pa.RecordBatch:
+        doc, b = text_features(part.column("text"))
+        pair = np.unique(doc * BINS + b)
+        if only is not None:
+            pair = pair[np.isin(pair % BINS, only)]
+        ends = np.searchsorted(pair, np.arange(part.num_rows + 1) * BINS).astype(np.int32)
+        bins = pa.ListArray.from_arrays(pa.array(ends), pa.array((pair % BINS).astype(np.int32)))
+        words = pa.nulls(part.num_rows, pa.binary())
+        if only is None:
+            w = words_of(part.column("text"), lower=True)
+            rows = presence(w.doc, (w.hash >> np.uint64(64 - WORD_BITS)).astype(np.int64), part.num_rows, 1 << WORD_BITS)
+            words = pa.array([x.tobytes() for x in np.packbits(rows.astype(bool), axis=1)], pa.binary())
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), bins, words], names=["doc_id", "bins", "words"])
+
+    return run
+
+
+def _sample(texts: DataFrame, only: np.ndarray | None = None) -> Sample:
+    """The features of a bounded number of rows (doc_id, text), in the order of a hash of the id.
+
+    With ``only`` the bins are those, and the words stay behind.
+    """
+    rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features(only), "doc_id long, bins array<int>, words binary")
     got = rows.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks()
     bins = got.column("bins").combine_chunks()
     bins = bins.chunk(0) if isinstance(bins, pa.ChunkedArray) else bins
-    doc = np.repeat(np.arange(got.num_rows), bins.value_lengths().to_numpy(zero_copy_only=False))
-    packed = np.frombuffer(b"".join(got.column("words").to_pylist()), np.uint8).reshape(got.num_rows, (1 << WORD_BITS) // 8)
-    words = np.unpackbits(packed, axis=1).astype(np.float32)
-    return Sample(got.num_rows, doc, bins.flatten().to_numpy(zero_copy_only=False).astype(np.int64), words)
+    doc = np.repeat(np.arange(got.num_rows, dtype=np.int32), bins.value_lengths().to_numpy(zero_copy_only=False))
+    packed = np.zeros((got.num_rows, 0), np.uint8)
+    if only is None:
+        packed = np.frombuffer(b"".join(got.column("words").to_pylist()), np.uint8).reshape(got.num_rows, (1 << WORD_BITS) // 8)
+    return Sample(got.num_rows, doc, bins.flatten().to_numpy(zero_copy_only=False), packed)
 
 
 def _unlike(texts: Sample, most: float = 0.5) -> np.ndarray:
@@ -130,7 +146,7 @@ def _unlike(texts: Sample, most: float = 0.5) -> np.ndarray:
 
     Copies of one example would make each of its words look toxic.
     """
-    x = texts.words.copy()
+    x = np.unpackbits(texts.words, axis=1).astype(np.float32)
     size, kept = x.sum(1), []
     for i in range(texts.size):
         n = len(kept)  # kept rows lie at the front of x and size
@@ -159,7 +175,7 @@ def fit(toxic: Sample, unlabelled: Sample, prior: float, steps: int = 300) -> Mo
     """Minimise the non-negative PU risk of the logistic loss with Adam."""
     toxic = toxic.take(_unlike(toxic))
     in_toxic = toxic.counts()
-    seen = np.flatnonzero(in_toxic >= 3)
+    seen = np.flatnonzero(in_toxic >= LEAST_TEXTS)
     p, u = in_toxic[seen] / toxic.size, unlabelled.counts()[seen] / max(unlabelled.size, 1)
     clean = np.maximum(u - prior * p, 0) / max(1 - prior, 1e-9)
     # Log-likelihood ratio of the count in P against the (smoothed) clean rate.
@@ -209,11 +225,12 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model | None:
     drawn = slim.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     few = drawn.select("doc_id").distinct().orderBy(draw, "doc_id").limit(MOST_UNLABELLED)
     # An id may stand in many rows: one of its texts is learned from.
-    texts = [
-        slim.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-        for ids in (picked, few)  # as many ids as the bounds at most
-    ]
-    toxic, unlabelled = map(_sample, texts)
+    def texts(ids: DataFrame) -> DataFrame:  # as many ids as the bounds at most
+        return slim.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+    toxic = _sample(texts(picked))
+    # A bin in fewer toxic texts is no feature, so others need not say that they have it.
+    unlabelled = _sample(texts(few), np.flatnonzero(toxic.counts() >= LEAST_TEXTS))
     if not toxic.size or not total:
         return None
     prior = min(max(count["toxic"] / count["n"], 1e-3), 0.9)

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -320,8 +321,6 @@ def test_shards(spark, odd, small, tmp_path):
 
 
 def test_written_shards_prune_on_each_dimension(spark, odd, tmp_path):
-    import pyarrow.parquet as pq
-
     rng = np.random.default_rng(5)
     rows = [(i, "x" * int(2 ** rng.uniform(3, 13)), f"l{rng.integers(8)}", f"s{rng.integers(8)}") for i in range(4000)]
     path = str(tmp_path / "shards")
@@ -359,6 +358,22 @@ def test_written_shards_prune_on_each_dimension(spark, odd, tmp_path):
     assert back.where(SH.category_filter("lang", None)).count() == odd.where("lang is null").count()
 
 
+def test_a_shard_takes_several_files(spark, tmp_path):
+    rows = [(i, f"text {i} " * (i % 30), f"l{i % 5}", f"s{i % 3}") for i in range(1200)]
+    inside = ["slot", "shard", "curve_index", "lang_cell", "size_of_input"]
+    docs = frame(spark, rows).select("*", *[F.lit(f"own {c}").alias(c) for c in inside])
+    path = str(tmp_path / "s")
+    SH.write_shards(docs, path, 3, rows_per_file=50)
+    for k in range(3):
+        files = sorted(tmp_path.glob(f"s/shard={k}/*.parquet"))
+        assert len(files) >= 4
+        slots = sorted((min(v), max(v), len(v)) for v in (pq.ParquetFile(f).read(["slot"]).column(0).to_pylist() for f in files))
+        assert slots[0][0] == 0 and all(a[1] + 1 == b[0] for a, b in zip(slots, slots[1:])) and sum(n for *_, n in slots) == 400
+    back = spark.read.parquet(path)
+    own = back.select("slot_of_input", "shard_of_input", "curve_index_of_input", "lang_cell_of_input", "size_of_input", "size_of_input_of_input").distinct().collect()
+    assert [tuple(r) for r in own] == [("own slot", "own shard", "own curve_index", "own lang_cell", "own size_of_input", "y")]
+
+
 # ---------------------------------------------------------------- 6
 
 
@@ -793,3 +808,26 @@ def test_signature_memory_follows_the_shingles():
     finally:
         tracemalloc.stop()
     assert found == [(5_000, 0, 1_996, 1_996)] and peak < 100 << 20
+
+
+def test_recall_of_quoted_items():
+    """Items of 8 to 60 shingles, each quoted at just the least share inside a long document."""
+    rng = np.random.default_rng(11)
+    items, docs, expected = [], [], set()
+    filler = [f"f{i}" for i in range(4000)]
+    for k in range(1500):
+        size = int(rng.integers(8, 61))
+        words = [f"w{k}x{j}" for j in range(size + 4)]
+        items.append(" ".join(words))
+        kept = -(-4 * size // 5)  # this many shingles are quoted
+        start = int(rng.integers(0, size - kept + 1))
+        quote = words[start : start + kept + 4]
+        around = rng.choice(filler, int(rng.integers(50, 900))).tolist()
+        at = int(rng.integers(0, len(around)))
+        docs.append(" ".join([*around[:at], *quote, *around[at:]]))
+        expected.add((k, k))
+    index = DC.index_items(list(range(len(items))), pa.array(items), 5)
+    found = set()
+    for begin in range(0, len(docs), 300):
+        found |= {(begin + i, j) for i, j, _, _ in DC.matches(pa.array(docs[begin : begin + 300]), index, 5, 0.8)}
+    assert found == expected
