@@ -181,11 +181,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     Only 128-bit fingerprints are shuffled, whatever the width of a row.  Rows are
     compared column by column only where fingerprints are equal.
     """
-    named = df.withColumns({"_f1": _fingerprint(df, 0), "_f2": _fingerprint(df, 1)})
-    again = named.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_f1", "_f2")
-    suspects = named.join(written_once(again, "repeated-fingerprints"), ["_f1", "_f2"], "left_semi")
-    g = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+    f1, f2, n = (_free_name(df, x) for x in ("_f1", "_f2", "_n"))
+    named = df.withColumns({f1: _fingerprint(df, 0), f2: _fingerprint(df, 1)})
+    again = named.groupBy(f1, f2).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(f1, f2)
+    suspects = named.join(written_once(again, "repeated-fingerprints"), [f1, f2], "left_semi")
+    g = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n))
+    return g.agg(F.coalesce(F.sum(F.col(n) - 1), F.lit(0)).alias("duplicate_rows"))
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = "_" + name
+    return name
 
 
 def _fingerprint(df: DataFrame, salt: int) -> F.Column:

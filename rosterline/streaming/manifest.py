@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterline import schemas as S
 from rosterline.session import ensure_checkpoint_dir
@@ -153,15 +154,23 @@ def results(classified: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 def next_manifest(manifest: DataFrame, finished: DataFrame, prefix_col: str = "source") -> DataFrame:
     """Upsert the files copied successfully; everything else keeps its old row."""
-    ok = finished.where(F.col("final_status").isin(NEW, MODIFIED)).select(
+    return _upserted(manifest, changed_rows(finished, prefix_col))
+
+
+def changed_rows(finished: DataFrame, prefix_col: str = "source") -> DataFrame:
+    """Manifest rows of the files copied successfully."""
+    return finished.where(F.col("final_status").isin(NEW, MODIFIED)).select(
         "file_id",
         "name",
         "modified_time",
         "source",
         target_key(F.col(prefix_col), "name").alias("target_key"),
     )
-    kept = manifest.join(ok.select("file_id"), "file_id", "left_anti")
-    return kept.unionByName(ok)
+
+
+def _upserted(manifest: DataFrame, rows: DataFrame) -> DataFrame:
+    kept = manifest.join(rows.select("file_id"), "file_id", "left_anti")
+    return kept.unionByName(rows)
 
 
 def summary(finished: DataFrame) -> DataFrame:
@@ -201,8 +210,8 @@ def run_ingestion(
 
     ``copy(files)`` receives the files to copy (``copy`` is true) and returns
     ``(file_id, ok)`` outcomes -- for a lake this is the job that reads the
-    NEW / MODIFIED paths.  After every source the updated manifest is written
-    as a new version and read back, so a crash loses at most one source's work
+    NEW / MODIFIED paths.  After every source its changed rows are appended to
+    the manifest, which is read back, so a crash loses at most one source's work
     and the next source starts from stored state (lineage is cut there).
     Raises ``IngestionError`` at the end when any file failed.
     """
@@ -216,7 +225,7 @@ def run_ingestion(
         classified = classify(files, manifest)
         check_no_collisions(classified)
         fin = snapshot(results(classified, copy(classified.where("copy"))))
-        write_manifest(next_manifest(manifest, fin), manifest_base)
+        append_changes(changed_rows(fin), manifest_base)
         manifest = read_manifest(spark, manifest_base)
         finished.append(fin)
     out = finished[0]
@@ -228,58 +237,107 @@ def run_ingestion(
 
 
 # ---------------------------------------------------------------------------
-# Versioned manifest storage: never overwrite the version being read.
+# Manifest storage: a log of states, each a folder that is never written again.
+#
+# A state is a snapshot (all rows) or a delta (the rows that changed since the state
+# before).  The manifest is the last snapshot with the later deltas laid over it, so a
+# run writes as many rows as files changed.  When the deltas have grown to a share of
+# the snapshot, or are many, they are compacted into a new snapshot.  A folder counts
+# once it has its commit marker; one without it is a write that failed, and its number
+# is used again.
 # ---------------------------------------------------------------------------
 
-VERSION = "manifest_version"
+VERSION, DELTA = "manifest_version", "manifest_delta"
 
-
-#: Versions that stay on disk: the one being read and a few to go back to.
+#: Snapshots that stay on disk: the one being read and a few to go back to.
 KEPT_VERSIONS = 5
+#: Deltas at most, and rows of deltas for a row of the snapshot, before they are
+#: compacted; fewer rows than COMPACT_ROWS are left alone.
+MOST_DELTAS, DELTA_SHARE, COMPACT_ROWS = 32, 0.5, 10_000
+_NUMBER = "_state"
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    """Stored version numbers, from the folder listing alone (no data is read).
+def _states(spark: SparkSession, base: str) -> dict[int, str]:
+    """Committed states (number -> VERSION or DELTA), from the folder listing alone.
 
     Only a folder that does not exist is a first run; any other error is raised.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return []
-    found = []
+        return {}
+    found = {}
     for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{VERSION}="):
-            # A version without its commit marker is a write that failed.
+        kind, _, number = status.getPath().getName().partition("=")
+        if status.isDirectory() and kind in (VERSION, DELTA):
             if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                found.append(int(name.partition("=")[2]))
-    return sorted(found)
+                found[int(number)] = kind
+    return dict(sorted(found.items()))
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of all committed states."""
+    return list(_states(spark, base))
+
+
+def _version_path(base: str, version: int, kind: str = VERSION) -> str:
+    return f"{base}/{kind}={version}"
 
 
-def _version_path(base: str, version: int) -> str:
-    return f"{base}/{VERSION}={version}"
+def _snapshot_and_deltas(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame | None]:
+    """The last snapshot, and the rows of the deltas after it with their numbers."""
+    states = _states(spark, base)
+    last = max((n for n, kind in states.items() if kind == VERSION), default=-1)
+    rows = empty_manifest(spark) if last < 0 else spark.read.schema(S.MANIFEST_SCHEMA).parquet(_version_path(base, last))
+    paths = [_version_path(base, n, DELTA) for n in states if n > last]
+    if not paths:
+        return rows, None
+    schema = T.StructType([*S.MANIFEST_SCHEMA.fields, T.StructField(_NUMBER, T.LongType())])
+    return rows, spark.read.schema(schema).parquet(*paths)
 
 
 def read_manifest(spark: SparkSession, base: str) -> DataFrame:
-    """Latest manifest version; empty on the first run.  Only its folder is read."""
-    versions = _versions(spark, base)
-    if not versions:
-        return empty_manifest(spark)
-    return spark.read.schema(S.MANIFEST_SCHEMA).parquet(_version_path(base, versions[-1]))
+    """The manifest as of the last committed state; empty on the first run.
+
+    Only the deltas are aggregated; the snapshot meets their ids in one anti join.
+    """
+    rows, deltas = _snapshot_and_deltas(spark, base)
+    if deltas is None:
+        return rows
+    names = S.MANIFEST_SCHEMA.names
+    latest = deltas.groupBy("file_id").agg(F.max_by(F.struct(*names), _NUMBER).alias("_row")).select("_row.*")
+    return _upserted(rows, latest.select(*names)).select(*names)
+
+
+def append_changes(changes: DataFrame, base: str) -> int:
+    """Write changed manifest rows as the next state; compact the log when it has grown."""
+    spark = changes.sparkSession
+    states = _states(spark, base)
+    number = max(states, default=-1) + 1
+    changes.select(*S.MANIFEST_SCHEMA.names, F.lit(number).cast("long").alias(_NUMBER)).write.mode("overwrite").parquet(
+        _version_path(base, number, DELTA)
+    )
+    rows, deltas = _snapshot_and_deltas(spark, base)  # counts come from Parquet footers
+    many = sum(1 for kind in states.values() if kind == DELTA) >= MOST_DELTAS
+    if len(states) and (many or deltas.count() > max(DELTA_SHARE * rows.count(), COMPACT_ROWS)):
+        write_manifest(read_manifest(spark, base), base)
+    return number
 
 
 def write_manifest(manifest: DataFrame, base: str) -> int:
-    """Write the manifest as a new version folder and return its number.
+    """Write the manifest as a snapshot, the next state, and return its number.
 
-    A new folder never touches the version being read, so a failed write leaves
-    the previous state intact.  Versions older than KEPT_VERSIONS are removed.
+    A new folder never touches the states being read, so a failed write leaves
+    them intact.  Snapshots beyond KEPT_VERSIONS go, with all states before them.
     """
     spark = manifest.sparkSession
-    versions = _versions(spark, base)
-    version = versions[-1] + 1 if versions else 0
+    states = _states(spark, base)
+    version = max(states, default=-1) + 1
     manifest.write.mode("overwrite").parquet(_version_path(base, version))
-    for old in versions[: -KEPT_VERSIONS + 1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_version_path(base, old))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    snapshots = [n for n, kind in states.items() if kind == VERSION] + [version]
+    oldest = snapshots[-KEPT_VERSIONS:][0] if len(snapshots) > KEPT_VERSIONS else -1
+    for n, kind in states.items():
+        if n < oldest:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_version_path(base, n, kind))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return version

@@ -170,3 +170,53 @@ def test_broken_state_is_not_a_first_run(spark, tmp_dir):
 def test_ingestion_needs_a_source(spark, tmp_dir):
     with pytest.raises(ValueError):
         MF.run_ingestion(spark, _listing(spark), f"{tmp_dir}/state", [], lambda f: f)
+
+
+def _rows(spark, names, time):
+    return spark.createDataFrame([(n, f"{n}.csv", time, "pbj", f"pbj/{n}.csv") for n in names], S.MANIFEST_SCHEMA)
+
+
+def _times(spark, base):
+    return {r.file_id: r.modified_time for r in MF.read_manifest(spark, base).collect()}
+
+
+def test_a_run_writes_the_changed_rows_only(spark, tmp_dir):
+    base = f"{tmp_dir}/log"
+    MF.write_manifest(_rows(spark, [f"f{i}" for i in range(500)], "t0"), base)
+    for k in range(3):
+        number = MF.append_changes(_rows(spark, [f"f{k}", f"new{k}", "often"], f"t{k + 1}"), base)
+        written = spark.read.parquet(MF._version_path(base, number, MF.DELTA))
+        assert written.count() == 3
+    got = _times(spark, base)
+    assert len(got) == 504 and got["often"] == "t3" and got["f1"] == "t2" and got["f9"] == "t0"
+    assert MF._states(spark, base) == {0: MF.VERSION, 1: MF.DELTA, 2: MF.DELTA, 3: MF.DELTA}
+
+
+def test_compaction_keeps_the_manifest(spark, tmp_dir, monkeypatch):
+    base = f"{tmp_dir}/log"
+    monkeypatch.setattr(MF, "COMPACT_ROWS", 0)
+    want = {}
+    for k in range(12):
+        names = [f"f{k % 4}", f"g{k}"]
+        MF.append_changes(_rows(spark, names, f"t{k}"), base)
+        want |= dict.fromkeys(names, f"t{k}")
+        assert _times(spark, base) == want
+    states = MF._states(spark, base)
+    snapshots = [n for n, kind in states.items() if kind == MF.VERSION]
+    assert 1 <= len(snapshots) <= MF.KEPT_VERSIONS and min(states) <= min(snapshots)
+
+
+def test_a_crash_before_the_commit_changes_nothing(spark, tmp_dir):
+    """A delta and a snapshot without their commit marker are not read, and their numbers are used again."""
+    import os
+
+    base = f"{tmp_dir}/log"
+    MF.append_changes(_rows(spark, ["a", "b"], "t0"), base)
+    number = MF.append_changes(_rows(spark, ["a"], "lost"), base)
+    os.remove(os.path.join(MF._version_path(base, number, MF.DELTA), "_SUCCESS"))
+    assert _times(spark, base) == {"a": "t0", "b": "t0"}
+    version = MF.write_manifest(_rows(spark, ["c"], "lost"), base)
+    os.remove(os.path.join(MF._version_path(base, version), "_SUCCESS"))
+    assert _times(spark, base) == {"a": "t0", "b": "t0"}
+    assert MF.append_changes(_rows(spark, ["b"], "t1"), base) == number
+    assert _times(spark, base) == {"a": "t0", "b": "t1"}
