@@ -19,11 +19,11 @@ the join runs between classes, one set for all copies.
 5. Links between classes give components; a component's id is its least doc_id.
 
 Components need a spanning forest, not every link, and in a cluster of near copies
-the links grow with the square of its size.  So a round of hubs goes before step 3:
+the links grow with the square of its size.  So ROUNDS rounds of hubs go before step 3:
 classes that share one of HASHES min-hashes are held against a few hubs of that
 bucket alone, the pairs verified, and what links is contracted.  The join then asks only for pairs whose ends still lie in different
 components.  A link inside a component changes nothing, so the result is the same;
-``count_links`` leaves the round out and counts the links of every class.
+``count_links`` leaves the rounds out and counts the links of every class.
 
 Tokens are 64-bit hashes of shingles.  Words are runs of bytes other than white
 space, A-Z lower-cased.
@@ -58,6 +58,8 @@ COMBINED_SIZE = 400
 MAP_BITS = 1024
 #: Min-hashes of a set, by which it meets hubs, and random orders whose ends are a bucket's hubs.
 HASHES, ORDERS = 4, 2
+#: Rounds of hubs, each with orders of its own, and tokens before a key that tell whether a pair met before.
+ROUNDS, TAILS = 2, 4
 #: Bytes of sets in a block of pairs to verify.
 BLOCK_BYTES = 4 << 20
 LEAST_BLOCKS = 16
@@ -119,23 +121,30 @@ def _prefix(size: int, percent: int) -> int:
 
 
 def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
-    """(key, place, tail, tail2, tail3) of one set's prefix, whose first ``rare`` tokens are rare.
+    """(key, place, tail, tail2, tail3, tail4) of one set's prefix, whose first ``rare`` tokens are rare.
 
     ``place`` is the token's position + 1, or 0 for a pair of frequent tokens.  The
-    tails of a single token are the three tokens before it: two sets that share any of
-    them share an earlier key, so the join skips them here.  For a pair ``tail`` is the
-    token before its second token and ``tail2`` the one before its first; equal tails
-    make an earlier pair.  Without such a token a tail is the set's own name.
+    tails of a single token are the four tokens before it: two sets that share any of
+    them share an earlier key, so the join skips them here.  For a pair ``tail`` and
+    ``tail2`` are the two tokens before its second one, behind its first; one that is
+    shared makes an earlier pair with the first.  ``tail3`` and ``tail4`` are the two
+    before its first; one that is shared is an earlier key or makes an earlier pair.
+    Without such a token a tail is the set's own name.
     """
-    padded = np.r_[np.full(3, name, np.int64), tokens]
-    before = padded[2:-1]
+    padded = np.r_[np.full(TAILS, name, np.int64), tokens]
     p = len(tokens)
-    columns = [[tokens[:0]] for _ in range(5)]
+    columns = [[tokens[:0]] for _ in range(2 + TAILS)]
+
+    def add(*new: np.ndarray) -> None:
+        for to, x in zip(columns, new, strict=True):
+            to.append(x)
+
+    def before(at: np.ndarray, back: int) -> np.ndarray:
+        return padded[at + TAILS - back]
 
     def single(start: int, stop: int) -> None:
         at = np.arange(start, stop)
-        for to, new in zip(columns, (tokens[at], at + 1, padded[at + 2], padded[at + 1], padded[at])):
-            to.append(new)
+        add(tokens[at], at + 1, *(before(at, back) for back in range(1, TAILS + 1)))
 
     if size <= COMBINED_SIZE:
         single(0, rare)
@@ -143,10 +152,8 @@ def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
         i, j = i + rare, j + rare
         both = np.sort(np.stack([tokens[i], tokens[j]]).view(np.uint64), axis=0)
         key = mix(both[0] * np.uint64(3) + mix(both[1])).view(np.int64)
-        # Only a frequent token before a pair's token makes an earlier pair.
-        tail, tail2 = np.where(j > i + 1, before[j], name), np.where(i > rare, before[i], name)
-        for to, new in zip(columns, (key, np.zeros(len(i), np.int64), tail, tail2, np.full(len(i), name, np.int64))):
-            to.append(new)
+        between = (np.where(j - i > back, before(j, back), name) for back in (1, 2))
+        add(key, np.zeros(len(i), np.int64), *between, before(i, 1), before(i, 2))
     if 100 * size >= percent * COMBINED_SIZE:
         short = p - 1 if p < size or size - -(-percent * size // 100) + 2 == size else p
         start = rare if size <= COMBINED_SIZE else 0  # the rare ones are there already
@@ -204,7 +211,7 @@ def _describe(n: int, percent: int, counts, frequent: float):
 
 def _index(percent: int):
     """Index rows of every class."""
-    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2", "tail3", "root")
+    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2", "tail3", "tail4", "root")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,8 +225,8 @@ def _index(percent: int):
                     for i in range(part.num_rows)
                 ]
                 own = np.repeat(np.arange(part.num_rows), [len(x[0]) for x in got])
-                key, place, tail, tail2, tail3 = (np.concatenate(x) for x in zip(*got))
-                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), tail, tail2, tail3, part.column("root").to_numpy()[own]]
+                key, place, *tails = (np.concatenate(x) for x in zip(*got))
+                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), *tails, part.column("root").to_numpy()[own]]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
 
     return run
@@ -321,34 +328,35 @@ def _needed(both: Column, percent: int) -> Column:
     return F.floor((both * percent + (99 + percent)) / (100 + percent))
 
 
-def hub_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct (u, v), u < v: classes and the hubs of their min-hash buckets, if their sizes and maps allow a link.
+def hub_pairs(classes: DataFrame, percent: int, turn: int = 0) -> DataFrame:
+    """Distinct (u, v), u < v: classes and the hubs of their min-hash buckets, if their
+    roots differ and their sizes and maps allow a link.
 
     A bucket's hubs are the first and the last class in each of ORDERS random orders of
     its own, so a cluster that shares several buckets meets many different hubs: a
     class that links with a share q of its cluster is missed by all with (1 - q)^hubs.
     """
-    rows = classes.select(F.posexplode("least").alias("salt", "hash"), F.struct(F.col("k1").alias("name"), "size", "b0", "b1").alias("own"))
-    orders = [F.struct(F.xxhash64("own.name", "salt", F.lit(i)).alias("order"), F.col("own")) for i in range(ORDERS)]
+    rows = classes.select(F.posexplode("least").alias("salt", "hash"), F.struct(F.col("k1").alias("name"), "size", "b0", "b1", "root").alias("own"))
+    orders = [F.struct(F.xxhash64("own.name", "salt", F.lit(i)).alias("order"), F.col("own")) for i in range(turn * ORDERS, (turn + 1) * ORDERS)]
     ends = [end(o).getField("own") for o in orders for end in (F.min, F.max)]
     hubs = rows.groupBy("salt", "hash").agg(F.array(*ends).alias("hubs"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
     met = rows.join(hubs.drop("classes"), ["salt", "hash"]).select("own", F.explode(F.array_distinct("hubs")).alias("hub"))
     both = F.col("own.size") + F.col("hub.size")
     return met.where(
-        (F.col("own.name") != F.col("hub.name"))
+        (F.col("own.root") != F.col("hub.root"))
         & (100 * F.least("own.size", "hub.size") >= percent * F.greatest("own.size", "hub.size"))
         & (_apart("own", "hub") <= both - 2 * _needed(both, percent))
     ).select(F.least("own.name", "hub.name").alias("u"), F.greatest("own.name", "hub.name").alias("v")).distinct()
 
 
-def _same(x: str, y: str) -> Column:
-    return F.col(f"a.{x}") == F.col(f"b.{y}")
+def _any_same(of_a: tuple, of_b: tuple | None = None) -> Column:
+    return reduce(or_, [F.col(f"a.{x}") == F.col(f"b.{y}") for x in of_a for y in of_b or of_a])
 
 
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     """Distinct (u, v), u < v, of class names (k1) that may link and whose ``root`` differs."""
     rows = classes.select("k1", "size", "b0", "b1", "rare", "tokens", "root").mapInArrow(
-        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long, tail3 long, root long"
+        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long, tail3 long, tail4 long, root long"
     )
     a, b = rows.alias("a"), rows.alias("b")
     size_a, size_b = F.shiftright("a.sp", 32), F.shiftright("b.sp", 32)
@@ -356,15 +364,16 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     both = size_a + size_b
     need = _needed(both, percent)
     left = F.least(size_a - place_a, size_b - place_b) + 1
-    tails = ("tail", "tail2", "tail3")
-    shared = [_same(x, y) for x in tails for y in tails]
+    tails = ("tail", "tail2", "tail3", "tail4")
     return a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.name") < F.col("b.name"))
         & (F.col("a.root") != F.col("b.root"))
         & (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
-        & F.when(place_a == 0, ~_same("tail", "tail") & ~_same("tail2", "tail2")).otherwise(~reduce(or_, shared))
+        & ~_any_same(tails[:2])
+        & ~_any_same(tails[2:])
+        & ((place_a == 0) | ~(_any_same(tails[:2], tails[2:]) | _any_same(tails[2:], tails[:2])))
         & ((place_a == 0) | (place_b == 0) | (left >= need))
         & (_apart("a", "b") <= both - 2 * need),
     ).select(F.col("a.name").alias("u"), F.col("b.name").alias("v")).distinct()
@@ -410,12 +419,16 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80, count_links:
         raise ValueError("the share must be over 50 and at most 100 per cent")
     sets = describe(docs, n, percent)
     classes = written(classes_of(sets), "classes")
+    apart = classes.withColumn("root", F.col("node"))
     if count_links:
-        edges = _ends(links(docs, classes, candidate_pairs(classes.withColumn("root", F.col("node")), percent), n, percent))
+        edges = _ends(links(docs, classes, candidate_pairs(apart, percent), n, percent))
     else:
-        near = _ends(links(docs, classes, hub_pairs(classes, percent), n, percent))
-        rest = candidate_pairs(_rooted(classes, near), percent)
-        edges = near.unionByName(_ends(links(docs, classes, rest, n, percent)))
+        edges = None
+        for turn in range(ROUNDS + 1):
+            rooted = apart if edges is None else _rooted(classes, edges)
+            met = hub_pairs(rooted, percent, turn) if turn < ROUNDS else candidate_pairs(rooted, percent)
+            found = _ends(links(docs, classes, met, n, percent))
+            edges = found if edges is None else edges.unionByName(found)
     whole = _rooted(classes.select("k1", "k2", "node", "least_id"), edges)
     least = whole.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = whole.join(least, "root")

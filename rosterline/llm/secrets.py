@@ -92,11 +92,16 @@ def _grown(acc: Column, kept: Column, item: Column, none: Column) -> list[Column
     return [some.alias("some"), done.alias("done")]
 
 
-def _near(kinds, reach: int):
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is made once: the array around it binds it to a name."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _near(found: Column, kinds, reach: int):
     """Does a span of any of the kinds lie within ``reach`` code points of the span?"""
 
     def of(kind: str, s: Column) -> Column:
-        parts = F.col(f"_{kind}")
+        parts = found[kind]
 
         def halve(lo: Column, bit: Column) -> Column:
             to = lo + F.call_function("shiftleft", F.lit(1), bit)
@@ -110,18 +115,20 @@ def _near(kinds, reach: int):
     return lambda s: reduce(or_, [of(k, s) for k in kinds])
 
 
-def with_spans(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """``docs`` plus one array column of spans per kind (weak kinds: linked ones), named after it."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumns({f"_{k}": _spans(text, k) for k in KINDS})
-    free = _near(BASE, 0)
-    out = out.withColumns({f"_{k}": F.filter(F.col(f"_{k}"), lambda s: ~free(s)) for k in ("ident", "opaque", "endpoint")})
-    by_owner, by_secret = _near(("access", "ident"), scope), _near(("assign", "hex", "opaque"), scope)
-    return out.withColumns({
-        "_ident": F.filter("_ident", by_secret),
-        "_opaque": F.filter("_opaque", by_owner),
-        "_endpoint": F.filter("_endpoint", lambda s: by_owner(s) & by_secret(s)),
-    })
+def linked_spans(text: Column, scope: int = SCOPE) -> Column:
+    """A struct of one array of spans per kind; weak kinds hold linked spans alone."""
+
+    def freed(r: Column) -> Column:
+        base = _near(r, BASE, 0)
+        return F.struct(*[(r[k] if k in BASE else F.filter(r[k], lambda s: ~base(s))).alias(k) for k in KINDS])
+
+    def linked(r: Column) -> Column:
+        by_owner, by_secret = _near(r, ("access", "ident"), scope), _near(r, ("assign", "hex", "opaque"), scope)
+        asked = {"ident": by_secret, "opaque": by_owner, "endpoint": lambda s: by_owner(s) & by_secret(s)}
+        return F.struct(*[(F.filter(r[k], asked[k]) if k in asked else r[k]).alias(k) for k in KINDS])
+
+    raw = F.struct(*[_spans(text, k).alias(k) for k in KINDS])
+    return _let(_let(raw, freed), linked)
 
 
 def _joined(kinds) -> Column:
@@ -129,7 +136,7 @@ def _joined(kinds) -> Column:
     def named(i: int, kind: str):
         return lambda s: F.struct(s["start"].alias("s"), F.lit(i).alias("k"), s["end"].alias("e"), F.lit(kind).alias("n"))
 
-    rows = F.concat(*[F.transform(F.col(f"_{k}"), named(i, k)) for i, k in enumerate(kinds)])
+    rows = F.concat(*[F.transform(F.col("found")[k], named(i, k)) for i, k in enumerate(kinds)])
     return F.array_join(
         F.transform(F.array_sort(rows), lambda r: F.concat_ws(":", r["n"], r["s"].cast("string"), r["e"].cast("string"))),
         ",",
@@ -138,64 +145,73 @@ def _joined(kinds) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Counts, checksum and list of spans per row of ``docs`` (doc_id, text)."""
-    found = with_spans(docs.select("doc_id", "text"))
+    found = docs.select("doc_id", linked_spans(F.coalesce("text", F.lit(""))).alias("found"))
     return found.select(
         "doc_id",
-        *[F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in BASE],
+        *[F.size(F.col("found")[k]).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(_joined(BASE), 256).alias("base_sha256"),
         _joined(KINDS).alias("spans"),
     )
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span of its text replaced by MASK; n_chars follows.
-
-    A text without spans stays as it is, also a null one.  The row travels in one
-    struct, so its columns may have any names.
-    """
-    spans = F.array_sort(F.concat(*[F.col(f"_{k}") for k in KINDS]))
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with MASK in place of ``spans``, which are in order and may overlap."""
     none = F.array().cast(_SPAN)
 
     def step(acc: Column, s: Column) -> Column:
-        free = s["start"] >= acc["at"]
         gap = F.struct(acc["at"].alias("start"), s["start"].alias("end"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), *_grown(acc, free, gap, none))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), *_grown(acc, s["start"] >= acc["at"], gap, none))
 
     def ended(acc: Column) -> Column:
-        last = F.struct(acc["at"].alias("start"), F.col("length").alias("end"))
+        last = F.struct(acc["at"].alias("start"), F.length(text).alias("end"))
         return F.concat(F.flatten(acc["done"]), acc["some"], F.array(last))
 
     begin = F.struct(F.lit(0).alias("at"), none.alias("some"), F.array().cast(f"array<{_SPAN}>").alias("done"))
-    gaps = F.aggregate(F.col("all"), begin, step, ended)
+    gaps = F.aggregate(spans, begin, step, ended)
     # A part of a text is found by counting from its start, so the text is cut into
     # blocks once, and parts are taken from the blocks.
-    large = F.transform(F.sequence(F.lit(0), F.floor(F.col("length") / _LARGE).cast("int")), lambda i: F.substring("text", i * _LARGE + 1, F.lit(_LARGE)))
-    cuts = F.sequence(F.lit(0), F.lit(_LARGE // _BLOCK - 1))
-    blocks = F.flatten(F.transform(F.col("large"), lambda t: F.transform(cuts, lambda j: F.substring(t, j * _BLOCK + 1, F.lit(_BLOCK)))))
-
-    def part(g: Column) -> Column:
-        start, last = g["start"], g["end"] - 1
-        i, j = F.floor(start / _BLOCK).cast("int"), F.floor(last / _BLOCK).cast("int")
-        one = F.substring(F.get("blocks", i), start % _BLOCK + 1, g["end"] - start)
-        many = F.concat(
-            F.substring(F.get("blocks", i), start % _BLOCK + 1, F.lit(_BLOCK)),
-            F.array_join(F.slice("blocks", i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
-            F.substring(F.get("blocks", j), F.lit(1), last % _BLOCK + 1),
-        )
-        return F.when(last < start, F.lit("")).when(i == j, one).otherwise(many)
-
-    masked = F.array_join(F.transform(F.col("gaps"), part), MASK)
+    cuts = F.sequence(F.lit(0), F.floor(F.length(text) / _LARGE).cast("int"))
+    large = F.transform(cuts, lambda i: F.substring(text, i * _LARGE + 1, F.lit(_LARGE)))
+    small = F.sequence(F.lit(0), F.lit(_LARGE // _BLOCK - 1))
+    blocks = F.flatten(F.transform(large, lambda t: F.transform(small, lambda j: F.substring(t, j * _BLOCK + 1, F.lit(_BLOCK)))))
+
+    def part(b: Column):
+        def of(g: Column) -> Column:
+            start, last = g["start"], g["end"] - 1
+            i, j = F.floor(start / _BLOCK).cast("int"), F.floor(last / _BLOCK).cast("int")
+            one = F.substring(F.get(b, i), start % _BLOCK + 1, g["end"] - start)
+            many = F.concat(
+                F.substring(F.get(b, i), start % _BLOCK + 1, F.lit(_BLOCK)),
+                F.array_join(F.slice(b, i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+                F.substring(F.get(b, j), F.lit(1), last % _BLOCK + 1),
+            )
+            return F.when(last < start, F.lit("")).when(i == j, one).otherwise(many)
+
+        return of
+
+    return _let(blocks, lambda b: F.array_join(F.transform(gaps, part(b)), MASK))
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """``docs`` with every span of its text replaced by MASK; n_chars follows.
+
+    A text without spans stays as it is, also a null one.  The row travels in one
+    struct, so its columns may have any names.
+    """
+
+    def told(all_spans: Column) -> Column:
+        some = F.size(all_spans) > 0
+        return F.struct(some.alias("changed"), F.when(some, _masked(F.col("text"), all_spans)).otherwise(F.col("text")).alias("text"))
+
+    found = linked_spans(F.coalesce("text", F.lit("")))
+    in_order = _let(found, lambda r: F.array_sort(F.concat(*[r[k] for k in KINDS])))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    found = with_spans(packed).select("row", "text", spans.alias("all")).withColumn("changed", F.size("all") > 0)
-    found = found.withColumn("length", F.length("text"))
-    for name, made in (("gaps", gaps), ("large", large), ("blocks", blocks)):
-        found = found.withColumn(name, F.when(F.col("changed"), made))
-    found = found.withColumn("text", F.when(F.col("changed"), masked).otherwise(F.col("text")))
-    out = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    done = packed.select("row", _let(in_order, told).alias("new"))
+    out = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("new.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(F.col("changed"), F.length("text").cast(kind)).otherwise(out["n_chars"])
-    return found.select(*[out[c].alias(c) for c in docs.columns])
+        out["n_chars"] = F.when(F.col("new.changed"), F.length("new.text").cast(kind)).otherwise(out["n_chars"])
+    return done.select(*[out[c].alias(c) for c in docs.columns])
 
 
 # ---------------------------------------------------------------------------
