@@ -830,3 +830,18 @@ def test_recall_of_quoted_items():
     for begin in range(0, len(docs), 300):
         found |= {(begin + i, j) for i, j, _, _ in DC.matches(pa.array(docs[begin : begin + 300]), index, 5, 0.8)}
     assert found == expected
+
+
+def test_multiset_sql_is_the_query(spark):
+    """Lines that begin with marks, marks alone, and one line ten thousand times."""
+    import duckdb
+    from oracle_compare import compare
+
+    rows = [
+        (1, ".gitignore\n![alt]\n?! what. Yes", "en", "a"), (2, "...\n!!", "en", "a"), (3, "the same line\n" * 10_000, "en", "a"),
+        (4, "the same line\n" * 5_000 + "another one.\n" * 4_000, "en", "a"), (5, None, "en", "a"), (6, "", "en", "a"), (7, "One. Two! Three?", "en", "a"),
+    ]
+    con = duckdb.connect()
+    con.register("documents", frame(spark, rows).select("doc_id", "text").toPandas())
+    ok, said = compare(MH.compare_edited(frame(spark, rows)), con, MH.compare_edited_sql())
+    assert ok, said
