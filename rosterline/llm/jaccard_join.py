@@ -11,10 +11,13 @@ the join runs between classes, one set for all copies.
    at least one pair of frequent tokens is, and only such pairs are indexed.
    Sets above COMBINED_SIZE, whose prefixes would give too many pairs, use k = 1;
    sets near the border are indexed both ways, so no link is lost.
-3. Candidates meet by key and pass filters that never reject a link: size,
-   position, and the distance of 128-bit parity maps, then of 1024-bit ones.  Sets that share many keys
-   would meet at each; a key carries the token before it, and two sets with the
-   same one have met before, so a pair comes out about once.
+3. Candidates.  Most keys belong to one document, or to one component only, and bring
+   nobody together.  So thin rows (key, set, component) are counted first, and whole
+   index rows are made for the keys that different components share.  These meet by
+   key and pass filters that never reject a link: size, position, and the distance of
+   256-bit parity maps, then of 1024-bit ones.  Sets that share many keys would meet
+   at each; a key carries the tokens before it, and two sets with the same one have
+   met before, so a pair comes out about once.
 4. Verification compares the whole sets of the candidates, block by block.
 5. Links between classes give components; a component's id is its least doc_id.
 
@@ -56,6 +59,8 @@ CELL_BITS, SKETCH_BLOCKS = 20, 64
 COMBINED_SIZE = 400
 #: Bits of the parity map that candidates are held against before their sets are read.
 MAP_BITS = 1024
+#: Words of the smaller parity map that index rows carry.
+MAPS = ("b0", "b1", "b2", "b3")
 #: Min-hashes of a set, by which it meets hubs, and random orders whose ends are a bucket's hubs.
 HASHES, ORDERS = 4, 2
 #: Rounds of hubs, each with orders of its own, and tokens before a key that tell whether a pair met before.
@@ -161,7 +166,7 @@ def _keys(tokens: np.ndarray, rare: int, size: int, percent: int, name: int):
     return tuple(np.concatenate(x) for x in columns)
 
 
-_SET = "doc_id long, t1 long, size long, k1 long, k2 long, b0 long, b1 long, rare int, tokens array<long>, map binary, least array<long>"
+_SET = f"doc_id long, t1 long, size long, k1 long, k2 long, {' long, '.join(MAPS)} long, rare int, tokens array<long>, map binary, least array<long>"
 
 
 def _describe(n: int, percent: int, counts, frequent: float):
@@ -182,8 +187,9 @@ def _describe(n: int, percent: int, counts, frequent: float):
             total = np.zeros(rows, np.uint64)
             np.add.at(total, doc, mix(tokens + np.uint64(salt)))
             sums.append(total.view(np.int64))
-        odd = np.bincount(doc * 128 + ((tokens >> np.uint64(16)) & np.uint64(127)).astype(np.int64), minlength=rows * 128) & 1
-        bits = np.packbits(odd.astype(bool)).view(np.int64).reshape(rows, 2)
+        small = 64 * len(MAPS)
+        odd = np.bincount(doc * small + ((tokens >> np.uint64(16)) & np.uint64(small - 1)).astype(np.int64), minlength=rows * small) & 1
+        bits = np.packbits(odd.astype(bool)).view(np.int64).reshape(rows, len(MAPS))
         where = doc * MAP_BITS + ((tokens >> np.uint64(30)) & np.uint64(MAP_BITS - 1)).astype(np.int64)
         wide = np.packbits((np.bincount(where, minlength=rows * MAP_BITS) & 1).astype(bool)).tobytes()
         step = MAP_BITS // 8
@@ -203,35 +209,51 @@ def _describe(n: int, percent: int, counts, frequent: float):
         rare = np.bincount(doc[inside & (count <= frequent)], minlength=rows)
         ends = pa.array(np.r_[0, np.cumsum(length)].astype(np.int32))
         prefix = pa.ListArray.from_arrays(ends, pa.array(tokens[inside].view(np.int64)))
-        flat = [pa.array(x) for x in (size, *sums, np.ascontiguousarray(bits[:, 0]), np.ascontiguousarray(bits[:, 1]), rare.astype(np.int32))]
+        flat = [pa.array(x) for x in (size, *sums, *np.ascontiguousarray(bits.T), rare.astype(np.int32))]
         return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("t1"), *flat, prefix, maps, low], names=names)
 
     return run
 
 
-def _index(percent: int):
-    """Index rows of every class."""
-    names = ("key", "name", "sp", "b0", "b1", "tail", "tail2", "tail3", "tail4", "root")
+_THIN = ("key", "name", "root")
+_WIDE = ("key", "name", "sp", *MAPS, "tail", "tail2", "tail3", "tail4", "root")
+
+
+def _index(percent: int, whole: bool):
+    """Index rows: _THIN ones of every key of a class, or _WIDE ones of its keys in ``shared``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                size, name, rare = (part.column(c).to_numpy() for c in ("size", "k1", "rare"))
-                lists = part.column("tokens")
-                flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
-                got = [
-                    _keys(flat[ends[i] : ends[i + 1]], int(rare[i]), int(size[i]), percent, int(name[i]))
-                    for i in range(part.num_rows)
-                ]
-                own = np.repeat(np.arange(part.num_rows), [len(x[0]) for x in got])
-                key, place, *tails = (np.concatenate(x) for x in zip(*got))
-                cols = [key, name[own], (size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in ("b0", "b1")), *tails, part.column("root").to_numpy()[own]]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
+                yield some(batch.slice(at, 256))
+
+    def lists(part: pa.RecordBatch, column: str) -> list[np.ndarray]:
+        flat, ends = part.column(column).flatten().to_numpy(), np.r_[0, np.cumsum(part.column(column).value_lengths().to_numpy())]
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def some(part: pa.RecordBatch) -> pa.RecordBatch:
+        size, name, rare, root = (part.column(c).to_numpy() for c in ("size", "k1", "rare", "root"))
+        got = [
+            _keys(tokens, int(rare[i]), int(size[i]), percent, int(name[i]))
+            for i, tokens in enumerate(lists(part, "tokens"))
+        ]
+        if whole:
+            met = [np.isin(x[0], keys) for x, keys in zip(got, lists(part, "shared"))]
+            got = [tuple(column[m] for column in x) for x, m in zip(got, met)]
+        own = np.repeat(np.arange(part.num_rows), [len(x[0]) for x in got])
+        key, place, *tails = (np.concatenate(x) for x in zip(*got))
+        cols = [key, name[own], root[own]]
+        if whole:
+            cols[2:2] = [(size[own] << 32) + place, *(part.column(c).to_numpy()[own] for c in MAPS), *tails]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=_WIDE if whole else _THIN)
 
     return run
 
 
+def _longs(names: tuple) -> str:
+    return ", ".join(f"{c} long" for c in names)
+
+
 def _whole_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,16 +333,14 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def classes_of(sets: DataFrame) -> DataFrame:
     """One row per distinct non-empty set: its node, keys, least id, and the row that stands for it."""
     return sets.where("size > 0").groupBy("k1", "k2").agg(
-        F.first("size").alias("size"), F.first("b0").alias("b0"), F.first("b1").alias("b1"),
-        F.first("rare").alias("rare"), F.first("tokens").alias("tokens"),
-        F.first("map").alias("map"), F.first("least").alias("least"), F.min("doc_id").alias("least_id"),
+        *(F.first(c).alias(c) for c in ("size", *MAPS, "rare", "tokens", "map", "least")), F.min("doc_id").alias("least_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1")).alias("rep"),
     ).withColumn("node", F.xxhash64("k1", "k2"))
 
 
 def _apart(a: str, b: str) -> Column:
-    """Bits in which the 128-bit parity maps of two rows differ."""
-    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("b0", "b1")), F.lit(0))
+    """Bits in which the smaller parity maps of two rows differ."""
+    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in MAPS), F.lit(0))
 
 
 def _needed(both: Column, percent: int) -> Column:
@@ -336,7 +356,7 @@ def hub_pairs(classes: DataFrame, percent: int, turn: int = 0) -> DataFrame:
     its own, so a cluster that shares several buckets meets many different hubs: a
     class that links with a share q of its cluster is missed by all with (1 - q)^hubs.
     """
-    rows = classes.select(F.posexplode("least").alias("salt", "hash"), F.struct(F.col("k1").alias("name"), "size", "b0", "b1", "root").alias("own"))
+    rows = classes.select(F.posexplode("least").alias("salt", "hash"), F.struct(F.col("k1").alias("name"), "size", *MAPS, "root").alias("own"))
     orders = [F.struct(F.xxhash64("own.name", "salt", F.lit(i)).alias("order"), F.col("own")) for i in range(turn * ORDERS, (turn + 1) * ORDERS)]
     ends = [end(o).getField("own") for o in orders for end in (F.min, F.max)]
     hubs = rows.groupBy("salt", "hash").agg(F.array(*ends).alias("hubs"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
@@ -355,9 +375,13 @@ def _any_same(of_a: tuple, of_b: tuple | None = None) -> Column:
 
 def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
     """Distinct (u, v), u < v, of class names (k1) that may link and whose ``root`` differs."""
-    rows = classes.select("k1", "size", "b0", "b1", "rare", "tokens", "root").mapInArrow(
-        _index(percent), "key long, name long, sp long, b0 long, b1 long, tail long, tail2 long, tail3 long, tail4 long, root long"
-    )
+    needed = ("k1", "size", "rare", "tokens", "root")
+    thin = classes.select(*needed).mapInArrow(_index(percent, False), _longs(_THIN))
+    # Counts are summed before the shuffle, and the semi-join may split a hot key.
+    roots = thin.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    meeting = thin.select("key", F.col("name").alias("k1")).join(roots.select("key"), "key", "left_semi")
+    shared = written(meeting.groupBy("k1").agg(F.collect_list("key").alias("shared")), "shared")
+    rows = classes.select(*needed, *MAPS).join(shared, "k1").mapInArrow(_index(percent, True), _longs(_WIDE))
     a, b = rows.alias("a"), rows.alias("b")
     size_a, size_b = F.shiftright("a.sp", 32), F.shiftright("b.sp", 32)
     place_a, place_b = (F.col(f"{x}.sp").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab")
