@@ -32,7 +32,7 @@ from rosterline.plans import views as V
 from rosterline.session import scratch_path
 from rosterline.sources import files
 from rosterline.sources import testmap as M
-from rosterline.sources.sinks import write_clustered, write_partitioned, write_table
+from rosterline.sources.sinks import shuffles_join, write_clustered, write_partitioned, write_table
 from rosterline.streaming import manifest as MF
 
 DIGITS = 6
@@ -48,7 +48,9 @@ def _lock_for(key: tuple[str, str, str]) -> threading.RLock:
         return _KEY_LOCKS.setdefault(key, threading.RLock())
 
 
-def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None, cluster=None) -> DataFrame:
+def _written_table(
+    spark: SparkSession, sf_dir: str, name: str, build, partition_by=None, cluster=None, laid_out: bool = False
+) -> DataFrame:
     """The curated input ``name`` derived from ``sf_dir``, written once per
     application as a Parquet table under the shared checkpoint folder.
 
@@ -56,6 +58,8 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
     and claims datasets are materialised once and every report reads them;
     the write also cuts the lineage back to the raw tables.  The scan is
     defined once per application (file listing and footers are read once).
+    ``laid_out`` says that ``build`` deals its rows in ranges of ``cluster``; they hold
+    unless its plan joins by a shuffle.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     # One lock per table: independent tables materialise concurrently, and a
@@ -67,7 +71,7 @@ def _written_table(spark: SparkSession, sf_dir: str, name: str, build, partition
             path = scratch_path(spark, f"inputs/{key[0]}/{tag}/{name}")
             built = build()
             if cluster:
-                write_clustered(built, path, partition_by, cluster)
+                write_clustered(built, path, partition_by, cluster, laid_out=laid_out and not shuffles_join(built))
             elif partition_by:
                 write_partitioned(built, path, partition_by)
             else:
@@ -100,6 +104,7 @@ class Inputs:
         return _written_table(
             self.spark, self.sf_dir, "staffing",
             lambda: M.staffing_daily(self.spark, self.sf_dir), partition_by="state", cluster=["provnum", "workdate"],
+            laid_out=True,
         )
 
     def daily(self) -> DataFrame:

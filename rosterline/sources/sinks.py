@@ -57,6 +57,12 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, cluster: list[
     writer.options(**options).parquet(path)
 
 
+def shuffles_join(df: DataFrame) -> bool:
+    """Whether the plan joins by a shuffle, which loses the ranges its rows were dealt in."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Parquet, replacing ``path``, unpartitioned."""
     _replacing(df).parquet(path)

@@ -79,13 +79,18 @@ def _hour_aggregates() -> list[Column]:
     return out
 
 
-def supplier_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per supplier with the staffing file's facility attributes."""
+def _with_dimensions(spark: SparkSession, sf_dir: str, rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` of suppliers with the staffing file's facility attributes.
+
+    The two tables are joined one after the other: the planner knows the size of each,
+    so it can broadcast them, but not that of their join.
+    """
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     county = F.col("s_suppkey") % 23
-    return sup.join(nat, sup.s_nationkey == nat.n_nationkey, "inner").select(
-        F.col("s_suppkey"),
+    joined = rows.join(sup, F.col(key) == sup.s_suppkey, "inner").join(nat, sup.s_nationkey == nat.n_nationkey, "inner")
+    return joined.select(
+        *rows.columns,
         F.col("s_suppkey").cast("string").alias("provnum"),
         F.col("s_name").alias("provname"),
         F.concat(F.lit("City "), (F.col("s_suppkey") % 17).cast("string")).alias("city"),
@@ -95,17 +100,30 @@ def supplier_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Line items that one task groups into staffing days.
+ROWS_PER_TASK = 250_000
+
+
 def staffing_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated staffing rows (facility x day), typed as ``STAFFING_SCHEMA``.
 
-    Line items are first aggregated per (supplier, day) -- the shuffle carries
-    partial sums and a hot supplier spreads over its many days -- and only the
-    per-day rows are joined with the supplier dimension.
+    Nearly every line item is a day of its own, so partial sums are as many as the
+    line items and several times as wide.  The line items themselves are dealt, once,
+    by ranges of (nation, supplier, day): each task sums a bounded number of them
+    without another shuffle, a hot supplier spreads over its many days, and the rows
+    lie as the clustered table holds them.  Only the per-day rows are joined with the
+    supplier dimension.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_shipdate", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
+        "l_suppkey", F.to_date("l_shipdate").alias("workdate"),
+        "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
     )
-    daily = li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("workdate")).agg(
+    # One nation a supplier, for the place alone: the join multiplies no line item.
+    places = table(spark, sf_dir, "supplier").groupBy(F.col("s_suppkey").alias("l_suppkey")).agg(
+        F.min("s_nationkey").alias("_nation"))
+    tasks = max(1, -(-li.count() // ROWS_PER_TASK))  # Parquet footers only
+    dealt = li.join(places, "l_suppkey").repartitionByRange(tasks, "_nation", "l_suppkey", "workdate")
+    daily = dealt.groupBy("_nation", "l_suppkey", "workdate").agg(
         (
             F.sum("l_linenumber")
             * (F.lit(4) + F.col("l_suppkey") % 6)  # a grouping column: no buffer needed
@@ -114,12 +132,10 @@ def staffing_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("mdscensus"),
         *_hour_aggregates(),
     )
-    dims = supplier_dimensions(spark, sf_dir)
-    joined = daily.join(dims, daily.l_suppkey == dims.s_suppkey, "inner")
     cy_qtr = F.concat(
         F.year("workdate").cast("string"), F.lit("Q"), F.quarter("workdate").cast("string")
     )
-    return joined.select(
+    return _with_dimensions(spark, sf_dir, daily, "l_suppkey").select(
         "provnum", "provname", "city", "state", "county_name", "county_fips",
         cy_qtr.alias("cy_qtr"), "workdate", "mdscensus", *S.HOUR_COLUMNS,
     )
