@@ -14,6 +14,9 @@ from rosterline import schemas as S
 from rosterline.sources.files import SOURCE_FILE, select_by_header
 
 
+_HOURS = "_hours"
+
+
 def _to_double(c: Column) -> Column:
     return F.trim(c).try_cast("double")
 
@@ -44,15 +47,21 @@ def type_staffing(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
     The provenance column and those in ``keep`` are carried along.
     """
+    hours = S.hour_columns()
     out = [
         normalise_id(F.col("PROVNUM")).alias("provnum"),
         *[F.col(h).alias(n) for h, n in S.STAFFING_DIMENSIONS if n != "provnum"],
         _to_date(F.col(S.STAFFING_DATE[0]), S.STAFFING_DATE_FORMAT).alias("workdate"),
         _to_double(F.col(S.STAFFING_CENSUS[0])).alias("mdscensus"),
-        *[_to_double(F.col(h)).alias(n) for h, n in S.hour_columns()],
     ]
-    out += [F.col(c) for c in [SOURCE_FILE, *(keep or [])] if c in df.columns]
-    return df.select(*out)
+    kept = [F.col(c) for c in [SOURCE_FILE, *(keep or [])] if c in df.columns]
+    # The hours are converted in one loop: an expression each makes a method of more
+    # than the 8000 bytes that the JVM compiles, and every row is interpreted.
+    numbers = F.transform(F.array(*[F.col(h) for h, _ in hours]), _to_double).alias(_HOURS)
+    names = [n for _, n in S.STAFFING_DIMENSIONS] + ["workdate", "mdscensus"]
+    return df.select(*out, numbers, *kept).select(
+        *names, *[F.get(_HOURS, F.lit(k)).alias(n) for k, (_, n) in enumerate(hours)], *kept
+    )
 
 
 def staffing_defects() -> dict[str, Column]:

@@ -149,7 +149,8 @@ class Inputs:
         once, as the staffing job does, so that a check reads its columns alone."""
         return _written_table(
             self.spark, self.sf_dir, "typed",
-            lambda: C.type_staffing(C.present_staffing(M.staffing_raw_text(self.staffing()))),
+            # From the dealt rows: a scan of the curated files packs millions of rows into a task.
+            lambda: C.type_staffing(C.present_staffing(M.staffing_raw_text(M.staffing_daily(self.spark, self.sf_dir)))),
         )
 
     def raw_csv(self) -> dict:

@@ -231,21 +231,24 @@ PADDED_ID_DAY, BLANK_ID_DAY, BAD_DATE_DAY = 1, 2, 3
 NULL_CENSUS_DAY, NEGATIVE_CENSUS_DAY, BAD_HOURS_DAY, EMPTY_ROW_DAY = 4, 5, 6, 7
 NEGATIVE_HOURS_DAY, OVER_CONTRACT_DAY = 8, 9
 OVER_CONTRACT_HOURS = 1000.0
+_DAY = "_day"
 
 
-def staffing_raw_text(staffing: DataFrame) -> DataFrame:
+def staffing_raw_text(staffing: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``staffing_daily`` rows rendered the way the raw CSV carries them: every column
     a string under its source header, dates as ``yyyyMMdd``.
 
     Defects are planted by day of month: padded id (kept, trimmed), blank id,
     unparseable date, missing census, negative census (all dropped), text in an
     hour column (becomes NULL), an all-empty row (dropped), negative RN hours and
-    RN contract hours above the total (both kept and counted).
+    RN contract hours above the total (both kept and counted).  Columns in ``keep`` are carried along.
     """
-    d = staffing
-    dom = F.dayofmonth("workdate")
+    # The ids are never negative; with them the day is computed once a row, not once more
+    # for every column of a filter that is moved below it.
+    d = staffing.withColumn(_DAY, F.when(F.monotonically_increasing_id() >= 0, F.dayofmonth("workdate")))
+    dom = F.col(_DAY)
 
-    def keep(c: Column) -> Column:
+    def shown(c: Column) -> Column:
         return F.when(dom != EMPTY_ROW_DAY, c)
 
     provnum = (
@@ -269,14 +272,15 @@ def staffing_raw_text(staffing: DataFrame) -> DataFrame:
                 dom == NEGATIVE_HOURS_DAY, (-F.col(name)).cast("string")).otherwise(v)
         if name == S.hrs("RN", "_ctr"):
             v = F.when(dom == OVER_CONTRACT_DAY, F.lit(str(OVER_CONTRACT_HOURS))).otherwise(v)
-        hours.append(keep(v).alias(header))
-    dims = [keep(F.col(n)).alias(h) for h, n in S.STAFFING_DIMENSIONS if n != "provnum"]
+        hours.append(shown(v).alias(header))
+    dims = [shown(F.col(n)).alias(h) for h, n in S.STAFFING_DIMENSIONS if n != "provnum"]
     return d.select(
-        keep(provnum).alias("PROVNUM"),
+        shown(provnum).alias("PROVNUM"),
         *dims,
-        keep(workdate).alias(S.STAFFING_DATE[0]),
-        keep(census).alias(S.STAFFING_CENSUS[0]),
+        shown(workdate).alias(S.STAFFING_DATE[0]),
+        shown(census).alias(S.STAFFING_CENSUS[0]),
         *hours,
+        *(keep or []),
     )
 
 

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from rosterline import schemas as S
+from rosterline.operators import clean as C
 from rosterline.plans import registry
 from rosterline.sources import sinks
 from rosterline.sources import testmap as M
@@ -63,3 +64,20 @@ def test_curated_staffing_is_written_as_it_was_dealt(spark, tables, monkeypatch)
     monkeypatch.setattr(registry, "write_clustered", lambda *a, **k: (dealt.append(k), write(*a, **k)))
     assert registry.Inputs(spark, tables).staffing().count() == 40 * 30 + 1 + 30
     assert dealt == [{"laid_out": True}]
+
+
+def _method_sizes(df, capsys) -> list[int]:
+    capsys.readouterr()
+    df.explain(mode="codegen")
+    return [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+
+
+def test_typing_is_code_that_the_jvm_compiles(spark, tables, capsys):
+    text = M.staffing_raw_text(registry.Inputs(spark, tables).staffing())
+    monitor = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = _method_sizes(C.type_staffing(C.present_staffing(text)), capsys)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", monitor)
+    assert sizes and max(sizes) < 8000
