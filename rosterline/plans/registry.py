@@ -161,7 +161,7 @@ class Inputs:
                 tag = re.sub(r"[^A-Za-z0-9_.-]", "_", key[1].strip("/"))
                 path = scratch_path(self.spark, f"inputs/{key[0]}/{tag}/raw_csv")
                 _WRITTEN[key] = M.write_defective_csv(
-                    self.spark, self.staffing(), self.provider(), self.claims(), path)
+                    self.spark, M.staffing_daily(self.spark, self.sf_dir), self.provider(), self.claims(), path)
             return _WRITTEN[key]
 
 
@@ -793,7 +793,7 @@ def _contract_pct_profile(i: Inputs) -> DataFrame:
 def _rows_per_source_file(i: Inputs) -> DataFrame:
     raw = files.read_csv(i.spark, i.raw_csv()["pbj"])
     # Spark names the files at random, so they are told apart by their folder.
-    folder = F.regexp_extract(files.SOURCE_FILE, "/([^/]+)/[^/]+$", 1)
+    folder = F.regexp_extract(files.SOURCE_FILE, "/quarter=([^/]+)/[^/]+$", 1)
     return P.rows_per_source_file(raw.withColumn(files.SOURCE_FILE, folder))
 
 

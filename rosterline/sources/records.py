@@ -86,7 +86,10 @@ def _blocks(lines: DataFrame, head: str) -> DataFrame:
     first = written_once(
         lines.groupBy(_FILE, _START).agg(
             F.max(_after_outside(line)).alias("_dirty"), F.min(some).alias("_first"), F.max(_POS).alias("_last"),
-            F.min(closing).alias("_closing"), F.count_if(_text(line) == head).alias("_heads"), F.first("_path").alias("_path"),
+            F.min(closing).alias("_closing"), F.count_if(_text(line) == head).alias("_heads"),
+            # A block's only path, as a set: the aggregate then keeps its few blocks in
+            # memory as objects, where one of plain strings would sort all lines.
+            F.get(F.collect_set("_path"), F.lit(0)).alias("_path"),
         ),
         "csv-blocks",
     )
@@ -127,7 +130,10 @@ def _blocks(lines: DataFrame, head: str) -> DataFrame:
     # In a block that repeats the header's text, order tells which line is the header.
     plain = (F.col("_begin") == 0) & (F.col("_dirty") == 0) & ~(has_header & (F.col("_heads") > 1))
     return written_once(
-        table.join(told, [_FILE, _START]).select(_FILE, _START, "_begin", "_owner", "_path", "_header", "_crlf", plain.alias("_plain")), "csv-table"
+        table.join(told, [_FILE, _START]).select(
+            _FILE, _START, "_begin", "_owner", "_path", "_header", _text(F.col("_header")).alias("_title"), "_crlf", plain.alias("_plain")
+        ),
+        "csv-table",
     )
 
 
@@ -187,12 +193,15 @@ def read_records(spark: SparkSession, path: str | list[str], columns: list[str],
     changed = F.raise_error(F.lit("the files or their splits changed while they were read")).cast("boolean")
     placed = lines.drop("_path").join(blocks, [_FILE, _START], "left")
     plain = placed.where(F.when(F.col("_path").isNull(), changed).otherwise(F.col("_plain")))
-    header = F.col("_header").isNotNull() & (_text(F.col(_LINE)) == _text(F.col("_header")))
+    header = F.col("_title").isNotNull() & (_text(F.col(_LINE)) == F.col("_title"))
     records = plain.where(~header).select("_path", _ended(F.col(_LINE)).alias("_record"))
     if not blocks.where("NOT _plain").isEmpty():
         records = records.unionByName(_whole_records(lines.drop("_path").join(blocks.where("NOT _plain"), [_FILE, _START])))
     schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in [*columns, MALFORMED])
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": MALFORMED}
-    parsed = records.where(F.length("_record") > 0).select(F.from_csv("_record", schema, options).alias("_row"), F.col("_path").alias("source_file"))
+    # The ids are never negative, but an expression with them is evaluated once a record:
+    # a filter on its fields, moved below it, would parse the record for every field.
+    once = F.when(F.monotonically_increasing_id() >= 0, F.col("_record"))
+    parsed = records.where(F.length("_record") > 0).select(F.from_csv(once, schema, options).alias("_row"), F.col("_path").alias("source_file"))
     out = [F.col("_row").getField(c).alias(c) for c in columns]
     return parsed.select(*out, *([F.col("_row").getField(MALFORMED).alias(MALFORMED)] if malformed else []), "source_file")

@@ -19,6 +19,7 @@ Mapping (one staffing facility = one supplier, one state = one nation):
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -364,19 +365,36 @@ def claims_raw_text(claims: DataFrame) -> DataFrame:
 
 
 def quarter_folders(base: str) -> list[str]:
-    return [f"{base}/q{q}" for q in (1, 2, 3, 4)]
+    return [f"{base}/quarter=q{q}" for q in (1, 2, 3, 4)]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def write_defective_csv(spark: SparkSession, staffing: DataFrame, provider: DataFrame, claims: DataFrame, out: str) -> dict:
-    """Whole raw CSV inputs with planted defects: staffing in a folder a quarter."""
-    def put(df: DataFrame, path: str) -> None:
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-
-    for q, path in enumerate(quarter_folders(f"{out}/pbj"), 1):
-        put(staffing_raw_text(staffing.where(F.quarter("workdate") == q)), path)
-    put(provider_raw_text(provider), f"{out}/provider")
-    put(claims_raw_text(claims), f"{out}/claims")
-    return {"pbj": quarter_folders(f"{out}/pbj"), "provider": f"{out}/provider", "claims": f"{out}/claims"}
+    """Whole raw CSV inputs with planted defects: staffing in a folder a quarter.
+
+    The staffing rows are rendered in one pass.  They come in tasks of bounded size
+    (``staffing_daily``), which sort them by quarter before they are made text.
+    """
+    def put(df: DataFrame, path: str, folder: str | None = None) -> None:
+        writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+        (writer.partitionBy(folder) if folder else writer).csv(path)
+
+    dated = staffing.where("workdate IS NOT NULL").withColumn("quarter", F.concat(F.lit("q"), F.quarter("workdate")))
+    text = staffing_raw_text(dated.sortWithinPartitions("quarter"), keep=["quarter"])
+    tables = [(text, f"{out}/pbj", "quarter"), (provider_raw_text(provider), f"{out}/provider"), (claims_raw_text(claims), f"{out}/claims")]
+    # Written side by side: the last tasks of one table leave no core idle.
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        for job in [pool.submit(put, *t) for t in tables]:
+            job.result()
+    folders = [f for f in quarter_folders(f"{out}/pbj") if _exists(spark, f)]
+    if not folders:  # no row: a header alone
+        folders = quarter_folders(f"{out}/pbj")[:1]
+        put(text.drop("quarter").limit(0), folders[0])
+    return {"pbj": folders, "provider": f"{out}/provider", "claims": f"{out}/claims"}
 
 
 def write_raw_inputs(spark: SparkSession, sf_dir: str, out: str, staffing: DataFrame | None = None) -> dict:

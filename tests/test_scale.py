@@ -1,14 +1,16 @@
 """Work and memory that must not grow faster than the input."""
 
 import datetime as dt
+import os
 import re
 
 import pytest
 
+from helpers import write_csv
 from rosterline import schemas as S
 from rosterline.operators import clean as C
 from rosterline.plans import registry
-from rosterline.sources import sinks
+from rosterline.sources import files, sinks
 from rosterline.sources import testmap as M
 
 
@@ -81,3 +83,16 @@ def test_typing_is_code_that_the_jvm_compiles(spark, tables, capsys):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", monitor)
     assert sizes and max(sizes) < 8000
+
+
+def test_a_record_is_parsed_once(spark, tmp_dir):
+    header = S.STAFFING_SOURCE_HEADERS
+    full = {"PROVNUM": " 15009 ", "STATE": "AL", "WorkDate": "20240401", "MDScensus": "50", "Hrs_RN": " 1.5", "Hrs_CNA": "x"}
+    rows = [[full.get(h) for h in header], [None] * len(header), [None if h == "PROVNUM" else full.get(h) for h in header]]
+    path = write_csv(os.path.join(tmp_dir, "raw", "a.csv"), header, rows)
+    cleaned = C.clean_staffing(files.read_csv(spark, path))
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("from_csv") == 1
+    got = cleaned.collect()
+    assert len(got) == 1
+    assert (got[0]["provnum"], got[0]["workdate"], got[0]["mdscensus"]) == ("15009", dt.date(2024, 4, 1), 50.0)
+    assert (got[0]["hrs_rn"], got[0]["hrs_cna"], got[0]["hrs_rn_emp"]) == (1.5, None, None)
